@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldo.schemas import BRONZE, STREAMS
+from saldo.session import scratch
 from saldo.sources.bronze import conform
+from workload.signing import SECRETS, signer  # noqa: F401
 
 AS_OF = "2024-06-01 00:00:00"
 # Newest rows of the fixture; monitors look at the last hour before it.
@@ -313,41 +315,31 @@ def messages_of(w: DataFrame) -> DataFrame:
         (F.col("n") % 3).cast("int").alias("partition"), F.col("n").alias("offset"))
 
 
-def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages_of(webhook_parameters(spark, sf_dir))
-
-
-# --- signed webhooks ------------------------------------------------------------------------------
-SECRETS = {"stripe": "whsec_fixture", "square": "square_fixture_key", "adyen": "44782DEF547AAA06C910C43932B1EB0C71FC68D9D0C057550C48EC2ACF6BA056"}
-SQUARE_URL = "https://example.com/webhooks/square"
+RAW_SCHEMA = "value binary, partition int, offset bigint, topic string"
 
 
-def _signer(provider: str):
-    """Digest as the sender computes it, with Python's hmac: independent of the audited expression."""
-    import base64
-    import hashlib
-    import hmac
+def raw_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of captured raw messages, one subfolder per topic."""
+    path = scratch(spark, "raw")
+    messages_of(webhook_parameters(spark, sf_dir)).write.partitionBy("topic").parquet(path)
+    return path
 
-    import pandas as pd
 
-    secret = SECRETS[provider]
-    key = bytes.fromhex(secret) if provider == "adyen" else secret.encode()
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw webhook messages (value, topic, partition, offset) as landed."""
+    landed = spark.read.schema(RAW_SCHEMA).parquet(raw_landing(spark, sf_dir))
+    return landed.select("value", "topic", "partition", "offset")
 
-    @F.pandas_udf("string")
-    def sign(message: pd.Series) -> pd.Series:
-        digests = [hmac.new(key, bytes(m), hashlib.sha256) for m in message]
-        if provider == "stripe":
-            return pd.Series([d.hexdigest() for d in digests])
-        return pd.Series([base64.b64encode(d.digest()).decode() for d in digests])
 
-    return sign
+# --- signed webhooks ------------------------------------------------------------------------------
+SQUARE_URL = "https://example.com/webhooks/square"
 
 
 def captured(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
     """Webhooks as received: offset, value and signature header, a fixed share of them tampered with."""
     n = F.col("offset")
     rows = raw_messages(spark, sf_dir).filter(F.col("topic").contains(provider))
-    sign = _signer(provider)
+    sign = signer(provider)
     flip = lambda s: F.when(n % 7 == 0, F.reverse(s)).otherwise(s)
     if provider == "stripe":
         sent = F.unix_timestamp(F.lit(AS_OF).cast("timestamp")) - F.when(n % 13 == 0, 301).otherwise(300)

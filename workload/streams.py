@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from saldo.schemas import BRONZE, STREAMS
 from saldo.session import scratch
@@ -17,8 +16,9 @@ ONCE = {"availableNow": True}
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table's files as a stream."""
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    file = f"{name}.parquet"
+    schema = spark.read.parquet(f"{sf_dir}/{file}").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(sf_dir)
 
 
 def _over_stream(spark: SparkSession, sf_dir: str, source: str, text: str) -> DataFrame:
@@ -36,7 +36,8 @@ def typed_table_stream(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame
 
 
 def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.messages_of(_over_stream(spark, sf_dir, "events", W.WEBHOOK_SQL))
+    landed = spark.readStream.schema(W.RAW_SCHEMA).parquet(W.raw_landing(spark, sf_dir))
+    return landed.select("value", "topic", "partition", "offset")
 
 
 def json_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
@@ -58,7 +59,3 @@ def collect_stream(stream: DataFrame, label: str, mode: str = "append") -> DataF
         stream.writeStream.format("parquet").outputMode(mode).option("path", path)
         .option("checkpointLocation", scratch(spark, f"{label}-checkpoint")).trigger(**ONCE).start())
     return spark.read.schema(stream.schema).parquet(path)
-
-
-def to_json_value(df: DataFrame) -> DataFrame:
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
