@@ -542,3 +542,501 @@ SELECT customer_id, {ts(_NOW)} AS feature_timestamp, total_payments_30d, total_p
   date_sub('day', f, {_NOW}) AS days_since_first_payment, date_sub('day', l, {_NOW}) AS days_since_last_payment, date_sub('day', lb, {_NOW}) AS days_since_last_failure,
   payment_method_count, CASE WHEN payment_method_count > 1 THEN 1 ELSE 0 END AS has_backup_payment_method,
   CAST(CAST(coalesce(fs, 0e0) AS FLOAT) AS DOUBLE) AS fraud_score_avg, high_risk_payment_count FROM g"""
+
+# --- sources and sinks -----------------------------------------------------------------------------------
+
+STORE = f"{PE}, store AS (SELECT *, n % 3 = 0 AS loaded, CASE WHEN n % 3 = 0 THEN ingested_at END AS loaded_at FROM pe)"
+ORACLES["s01_read_unloaded"] = f"WITH {STORE} SELECT event_id, {ts('ingested_at')} AS ingested_at, amount_cents FROM store WHERE NOT loaded"
+ORACLES["s02_read_by_date"] = f"""WITH {STORE} SELECT event_id, {ts('ingested_at')} AS ingested_at FROM store
+WHERE CAST(ingested_at AS DATE) = DATE '2024-01-15'"""
+ORACLES["s03_mark_loaded"] = f"""WITH {STORE} SELECT event_id, loaded OR n % 5 = 0 AS loaded_to_iceberg,
+  CASE WHEN n % 5 = 0 THEN {ts(AS_OF)} ELSE {ts('loaded_at')} END AS loaded_at FROM store"""
+ORACLES["s04_event_count"] = f"""WITH {STORE} SELECT 'all' AS state, count(*) AS event_count FROM store
+UNION ALL SELECT 'loaded', count(*) FILTER (WHERE loaded) FROM store UNION ALL SELECT 'unloaded', count(*) FILTER (WHERE NOT loaded) FROM store"""
+_STORE_OUT = BRONZE_OUT.replace(", days_to_churn_estimate", ", CAST(days_to_churn_estimate AS BIGINT) AS days_to_churn_estimate")
+ORACLES["s05_conform"] = f"WITH {STG} SELECT {_STORE_OUT} FROM stg"
+ORACLES["s06_ingest_events"] = f"WITH {STG} SELECT {_STORE_OUT} FROM stg WHERE n % 3 <> 0"
+ORACLES["s08_ingest_profile"] = f"""WITH {PE} SELECT 'event_type' AS metric, event_type AS value, count(*) AS n FROM pe GROUP BY 2
+UNION ALL SELECT 'provider', provider, count(*) FROM pe GROUP BY 2
+UNION ALL SELECT 'min_ingested_at', rtrim(strftime(min(ingested_at), '%Y-%m-%d %H:%M:%S.%f'), '0'), count(*) FROM pe
+UNION ALL SELECT 'max_ingested_at', rtrim(strftime(max(ingested_at), '%Y-%m-%d %H:%M:%S.%f'), '0'), count(*) FROM pe"""
+
+ORACLES["s15_upsert"] = f"""WITH {PE}, p AS (SELECT *, ingested_at < TIMESTAMP '2024-01-20' AND amount_cents % 10 = 0 AS changed FROM pe)
+SELECT event_id, CASE WHEN changed THEN 'revised' ELSE status END AS status, amount_cents,
+  {ts("CASE WHEN changed THEN ingested_at + INTERVAL 100 DAY ELSE ingested_at END")} AS ingested_at FROM p"""
+ORACLES["s15_upsert_partitions"] = f"""WITH {PE}, p AS (SELECT CAST(provider_created_at AS DATE) AS d,
+  CASE WHEN provider_created_at >= TIMESTAMP '2024-01-19' THEN 'revised' ELSE status END AS status FROM pe)
+SELECT {day('d')} AS event_date, status, count(*) AS n FROM p GROUP BY ALL"""
+ORACLES["s16_upsert_enrichment"] = f"""WITH {PE}, p AS (SELECT *, ingested_at < TIMESTAMP '2024-01-20' AND amount_cents % 4 = 0 AS again FROM pe)
+SELECT event_id, amount_cents, status, CASE WHEN again THEN 0.5e0 ELSE fraud_score END AS fraud_score,
+  CASE WHEN NOT again THEN risk_level END AS risk_level, CASE WHEN again THEN {ts(AS_OF)} ELSE {ts('ingested_at')} END AS ingested_at FROM p"""
+ORACLES["s18_snapshot_as_of"] = f"""WITH {STG}, old AS (SELECT * FROM stg WHERE ingested_at < TIMESTAMP '2024-01-20'), {merchant_metrics('old', 'a')}
+SELECT merchant_id, total_transactions, total_revenue_cents FROM a"""
+
+# --- normalization -----------------------------------------------------------------------------------------
+
+CUR20 = ", ".join(f"'{c}'" for c in C.SUPPORTED_CURRENCIES)
+NULLS = ", ".join(f"'{c}'" for c in C.NULL_SPELLINGS)
+
+
+def denull(x: str) -> str:
+    return f"CASE WHEN {x} NOT IN ({NULLS}) THEN {x} END"
+
+
+def mapped(x: str, table: dict[str, str], otherwise: str = "NULL") -> str:
+    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in table.items())
+    return f"CASE {x} {arms} ELSE {otherwise} END"
+
+
+EVENT_TYPE = {
+    "stripe": mapped("raw_type", C.STRIPE_EVENT_TYPES, "raw_type"),
+    "square": mapped("raw_type", C.SQUARE_EVENT_TYPES, "raw_type"),
+    "adyen": mapped("raw_type", C.ADYEN_EVENT_TYPES, "lower(raw_type)"),
+    "braintree": mapped("raw_type", C.BRAINTREE_EVENT_TYPES, "replace(raw_type, '_', '.')"),
+}
+SECOND = "date_trunc('second', ts)"
+ISO = f"strftime({SECOND}, '%Y-%m-%dT%H:%M:%SZ')"
+TXN = "(id IS NOT NULL)"
+ADYEN_STATUS = f"CASE WHEN NOT success THEN 'failed' ELSE {mapped('raw_type', C.ADYEN_STATUSES, 'lower(raw_type)')} END"
+ADYEN_METHOD = mapped("lower(adyen_method)", C.ADYEN_METHODS, "lower(adyen_method)")
+ADYEN_BRAND = f"CASE WHEN k % 2 = 0 THEN '411111' ELSE {mapped('lower(adyen_method)', C.ADYEN_BRANDS)} END"
+REFUSAL = ("CASE k % 8 WHEN 0 THEN 'declined' WHEN 1 THEN 'fraud' WHEN 2 THEN 'expired_card' WHEN 3 THEN 'insufficient_funds' "
+           "WHEN 4 THEN 'invalid_card' WHEN 5 THEN 'blocked' WHEN 6 THEN 'canceled' ELSE 'unknown' END")
+BT_STATUS = f"""coalesce({mapped('raw_type', C.BRAINTREE_KIND_STATUSES)}, {mapped('lower(txn_status)', C.BRAINTREE_TXN_STATUSES, 'lower(txn_status)')},
+  lower(replace(raw_type, '_', ' ')))"""
+BT_METHOD = mapped("lower(instrument)", C.BRAINTREE_METHODS, "lower(instrument)")
+BT_BRAND = mapped("lower(bt_brand)", C.BRAINTREE_BRANDS, "lower(bt_brand)")
+BT_ID = f"raw_type || '_' || CASE WHEN {TXN} THEN 'txn_' || id ELSE {ISO} END"
+BT_AMOUNT = "CASE WHEN k % 9 = 0 THEN 0 ELSE amount END"
+SQ_METHOD = mapped("upper(source_type)", C.SQUARE_SOURCE_TYPES, "lower(source_type)")
+SQ_STATUS = mapped("upper(square_status)", C.SQUARE_STATUSES, "lower(square_status)")
+SQ_REFUND = mapped("upper(square_status)", C.SQUARE_REFUND_STATUSES, "lower(square_status)")
+IS_REFUND = "square_form = 'refund'"
+
+# Error codes in order; a NULL entry is no error.
+_AMT = "CASE WHEN amount < 0 THEN 'INVALID_AMOUNT_NEGATIVE' WHEN amount > 100000000 THEN 'INVALID_AMOUNT_TOO_LARGE' END"
+_CUR = f"CASE WHEN upper(trim(currency)) NOT IN ({CUR20}) THEN 'INVALID_CURRENCY' END"
+_NOID = "CASE WHEN id IS NULL THEN '{}' END"
+_ERRS = {
+    "stripe": f"[{_NOID.format('MISSING_EVENT_ID')}, {_AMT}, {_CUR}]",
+    "square": f"""CASE square_form WHEN 'no_data' THEN [{_NOID.format('MISSING_EVENT_ID')}, 'MISSING_DATA']
+      WHEN 'no_payment' THEN [{_NOID.format('MISSING_EVENT_ID')}, 'MISSING_PAYMENT'] WHEN 'unknown' THEN [{_NOID.format('MISSING_EVENT_ID')}, 'UNKNOWN_OBJECT_TYPE']
+      WHEN 'refund' THEN [{_NOID.format('MISSING_EVENT_ID')}, CASE WHEN amount < 0 OR amount > 100000000 THEN 'INVALID_AMOUNT' END, {_CUR}]
+      ELSE [{_NOID.format('MISSING_EVENT_ID')}, {_AMT}, {_CUR}] END""",
+    "adyen": f"[{_NOID.format('MISSING_PSP_REFERENCE')}, {_AMT}, {_CUR}]",
+    "braintree": f"""[CASE WHEN id IS NULL AND raw_type LIKE 'transaction!_%' ESCAPE '!' THEN 'MISSING_TRANSACTION_ID' END,
+      CASE WHEN n % 29 = 0 THEN 'INVALID_AMOUNT' WHEN k % 9 = 0 THEN NULL WHEN amount < 0 OR amount > 100000000 THEN 'INVALID_AMOUNT' END,
+      CASE WHEN k % 7 <> 0 THEN {_CUR} END]""",
+}
+_LIST = " ".join(f"WHEN '{p}' THEN {e}" for p, e in _ERRS.items())
+JUDGED = f"""{WH}, x AS (SELECT *, {W.TOPIC_SQL} AS topic,
+  list_filter(CASE WHEN form <> 'object' THEN ['INVALID_JSON'] ELSE CASE provider {_LIST} END END, lambda e: e IS NOT NULL) AS errs FROM w),
+j AS (SELECT *, array_to_string(errs, ',') AS codes, errs[1] AS first_code, len(errs) = 0 AS ok,
+  CASE WHEN form = 'object' THEN CASE provider WHEN 'stripe' THEN 'evt_' || id WHEN 'square' THEN 'evt_' || id
+    WHEN 'adyen' THEN 'psp_' || id || '_' || raw_type ELSE {BT_ID} END END AS dlq_id,
+  CASE provider WHEN 'stripe' THEN {EVENT_TYPE['stripe']} WHEN 'square' THEN {EVENT_TYPE['square']}
+    WHEN 'adyen' THEN {EVENT_TYPE['adyen']} ELSE {EVENT_TYPE['braintree']} END AS event_type FROM x)"""
+DLQ = "dlq AS (SELECT *, provider || ':' || dlq_id AS event_id FROM j WHERE NOT ok)"
+NULL_TEXT = "CAST(NULL AS VARCHAR)"
+CURRENCY = "upper(trim(currency))"
+
+UNIFIED = {
+    "stripe": {
+        "merchant_id": denull("merchant"), "customer_id": denull("customer"), "amount_cents": "amount", "currency": CURRENCY,
+        "payment_method_type": """CASE WHEN raw_type LIKE 'payment_intent%' THEN CASE WHEN k % 2 = 0 THEN 'card' ELSE 'us_bank_account' END
+          WHEN raw_type LIKE 'charge%' THEN CASE WHEN k % 3 <> 0 THEN 'card' END ELSE 'refund' END""",
+        "card_brand": "CASE WHEN raw_type LIKE 'charge%' THEN 'visa' END", "card_last_four": "CASE WHEN raw_type LIKE 'charge%' THEN '4242' END",
+        "status": "CASE t WHEN 'signup' THEN 'unknown' WHEN 'error' THEN 'requires_payment_method' ELSE 'succeeded' END",
+        "failure_code": "CASE WHEN t = 'error' AND k % 2 = 0 THEN 'card_declined' WHEN t = 'click' AND k % 4 = 0 THEN 'lost_or_stolen_card' END",
+        "failure_message": "CASE WHEN t = 'error' THEN CASE WHEN k % 2 = 1 THEN 'Bank said no' ELSE 'Declined' END END",
+        "metadata": """'{"merchant_id":"' || merchant || '","order_id":"o' || n || '"}'""", "provider_created_at": ts(SECOND),
+        "event_id": "'stripe:evt_' || id", "provider_event_id": "'evt_' || id",
+    },
+    "square": {
+        "merchant_id": denull("merchant"), "customer_id": f"CASE WHEN NOT {IS_REFUND} THEN {denull('customer')} END",
+        "amount_cents": "amount", "currency": CURRENCY, "payment_method_type": f"CASE WHEN {IS_REFUND} THEN 'refund' ELSE {SQ_METHOD} END",
+        "card_brand": f"CASE WHEN NOT {IS_REFUND} AND source_type = 'CARD' THEN 'VISA' END", "card_last_four": NULL_TEXT,
+        "status": f"CASE WHEN {IS_REFUND} THEN CASE square_status WHEN 'ODD' THEN 'rejected' ELSE {SQ_REFUND} END ELSE {SQ_STATUS} END",
+        "failure_code": NULL_TEXT, "failure_message": NULL_TEXT,
+        "metadata": f"""CASE WHEN {IS_REFUND} THEN '{{"location_id":"L1","payment_id":"p' || n || '","reason":"r"}}'
+          ELSE '{{"location_id":"L1","order_id":"o' || n || '","reference_id":null}}' END""",
+        "provider_created_at": f"CASE WHEN NOT {IS_REFUND} AND k % 10 = 3 THEN {ts(AS_OF)} ELSE {ts(SECOND)} END",
+        "event_id": "'square:evt_' || id", "provider_event_id": "'evt_' || id",
+    },
+    "adyen": {
+        "merchant_id": "merchant", "customer_id": NULL_TEXT, "amount_cents": "amount", "currency": CURRENCY,
+        "payment_method_type": ADYEN_METHOD, "card_brand": ADYEN_BRAND, "card_last_four": "'1234'", "status": ADYEN_STATUS,
+        "failure_code": f"CASE WHEN NOT success THEN {REFUSAL} END", "failure_message": "CASE WHEN NOT success THEN refusal END",
+        "metadata": """'{"original_reference":null,"merchant_reference":"o' || n || '","operations":["CANCEL"],"live":' ||
+          CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END || '}'""", "provider_created_at": ts(SECOND),
+        "event_id": "'adyen:psp_' || id || '_' || raw_type", "provider_event_id": "'psp_' || id",
+    },
+    "braintree": {
+        "merchant_id": "merchant", "customer_id": "customer", "amount_cents": BT_AMOUNT,
+        "currency": f"CASE WHEN k % 7 = 0 THEN 'USD' ELSE {CURRENCY} END", "payment_method_type": BT_METHOD, "card_brand": BT_BRAND,
+        "card_last_four": "'9876'", "status": BT_STATUS,
+        "failure_code": f"CASE WHEN {BT_STATUS} = 'failed' THEN coalesce(txn_status, 'unknown') END",
+        "failure_message": f"CASE WHEN {BT_STATUS} = 'failed' THEN 'Transaction ' || coalesce(txn_status, 'failed') END",
+        "metadata": """'{"kind":"' || raw_type || '","transaction_type":"sale","subscription":' || CASE WHEN raw_type LIKE 'subscription%'
+          THEN '{"id":"s' || n || '","status":null,"plan_id":"pl"}' ELSE 'null' END || ',"dispute":null,"dev_mode":false}'""",
+        "provider_created_at": ts(SECOND), "event_id": f"'braintree:' || {BT_ID}",
+        "provider_event_id": f"CASE WHEN {TXN} THEN 'txn_' || id ELSE {BT_ID} END",
+    },
+}
+
+
+def unified(provider: str, *columns: str) -> str:
+    u = {**UNIFIED[provider], "provider": "provider", "event_type": "event_type"}
+    picked = columns or tuple(u)
+    return f"WITH {JUDGED} SELECT {', '.join(f'{u[c]} AS {c}' for c in ('event_id', *[p for p in picked if p != 'event_id']))} FROM j WHERE ok AND provider = '{provider}'"
+
+
+ORACLES["n09_stripe_to_unified"] = unified("stripe")
+ORACLES["n10_stripe_payment_method"] = unified("stripe", "payment_method_type")
+ORACLES["n11_stripe_card"] = unified("stripe", "card_brand", "card_last_four")
+ORACLES["n12_stripe_status"] = unified("stripe", "status")
+ORACLES["n13_stripe_failure"] = unified("stripe", "failure_code", "failure_message")
+ORACLES["n14_square_to_unified"] = unified("square")
+ORACLES["n17_adyen_to_unified"] = unified("adyen")
+ORACLES["n21_braintree_to_unified"] = unified("braintree")
+_SQ = UNIFIED["square"]
+ORACLES["n15_square_payments_and_refunds"] = f"""WITH {JUDGED} SELECT {IS_REFUND} AS is_refund, {_SQ['status']} AS status, count(*) AS n,
+  CAST(sum(amount) AS BIGINT) AS cents, count({_SQ['customer_id']}) AS with_customer FROM j WHERE ok AND provider = 'square' GROUP BY ALL"""
+ORACLES["n01_parse_payload"] = f"WITH {WH} SELECT n AS \"offset\", form = 'object' AS readable FROM w WHERE provider = 'stripe'"
+ORACLES["n02_null_spellings"] = f"WITH {WH} SELECT n, {denull('merchant')} AS merchant, {denull('customer')} AS customer FROM w"
+ORACLES["n03_null_columns"] = f"""WITH {WH} SELECT n, k, {denull('merchant')} AS merchant, {denull('customer')} AS customer,
+  {denull('txn_status')} AS txn_status, amount FROM w"""
+ORACLES["n04_validate_currency"] = f"""WITH {WH}, t AS (SELECT n, CASE WHEN n % 41 = 0 THEN NULL WHEN n % 43 = 0 THEN ' ' WHEN n % 47 = 0 THEN 'EURO'
+  ELSE currency END AS c FROM w), m AS (SELECT n, upper(trim(c)) AS c, CASE WHEN c IS NULL THEN 'Currency is required'
+  WHEN trim(c) = '' THEN 'Currency cannot be empty' WHEN length(trim(c)) <> 3 THEN 'Currency must be 3 characters, got ' || length(trim(c))
+  WHEN upper(trim(c)) NOT IN ({CUR20}) THEN 'Unsupported currency: ' || upper(trim(c)) END AS message FROM t)
+SELECT n, message IS NULL AS is_valid, CASE WHEN message IS NULL THEN c END AS value, message FROM m"""
+_AMOUNT_MSG = """CASE WHEN n % 6 = 4 THEN 'Amount is required' WHEN n % 6 IN (3, 5) THEN 'Amount must be an integer'
+  WHEN amount < 0 THEN 'Amount must be >= 0, got ' || amount WHEN amount > 100000000 THEN 'Amount must be <= 100000000, got ' || amount END"""
+ORACLES["n05_validate_amount"] = f"""WITH {WH}, m AS (SELECT n, amount, {_AMOUNT_MSG} AS message FROM w)
+SELECT n, message IS NULL AS is_valid, CASE WHEN message IS NULL THEN amount END AS value, message FROM m"""
+ORACLES["n06_validate_refund_amount"] = f"""WITH {WH}, m AS (SELECT n, amount, CASE WHEN amount < 0 THEN 'Amount must be >= 0, got ' || amount
+  WHEN amount > 5000 THEN 'Amount must be <= 5000, got ' || amount END AS message FROM w)
+SELECT n, message IS NULL AS is_valid, CASE WHEN message IS NULL THEN amount END AS value, message FROM m"""
+ORACLES["n07_collect_errors"] = f"WITH {JUDGED} SELECT n AS \"offset\", codes, first_code FROM j"
+ORACLES["n08_event_types"] = f"WITH {JUDGED} SELECT n, raw_type, event_type FROM j"
+ORACLES["n16_square_lookups"] = f"WITH {WH} SELECT n, {SQ_METHOD} AS method, {SQ_STATUS} AS status, {SQ_REFUND} AS refund_status FROM w"
+ORACLES["n18_adyen_status"] = f"WITH {WH} SELECT n, {ADYEN_STATUS} AS status FROM w WHERE provider = 'adyen'"
+ORACLES["n19_adyen_methods"] = f"WITH {WH} SELECT n, {ADYEN_METHOD} AS method, {ADYEN_BRAND} AS brand, '1234' AS last4 FROM w"
+ORACLES["n20_adyen_failure_code"] = f"WITH {WH} SELECT n, {REFUSAL} AS code FROM w"
+ORACLES["n22_braintree_status"] = f"WITH {WH} SELECT n, {BT_STATUS} AS status FROM w WHERE provider = 'braintree'"
+ORACLES["n23_braintree_methods"] = f"WITH {WH} SELECT n, {BT_METHOD} AS method, {BT_BRAND} AS brand FROM w"
+ORACLES["n24_parse_iso"] = f"""WITH {WH} SELECT n, CASE n % 5 WHEN 0 THEN {ts(SECOND)} WHEN 1 THEN {ts(f'{SECOND} - INTERVAL 2 HOUR')} ELSE {ts(AS_OF)} END AS created FROM w"""
+DLQ_PROVIDER_ID = "dlq_id AS provider_event_id"
+ORACLES["n25_dlq_records"] = f"""WITH {JUDGED}, {DLQ} SELECT event_id, provider, {DLQ_PROVIDER_ID}, codes, first_code AS failure_reason, topic AS source_topic,
+  n % 3 AS kafka_partition, n AS kafka_offset, {ts(AS_OF)} AS quarantined_at, 1 AS schema_version FROM dlq"""
+_IDS = " ".join(f"WHEN '{p}' THEN {UNIFIED[p]['event_id']}" for p in UNIFIED)
+_AMTS = f"CASE WHEN provider = 'braintree' THEN {BT_AMOUNT} ELSE amount END"
+ORACLES["n26_normalize"] = f"""WITH {JUDGED}, {DLQ} SELECT CASE provider {_IDS} END AS event_id, 'valid' AS outcome, event_type, {_AMTS} AS amount_cents FROM j WHERE ok
+UNION ALL SELECT event_id, 'dlq', first_code, NULL FROM dlq"""
+ORACLES["n27_explode_adyen_batch"] = f"""WITH {WH}, r AS (SELECT *, unnest([0, 1]) AS item_no FROM w WHERE provider = 'adyen' AND form = 'object'),
+c AS (SELECT *, CASE WHEN item_no = 0 THEN raw_type ELSE 'REFUND' END AS code FROM r)
+SELECT n AS "offset", item_no, 'psp_' || id || '_' || code AS key, CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END AS live, code AS event_code,
+  CAST(amount AS VARCHAR) AS amount FROM c"""
+ORACLES["n28_route_topic"] = f"""WITH {WH} SELECT n, 'webhooks.' || provider || '.' || CASE provider
+  WHEN 'stripe' THEN CASE WHEN raw_type LIKE 'payment_intent.%' THEN 'payment_intent' WHEN raw_type LIKE 'charge.%' THEN 'charge' ELSE 'refund' END
+  WHEN 'square' THEN split_part(raw_type, '.', 1) ELSE 'notification' END AS topic FROM w"""
+_BAD_LEN = "CASE WHEN length(currency) <> 3 THEN 'string_length' END"
+_NEG = "CASE WHEN amount < 0 THEN 'greater_than_equal' END"
+_MISS = lambda cond: f"CASE WHEN {cond} THEN 'missing' END"
+_MIS = "string_pattern_mismatch"
+_STRIPE_EVENT = f"{_MISS('id IS NULL')}, {_NEG}, {_BAD_LEN}, {_MISS(chr(116) + ' = ' + chr(39) + 'signup' + chr(39))}, {_MISS('k % 2 <> 0')}"
+_CUS = f"CASE WHEN NOT regexp_full_match(customer, 'cus_[a-zA-Z0-9]+') THEN '{_MIS}' END"
+_PI = f"CASE WHEN k % 12 = 5 THEN '{_MIS}' END"
+_STRUCT = {
+    # A refund of a chargeback-type event keeps status succeeded; only signups lack a status.
+    "stripe": f"""CASE WHEN raw_type LIKE 'payment_intent%' THEN [{_STRIPE_EVENT}, {_PI}, {_CUS}]
+      WHEN raw_type LIKE 'charge%' THEN [{_STRIPE_EVENT}, {_PI}, {_MISS('k % 11 = 0')}, {_CUS}] ELSE [{_STRIPE_EVENT}, {_PI}] END""",
+    "square": f"""CASE WHEN square_form = 'no_data' THEN [{_MISS('id IS NULL')}, 'missing', 'missing', 'missing']
+      WHEN square_form IN ('payment', 'unnamed') AND raw_type LIKE 'payment%' THEN [{_MISS('id IS NULL')}, {_MISS('k % 10 = 4')},
+        CASE WHEN square_status IN ('approved', 'ODD') THEN 'literal_error' END, {_NEG}, {_BAD_LEN}]
+      WHEN square_form = 'refund' THEN [{_MISS('id IS NULL')}, CASE WHEN square_status = 'approved' THEN 'literal_error' END, {_NEG}, {_BAD_LEN}]
+      ELSE [{_MISS('id IS NULL')}] END""",
+    "adyen": f"[{_MISS('id IS NULL')}, {_NEG}, {_BAD_LEN}]",
+    "braintree": f"[{_MISS('id IS NULL')}]",
+}
+_STRUCT_ARMS = " ".join(f"WHEN '{p}' THEN {e}" for p, e in _STRUCT.items())
+ORACLES["n29_check_structure"] = f"""WITH {WH} SELECT provider, n AS "offset", array_to_string(list_filter(
+  CASE WHEN form <> 'object' THEN ['json_invalid'] ELSE CASE provider {_STRUCT_ARMS} END END, lambda e: e IS NOT NULL), ',') AS codes FROM w"""
+ORACLES["n30_audit_signatures"] = f"""WITH {WH}, v AS (SELECT provider, n, CASE WHEN n % 11 = 0 THEN CASE provider WHEN 'adyen' THEN 'missing hmacSignature' ELSE 'missing signature header' END
+  WHEN provider = 'stripe' AND n % 17 = 0 THEN 'invalid signature header format' WHEN provider = 'stripe' AND n % 19 = 0 THEN 'invalid timestamp format'
+  WHEN provider = 'stripe' AND n % 13 = 0 THEN 'timestamp outside tolerance window' WHEN provider = 'stripe' AND n % 23 = 0 THEN 'no v1 signature'
+  WHEN n % 7 = 0 THEN 'signature mismatch' END AS reason FROM w WHERE provider <> 'braintree' AND (provider <> 'adyen' OR form = 'object'))
+SELECT provider, n AS "offset", CASE WHEN reason IS NULL THEN 'valid' WHEN reason LIKE 'timestamp outside%' THEN 'expired' ELSE 'invalid' END AS verdict, reason FROM v"""
+ORACLES["n31_decode_braintree"] = f"""WITH {WH} SELECT n, CASE WHEN n % 13 = 0 THEN 'unknown' WHEN n % 5 = 0 THEN raw_type WHEN n % 11 = 0 OR n % 7 = 0 THEN 'unknown' ELSE raw_type END AS kind,
+  CASE WHEN n % 13 = 0 THEN NULL WHEN n % 5 = 0 OR n % 11 <> 0 THEN {ISO} END AS timestamp,
+  CASE WHEN n % 13 <> 0 AND n % 5 <> 0 AND n % 11 <> 0 THEN '{{"id":"txn_' || n || '"}}' END AS transaction, true AS dev_mode
+  FROM w WHERE provider = 'braintree'"""
+ORACLES["n32_ingress_dlq"] = f"""WITH {WH} SELECT 'square' AS provider, 'invalid_signature' AS error_type,
+  CASE WHEN n % 11 = 0 THEN 'missing signature header' ELSE 'signature mismatch' END AS error_message, {ts(AS_OF)} AS received_at, 0 AS retry_count,
+  true AS has_payload, 1 AS header_count FROM w WHERE provider = 'square' AND (n % 11 = 0 OR n % 7 = 0)"""
+ORACLES["s07_ingest_quarantine"] = f"""WITH {JUDGED}, {DLQ} SELECT event_id, provider, first_code AS failure_reason, topic AS source_topic, n % 3 AS kafka_partition,
+  n AS kafka_offset, false AS reviewed, {ts(AS_OF)} AS quarantined_at FROM dlq WHERE n % 5 <> 0"""
+ORACLES["s08_failure_profile"] = f"""WITH {JUDGED}, {DLQ} SELECT first_code AS failure_reason, count(*) AS n FROM dlq WHERE n % 5 <> 0
+GROUP BY 1 ORDER BY n DESC, failure_reason LIMIT 10""".replace("WHERE n % 5", "WHERE dlq.n % 5")
+ORACLES["s12_raw_topics"] = f"WITH {JUDGED} SELECT topic, count(*) AS messages FROM j GROUP BY 1"
+ORACLES["s13_normalized_and_dlq_messages"] = f"""WITH {JUDGED}, {DLQ}, u AS (SELECT CASE provider {_IDS} END AS e FROM j WHERE ok)
+SELECT '{C.NORMALIZED_TOPIC}' AS topic, e AS key, e AS event_id FROM u UNION ALL SELECT '{C.DLQ_TOPIC}', dlq_id, event_id FROM dlq"""
+DLQ_KEY = "coalesce(event_id, (n % 3) || '-' || n)"
+ORACLES["s17_upsert_quarantine"] = f"""WITH {JUDGED}, {DLQ}, k AS (SELECT *, {DLQ_KEY} AS dlq_key FROM dlq QUALIFY row_number() OVER (PARTITION BY dlq_key ORDER BY n % 3, n) = 1)
+SELECT dlq_key, event_id, CASE WHEN n % 4 = 0 THEN 'AGAIN' ELSE first_code END AS failure_reason, n AS kafka_offset,
+  CASE WHEN n % 4 = 0 THEN {ts(f'{AS_OF} + INTERVAL 1 DAY')} ELSE {ts(AS_OF)} END AS updated_at FROM k"""
+ORACLES["v11_dedupe"] = f"""WITH {PE} SELECT event_id, n * 10 + 1 AS "offset", amount_cents FROM pe WHERE n % 61 <> 0"""
+ORACLES["v12_dedupe_dlq"] = f"""WITH {JUDGED}, {DLQ} SELECT {DLQ_KEY} AS dlq_key, event_id, topic AS source_topic, n % 3 AS kafka_partition, n AS kafka_offset
+FROM dlq QUALIFY row_number() OVER (PARTITION BY {DLQ_KEY} ORDER BY n % 3, n) = 1"""
+ORACLES["v13_stream_interval_metrics"] = f"""WITH {BK} SELECT {ts('b')} AS interval_start, {ts("b + INTERVAL '15 minutes'")} AS interval_end, count(*) AS transaction_count,
+  {n(OK)} AS successful_count, {n(BAD)} AS failed_count, {REVENUE} AS revenue_cents, {n(HIGH)} AS high_risk_count FROM bk GROUP BY b"""
+_NORM = f"{JUDGED}, u AS (SELECT *, CASE provider {_IDS} END AS event_id, {_AMTS} AS cents FROM j WHERE ok)"
+ORACLES["v14_stream_counters"] = f"""WITH {_NORM} SELECT (SELECT count(*) FROM j) AS messages_consumed, count(DISTINCT event_id) AS workflows_started,
+  count(*) - count(DISTINCT event_id) AS duplicates_skipped, 0 AS errors, (SELECT count(*) FROM j WHERE NOT ok) AS dlq_workflows FROM u"""
+_ST = " ".join(f"WHEN '{p}' THEN {UNIFIED[p]['status']}" for p in UNIFIED)
+_CU = " ".join(f"WHEN '{p}' THEN {UNIFIED[p]['currency']}" for p in UNIFIED)
+CUR10 = ", ".join(f"'{c}'" for c in C.RULE_CURRENCIES)
+ORACLES["v14_intake_bronze"] = f"""WITH {_NORM} SELECT event_id, event_type, cents AS amount_cents, CASE provider {_CU} END AS currency, CASE provider {_ST} END AS status,
+  CASE WHEN cents > 0 AND cents <= 100000000 AND CASE provider {_CU} END IN ({CUR10}) AND trim(CASE provider {_ST} END) <> '' THEN 'passed' ELSE 'failed' END AS validation_status,
+  {ts(AS_OF)} AS ingested_at FROM u"""
+
+# --- enrichment ------------------------------------------------------------------------------------------------
+
+UN = f"{PE}, un AS ({W.UNIFIED_SQL})"
+
+
+def rule_list(customers: str, merchants: str) -> str:
+    return f"""list_filter([CASE WHEN amount_cents <= 0 THEN 'AMOUNT_NOT_POSITIVE' WHEN amount_cents > 100000000 THEN 'AMOUNT_EXCEEDS_MAXIMUM' END,
+  CASE WHEN upper(currency) NOT IN ({CUR10}) THEN 'CURRENCY_NOT_ALLOWED' END, CASE WHEN {customers} THEN 'CUSTOMER_BLOCKLISTED' END,
+  CASE WHEN {merchants} THEN 'MERCHANT_BLOCKLISTED' END, CASE WHEN trim(status) = '' THEN 'MISSING_REQUIRED_FIELD' END], lambda e: e IS NOT NULL)"""
+
+
+_LITERAL = rule_list("customer_id IN ('" + "', '".join(C.BLOCKED_CUSTOMERS) + "')", "merchant_id IN ('" + "', '".join(C.BLOCKED_MERCHANTS) + "')")
+ORACLES["e01_business_rules"] = f"""WITH {UN}, r AS (SELECT *, {_LITERAL} AS e FROM un) SELECT event_id, len(e) = 0 AS is_valid, array_to_string(e, ',') AS codes,
+  CASE WHEN amount_cents > 10000 THEN 1 ELSE 0 END AS warning_count, 5 AS rules FROM r"""
+_TABLES = rule_list("customer_id IN (SELECT 'cus_' || c_custkey FROM customer WHERE c_acctbal < 0)",
+                    "merchant_id IN (SELECT 'merch_' || s_suppkey FROM supplier WHERE s_acctbal < 0)")
+ORACLES["e01_business_rules_with_tables"] = f"""WITH {UN}, r AS (SELECT *, {_TABLES} AS e FROM un)
+SELECT event_id, len(e) = 0 AS is_valid, array_to_string(e, ',') AS codes FROM r"""
+SCORED = "(contains(lower(status), 'succeeded') OR contains(lower(status), 'captured') OR contains(lower(event_type), 'succeeded') OR contains(lower(event_type), 'captured'))"
+RETRIED = "(contains(lower(status), 'failed') OR contains(lower(event_type), 'failed') OR contains(lower(status), 'declined'))"
+HAS_CUSTOMER = "coalesce(customer_id <> '', false)"
+ORACLES["e02_event_gates"] = f"WITH {UN} SELECT event_id, {SCORED} AS scored, {RETRIED} AS retried, {HAS_CUSTOMER} AS churn FROM un"
+
+
+def noise(key: str, modulus: int) -> str:
+    return f"CAST(concat('0x', substr(md5({key}), 1, 8)) AS BIGINT) % {modulus}"
+
+
+FRAUD_SCORE = f"""greatest(0, least(10000, 500 + CASE WHEN amount_cents > 100000 THEN 2500 WHEN amount_cents > 50000 THEN 1500 ELSE 0 END
+  + CASE WHEN {HAS_CUSTOMER} THEN 0 ELSE 1500 END + CASE WHEN lower(card_brand) IN ('unknown', 'other') THEN 1000 ELSE 0 END + {noise('event_id', 1001)} - 500)) / 1e4"""
+FRAUD_FACTORS = f"""concat_ws(',', CASE WHEN amount_cents > 100000 THEN 'very_high_amount' WHEN amount_cents > 50000 THEN 'high_amount' END,
+  CASE WHEN NOT {HAS_CUSTOMER} THEN 'guest_checkout' END, CASE WHEN lower(card_brand) IN ('unknown', 'other') THEN 'unknown_card_brand' END)"""
+ORACLES["e03_fraud_score_rules"] = f"WITH {UN} SELECT event_id, {FRAUD_SCORE} AS fraud_score, {FRAUD_FACTORS} AS factors FROM un"
+
+
+def churn_score(streak: str, gap: str) -> str:
+    return f"""greatest(0, least(10000, 500 + CASE WHEN {streak} >= 3 THEN 3500 WHEN {streak} >= 1 THEN 1500 ELSE 0 END
+  + CASE WHEN {gap} > 30 THEN 1500 ELSE 0 END + {noise('customer_id', 1000)} - 500)) / 1e4"""
+
+
+_S5, _G5 = "(amount_cents % 5)", "(amount_cents % 61)"
+ORACLES["e05_churn_rules"] = f"""WITH {STG} SELECT event_id, {churn_score(_S5, _G5)} AS probability,
+  concat_ws(',', CASE WHEN {_S5} >= 3 THEN 'multiple_consecutive_failures' WHEN {_S5} >= 1 THEN 'recent_failure' END, CASE WHEN {_G5} > 30 THEN 'payment_gap' END) AS factors,
+  concat_ws(',', CASE WHEN {_S5} >= 3 THEN 'immediate_customer_outreach' WHEN {_S5} >= 1 THEN 'send_payment_update_reminder' END,
+    CASE WHEN {_G5} > 30 THEN 'engagement_campaign' END) AS actions FROM stg WHERE customer_id IS NOT NULL"""
+FAILING = "(contains(lower(status), 'failed') OR contains(lower(status), 'declined'))"
+ORACLES["e07_churn_signals"] = f"""WITH {UN} SELECT event_id, CASE WHEN {FAILING} THEN 1 ELSE 0 END AS consecutive_failures, 5 AS days_since_last_payment,
+  CASE WHEN {FAILING} THEN 0 ELSE 30 END AS days_since_last_failure FROM un"""
+ORACLES["e07_churn_signals_history"] = f"""WITH {UN}, s AS (SELECT *, count(*) FILTER (WHERE status <> 'failed') OVER (PARTITION BY customer_id
+  ORDER BY provider_created_at DESC, event_id DESC) AS later_ok FROM pe WHERE customer_id IS NOT NULL),
+h AS (SELECT customer_id, {n("status = 'failed' AND later_ok = 0")} AS streak, date_sub('day', max(provider_created_at), {AS_OF}) AS gap,
+  date_sub('day', max(provider_created_at) FILTER (WHERE status = 'failed'), {AS_OF}) AS since FROM s GROUP BY 1)
+SELECT event_id, CASE WHEN {FAILING} THEN greatest(coalesce(streak, 0), 1) ELSE coalesce(streak, 0) END AS consecutive_failures, coalesce(gap, 5) AS days_since_last_payment,
+  CASE WHEN {FAILING} THEN 0 ELSE coalesce(since, 30) END AS days_since_last_failure FROM un LEFT JOIN h USING (customer_id)"""
+
+FP = f"{PE}, fp AS (SELECT *, coalesce(failure_code, '') AS code FROM ({W.FAILED_SQL}))"
+
+
+def in_list(values: list[str]) -> str:
+    return "code IN (" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+_BACK = "CAST(least(3600, 60 * power(2, attempt - 1)) AS BIGINT)"
+_LINEAR = "least(3600, 120 * attempt)"
+
+
+def retry(code_list_source: str = "") -> dict[str, str]:
+    a, b, t = in_list(C.NON_RETRYABLE_CODES), in_list(C.CUSTOMER_ACTION_CODES), f"({in_list(C.TRANSIENT_CODES)} OR code = '')"
+    return {
+        "action": f"CASE WHEN {a} THEN 'do_not_retry' WHEN {b} THEN 'contact_customer' WHEN attempt >= 5 THEN 'do_not_retry' ELSE 'retry_delayed' END",
+        "delay_seconds": f"CASE WHEN {a} OR {b} OR attempt >= 5 THEN NULL WHEN {t} THEN {_BACK} ELSE {_LINEAR} END",
+        "confidence": f"CASE WHEN {a} THEN 0.95e0 WHEN {b} THEN 0.9e0 WHEN attempt >= 5 THEN 0.85e0 WHEN {t} THEN 0.75e0 ELSE 0.6e0 END",
+        "reason": f"""CASE WHEN {a} THEN 'Failure code ''' || code || ''' is not retryable' WHEN {b} THEN 'Failure code ''' || code || ''' requires customer action'
+          WHEN attempt >= 5 THEN 'Maximum attempts (5) reached' WHEN {t} THEN 'Transient failure, retry in ' || {_BACK} || 's (attempt ' || attempt || '/5)'
+          ELSE 'Unknown failure code ''' || code || ''', conservative retry in ' || {_LINEAR} || 's' END""",
+    }
+
+
+RETRY = retry()
+ORACLES["e08_retry_strategy"] = f"""WITH {FP} SELECT event_id, {', '.join(f'{v} AS {k}' for k, v in RETRY.items())}, 5 AS max_attempts FROM fp"""
+_CARD, _TRANS, _CUST = in_list(C.RECOVERY_CARD_UPDATE_CODES), in_list(C.RECOVERY_TRANSIENT_CODES), in_list(C.RECOVERY_CUSTOMER_CODES)
+_H = "CAST(least(24, power(2, attempt - 1)) AS BIGINT)"
+_OPEN = """CASE WHEN ltv > 10000000 THEN 'High-value customer requires priority recovery' WHEN tier IN ('pro', 'enterprise') THEN 'Premium tier (' || tier || ') customer'
+  WHEN attempt >= 3 THEN 'Multiple failed attempts - escalating priority' END"""
+_SPARE = "CASE WHEN backup THEN 'Backup payment method available' END"
+_RATE = "CAST(greatest(7 - attempt, 0) / 1e1 AS DECIMAL(4,2))"
+ORACLES["e09_recovery_plan"] = f"""WITH {FP} SELECT event_id,
+  CASE WHEN ltv > 10000000 THEN 'urgent' WHEN tier IN ('pro', 'enterprise') OR attempt >= 3 THEN 'high' ELSE 'medium' END AS priority,
+  CASE WHEN expired OR {_CARD} THEN 'update_payment_method' ELSE 'retry_optimal_time' END AS primary_action,
+  CASE WHEN expired THEN 0.35e0 WHEN {_CARD} THEN CASE WHEN backup THEN 0.65e0 ELSE 0.3e0 END WHEN {_TRANS} THEN 0.7e0
+    WHEN {_CUST} THEN CASE WHEN backup THEN 0.55e0 ELSE 0.45e0 END ELSE 0.5e0 END AS probability,
+  CASE WHEN expired THEN concat_ws('|', 'update_payment_method/0.0/0.00/Card has expired and must be updated',
+      CASE WHEN email THEN 'dunning_email/0.5/0.35/Send card update request email' END, CASE WHEN phone THEN 'sms_reminder/24.0/0.25/Follow up with SMS if no response' END)
+    WHEN {_CARD} THEN concat_ws('|', CASE WHEN backup THEN 'offer_alternative/0.0/0.65/Try backup payment method first' END, 'dunning_email/0.0/0.30/Notify customer of ' || code)
+    WHEN {_TRANS} THEN concat_ws('|', 'retry_optimal_time/' || {_H} || '.0/' || {_RATE} || '/Retry after ' || {_H} || 'h for transient failure',
+      CASE WHEN attempt >= 3 THEN 'dunning_email/' || ({_H} + 24) || '.0/0.20/Notify customer after multiple failures' END)
+    WHEN {_CUST} THEN concat_ws('|', CASE WHEN backup THEN 'offer_alternative/0.0/0.55/Offer to use backup payment method' END,
+      'retry_optimal_time/24.0/0.45/Wait for funds to become available', CASE WHEN email THEN 'dunning_email/48.0/0.30/Send friendly reminder about payment' END)
+    ELSE concat_ws('|', 'retry_optimal_time/4.0/0.50/Standard retry after cooling period', 'dunning_email/24.0/0.25/Follow up with payment reminder',
+      CASE WHEN attempt >= max_attempts - 1 THEN 'escalate_to_support/48.0/0.15/Escalate to support before final attempt' END) END AS steps,
+  concat_ws('|', {_OPEN}, CASE WHEN expired THEN 'Card is expired' WHEN {_CARD} THEN 'Card issue (' || code || ') requires customer action'
+    WHEN {_TRANS} THEN 'Transient failure (' || code || ') - good retry candidate' WHEN {_CUST} THEN 'Customer action required (' || code || ')'
+    ELSE 'Unknown failure code: ' || CASE WHEN code = '' THEN 'none' ELSE code END END,
+    CASE WHEN NOT expired AND ({_CARD} OR {_CUST}) THEN {_SPARE} END) AS insights FROM fp"""
+ORACLES["e10_card_expired"] = f"WITH {FP} SELECT event_id, expired FROM fp"
+ORACLES["e11_optimal_retry_hour"] = f"""WITH {FP} SELECT event_id, CASE WHEN contains(code, 'insufficient_funds') THEN 9 WHEN amount_cents > 5000000 THEN 14 ELSE 10 END AS retry_hour FROM fp"""
+ORACLES["e12_recovery_confidence"] = f"""WITH {FP} SELECT event_id, least(95, 60 + CASE WHEN code <> '' THEN 15 ELSE 0 END + CASE WHEN ltv > 0 THEN 10 ELSE 0 END
+  + CASE WHEN email OR phone THEN 10 ELSE 0 END) / 1e2 AS confidence FROM fp"""
+ENRICHED = f"""{UN}, e0 AS (SELECT *, {_LITERAL} AS errs, coalesce(failure_code, '') AS code, {SCORED} AS g1, {RETRIED} AS g2, {HAS_CUSTOMER} AS g3 FROM un),
+en AS (SELECT *, CASE WHEN len(errs) = 0 THEN 'passed' ELSE 'failed' END AS validation_status, CASE WHEN g1 THEN {FRAUD_SCORE} END AS fs,
+  CASE WHEN g3 THEN {churn_score(f'CASE WHEN {FAILING} THEN 1 ELSE 0 END', '5')} END AS cs FROM e0)"""
+ORACLES["e13_enrich"] = f"""WITH {ENRICHED} SELECT event_id, validation_status, array_to_string(errs, ',') AS codes, fs AS fraud_score,
+  CASE WHEN g1 THEN {FRAUD('fs')} END AS risk_level, cs AS churn_score, CASE WHEN g3 THEN {CHURN4('cs')} END AS churn_risk_level,
+  CASE WHEN g2 THEN {RETRY['action']} END AS retry_action, CASE WHEN g2 THEN {RETRY['delay_seconds']} END AS retry_delay FROM en"""
+_CONF = "CASE WHEN {a} THEN '0.95' WHEN {b} THEN '0.9' WHEN attempt >= 5 THEN '0.85' WHEN {t} THEN '0.75' ELSE '0.6' END".format(
+    a=in_list(C.NON_RETRYABLE_CODES), b=in_list(C.CUSTOMER_ACTION_CODES), t=f"({in_list(C.TRANSIENT_CODES)} OR code = '')")
+ORACLES["e14_to_bronze"] = f"""WITH {ENRICHED} SELECT event_id, amount_cents, validation_status, CASE WHEN g2 THEN {RETRY['delay_seconds']} END AS retry_delay_seconds,
+  CASE WHEN g2 THEN '{{"action":"' || {RETRY['action']} || '","delay_seconds":' || coalesce(CAST({RETRY['delay_seconds']} AS VARCHAR), 'null') ||
+    ',"max_attempts":5,"confidence":' || {_CONF} || ',"reason":"' || {RETRY['reason']} || '"}}' END AS retry_strategy,
+  '{{"retry_attempt_count":"' || attempt || '"' || CASE WHEN g1 THEN ',"fraud_model_version":"rules-v1"' ELSE '' END ||
+    CASE WHEN g3 THEN ',"churn_model_version":"rules-v1"' ELSE '' END || '}}' AS metadata, {ts(AS_OF)} AS ingested_at, schema_version FROM en"""
+
+# --- quality -------------------------------------------------------------------------------------------------------
+
+ORACLES["q01_check_unique"] = f"""WITH {PE} SELECT customer_id, merchant_id, count(*) AS n FROM pe
+WHERE customer_id IS NOT NULL AND merchant_id IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1"""
+ORACLES["q02_check_not_null"] = f"WITH {PE} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS failures FROM pe"
+    for c in ("event_id", "customer_id", "merchant_id", "fraud_score", "failure_code"))
+ORACLES["q03_check_accepted"] = f"WITH {PE} SELECT currency AS value, count(*) AS failures FROM pe WHERE currency NOT IN ('USD', 'EUR', 'GBP') GROUP BY 1"
+ORACLES["q04_check_freshness"] = """SELECT * FROM (VALUES (10, 10, 'pass'), (45, 45, 'warn'), (90, 90, 'error')) v(late, age_minutes, status)
+WHERE EXISTS (SELECT 1 FROM events)"""
+ORACLES["q11_check_relationship"] = f"""WITH {STG}, old AS (SELECT DISTINCT customer_id FROM stg WHERE ingested_at < TIMESTAMP '2024-01-02' AND customer_id IS NOT NULL)
+SELECT {n('customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM old)')} AS orphan_rows,
+  count(DISTINCT customer_id) FILTER (WHERE customer_id NOT IN (SELECT customer_id FROM old)) AS orphan_keys, {n('customer_id IS NULL')} AS null_key_rows FROM stg"""
+ORACLES["q12_check_expression"] = f"""WITH {PE} SELECT 'provider IN (''stripe'', ''square'')' AS rule, {n("NOT provider IN ('stripe', 'square')")} AS failures FROM pe
+UNION ALL SELECT 'amount_cents > 1000', {n('NOT amount_cents > 1000')} FROM pe UNION ALL SELECT 'fraud_score < 0.5', {n('NOT fraud_score < 0.5')} FROM pe"""
+ORACLES["q09_validate_customer_features"] = f"""WITH {CM}, {FC} SELECT count(*) AS num_records, {n('failure_rate_30d < 0 OR failure_rate_30d > 1')} AS invalid_failure_rates,
+  round(avg(CAST(fraud_score_avg AS DOUBLE)), 6) AS fraud_score_mean, 0 AS high_null_columns, 'healthy' AS quality_status FROM fc"""
+ORACLES["q10_validate_merchant_features"] = f"""WITH {MM}, {FM} SELECT count(*) AS num_records,
+  round(avg(CAST(merchant_health_score AS DOUBLE)), 6) AS avg_merchant_health_score, 0e0 AS null_rate_sum FROM fm"""
+_DECIDED = "first_code IN ('MISSING_EVENT_ID', 'INVALID_CURRENCY')"
+_KEPT = f"""{JUDGED}, {DLQ}, kept AS (SELECT * FROM dlq QUALIFY row_number() OVER (PARTITION BY {DLQ_KEY} ORDER BY n % 3, n) = 1)"""
+ORACLES["q13_apply_review"] = f"""WITH {_KEPT} SELECT n AS kafka_offset, first_code AS failure_reason, {_DECIDED} OR n % 5 = 0 AS reviewed,
+  CASE WHEN {_DECIDED} THEN 'lead' WHEN n % 5 = 0 THEN 'ops' END AS reviewed_by,
+  CASE first_code WHEN 'INVALID_CURRENCY' THEN 'discarded' WHEN 'MISSING_EVENT_ID' THEN 'reprocessed' ELSE CASE WHEN n % 5 = 0 THEN 'discarded' END END AS resolution,
+  CASE WHEN {_DECIDED} THEN {ts("TIMESTAMP '2024-06-02'")} WHEN n % 5 = 0 THEN {ts(AS_OF)} END AS reviewed_at FROM kept"""
+ORACLES["q13_reprocess"] = f"WITH {_KEPT} SELECT n AS kafka_offset, first_code AS failure_reason FROM kept WHERE first_code = 'MISSING_EVENT_ID'"
+
+# The declared tests over every model, counted directly.
+_ALL = f"{STG}, {customer_metrics()}, {merchant_metrics()}, {daily_summary()}, bk AS (SELECT *, {BUCKET} AS b FROM stg), {DATES}, {FC}, {FM}"
+
+
+def _checks(table: str, source: str, unique: dict[str, str], not_null: dict[str, str], accepted: dict[str, tuple[str, list[str]]]) -> list[str]:
+    row = lambda check, column, failures: (
+        f"SELECT '{table}' AS \"table\", '{check}' AS \"check\", '{column}' AS \"column\", CAST(({failures}) AS BIGINT) AS failures")
+    out = [row("unique", c, f"SELECT count(*) FROM (SELECT {x} AS k FROM {source} WHERE {x} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)") for c, x in unique.items()]
+    out += [row("not_null", c, f"SELECT count(*) FROM {source} WHERE {x} IS NULL") for c, x in not_null.items()]
+    out += [row("accepted_values", c, f"SELECT count(*) FROM {source} WHERE {x} NOT IN ({', '.join(repr(v) for v in vs)})") for c, (x, vs) in accepted.items()]
+    return out
+
+
+def _same(*cols: str) -> dict[str, str]:
+    return {c: c for c in cols}
+
+
+_INTERVALS = "(SELECT DISTINCT b FROM bk)"
+_SUITE = (
+    _checks("stg_payment_events", "stg", _same("event_id"), _same("event_id", "provider", "event_type", "status", "ingested_at"),
+            {"event_category": ("event_category", C.EVENT_CATEGORIES)})
+    + _checks("int_payment_customer_metrics", "cm", _same("customer_id"), _same("customer_id"), {
+        "customer_tier": ("customer_tier", C.CUSTOMER_TIERS), "payment_risk_profile": ("payment_risk_profile", C.RISK_PROFILES),
+        "fraud_risk_category": ("fraud_risk_category", C.RISK_LEVELS), "churn_risk_category": ("churn_risk_category", C.RISK_LEVELS)})
+    + _checks("int_payment_merchant_metrics", "mm", _same("merchant_id"), _same("merchant_id"), {
+        "health_category": ("health_category", C.HEALTH_CATEGORIES), "fraud_risk_category": ("fraud_risk_category", C.RISK_LEVELS)})
+    + _checks("int_payment_daily_summary", "ds", _same("event_date"), _same("event_date"), {})
+    + _checks("dim_customer", "cm", {"customer_key": KEY("customer_id"), "customer_id": "customer_id"},
+              {"customer_key": KEY("customer_id"), "customer_id": "customer_id", "is_current": "true"}, {"customer_tier": ("customer_tier", C.CUSTOMER_TIERS)})
+    + _checks("dim_merchant", "mm", {"merchant_key": KEY("merchant_id"), "merchant_id": "merchant_id"},
+              {"merchant_key": KEY("merchant_id"), "merchant_id": "merchant_id", "is_current": "true"}, {"health_category": ("health_category", C.HEALTH_CATEGORIES)})
+    + _checks("dim_date", "dd", _same("date_key"), _same("date_key", "year", "month"), {})
+    + _checks("fct_payments", "stg", {"payment_key": KEY("event_id"), "event_id": "event_id"},
+              {"payment_key": KEY("event_id"), "event_id": "event_id", "date_key": "provider_created_at", "status": "status"},
+              {"event_category": ("event_category", C.EVENT_CATEGORIES)})
+    + _checks("fct_daily_payments", "ds", {"date_key": "event_date"}, {"date_key": "event_date", "total_transactions": "total_transactions"}, {})
+    + [s for t in ("analytics_payment_intervals", "analytics_payment_summary", "analytics_risk_overview")
+       for s in _checks(t, _INTERVALS, {"interval_key": KEY("b")}, {"interval_key": KEY("b")}, {})]
+    + _checks("analytics_provider_comparison", "(SELECT DISTINCT b, provider FROM bk)", {"interval_provider_key": KEY("b", "provider")},
+              {"interval_provider_key": KEY("b", "provider"), "provider": "provider"}, {})
+    + _checks("analytics_payment_trends", "dd", {"trend_key": KEY("date_key")}, {"trend_key": KEY("date_key"), "date_key": "date_key"}, {})
+    + _checks("analytics_customer_segments", "(SELECT unnest(['tier', 'fraud_risk', 'churn_risk', 'payment_method']) AS segment_type)", {},
+              _same("segment_type"), {"segment_type": ("segment_type", C.SEGMENT_TYPES)})
+    + _checks("feat_customer_features", "fc", _same("customer_id"), {"customer_id": "customer_id", "feature_timestamp": "1"}, {})
+    + _checks("feat_merchant_features", "fm", _same("merchant_id"), {"merchant_id": "merchant_id", "feature_timestamp": "1"}, {})
+)
+ORACLES["q05_quality_suite"] = f"""WITH {_ALL}, report AS ({' UNION ALL '.join(_SUITE)})
+SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM report"""
+_COUNTS = {
+    "stg_payment_events": "stg", "int_payment_customer_metrics": "cm", "int_payment_merchant_metrics": "mm", "int_payment_daily_summary": "ds",
+    "dim_customer": "cm", "dim_merchant": "mm", "dim_date": "dd", "fct_payments": "stg", "fct_daily_payments": "ds",
+    "feat_customer_features": "fc", "feat_merchant_features": "fm", "analytics_payment_intervals": _INTERVALS,
+    "analytics_payment_summary": _INTERVALS, "analytics_risk_overview": _INTERVALS,
+    "analytics_provider_comparison": "(SELECT DISTINCT b, provider FROM bk)",
+    "analytics_payment_trends": f"(SELECT * FROM dd WHERE date_key BETWEEN DATE '2024-01-01' AND CAST({AS_OF} AS DATE))",
+    "analytics_customer_segments": """(SELECT DISTINCT customer_tier FROM cm UNION ALL SELECT DISTINCT fraud_risk_category || '2' FROM cm
+      UNION ALL SELECT DISTINCT churn_risk_category || '3' FROM cm UNION ALL SELECT DISTINCT preferred_payment_method FROM cm WHERE preferred_payment_method IS NOT NULL)""",
+}
+ORACLES["m12_batch_build"] = f"WITH {_ALL} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS model, count(*) AS row_count FROM {source}" for name, source in _COUNTS.items())
+
+# --- training ----------------------------------------------------------------------------------------------------------
+
+ORACLES["l01_fraud_training_set"] = f"""WITH {BOTH}, a AS (SELECT avg(CAST(fraud_rate_30d AS DOUBLE)) AS f, avg(CAST(high_risk_transaction_pct AS DOUBLE)) AS h,
+  avg(CAST(merchant_health_score AS DOUBLE)) AS s FROM fm) SELECT customer_id, CAST(fraud_score_avg AS DOUBLE) AS fraud_score_avg,
+  CAST(failure_rate_30d AS DOUBLE) AS failure_rate_30d, total_payments_30d, high_risk_payment_count, round(a.f, 6) AS merchant_fraud_rate,
+  round(a.h, 6) AS high_risk_transaction_pct, round(a.s, 6) AS merchant_health_score FROM fc, a"""
+ORACLES["l02_churn_training_set"] = f"""WITH {CM}, {FC} SELECT customer_id, total_payments_30d, total_payments_90d, CAST(failure_rate_30d AS DOUBLE) AS failure_rate_30d,
+  consecutive_failures, CAST(recovery_rate_30d AS DOUBLE) AS recovery_rate_30d, days_since_last_payment, payment_method_count, customer_tier FROM fc"""
+
+
+def draw(purpose: str) -> str:
+    return f"CAST(concat('0x', substr(md5('{purpose}:42:' || customer_id), 1, 8)) AS BIGINT) / 4294967296e0"
+
+
+LABELLED = f"""{CM}, {FC}, lab AS (SELECT *, CASE WHEN {draw('churn-label')} < least(greatest(CAST(failure_rate_30d AS DOUBLE) * 0.4e0
+  + least(greatest(days_since_last_payment / 30, 0e0), 1e0) * 0.3e0 + (1e0 - CAST(recovery_rate_30d AS DOUBLE)) * 0.3e0, 0e0), 1e0) THEN 1 ELSE 0 END AS label FROM fc)"""
+ORACLES["l03_synthetic_labels"] = f"WITH {LABELLED} SELECT customer_id, label FROM lab"
+_F1 = """CAST(count(*) FILTER (WHERE label = 1 AND p) AS BIGINT) AS tp, CAST(count(*) FILTER (WHERE label = 0 AND p) AS BIGINT) AS fp,
+  CAST(count(*) FILTER (WHERE label = 1 AND NOT p) AS BIGINT) AS fn, CAST(count(*) FILTER (WHERE label = 0 AND NOT p) AS BIGINT) AS tn"""
+ORACLES["l08_binary_metrics"] = f"""WITH {LABELLED}, m AS (SELECT {_F1} FROM (SELECT label, CAST(failure_rate_30d AS DOUBLE) > 0.2e0 AS p FROM lab))
+SELECT tp, fp, fn, tn, {ratio('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {ratio('tp', 'tp + fp')} AS precision, {ratio('tp', 'tp + fn')} AS recall,
+  {ratio('2 * tp', '2 * tp + fp + fn')} AS f1, {ratio('tp + fn', 'tp + fp + fn + tn')} AS base_rate FROM m"""
+_CUTS = " UNION ALL ".join(
+    f"SELECT {i} AS version, 'models/{cut}' AS path, {_F1} FROM (SELECT label, CAST(failure_rate_30d AS DOUBLE) > {cut}e0 AS p FROM lab)"
+    for i, cut in enumerate((0.3, 0.1, 0.5), start=1))
+# The champion is the first version with the best F1 so far.
+ORACLES["l10_promote_if_better"] = f"""WITH {LABELLED}, m AS ({_CUTS}), s AS (SELECT version, path, {ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM m),
+w AS (SELECT *, f1 > coalesce(max(f1) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS won FROM s)
+SELECT 'churn-prediction' AS name, version, f1, CASE WHEN NOT won THEN 'None' WHEN version = (SELECT max(version) FROM w WHERE won) THEN 'Production' ELSE 'Archived' END AS stage, path FROM w"""
