@@ -6,14 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldo.functions import macros as M
-from saldo.plans.intermediate import amount, bad, distinct, ok, sum_where
+from saldo.operators.grouping import aggregate
+from saldo.plans.intermediate import amount, bad, ok, sum_where
 
-category = F.col("event_category")
-provider = F.col("provider")
-method = F.col("payment_method_type")
-high = F.col("risk_level") == "high"
 PROVIDERS = ["stripe", "square", "adyen", "braintree"]
-is_bank = method.isin("bank_transfer", "us_bank_account")
+
+
+def category() -> Column:
+    return F.col("event_category")
+
+
+def provider() -> Column:
+    return F.col("provider")
+
+
+def method() -> Column:
+    return F.col("payment_method_type")
+
+
+def high() -> Column:
+    return F.col("risk_level") == "high"
+
+
+def is_bank() -> Column:
+    return method().isin("bank_transfer", "us_bank_account")
 
 
 def _bucketed(stg: DataFrame, edge) -> DataFrame:
@@ -21,20 +37,24 @@ def _bucketed(stg: DataFrame, edge) -> DataFrame:
     rows = stg.filter(F.col("ingested_at").isNotNull())
     if edge is not None:
         rows = rows.filter(F.col("ingested_at") >= F.lit(edge))
-    return rows.withColumn("_w", M.interval_15m(F.col("ingested_at")))
+    return rows.withColumn("interval_start", M.interval_15m(F.col("ingested_at"))["start"])
+
+
+def _reach() -> dict[str, Column]:
+    return {"unique_customers": F.col("customer_id"), "unique_merchants": F.col("merchant_id")}
 
 
 def _volume(total: str, succeeded: str, failed: str) -> list[Column]:
     return [
-        F.count(F.lit(1)).alias(total), F.count_if(ok).alias(succeeded), F.count_if(bad).alias(failed),
+        F.count(F.lit(1)).alias(total), F.count_if(ok()).alias(succeeded), F.count_if(bad()).alias(failed),
     ]
 
 
 def _money(revenue: str, refunds: str) -> list[Column]:
     return [
-        sum_where(ok).alias(revenue),
-        sum_where(category == "refund").alias(refunds),
-        F.count(F.when(ok, amount)).alias("_paid"),
+        sum_where(ok()).alias(revenue),
+        sum_where(category() == "refund").alias(refunds),
+        F.count(F.when(ok(), amount())).alias("_paid"),
     ]
 
 
@@ -51,11 +71,11 @@ def _avg_score(kind: str) -> Column:
 
 
 def _time_columns(key: str, *extra: str) -> list[Column]:
-    start = F.col("_w.start")
+    start = F.col("interval_start")
     return [
         M.surrogate_key(start, *[F.col(c) for c in extra]).alias(key),
-        start.alias("interval_start"),
-        F.col("_w.end").alias("interval_end"),
+        start,
+        (start + F.expr("INTERVAL 15 MINUTES")).alias("interval_end"),
         F.to_date(start).alias("event_date"),
         F.hour(start).alias("event_hour"),
         M.interval_label(start).alias("interval_label"),
@@ -79,25 +99,23 @@ def _per_minute(total: str) -> Column:
 
 
 def _provider_counts(suffix: str, condition: Column | None = None) -> list[Column]:
-    hit = lambda p: (provider == p) if condition is None else (condition & (provider == p))
+    hit = lambda p: (provider() == p) if condition is None else (condition & (provider() == p))
     return [F.count_if(hit(p)).alias(f"{p}_{suffix}") for p in PROVIDERS]
 
 
 def payment_intervals(stg: DataFrame, edge=None, approx: bool = False) -> DataFrame:
     """15-minute volumes, revenue, rates, scores, reach, provider and method split."""
-    g = _bucketed(stg, edge).groupBy("_w").agg(
+    g = aggregate(_bucketed(stg, edge), ["interval_start"], [
         *_volume("transaction_count", "successful_count", "failed_count"),
-        F.count_if(category == "refund").alias("refund_count"),
-        F.count_if(category == "dispute").alias("dispute_count"),
+        F.count_if(category() == "refund").alias("refund_count"),
+        F.count_if(category() == "dispute").alias("dispute_count"),
         *_money("revenue_cents", "refund_cents"),
         *_scores("fraud", "churn"),
-        F.count_if(high).alias("high_risk_count"),
-        distinct("customer_id", approx).alias("unique_customers"),
-        distinct("merchant_id", approx).alias("unique_merchants"),
+        F.count_if(high()).alias("high_risk_count"),
         *_provider_counts("count"),
-        F.count_if(method == "card").alias("card_count"),
-        F.count_if(is_bank).alias("bank_count"),
-    )
+        F.count_if(method() == "card").alias("card_count"),
+        F.count_if(is_bank()).alias("bank_count"),
+    ], _reach(), approx)
     net = F.col("revenue_cents") - F.col("refund_cents")
     return g.select(
         *_time_columns("interval_key"),
@@ -117,17 +135,15 @@ def payment_intervals(stg: DataFrame, edge=None, approx: bool = False) -> DataFr
 
 def payment_summary(stg: DataFrame, edge=None, approx: bool = False) -> DataFrame:
     """15-minute headline numbers with the refund rate."""
-    g = _bucketed(stg, edge).groupBy("_w").agg(
+    g = aggregate(_bucketed(stg, edge), ["interval_start"], [
         *_volume("total_transactions", "successful_transactions", "failed_transactions"),
-        F.count_if(category == "refund").alias("refunds"),
-        F.count_if(category == "dispute").alias("disputes"),
+        F.count_if(category() == "refund").alias("refunds"),
+        F.count_if(category() == "dispute").alias("disputes"),
         *_money("total_revenue_cents", "total_refunds_cents"),
         *_scores("fraud"),
-        F.count_if(high).alias("high_risk_transactions"),
-        distinct("customer_id", approx).alias("unique_customers"),
-        distinct("merchant_id", approx).alias("unique_merchants"),
+        F.count_if(high()).alias("high_risk_transactions"),
         *_provider_counts("transactions"),
-    )
+    ], _reach(), approx)
     net = F.col("total_revenue_cents") - F.col("total_refunds_cents")
     return g.select(
         *_time_columns("interval_key"),
@@ -147,16 +163,15 @@ def payment_summary(stg: DataFrame, edge=None, approx: bool = False) -> DataFram
 
 def provider_comparison(stg: DataFrame, edge=None, approx: bool = False) -> DataFrame:
     """15-minute numbers per provider."""
-    g = _bucketed(stg, edge).filter(provider.isNotNull()).groupBy("_w", "provider").agg(
+    g = aggregate(_bucketed(stg, edge).filter(provider().isNotNull()), ["interval_start", "provider"], [
         *_volume("total_transactions", "successful_transactions", "failed_transactions"),
-        F.count_if(category == "refund").alias("refund_transactions"),
-        F.count_if(category == "dispute").alias("dispute_transactions"),
+        F.count_if(category() == "refund").alias("refund_transactions"),
+        F.count_if(category() == "dispute").alias("dispute_transactions"),
         *_money("total_revenue_cents", "total_refund_cents"),
-        F.min(F.when(ok, amount)).alias("_min"), F.max(F.when(ok, amount)).alias("_max"),
+        F.min(F.when(ok(), amount())).alias("_min"), F.max(F.when(ok(), amount())).alias("_max"),
         *_scores("fraud"),
-        F.count_if(high).alias("high_risk_transactions"),
-        distinct("customer_id", approx).alias("unique_customers"),
-    )
+        F.count_if(high()).alias("high_risk_transactions"),
+    ], {"unique_customers": F.col("customer_id")}, approx)
     net = F.col("total_revenue_cents") - F.col("total_refund_cents")
     reach = F.when(F.col("unique_customers") != 0, F.col("unique_customers"))
     zero = F.lit(0)
@@ -190,16 +205,16 @@ def risk_overview(stg: DataFrame, edge=None) -> DataFrame:
         agg(f"{kind}_score").alias(f"_{name}_{kind}")
         for kind in ("fraud", "churn") for name, agg in (("min", F.min), ("max", F.max))
     ]
-    g = _bucketed(stg, edge).groupBy("_w").agg(
+    g = _bucketed(stg, edge).groupBy("interval_start").agg(
         *_volume("total_transactions", "successful_count", "failed_count"),
-        F.coalesce(F.sum(amount), F.lit(0)).cast("bigint").alias("total_amount_cents"),
-        sum_where(ok).alias("successful_amount_cents"),
+        F.coalesce(F.sum(amount()), F.lit(0)).cast("bigint").alias("total_amount_cents"),
+        sum_where(ok()).alias("successful_amount_cents"),
         *[F.count_if(at(x)).alias(f"{x}_risk_count") for x in levels],
         *[sum_where(at(x)).alias(f"{x}_risk_amount_cents") for x in levels],
         *_scores("fraud", "churn"), *extremes,
-        *_provider_counts("high_risk", high),
-        F.count_if(high & (method == "card")).alias("card_high_risk"),
-        F.count_if(high & is_bank).alias("bank_high_risk"),
+        *_provider_counts("high_risk", high()),
+        F.count_if(high() & (method() == "card")).alias("card_high_risk"),
+        F.count_if(high() & is_bank()).alias("bank_high_risk"),
     )
 
     def score_columns(kind: str) -> list[Column]:
@@ -237,7 +252,7 @@ def payment_trends(fct: DataFrame, calendar: DataFrame, as_of, approx: bool = Fa
     calendar day (at most a few thousand), because the events are aggregated before the join.
     """
     paid, refunded = F.col("is_successful") == 1, F.col("is_refund") == 1
-    daily = fct.groupBy(F.col("event_date").alias("date_key")).agg(
+    daily = aggregate(fct.drop("date_key").withColumnRenamed("event_date", "date_key"), ["date_key"], [
         F.count(F.lit(1)).alias("transaction_count"),
         F.sum("is_successful").alias("successful_count"),
         F.sum("is_failed").alias("failed_count"),
@@ -245,16 +260,14 @@ def payment_trends(fct: DataFrame, calendar: DataFrame, as_of, approx: bool = Fa
         F.sum("is_dispute").alias("dispute_count"),
         sum_where(paid).alias("revenue_cents"),
         sum_where(refunded).alias("refund_cents"),
-        F.count(F.when(paid, amount)).alias("_paid"),
+        F.count(F.when(paid, amount())).alias("_paid"),
         *_scores("fraud", "churn"),
         F.count_if(F.col("fraud_risk_category") == "high").alias("high_risk_count"),
-        distinct("customer_id", approx).alias("unique_customers"),
-        distinct("merchant_id", approx).alias("unique_merchants"),
-        F.count_if(method == "card").alias("card_transactions"),
-        F.count_if(method == "bank_transfer").alias("bank_transactions"),
-        F.count_if(provider == "stripe").alias("stripe_transactions"),
-        F.count_if(provider == "square").alias("square_transactions"),
-    )
+        F.count_if(method() == "card").alias("card_transactions"),
+        F.count_if(method() == "bank_transfer").alias("bank_transactions"),
+        F.count_if(provider() == "stripe").alias("stripe_transactions"),
+        F.count_if(provider() == "square").alias("square_transactions"),
+    ], _reach(), approx)
     days = calendar.filter(
         (F.col("date_key") >= F.lit("2024-01-01").cast("date"))
         & (F.col("date_key") <= F.to_date(F.lit(as_of)))

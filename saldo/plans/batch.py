@@ -2,47 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from saldo.operators import tables as U
+from saldo.operators.incremental import high_water, reread_from, replace_from
 from saldo.plans import analytics as A
 from saldo.plans import features as X
 from saldo.plans import intermediate as I
 from saldo.plans import marts as K
 from saldo.plans.staging import stg_payment_events
+from saldo.schemas import BRONZE
 from saldo.session import materialize
 
-# Folders with many rows per day are cut by day; the rest are single tables.
+# Tables large enough to be cut by day.
 PARTITIONED = {"fct_payments": "event_date"}
 
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = None) -> dict[str, DataFrame]:
+    """All models in dependency order.
 
-def build(spark: SparkSession, bronze: DataFrame, as_of) -> dict[str, DataFrame]:
-    """All models as DataFrames. The three aggregates that feed several models are written once."""
-    stg = stg_payment_events(bronze)
-    customers = materialize(I.int_customer_metrics(stg), "int_customer")
-    merchants = materialize(I.int_merchant_metrics(stg), "int_merchant")
-    daily = materialize(I.int_daily_summary(stg), "int_daily")
-    dim_customer = K.dim_customer(customers, as_of)
-    dates = K.dim_date(spark)
-    facts = K.fct_payments(stg, as_of)
-    return {
-        "stg_payment_events": stg,
-        "int_payment_customer_metrics": customers,
-        "int_payment_merchant_metrics": merchants,
-        "int_payment_daily_summary": daily,
-        "dim_customer": dim_customer,
-        "dim_merchant": K.dim_merchant(merchants, as_of),
-        "dim_date": dates,
-        "fct_payments": facts,
-        "fct_daily_payments": K.fct_daily_payments(daily, as_of),
-        "feat_customer_features": X.feat_customer(customers, as_of),
-        "feat_merchant_features": X.feat_merchant(merchants, as_of),
-        "analytics_payment_intervals": A.payment_intervals(stg),
-        "analytics_payment_summary": A.payment_summary(stg),
-        "analytics_provider_comparison": A.provider_comparison(stg),
-        "analytics_risk_overview": A.risk_overview(stg),
-        "analytics_payment_trends": A.payment_trends(facts, dates, as_of),
-        "analytics_customer_segments": A.customer_segments(dim_customer.filter("is_current")),
-    }
+    `keep(name, df)` stores a finished model and returns the stored table, which is what later models
+    read: nothing upstream is computed twice.
+    """
+    if keep is None:
+        keep = lambda name, df: materialize(df, name)
+    t: dict[str, DataFrame] = {}
+
+    def add(name: str, df: DataFrame) -> DataFrame:
+        t[name] = keep(name, df)
+        return t[name]
+
+    stg = add("stg_payment_events", stg_payment_events(bronze))
+    customers = add("int_payment_customer_metrics", I.int_customer_metrics(stg))
+    merchants = add("int_payment_merchant_metrics", I.int_merchant_metrics(stg))
+    daily = add("int_payment_daily_summary", I.int_daily_summary(stg))
+    dim_customer = add("dim_customer", K.dim_customer(customers, as_of))
+    add("dim_merchant", K.dim_merchant(merchants, as_of))
+    dates = add("dim_date", K.dim_date(spark))
+    facts = add("fct_payments", K.fct_payments(stg, as_of))
+    add("fct_daily_payments", K.fct_daily_payments(daily, as_of))
+    add("feat_customer_features", X.feat_customer(customers, as_of))
+    add("feat_merchant_features", X.feat_merchant(merchants, as_of))
+    add("analytics_payment_intervals", A.payment_intervals(stg))
+    add("analytics_payment_summary", A.payment_summary(stg))
+    add("analytics_provider_comparison", A.provider_comparison(stg))
+    add("analytics_risk_overview", A.risk_overview(stg))
+    add("analytics_payment_trends", A.payment_trends(facts, dates, as_of))
+    add("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
+    return t
 
 
 def write_by_day(df: DataFrame, path: str, day: str) -> None:
@@ -56,13 +68,75 @@ def write_by_day(df: DataFrame, path: str, day: str) -> None:
 
 def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of) -> dict[str, DataFrame]:
     """Builds every model from the bronze table and writes each under `out`; returns the written tables."""
-    models = build(spark, spark.read.parquet(bronze_path), as_of)
-    written = {}
-    for name, df in models.items():
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = f"{out}/{name}"
+        if name in PARTITIONED:
+            write_by_day(df, path, PARTITIONED[name])
+        else:
+            df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return build(spark, spark.read.schema(BRONZE).parquet(bronze_path), as_of, keep)
+
+
+# --- incremental build ----------------------------------------------------------------------------
+
+INTERVALS = {
+    "analytics_payment_intervals": A.payment_intervals,
+    "analytics_payment_summary": A.payment_summary,
+    "analytics_provider_comparison": A.provider_comparison,
+    "analytics_risk_overview": A.risk_overview,
+}
+
+
+def run_incremental(spark: SparkSession, bronze_path: str, previous: str, out: str, as_of) -> dict[str, DataFrame]:
+    """The build after new rows have arrived, from the previous build's tables; equals a full rebuild.
+
+    New rows are those past the staging table's newest ingestion time. Staging and facts take them by
+    upsert, dimensions and days are recomputed where touched, intervals from 30 minutes before the
+    oldest bucket the new rows reach.
+    """
+    old = lambda name: spark.read.parquet(f"{previous}/{name}")
+    bronze = spark.read.schema(BRONZE).parquet(bronze_path)
+    mark = high_water(old("stg_payment_events"), "ingested_at")
+    t: dict[str, DataFrame] = {}
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
         path = f"{out}/{name}"
         if name in PARTITIONED:
             write_by_day(df, path, PARTITIONED[name])
         else:
             df.write.mode("overwrite").parquet(path)
-        written[name] = spark.read.parquet(path)
-    return written
+        t[name] = spark.read.schema(df.schema).parquet(path)
+        return t[name]
+
+    arrived = materialize(stg_payment_events(bronze, mark), "arrived")
+    stg = keep("stg_payment_events", U.upsert(old("stg_payment_events"), arrived, ["event_id"]))
+
+    def refreshed(name: str, key: str, metrics: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Metrics of the touched entities over their whole history, beside the untouched ones."""
+        fresh = metrics(K.touched_entities(stg, key, mark))
+        return keep(name, old(name).join(arrived.select(key).distinct(), key, "left_anti").unionByName(fresh))
+
+    customers = refreshed("int_payment_customer_metrics", "customer_id", I.int_customer_metrics)
+    merchants = refreshed("int_payment_merchant_metrics", "merchant_id", I.int_merchant_metrics)
+    days = arrived.select(F.to_date("provider_created_at").alias("event_date")).distinct()
+    daily = keep(
+        "int_payment_daily_summary",
+        old("int_payment_daily_summary").join(days, "event_date", "left_anti")
+        .unionByName(I.int_daily_summary(K.touched_days(stg, mark))))
+    dim_customer = keep("dim_customer", K.dim_customer(customers, as_of))
+    keep("dim_merchant", K.dim_merchant(merchants, as_of))
+    dates = keep("dim_date", old("dim_date"))
+    facts = keep("fct_payments", U.upsert(old("fct_payments"), K.fct_payments(arrived, as_of), ["payment_key"]))
+    keep("fct_daily_payments", K.fct_daily_payments(daily, as_of))
+    keep("feat_customer_features", X.feat_customer(customers, as_of))
+    keep("feat_merchant_features", X.feat_merchant(merchants, as_of))
+    for name, model in INTERVALS.items():
+        table = old(name)
+        edge = reread_from(table)
+        keep(name, replace_from(table, model(stg, edge), "interval_start", edge))
+    keep("analytics_payment_trends", A.payment_trends(facts, dates, as_of))
+    keep("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
+    return t

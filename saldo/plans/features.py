@@ -102,22 +102,22 @@ def feat_customer_windowed(stg: DataFrame, as_of) -> DataFrame:
     followed = next_value(seen, "customer_id", "provider_created_at", "event_id", "status", "_next_status")
     last30 = at > now - F.expr("INTERVAL 30 DAYS")
     last90 = at > now - F.expr("INTERVAL 90 DAYS")
-    recent_bad = F.when(last30 & bad, 1)
+    recent_bad = F.when(last30 & bad(), 1)
     g = followed.groupBy("customer_id").agg(
-        F.count_if(last30 & bad & (F.col("_next_status") == "succeeded")).alias("recovered_payments_30d"),
+        F.count_if(last30 & bad() & (F.col("_next_status") == "succeeded")).alias("recovered_payments_30d"),
         F.count_if(last30).alias("total_payments_30d"),
         F.count_if(last90).alias("total_payments_90d"),
-        F.coalesce(F.sum(F.when(last30 & ok, amount)), F.lit(0).cast("bigint")).alias("total_amount_cents_30d"),
-        F.count(F.when(last30 & ok, amount)).alias("_paid"),
+        F.coalesce(F.sum(F.when(last30 & ok(), amount())), F.lit(0).cast("bigint")).alias("total_amount_cents_30d"),
+        F.count(F.when(last30 & ok(), amount())).alias("_paid"),
         F.count(recent_bad).alias("failed_payments_30d"),
-        F.min(at).alias("_first"), F.max(at).alias("_last"), F.max(F.when(bad, at)).alias("_last_bad"),
+        F.min(at).alias("_first"), F.max(at).alias("_last"), F.max(F.when(bad(), at)).alias("_last_bad"),
         F.count_distinct(F.when(last90, F.col("payment_method_type"))).alias("payment_method_count"),
         F.sum(F.when(last30, M.scaled(F.col("fraud_score")))).alias("_fraud_sum"),
         F.count(F.when(last30, F.col("fraud_score"))).alias("_fraud_n"),
         F.count_if(last30 & (F.col("risk_level") == "high")).alias("high_risk_payment_count"),
     )
     order = F.struct(at, F.col("event_id"))
-    streak = trailing_count(seen, "customer_id", order, F.coalesce(bad, F.lit(False)), "consecutive_failures")
+    streak = trailing_count(seen, "customer_id", order, F.coalesce(bad(), F.lit(False)), "consecutive_failures")
     recovered = F.col("recovered_payments_30d")
     days = lambda since: M.whole_days(F.col(since), now)
     values = {

@@ -1,7 +1,7 @@
 """Per-customer, per-merchant and per-day aggregates.
 
-Each model is one aggregation with partial (map-side) combining, so a single hot customer, merchant
-or day costs one small buffer per task, not one large group.
+Measures are combined on the map side, so a hot customer, merchant or day costs one small buffer per
+task, and exact distinct counts are taken over narrow rows spread by value.
 """
 
 from __future__ import annotations
@@ -10,21 +10,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.functions import macros as M
+from saldo.operators.grouping import aggregate
 
-ok = F.col("status") == "succeeded"
-bad = F.col("status") == "failed"
-amount = F.col("amount_cents")
-refund_type = F.col("event_type").contains("refund")
-dispute_type = F.col("event_type").contains("dispute")
+def ok() -> Column:
+    return F.col("status") == "succeeded"
 
 
-def distinct(column: Column | str, approx: bool) -> Column:
-    """Exact distinct count, or the sketch when a caller accepts an estimate."""
-    return F.approx_count_distinct(column) if approx else F.count_distinct(column)
+def bad() -> Column:
+    return F.col("status") == "failed"
 
 
-def sum_where(condition: Column, value: Column = amount) -> Column:
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0).cast("bigint"))
+def amount() -> Column:
+    return F.col("amount_cents")
+
+
+def refund_type() -> Column:
+    return F.col("event_type").contains("refund")
+
+
+def dispute_type() -> Column:
+    return F.col("event_type").contains("dispute")
+
+
+def sum_where(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, amount())), F.lit(0).cast("bigint"))
 
 
 def mean_cents(total: str, n: str) -> Column:
@@ -43,15 +52,15 @@ def _mean(prefix: str) -> Column:
 
 def int_customer_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
     """One row per customer with volumes, revenue, scores, tiers and tenure."""
-    g = stg.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+    g = aggregate(stg.filter(F.col("customer_id").isNotNull()), ["customer_id"], [
         F.count(F.lit(1)).alias("total_transactions"),
-        F.count_if(ok).alias("successful_transactions"),
-        F.count_if(bad).alias("failed_transactions"),
-        F.count_if((F.col("status") == "refunded") | refund_type).alias("refunded_transactions"),
-        sum_where(ok).alias("total_revenue_cents"),
-        F.count(F.when(ok, amount)).alias("_paid"),
-        F.max(F.when(ok, amount)).alias("_max"),
-        F.min(F.when(ok, amount)).alias("_min"),
+        F.count_if(ok()).alias("successful_transactions"),
+        F.count_if(bad()).alias("failed_transactions"),
+        F.count_if((F.col("status") == "refunded") | refund_type()).alias("refunded_transactions"),
+        sum_where(ok()).alias("total_revenue_cents"),
+        F.count(F.when(ok(), amount())).alias("_paid"),
+        F.max(F.when(ok(), amount())).alias("_max"),
+        F.min(F.when(ok(), amount())).alias("_min"),
         *_score_sums("fraud"), *_score_sums("churn"),
         F.max("fraud_score").alias("max_fraud_score"),
         F.max("churn_score").alias("max_churn_score"),
@@ -62,10 +71,11 @@ def int_customer_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
         F.min("currency").alias("preferred_currency"),
         F.min("provider_created_at").alias("first_transaction_at"),
         F.max("provider_created_at").alias("last_transaction_at"),
-        distinct(F.to_date("provider_created_at"), approx).alias("active_days"),
-        distinct("provider", approx).alias("provider_count"),
-        distinct("merchant_id", approx).alias("merchant_count"),
-    )
+    ], {
+        "active_days": F.to_date("provider_created_at"),
+        "provider_count": F.col("provider"),
+        "merchant_count": F.col("merchant_id"),
+    }, approx)
     d = (
         g.withColumn("avg_transaction_cents", mean_cents("total_revenue_cents", "_paid"))
         .withColumn("failure_rate", M.safe_divide(F.col("failed_transactions"), F.col("total_transactions")))
@@ -97,26 +107,27 @@ def int_customer_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
 
 def int_merchant_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
     """One row per merchant with rates, health, risk and reach."""
-    g = stg.filter(F.col("merchant_id").isNotNull()).groupBy("merchant_id").agg(
+    g = aggregate(stg.filter(F.col("merchant_id").isNotNull()), ["merchant_id"], [
         F.count(F.lit(1)).alias("total_transactions"),
-        F.count_if(ok).alias("successful_transactions"),
-        F.count_if(bad).alias("failed_transactions"),
-        F.count_if(refund_type).alias("refund_count"),
-        F.count_if(dispute_type | F.col("event_type").contains("chargeback")).alias("dispute_count"),
-        sum_where(ok).alias("total_revenue_cents"),
-        sum_where(refund_type).alias("total_refunds_cents"),
-        F.count(F.when(ok, amount)).alias("_paid"),
+        F.count_if(ok()).alias("successful_transactions"),
+        F.count_if(bad()).alias("failed_transactions"),
+        F.count_if(refund_type()).alias("refund_count"),
+        F.count_if(dispute_type() | F.col("event_type").contains("chargeback")).alias("dispute_count"),
+        sum_where(ok()).alias("total_revenue_cents"),
+        sum_where(refund_type()).alias("total_refunds_cents"),
+        F.count(F.when(ok(), amount())).alias("_paid"),
         *_score_sums("fraud"),
         F.count_if(F.col("risk_level") == "high").alias("high_risk_transaction_count"),
-        distinct("customer_id", approx).alias("unique_customers"),
-        distinct("provider", approx).alias("provider_count"),
         F.min("provider").alias("primary_provider"),
-        distinct("currency", approx).alias("currency_count"),
         F.min("currency").alias("primary_currency"),
         F.min("provider_created_at").alias("first_transaction_at"),
         F.max("provider_created_at").alias("last_transaction_at"),
-        distinct(F.to_date("provider_created_at"), approx).alias("active_days"),
-    )
+    ], {
+        "unique_customers": F.col("customer_id"),
+        "provider_count": F.col("provider"),
+        "currency_count": F.col("currency"),
+        "active_days": F.to_date("provider_created_at"),
+    }, approx)
     total, paid = F.col("total_transactions"), F.col("successful_transactions")
     d = (
         g.withColumn("avg_transaction_cents", mean_cents("total_revenue_cents", "_paid"))
@@ -155,20 +166,18 @@ def int_merchant_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
 def int_daily_summary(stg: DataFrame, approx: bool = False) -> DataFrame:
     """One row per provider-created day. NULL providers and methods fall in no pivot column."""
     provider, method, currency = F.col("provider"), F.col("payment_method_type"), F.col("currency")
-    g = stg.groupBy(F.to_date("provider_created_at").alias("event_date")).agg(
+    g = aggregate(stg.withColumn("event_date", F.to_date("provider_created_at")), ["event_date"], [
         F.count(F.lit(1)).alias("total_transactions"),
-        F.count_if(ok).alias("successful_transactions"),
-        F.count_if(bad).alias("failed_transactions"),
-        F.count_if(refund_type).alias("refund_count"),
-        F.count_if(dispute_type).alias("dispute_count"),
-        sum_where(ok).alias("total_revenue_cents"),
-        sum_where(refund_type).alias("total_refunds_cents"),
-        F.count(F.when(ok, amount)).alias("_paid"),
+        F.count_if(ok()).alias("successful_transactions"),
+        F.count_if(bad()).alias("failed_transactions"),
+        F.count_if(refund_type()).alias("refund_count"),
+        F.count_if(dispute_type()).alias("dispute_count"),
+        sum_where(ok()).alias("total_revenue_cents"),
+        sum_where(refund_type()).alias("total_refunds_cents"),
+        F.count(F.when(ok(), amount())).alias("_paid"),
         *_score_sums("fraud"), *_score_sums("churn"),
         F.count_if(F.col("risk_level") == "high").alias("high_risk_count"),
         F.count_if(F.col("churn_risk_level") == "high").alias("high_churn_risk_count"),
-        distinct("customer_id", approx).alias("unique_customers"),
-        distinct("merchant_id", approx).alias("unique_merchants"),
         F.count_if(provider == "stripe").alias("stripe_transactions"),
         F.count_if(provider == "square").alias("square_transactions"),
         F.count_if(~provider.isin("stripe", "square")).alias("other_provider_transactions"),
@@ -178,7 +187,7 @@ def int_daily_summary(stg: DataFrame, approx: bool = False) -> DataFrame:
         F.count_if(method == "card").alias("card_transactions"),
         F.count_if(method == "bank_transfer").alias("bank_transfer_transactions"),
         F.count_if(~method.isin("card", "bank_transfer")).alias("other_method_transactions"),
-    )
+    ], {"unique_customers": F.col("customer_id"), "unique_merchants": F.col("merchant_id")}, approx, null_keys=True)
     d = (
         g.withColumn("avg_transaction_cents", mean_cents("total_revenue_cents", "_paid"))
         .withColumn("net_revenue_cents", F.col("total_revenue_cents") - F.col("total_refunds_cents"))

@@ -401,7 +401,7 @@ ORACLES["v08_rejection_reason"] = union_kinds(lambda k, s: f"SELECT '{k}' AS kin
 ORACLES["v09_run_split_streams"] = union_kinds(lambda k, s: f"""SELECT '{k}' AS kind,
   coalesce(reason_code, CASE WHEN flag THEN 'flagged' ELSE 'valid' END) AS outcome, count(*) AS n FROM {s} GROUP BY ALL""")
 ORACLES["a07_provider_performance"] = f"""WITH {judged_stream('charges')} SELECT provider, status, count(*) AS transaction_count,
-  CAST(round(CAST(sum(amount) AS DECIMAL(38,2)) * 10000 / count(amount), 2) / 10000 AS DOUBLE) AS avg_amount, CAST(sum(amount) AS DOUBLE) AS total_amount
+  CAST(CAST(CAST(sum(amount) AS DOUBLE) / count(amount) AS DECIMAL(20,6)) AS DOUBLE) AS avg_amount, CAST(sum(amount) AS DOUBLE) AS total_amount
   FROM s WHERE reason_code IS NULL GROUP BY ALL"""
 ORACLES["a08_refund_analytics"] = f"""WITH {judged_stream('refunds')} SELECT provider, reason, count(*) AS refund_count,
   CAST(sum(amount) AS DOUBLE) AS total_refunded FROM s WHERE reason_code IS NULL GROUP BY ALL"""
