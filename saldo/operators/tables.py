@@ -32,9 +32,11 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys:
     Assumes a key never moves between partitions. The merged rows are written out before the
     overwrite, because a table cannot be overwritten while it is being read.
     """
-    table = spark.read.parquet(path)
-    touched = updates.select(partition).distinct()
-    current = table.join(touched, partition, "left_semi")
+    values = [r[0] for r in updates.select(partition).distinct().collect()]  # one per partition
+    hit = F.col(partition).isin([v for v in values if v is not None])
+    if None in values:
+        hit = hit | F.col(partition).isNull()
+    current = spark.read.parquet(path).filter(hit)
     merged = materialize(upsert(current, updates, keys, newest), "upsert")
     (
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

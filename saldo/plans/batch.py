@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldo.operators import tables as U
-from saldo.operators.incremental import high_water, reread_from, replace_from
+from saldo.operators.incremental import high_water, reread_from
 from saldo.plans import analytics as A
 from saldo.plans import features as X
 from saldo.plans import intermediate as I
@@ -17,8 +17,22 @@ from saldo.plans.staging import stg_payment_events
 from saldo.schemas import BRONZE
 from saldo.session import materialize
 
-# Tables large enough to be cut by day.
-PARTITIONED = {"fct_payments": "event_date"}
+# Tables that grow with the events are cut by day.
+INTERVALS = {
+    "analytics_payment_intervals": A.payment_intervals,
+    "analytics_payment_summary": A.payment_summary,
+    "analytics_provider_comparison": A.provider_comparison,
+    "analytics_risk_overview": A.risk_overview,
+}
+DAY = "event_date"
+BY_DAY = {"stg_payment_events", "fct_payments", *INTERVALS}
+STATE = "load_state"
+MODELS = [
+    "stg_payment_events", "int_payment_customer_metrics", "int_payment_merchant_metrics",
+    "int_payment_daily_summary", "dim_customer", "dim_merchant", "dim_date", "fct_payments",
+    "fct_daily_payments", "feat_customer_features", "feat_merchant_features", *INTERVALS,
+    "analytics_payment_trends", "analytics_customer_segments",
+]
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
@@ -57,86 +71,110 @@ def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = Non
     return t
 
 
-def write_by_day(df: DataFrame, path: str, day: str) -> None:
-    """One folder per day. The rebalance keeps files few without gathering a hot day in one task:
-    adaptive execution merges small days and splits large ones."""
+def with_day(df: DataFrame) -> DataFrame:
+    return df if DAY in df.columns else df.withColumn(DAY, F.to_date("provider_created_at"))
+
+
+def write_by_day(df: DataFrame, path: str, mode: str = "static") -> None:
+    """One folder per day; in dynamic mode only the days present in `df` are replaced.
+
+    The rebalance keeps files few without gathering a hot day in one task: adaptive execution merges
+    small days and splits large ones.
+    """
     (
-        df.hint("rebalance", day).write.mode("overwrite")
-        .option("partitionOverwriteMode", "static").partitionBy(day).parquet(path)
+        with_day(df).hint("rebalance", DAY).write.mode("overwrite")
+        .option("partitionOverwriteMode", mode).partitionBy(DAY).parquet(path)
     )
 
 
-def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of) -> dict[str, DataFrame]:
-    """Builds every model from the bronze table and writes each under `out`; returns the written tables."""
+def _store(spark: SparkSession, out: str, name: str, df: DataFrame) -> DataFrame:
+    path = f"{out}/{name}"
+    if name in BY_DAY:
+        write_by_day(df, path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out}/{name}"
-        if name in PARTITIONED:
-            write_by_day(df, path, PARTITIONED[name])
-        else:
-            df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
 
-    return build(spark, spark.read.schema(BRONZE).parquet(bronze_path), as_of, keep)
+def _commit(spark: SparkSession, out: str, mark) -> None:
+    """Records up to which ingestion time the models are built. Written last, so a run that failed
+    half-way is repeated from the same mark; every step of it can be repeated."""
+    row = spark.range(1).select(F.lit(mark).cast("timestamp").alias("loaded_until"))
+    row.write.mode("overwrite").parquet(f"{out}/{STATE}")
+
+
+def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of) -> dict[str, DataFrame]:
+    """Builds every model from the bronze table and writes each under `out`; returns the written tables."""
+    bronze = spark.read.schema(BRONZE).parquet(bronze_path)
+    tables = build(spark, bronze, as_of, lambda name, df: _store(spark, out, name, df))
+    _commit(spark, out, high_water(tables["stg_payment_events"], "ingested_at"))
+    return tables
 
 
 # --- incremental build ----------------------------------------------------------------------------
 
-INTERVALS = {
-    "analytics_payment_intervals": A.payment_intervals,
-    "analytics_payment_summary": A.payment_summary,
-    "analytics_provider_comparison": A.provider_comparison,
-    "analytics_risk_overview": A.risk_overview,
-}
+def on_days(df: DataFrame, days: list) -> DataFrame:
+    """Rows of the listed days, by partition pruning."""
+    known = [d for d in days if d is not None]
+    keep = F.col(DAY).isin(known)
+    return df.filter(keep | F.col(DAY).isNull() if None in days else keep)
 
 
-def run_incremental(spark: SparkSession, bronze_path: str, previous: str, out: str, as_of) -> dict[str, DataFrame]:
-    """The build after new rows have arrived, from the previous build's tables; equals a full rebuild.
+def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of) -> dict[str, DataFrame]:
+    """Brings the tables under `out` up to date with new bronze rows; equals a full rebuild.
 
-    New rows are those past the staging table's newest ingestion time. Staging and facts take them by
-    upsert, dimensions and days are recomputed where touched, intervals from 30 minutes before the
-    oldest bucket the new rows reach.
+    Tables cut by day rewrite only the days the new rows touch (an event keeps its day, as its
+    provider time never changes). Daily and per-entity tables recompute what was touched over its
+    whole history, intervals restart 30 minutes before the last finished bucket.
     """
-    old = lambda name: spark.read.parquet(f"{previous}/{name}")
+    table = lambda name: spark.read.parquet(f"{out}/{name}")
+    mark = table(STATE).first()[0]
     bronze = spark.read.schema(BRONZE).parquet(bronze_path)
-    mark = high_water(old("stg_payment_events"), "ingested_at")
-    t: dict[str, DataFrame] = {}
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out}/{name}"
-        if name in PARTITIONED:
-            write_by_day(df, path, PARTITIONED[name])
-        else:
-            df.write.mode("overwrite").parquet(path)
-        t[name] = spark.read.schema(df.schema).parquet(path)
-        return t[name]
-
-    arrived = materialize(stg_payment_events(bronze, mark), "arrived")
-    stg = keep("stg_payment_events", U.upsert(old("stg_payment_events"), arrived, ["event_id"]))
+    arrived = materialize(with_day(stg_payment_events(bronze, mark)), "arrived")
+    newest = high_water(arrived, "ingested_at")
+    if newest is None:
+        return {name: table(name) for name in MODELS}
+    days = [r[0] for r in arrived.select(DAY).distinct().collect()]  # one value per calendar day
+
+    def replace(name: str, df: DataFrame) -> DataFrame:
+        """Whole small table; written aside first, since it may be computed from its old self."""
+        kept = materialize(df, name)
+        kept.write.mode("overwrite").parquet(f"{out}/{name}")
+        return table(name)
+
+    def merge_days(name: str, updates: DataFrame, keys: list[str]) -> DataFrame:
+        merged = U.upsert(on_days(table(name), days), updates, keys)
+        write_by_day(materialize(merged, name), f"{out}/{name}", "dynamic")
+        return table(name)
 
     def refreshed(name: str, key: str, metrics: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Metrics of the touched entities over their whole history, beside the untouched ones."""
-        fresh = metrics(K.touched_entities(stg, key, mark))
-        return keep(name, old(name).join(arrived.select(key).distinct(), key, "left_anti").unionByName(fresh))
-
+        touched = arrived.select(key).filter(F.col(key).isNotNull()).distinct()
+        fresh = metrics(stg.join(touched, key, "left_semi"))
+        return replace(name, table(name).join(touched, key, "left_anti").unionByName(fresh))
+
+    # Interval tables are read before staging changes, so that their edge is the last build's.
+    edges = {name: reread_from(table(name)) for name in INTERVALS}
+    edge = min(edges.values())
+    stg = merge_days("stg_payment_events", arrived, ["event_id"])
     customers = refreshed("int_payment_customer_metrics", "customer_id", I.int_customer_metrics)
     merchants = refreshed("int_payment_merchant_metrics", "merchant_id", I.int_merchant_metrics)
-    days = arrived.select(F.to_date("provider_created_at").alias("event_date")).distinct()
-    daily = keep(
-        "int_payment_daily_summary",
-        old("int_payment_daily_summary").join(days, "event_date", "left_anti")
-        .unionByName(I.int_daily_summary(K.touched_days(stg, mark))))
-    dim_customer = keep("dim_customer", K.dim_customer(customers, as_of))
-    keep("dim_merchant", K.dim_merchant(merchants, as_of))
-    dates = keep("dim_date", old("dim_date"))
-    facts = keep("fct_payments", U.upsert(old("fct_payments"), K.fct_payments(arrived, as_of), ["payment_key"]))
-    keep("fct_daily_payments", K.fct_daily_payments(daily, as_of))
-    keep("feat_customer_features", X.feat_customer(customers, as_of))
-    keep("feat_merchant_features", X.feat_merchant(merchants, as_of))
+    touched_days = I.int_daily_summary(on_days(stg, days))
+    untouched = table("int_payment_daily_summary").filter(
+        ~F.coalesce(F.col(DAY).isin([d for d in days if d is not None]), F.lit(None in days)))
+    daily = replace("int_payment_daily_summary", untouched.unionByName(touched_days))
+    dim_customer = replace("dim_customer", K.dim_customer(customers, as_of))
+    replace("dim_merchant", K.dim_merchant(merchants, as_of))
+    facts = merge_days("fct_payments", K.fct_payments(arrived, as_of), ["payment_key"])
+    replace("fct_daily_payments", K.fct_daily_payments(daily, as_of))
+    replace("feat_customer_features", X.feat_customer(customers, as_of))
+    replace("feat_merchant_features", X.feat_merchant(merchants, as_of))
     for name, model in INTERVALS.items():
-        table = old(name)
-        edge = reread_from(table)
-        keep(name, replace_from(table, model(stg, edge), "interval_start", edge))
-    keep("analytics_payment_trends", A.payment_trends(facts, dates, as_of))
-    keep("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
-    return t
+        # The edge's day is rewritten whole: its buckets before the edge come from the table.
+        first_day = F.lit(edge.date())
+        kept = table(name).filter((F.col(DAY) >= first_day) & (F.col("interval_start") < F.lit(edge)))
+        fresh = materialize(kept.unionByName(model(stg, edge).select(*kept.columns)), name)
+        write_by_day(fresh, f"{out}/{name}", "dynamic")
+    replace("analytics_payment_trends", A.payment_trends(facts, table("dim_date"), as_of))
+    replace("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
+    _commit(spark, out, newest)
+    return {name: table(name) for name in MODELS}

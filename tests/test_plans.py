@@ -20,15 +20,21 @@ def plan_of(df) -> str:
 
 
 def test_incremental_build_equals_a_full_one(spark, sf, tmp_path):
+    """Two increments, the second of them run twice, against one full build."""
     bronze = W.bronze(spark, sf)
-    cut = F.col("ingested_at") < F.lit("2024-01-20 10:07:00").cast("timestamp")
-    first, whole = str(tmp_path / "b1"), str(tmp_path / "b2")
-    bronze.filter(cut).write.parquet(first)
-    bronze.write.parquet(whole)
-    B.run_batch(spark, first, str(tmp_path / "m1"), W.AS_OF)
-    step = B.run_incremental(spark, whole, str(tmp_path / "m1"), str(tmp_path / "m2"), W.AS_OF)
-    full = B.run_batch(spark, whole, str(tmp_path / "m3"), W.AS_OF)
-    assert set(step) == set(full)
+    cuts = [F.col("ingested_at") < F.lit(t).cast("timestamp") for t in ("2024-01-20 10:07:00", "2024-01-20 18:00:00", "2025-01-01")]
+    paths = [str(tmp_path / f"b{i}") for i in range(3)]
+    for cut, path in zip(cuts, paths, strict=True):
+        bronze.filter(cut).write.parquet(path)
+    grown = str(tmp_path / "grown")
+    B.run_batch(spark, paths[0], grown, W.AS_OF)
+    day_of = lambda f: re.search(r"event_date=([0-9-]+)", f).group(1)
+    old_days = [f for f in spark.read.parquet(f"{grown}/fct_payments").inputFiles() if day_of(f) < "2024-01-20"]
+    for path in (paths[1], paths[2], paths[2]):
+        step = B.run_incremental(spark, path, grown, W.AS_OF)
+    assert set(old_days) <= set(step["fct_payments"].inputFiles()), "untouched days keep their files"
+    full = B.run_batch(spark, paths[2], str(tmp_path / "full"), W.AS_OF)
+    assert set(step) == set(full) == set(B.MODELS)
     for name, want in full.items():
         cols = [c for c in want.columns if c not in AUDIT]
         got = sorted(map(str, step[name].select(cols).collect()))
@@ -37,7 +43,7 @@ def test_incremental_build_equals_a_full_one(spark, sf, tmp_path):
 
 def test_facts_are_cut_by_day_and_prune(spark, sf, tmp_path):
     path = str(tmp_path / "facts")
-    B.write_by_day(K.fct_payments(stg_payment_events(W.bronze(spark, sf)), W.AS_OF), path, "event_date")
+    B.write_by_day(K.fct_payments(stg_payment_events(W.bronze(spark, sf)), W.AS_OF), path)
     one = spark.read.parquet(path).filter("event_date = DATE '2024-01-05'").select("amount_cents")
     plan = plan_of(one)
     assert "event_date" in re.search(r"PartitionFilters: \[(.*?)\]", plan).group(1)

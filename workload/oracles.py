@@ -1010,6 +1010,7 @@ _COUNTS = {
 }
 ORACLES["m12_batch_build"] = f"WITH {_ALL} " + " UNION ALL ".join(
     f"SELECT '{name}' AS model, count(*) AS row_count FROM {source}" for name, source in _COUNTS.items())
+ORACLES["m12_incremental_build"] = ORACLES["m12_batch_build"]
 
 # --- training ----------------------------------------------------------------------------------------------------------
 
@@ -1040,3 +1041,10 @@ _CUTS = " UNION ALL ".join(
 ORACLES["l10_promote_if_better"] = f"""WITH {LABELLED}, m AS ({_CUTS}), s AS (SELECT version, path, {ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM m),
 w AS (SELECT *, f1 > coalesce(max(f1) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS won FROM s)
 SELECT 'churn-prediction' AS name, version, f1, CASE WHEN NOT won THEN 'None' WHEN version = (SELECT max(version) FROM w WHERE won) THEN 'Production' ELSE 'Archived' END AS stage, path FROM w"""
+_FLIP = draw("flip")
+ORACLES["l04_ensure_two_classes"] = f"""WITH {CM}, {FC}, d AS (SELECT {_FLIP} AS u FROM fc), c AS (SELECT quantile_disc(u, 0.2) AS cut FROM d)
+SELECT CASE WHEN u <= cut THEN 1 ELSE 0 END AS label, count(*) AS n FROM d, c GROUP BY 1"""
+ORACLES["l05_stratified_split"] = f"""WITH {LABELLED}, d AS (SELECT customer_id, label, {draw('split')} AS u FROM lab),
+c AS (SELECT label, quantile_disc(u, 0.2) AS cut, count(*) AS n FROM d GROUP BY 1)
+SELECT customer_id, label, CASE WHEN u <= CASE WHEN (SELECT min(n) FROM c) >= 2 THEN cut ELSE 0.2e0 END THEN 'test' ELSE 'train' END AS part
+FROM d JOIN c USING (label)"""
