@@ -129,3 +129,22 @@ def test_snapshots(spark, tmp_path):
     U.write_version(df.union(df), path, "2024-02-01")
     read = lambda t: U.snapshot_as_of(spark, path, df.schema, t).count()
     assert (read("2023-12-31"), read("2024-01-15"), read("2024-03-01")) == (0, 3, 6)
+
+
+def test_ledger_and_marking(spark):
+    schema = "event_id string, loaded_to_iceberg boolean, loaded_at timestamp"
+    store = spark.createDataFrame([("a", False, None), ("b", False, None), ("c", True, T0)], schema)
+    ids = spark.createDataFrame([("a",), ("a",)], "event_id string")
+    marked = {r["event_id"]: (r["loaded_to_iceberg"], r["loaded_at"]) for r in S.mark_loaded(store, ids, minutes(1)).collect()}
+    assert marked == {"a": (True, minutes(1)), "b": (False, None), "c": (True, T0)}
+    assert sorted(r["event_id"] for r in S.not_in_ledger(store, ids).collect()) == ["b", "c"]
+
+
+def test_partition_upsert_touches_only_its_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k string, v int, d string, ingested_at timestamp"
+    spark.createDataFrame([("a", 1, "x", T0), ("b", 2, "y", T0), ("n", 0, None, T0)], schema).write.partitionBy("d").parquet(path)
+    batch = spark.createDataFrame([("b", 3, "y", T0), ("c", 4, "y", T0), ("n", 5, None, T0)], schema)
+    for _ in range(2):
+        U.upsert_partitions(spark, path, batch, ["k"], "d")
+    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 3), ("c", 4), ("n", 5)]

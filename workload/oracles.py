@@ -867,7 +867,7 @@ _BACK = "CAST(least(3600, 60 * power(2, attempt - 1)) AS BIGINT)"
 _LINEAR = "least(3600, 120 * attempt)"
 
 
-def retry(code_list_source: str = "") -> dict[str, str]:
+def retry() -> dict[str, str]:
     a, b, t = in_list(C.NON_RETRYABLE_CODES), in_list(C.CUSTOMER_ACTION_CODES), f"({in_list(C.TRANSIENT_CODES)} OR code = '')"
     return {
         "action": f"CASE WHEN {a} THEN 'do_not_retry' WHEN {b} THEN 'contact_customer' WHEN attempt >= 5 THEN 'do_not_retry' ELSE 'retry_delayed' END",
@@ -1043,7 +1043,7 @@ w AS (SELECT *, f1 > coalesce(max(f1) OVER (ORDER BY version ROWS BETWEEN UNBOUN
 SELECT 'churn-prediction' AS name, version, f1, CASE WHEN NOT won THEN 'None' WHEN version = (SELECT max(version) FROM w WHERE won) THEN 'Production' ELSE 'Archived' END AS stage, path FROM w"""
 _FLIP = draw("flip")
 ORACLES["l04_ensure_two_classes"] = f"""WITH {CM}, {FC}, d AS (SELECT {_FLIP} AS u FROM fc), c AS (SELECT quantile_disc(u, 0.2) AS cut FROM d)
-SELECT CASE WHEN u <= cut THEN 1 ELSE 0 END AS label, count(*) AS n FROM d, c GROUP BY 1"""
+SELECT CASE WHEN (SELECT count(*) FROM d) >= 20 AND u <= cut THEN 1 ELSE 0 END AS label, count(*) AS n FROM d, c GROUP BY 1"""
 ORACLES["l05_stratified_split"] = f"""WITH {LABELLED}, d AS (SELECT customer_id, label, {draw('split')} AS u FROM lab),
 c AS (SELECT label, quantile_disc(u, 0.2) AS cut, count(*) AS n FROM d GROUP BY 1)
 SELECT customer_id, label, CASE WHEN u <= CASE WHEN (SELECT min(n) FROM c) >= 2 THEN cut ELSE 0.2e0 END THEN 'test' ELSE 'train' END AS part
