@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import exact_dedup, mixing, sharding
+from saldo.llm import exact_dedup, language_id, mixing, packing, secret_scan, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,6 +44,38 @@ def _(docs):
     return sharding.shard(docs, shards=8)
 
 
+@query("op5_token_counts")
+def _(docs):
+    return token_counts.count_tokens(docs, limit=512)
+
+
 @query("op7_mixing")
 def _(docs):
     return mixing.mix(docs, mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED).drop("text_hash")
+
+
+@query("op8_language_id")
+def _(docs):
+    judged = language_id.identify(docs)
+    return judged.select(F.col("doc.doc_id").alias("doc_id"), "held_out", "lang_pred", "score", "rejected")
+
+
+@query("op9_secret_scan")
+def _(docs):
+    found = secret_scan.scan(docs)
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+    base = F.filter("secrets", lambda s: s.kind.isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id", *(count(k) for k in secret_scan.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans")
+    )
+
+
+@query("op10_packing")
+def _(docs):
+    return packing.pack(docs, packing.CAPACITY)
