@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import exact_dedup, language_id, mixing, packing, secret_scan, sharding, token_counts
+from saldo.llm import exact_dedup, language_id, mixing, packing, secret_scan, sharding, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -39,6 +39,12 @@ def _(docs):
     return exact_dedup.mark_duplicates(docs)
 
 
+@query("op2_simhash")
+def _(docs):
+    found = simhash.near_duplicates(docs, simhash.SHINGLE)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op3_sharding")
 def _(docs):
     return sharding.shard(docs, shards=8)
