@@ -26,7 +26,9 @@ SAMPLE_ROWS = 256
 SLICE_CHARS = 1000
 LANGUAGES = 200
 BLOCK = 4096
-LEVEL = 3
+LEVEL = 6
+#: Bytes of the dictionary put before each block, so that a block of few words is not stored as it is.
+CARRIER = 64
 #: Share by which the second best must be larger.
 MARGIN = 0.002
 LETTERS_ONLY = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -63,21 +65,24 @@ def fit(
     return {lang: b"\n".join(slices) for lang, slices in out.items() if any(slices)}
 
 
-def compressors(dictionaries: dict[str, bytes]) -> list[tuple[str, zstandard.ZstdCompressor]]:
+def compressors(dictionaries: dict[str, bytes]) -> list[tuple[str, zstandard.ZstdCompressor, bytes]]:
     out = []
     for lang in dictionaries:
         known = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         known.precompute_compress(level=LEVEL)
-        out.append((lang, zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)))
+        model = zstandard.ZstdCompressor(
+            level=LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False
+        )
+        out.append((lang, model, dictionaries[lang][-CARRIER:]))
     return out
 
 
-def judge(text: str | None, models: list[tuple[str, zstandard.ZstdCompressor]]) -> tuple[str, float]:
+def judge(text: str | None, models: list[tuple[str, zstandard.ZstdCompressor, bytes]]) -> tuple[str, float]:
     if not models or text is None or not any(c.isalpha() for c in text):
         return "und", 0.0
     data = plain(text)
     blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
-    sizes = sorted((sum(len(m.compress(b)) for b in blocks), k) for k, (_, m) in enumerate(models))
+    sizes = sorted((sum(len(m.compress(carrier + b)) for b in blocks), k) for k, (_, m, carrier) in enumerate(models))
     return models[sizes[0][1]][0], 1 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
 
 

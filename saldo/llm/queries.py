@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import exact_dedup, language_id, mixing, packing, secret_scan, sharding, simhash, token_counts
+from saldo.llm import exact_dedup, language_id, mixing, oph, packing, secret_scan, sharding, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -50,6 +50,11 @@ def _(docs):
     return sharding.shard(docs, shards=8)
 
 
+@query("op4_fingerprints")
+def _(docs):
+    return oph.with_edits(docs)
+
+
 @query("op5_token_counts")
 def _(docs):
     return token_counts.count_tokens(docs, limit=512)
