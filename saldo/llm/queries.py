@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import exact_dedup, language_id, mixing, oph, packing, secret_scan, sharding, simhash, token_counts
+from saldo.llm import exact_dedup, language_id, mixing, oph, packing, secret_scan, sharding, simhash, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -60,6 +60,15 @@ def _(docs):
     return token_counts.count_tokens(docs, limit=512)
 
 
+@query("op6_suffix_dedup")
+def _(docs):
+    cut = suffix_dedup.remove_repeats(docs)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s.end - s.start)
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query("op7_mixing")
 def _(docs):
     return mixing.mix(docs, mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED).drop("text_hash")
