@@ -41,6 +41,20 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; none if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(target) if s.isDirectory())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once, read back: cuts lineage durably and lets several consumers share one computation."""
     spark = df.sparkSession

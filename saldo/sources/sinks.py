@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from saldo import constants as C
 from saldo.plans.features import CUSTOMER_COLUMNS, MERCHANT_COLUMNS
-from saldo.session import scratch
 
 
 EXPORT_COLUMNS = {"customer": CUSTOMER_COLUMNS, "merchant": MERCHANT_COLUMNS}
@@ -59,11 +58,10 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/batch=*")
 
 
-def passthrough(stream: DataFrame, path: str, checkpoint: str | None = None, **trigger):
+def passthrough(stream: DataFrame, path: str, checkpoint: str, **trigger):
     """Unvalidated copy of a stream into Parquet, exactly once."""
-    spark = stream.sparkSession
     return (
         stream.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint or scratch(spark, "passthrough"))
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"})).start()
     )

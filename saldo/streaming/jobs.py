@@ -13,15 +13,17 @@ from saldo.operators.enrich import enrich, to_bronze
 from saldo.operators.normalize import dlq_records, judge, valid_events
 from saldo.operators.split import judged, quarantine_rows, valid_rows
 from saldo.operators.tables import newest_per_key
-from saldo.session import scratch
 from saldo.sources.sinks import write_batch, write_dlq, write_normalized
+from saldo.streaming.ledger import file_keys, unseen
 
 TEN_SECONDS = {"processingTime": "10 seconds"}
 
 
-def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str | None = None,
-                **trigger):
-    """One query whose every micro-batch is persisted once and handed to `handle(batch, id)`."""
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, **trigger):
+    """One query whose every micro-batch is persisted once and handed to `handle(batch, id)`.
+
+    The persisted copy lives on the executors; a lost part of it is read again from the source.
+    """
 
     def once(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
@@ -32,13 +34,12 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
 
     return (
         stream.writeStream.foreachBatch(once)
-        .option("checkpointLocation", checkpoint or scratch(stream.sparkSession, "stream"))
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TEN_SECONDS)).start()
     )
 
 
-def run_split_stream(stream: DataFrame, kind: str, path: str, now: Column | None = None,
-                     checkpoint: str | None = None, **trigger):
+def run_split_stream(stream: DataFrame, kind: str, path: str, checkpoint: str, now: Column | None = None, **trigger):
     """Valid and quarantine tables of one typed stream, plus a counters table, from one query.
 
     Folders are named after the batch id, so a batch replayed after a failure overwrites itself.
@@ -54,15 +55,23 @@ def run_split_stream(stream: DataFrame, kind: str, path: str, now: Column | None
     return run_batches(judged(stream, kind), handle, checkpoint, **trigger)
 
 
-def dedupe_stream(stream: DataFrame, key: str = "event_id", order: tuple = ("partition", "offset")) -> DataFrame:
+def dedupe_stream(stream: DataFrame, key: str = "event_id", order: tuple = ("partition", "offset"),
+                  remember: str = "7 days") -> DataFrame:
     """The first row per key. Rows without a key are dropped.
 
-    A watermarked stream keeps its state only as long as the watermark allows; a table is reduced by
-    an aggregate, so a key with very many copies is combined before the shuffle.
+    A stream remembers a key for `remember` after its arrival: its state is bounded by arrival time. A declared
+    event-time watermark would instead drop rows that are merely late, so it is not used; as a stream cannot have
+    a second watermark, such a stream remembers its keys for good. A table is reduced by an aggregate, so a key
+    with very many copies is combined before the shuffle.
     """
     keyed = stream.filter(present(F.col(key)))
     if stream.isStreaming:
-        return keyed.dropDuplicatesWithinWatermark([key])
+        # Without the event-time marks of its columns, nothing counts as late.
+        plain = keyed.select(*[F.col(c).alias(c, metadata={}) for c in keyed.columns])
+        if any("spark.watermarkDelayMs" in f.metadata for f in stream.schema.fields):
+            return plain.dropDuplicates([key])
+        arrived = plain.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remember)
+        return arrived.dropDuplicatesWithinWatermark([key]).drop("_arrived")
     return newest_per_key(keyed, [key], *[F.col(c) for c in order], oldest=True)
 
 
@@ -103,35 +112,53 @@ def stream_counters(batch: DataFrame, valid: Column) -> DataFrame:
         F.count_if(~valid).alias("invalid"))
 
 
-def intake_counters(judged_rows: DataFrame) -> DataFrame:
-    """Consumed, started, duplicate, error and dead-letter counts of a batch of judged raw messages."""
+def intake_counters(judged_rows: DataFrame, started: DataFrame, filed: DataFrame) -> DataFrame:
+    """Consumed, started, duplicate, error and dead-letter counts of a batch.
+
+    `started` and `filed` are the events and dead letters that are new in this batch; what is neither new nor
+    without an id was delivered before, in this batch or an earlier one.
+    """
     fine = F.size("errors") == 0
     named = F.coalesce(present(F.col("event_id")), F.lit(False))
-    per_id = judged_rows.groupBy(F.when(fine & named, F.col("event_id")).alias("_id")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(~fine).alias("dlq"), F.count_if(fine & ~named).alias("errors"))
-    started = F.col("_id").isNotNull()
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
-    return per_id.agg(
-        total(F.col("n")).alias("messages_consumed"),
-        F.count_if(started).alias("workflows_started"),
-        total(F.when(started, F.col("n") - 1)).alias("duplicates_skipped"),
-        total(F.col("errors")).alias("errors"), total(F.col("dlq")).alias("dlq_workflows"))
-
-
-def run_intake(raw_stream: DataFrame, path: str, now: Column | None = None, checkpoint: str | None = None,
-               **trigger):
+    totals = judged_rows.agg(
+        F.count(F.lit(1)).alias("messages_consumed"), F.count_if(fine & ~named).alias("errors"))
+    count = lambda df, name: F.broadcast(df.agg(F.count(F.lit(1)).alias(name)))  # noqa: E731  one row
+    counted = totals.crossJoin(count(started, "workflows_started")).crossJoin(count(filed, "dlq_workflows"))
+    skipped = F.col("messages_consumed") - F.col("errors") - F.col("workflows_started") - F.col("dlq_workflows")
+    return counted.select(
+        "messages_consumed", "workflows_started", skipped.alias("duplicates_skipped"), "errors", "dlq_workflows")
+
+
+def run_intake(raw_stream: DataFrame, path: str, checkpoint: str, now: Column | None = None, **trigger):
     """Raw webhooks to bronze: normalize, file rejects, dedupe, enrich, write.
 
-    Writes payments.normalized, payments.validation.dlq, bronze and counters, one folder per batch.
+    Writes payments.normalized, payments.validation.dlq, quarantine, bronze and counters, one folder per batch. The
+    two topics carry every message; bronze and quarantine carry each event id and dead-letter key once, over all
+    batches of the checkpoint, which the ledgers ensure. An event keeps its provider day, so only the days of a
+    batch are looked up; events whose payload has no time are filed without a day. The raw batch is read once.
     """
     clock = F.current_timestamp() if now is None else now
+    event_day = F.when(F.col("provider_created_at") != F.col("processed_at"), F.to_date("provider_created_at"))
+    no_day = F.lit(None).cast("date")
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        valid = valid_events(batch)
-        write_normalized(valid, path, batch_id)
-        write_dlq(dlq_records(batch), path, batch_id)
-        first = dedupe_stream(batch.filter(F.size("errors") == 0)).select(*valid.columns)
-        write_batch(to_bronze(enrich(first), clock), f"{path}/bronze", batch_id)
-        write_batch(intake_counters(batch), f"{path}/counters", batch_id)
-
-    return run_batches(judge(raw_stream, clock), handle, checkpoint, **trigger)
+    def handle(raw: DataFrame, batch_id: int) -> None:
+        spark = raw.sparkSession
+        batch = judge(raw, clock).persist()
+        try:
+            valid, dead = valid_events(batch), dlq_records(batch)
+            write_normalized(valid, path, batch_id)
+            write_dlq(dead, path, batch_id)
+            first = dedupe_stream(batch.filter(F.size("errors") == 0)).select(*valid.columns)
+            new = unseen(first, "event_id", event_day, f"{path}/ledger/events", batch_id).persist()
+            write_batch(to_bronze(enrich(new), clock), f"{path}/bronze", batch_id)
+            file_keys(new, "event_id", event_day, f"{path}/ledger/events", batch_id)
+            rejected = unseen(dedupe_dlq(dead), "dlq_key", no_day, f"{path}/ledger/dead", batch_id)
+            write_batch(rejected, f"{path}/quarantine", batch_id)
+            kept = spark.read.schema(rejected.schema).parquet(f"{path}/quarantine/batch={batch_id}")
+            file_keys(kept, "dlq_key", no_day, f"{path}/ledger/dead", batch_id)
+            write_batch(intake_counters(batch, new, kept), f"{path}/counters", batch_id)
+            new.unpersist()
+        finally:
+            batch.unpersist()
+
+    return run_batches(raw_stream, handle, checkpoint, **trigger)

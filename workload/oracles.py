@@ -793,14 +793,25 @@ FROM dlq QUALIFY row_number() OVER (PARTITION BY {DLQ_KEY} ORDER BY n % 3, n) =
 ORACLES["v13_stream_interval_metrics"] = f"""WITH {BK} SELECT {ts('b')} AS interval_start, {ts("b + INTERVAL '15 minutes'")} AS interval_end, count(*) AS transaction_count,
   {n(OK)} AS successful_count, {n(BAD)} AS failed_count, {REVENUE} AS revenue_cents, {n(HIGH)} AS high_risk_count FROM bk GROUP BY b"""
 _NORM = f"{JUDGED}, u AS (SELECT *, CASE provider {_IDS} END AS event_id, {_AMTS} AS cents FROM j WHERE ok)"
-ORACLES["v14_stream_counters"] = f"""WITH {_NORM} SELECT (SELECT count(*) FROM j) AS messages_consumed, count(DISTINCT event_id) AS workflows_started,
-  count(*) - count(DISTINCT event_id) AS duplicates_skipped, 0 AS errors, (SELECT count(*) FROM j WHERE NOT ok) AS dlq_workflows FROM u"""
+
+
+def _intake_counters(times: int) -> str:
+    return f"""WITH {_NORM}, {DLQ}, dead AS (SELECT count(DISTINCT {DLQ_KEY}) AS n FROM dlq), ids AS (SELECT count(DISTINCT event_id) AS n FROM u)
+SELECT {times} * (SELECT count(*) FROM j) AS messages_consumed, ids.n AS workflows_started,
+  {times} * (SELECT count(*) FROM j) - ids.n - dead.n AS duplicates_skipped, 0 AS errors, dead.n AS dlq_workflows FROM ids, dead"""
+
+
+ORACLES["v14_stream_counters"] = _intake_counters(1)
+ORACLES["v14_redelivered_counters"] = _intake_counters(2)
+ORACLES["v14_redelivered_quarantine"] = f"""WITH {JUDGED}, {DLQ} SELECT {DLQ_KEY} AS dlq_key, topic AS source_topic
+FROM dlq QUALIFY row_number() OVER (PARTITION BY {DLQ_KEY} ORDER BY n % 3, n) = 1"""
 _ST = " ".join(f"WHEN '{p}' THEN {UNIFIED[p]['status']}" for p in UNIFIED)
 _CU = " ".join(f"WHEN '{p}' THEN {UNIFIED[p]['currency']}" for p in UNIFIED)
 CUR10 = ", ".join(f"'{c}'" for c in C.RULE_CURRENCIES)
 ORACLES["v14_intake_bronze"] = f"""WITH {_NORM} SELECT event_id, event_type, cents AS amount_cents, CASE provider {_CU} END AS currency, CASE provider {_ST} END AS status,
   CASE WHEN cents > 0 AND cents <= 100000000 AND CASE provider {_CU} END IN ({CUR10}) AND trim(CASE provider {_ST} END) <> '' THEN 'passed' ELSE 'failed' END AS validation_status,
   {ts(AS_OF)} AS ingested_at FROM u"""
+ORACLES["v14_redelivered_bronze"] = ORACLES["v14_intake_bronze"]
 
 # --- enrichment ------------------------------------------------------------------------------------------------
 

@@ -185,7 +185,7 @@ def _(spark, sf):
     """Valid and quarantine tables of the charge stream as the streaming job wrote them."""
     path = scratch(spark, "split")
     stream = WS.typed_table_stream(spark, sf, "charges")
-    WS.finish(D.run_split_stream(stream, "charges", path, at(), **WS.ONCE))
+    WS.finish(D.run_split_stream(stream, "charges", path, scratch(spark, "checkpoint"), at(), **WS.ONCE))
     ok = O.read_batches(spark, f"{path}/charges/valid", Z.valid_schema("charges"))
     bad = O.read_batches(spark, f"{path}/charges/quarantine", Z.quarantine_schema("charges"))
     return ok.unionByName(bad, allowMissingColumns=True).select(
@@ -196,7 +196,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch(spark, "charges")
     stream = WS.typed_table_stream(spark, sf, "charges")
-    WS.finish(O.passthrough(stream, path, **WS.ONCE))
+    WS.finish(O.passthrough(stream, path, scratch(spark, "checkpoint"), **WS.ONCE))
     return spark.read.schema(Z.CHARGES).parquet(path).select(*STREAM_VIEW)
 
 
@@ -596,8 +596,12 @@ def _(spark, sf):
 def _(spark, sf):
     """All eight tables written by streaming jobs, counted."""
     path = scratch(spark, "splits")
-    for kind in Z.STREAMS:
-        WS.finish(D.run_split_stream(WS.typed_table_stream(spark, sf, kind), kind, path, at(), **WS.ONCE))
+    jobs = [
+        D.run_split_stream(WS.typed_table_stream(spark, sf, kind), kind, path, scratch(spark, "checkpoint"), at(), **WS.ONCE)
+        for kind in Z.STREAMS
+    ]
+    for job in jobs:
+        WS.finish(job)
 
     def one(kind):
         ok = O.read_batches(spark, f"{path}/{kind}/valid", Z.valid_schema(kind)).select(
@@ -616,9 +620,16 @@ def _repeated(stream: DataFrame) -> DataFrame:
 
 @query("v10_watermarked_stream")
 def _(spark, sf):
-    """Redelivered charges, deduplicated in a stream with the declared watermark."""
-    stream = J.with_watermark(_repeated(WS.typed_table_stream(spark, sf, "charges")).drop("copy"))
-    return WS.collect_stream(D.dedupe_stream(stream).select(*STREAM_VIEW), "dedupe")
+    """Redelivered charges, deduplicated in a stream with the declared watermark; newest first, in two runs of one checkpoint."""
+    charges = W.stream_table(spark, sf, "charges")
+    cut = charges.agg(F.percentile_approx("created_at", 0.5)).first()[0]
+    landing, path, checkpoint = (scratch(spark, name) for name in ("landing", "dedupe", "checkpoint"))
+    for part in (F.col("created_at") >= F.lit(cut), ~F.coalesce(F.col("created_at") >= F.lit(cut), F.lit(False))):
+        _repeated(charges.filter(part)).drop("copy").write.mode("append").parquet(landing)
+        stream = J.with_watermark(spark.readStream.schema(Z.CHARGES).parquet(landing))
+        out = D.dedupe_stream(stream).select(*STREAM_VIEW)
+        WS.finish(O.passthrough(out, path, checkpoint, **WS.ONCE))
+    return spark.read.schema(out.schema).parquet(path)
 
 
 @query("v11_dedupe")
@@ -650,23 +661,56 @@ def _(spark, sf):
     return emitted.unionByName(still_open)
 
 
+COUNTERS = "messages_consumed bigint, workflows_started bigint, duplicates_skipped bigint, errors bigint, dlq_workflows bigint"
+
+
+def intake(spark, sf, times: int) -> str:
+    """The intake job over the raw messages, delivered `times` over; each delivery is a run of its own of one checkpoint."""
+    path, checkpoint, landing = (scratch(spark, name) for name in ("intake", "checkpoint", "landing"))
+    for _ in range(times):
+        W.raw_messages(spark, sf).coalesce(2).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(W.RAW_SCHEMA).option("maxFilesPerTrigger", 2).parquet(landing)
+        WS.finish(D.run_intake(stream.select("value", "topic", "partition", "offset"), path, checkpoint, at(), **WS.ONCE))
+    return path
+
+
+def intake_totals(spark, path: str) -> DataFrame:
+    counts = O.read_batches(spark, f"{path}/counters", COUNTERS)
+    return counts.agg(*[F.sum(c).alias(c) for c in counts.columns])
+
+
 @query("v14_stream_counters")
 def _(spark, sf):
     """Counters of the intake job over the raw stream."""
-    path = scratch(spark, "intake")
-    WS.finish(D.run_intake(WS.raw_stream(spark, sf), path, at(), **WS.ONCE))
-    schema = "messages_consumed bigint, workflows_started bigint, duplicates_skipped bigint, errors bigint, dlq_workflows bigint"
-    counts = O.read_batches(spark, f"{path}/counters", schema)
-    return counts.agg(*[F.sum(c).alias(c) for c in counts.columns])
+    return intake_totals(spark, intake(spark, sf, 1))
+
+
+@query("v14_redelivered_counters")
+def _(spark, sf):
+    """The same where every message is delivered again after a restart."""
+    return intake_totals(spark, intake(spark, sf, 2))
+
+
+INTAKE_VIEW = ["event_id", "event_type", "amount_cents", "currency", "status", "validation_status", "ingested_at"]
 
 
 @query("v14_intake_bronze")
 def _(spark, sf):
     """Bronze rows the same job writes."""
-    path = scratch(spark, "intake")
-    WS.finish(D.run_intake(WS.raw_stream(spark, sf), path, at(), **WS.ONCE))
-    return O.read_batches(spark, f"{path}/bronze", Z.BRONZE).select(
-        "event_id", "event_type", "amount_cents", "currency", "status", "validation_status", "ingested_at")
+    return O.read_batches(spark, f"{intake(spark, sf, 1)}/bronze", Z.BRONZE).select(*INTAKE_VIEW)
+
+
+@query("v14_redelivered_bronze")
+def _(spark, sf):
+    """The same where every message is delivered again after a restart: each id is there once."""
+    return O.read_batches(spark, f"{intake(spark, sf, 2)}/bronze", Z.BRONZE).select(*INTAKE_VIEW)
+
+
+@query("v14_redelivered_quarantine")
+def _(spark, sf):
+    """Dead letters of the same, each key once."""
+    schema = "dlq_key string, source_topic string"
+    return O.read_batches(spark, f"{intake(spark, sf, 2)}/quarantine", schema)
 
 
 # --- enrichment ------------------------------------------------------------------------------------------
