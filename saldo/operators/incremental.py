@@ -13,12 +13,13 @@ def high_water(table: DataFrame, column: str):
     return table.agg(F.max(column)).first()[0]
 
 
-def newer_than(df: DataFrame, column: str, mark, inclusive: bool = False) -> DataFrame:
-    """Rows past the mark. The mark is a literal, so the filter reaches the scan."""
-    if mark is None:
-        return df
-    col, bound = F.col(column), F.lit(mark)
-    return df.filter(col >= bound if inclusive else col > bound)
+def newer_than(df: DataFrame, column: str, mark, overlap: timedelta = timedelta(0)) -> DataFrame:
+    """Rows from the mark on, less the overlap. The bound is a literal, so the filter reaches the scan.
+
+    Rows with the mark's own time may have been committed after it was taken, and slow writers commit older
+    ones; so the mark is included, and the reader must tolerate rows it has seen.
+    """
+    return df if mark is None else df.filter(F.col(column) >= F.lit(mark - overlap))
 
 
 def reread_from(table: DataFrame, column: str = "interval_end", lookback_minutes: int = 30):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.session import materialize
+from saldo.session import subfolders, workspace
 
 
 def newest_per_key(df: DataFrame, keys: list[str], *order: Column, oldest: bool = False) -> DataFrame:
@@ -26,22 +28,25 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], newest: str =
 
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
-                      partition: str, newest: str = "ingested_at") -> None:
+                      partition: str, newest: str = "ingested_at", most: int = 10_000) -> None:
     """Upsert into a partitioned table, rewriting only the partitions the batch touches.
 
-    Assumes a key never moves between partitions. The merged rows are written out before the
-    overwrite, because a table cannot be overwritten while it is being read.
+    Assumes a key never moves between partitions, and a partition column as coarse as a day: a batch that touches
+    more than `most` partitions is refused. The merged rows are written out before the overwrite, because a table
+    cannot be overwritten while it is being read.
     """
-    values = [r[0] for r in updates.select(partition).distinct().collect()]  # one per partition
+    values = [r[0] for r in updates.select(partition).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"the batch touches more than {most} partitions of {path}")
     hit = F.col(partition).isin([v for v in values if v is not None])
     if None in values:
         hit = hit | F.col(partition).isNull()
     current = spark.read.parquet(path).filter(hit)
-    merged = materialize(upsert(current, updates, keys, newest), "upsert")
-    (
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition).parquet(path)
-    )
+    with workspace(spark, "upsert") as keep:
+        (
+            keep("merged", upsert(current, updates, keys, newest)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        )
 
 
 # Columns a repeated event may change; everything else keeps its first value.
@@ -132,8 +137,10 @@ def write_version(df: DataFrame, path: str, committed_at: str) -> None:
 
 
 def snapshot_as_of(spark: SparkSession, path: str, schema, as_of: str) -> DataFrame:
-    """The table as committed last at or before `as_of`. Only that version's folder is read."""
-    field = "committed_at"
-    versions = spark.read.schema(schema.add(field, "string")).parquet(path)
-    chosen = versions.select(field).filter(F.col(field) <= as_of).agg(F.max(field)).first()[0]
-    return versions.filter(F.col(field).eqNullSafe(F.lit(chosen))).drop(field)
+    """The table as committed last at or before `as_of`: versions are found by listing, one folder is read."""
+    prefix = "committed_at="
+    versions = [unquote(f.removeprefix(prefix)) for f in subfolders(spark, path) if f.startswith(prefix)]
+    known = [v for v in versions if v <= as_of]
+    if not known:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{prefix}{max(known)}")

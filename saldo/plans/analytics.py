@@ -245,8 +245,8 @@ CALENDAR = [
 ]
 
 
-def payment_trends(fct: DataFrame, calendar: DataFrame, as_of, approx: bool = False) -> DataFrame:
-    """Zero-filled daily series with running revenue and 7-row moving averages.
+def payment_trends(fct: DataFrame, calendar: DataFrame, as_of, approx: bool = False, start: str = "2024-01-01") -> DataFrame:
+    """Zero-filled daily series from `start` to `as_of`, with running revenue and 7-row moving averages.
 
     The ordered windows have no partition key, so they see one task: their input is one row per
     calendar day (at most a few thousand), because the events are aggregated before the join.
@@ -269,7 +269,7 @@ def payment_trends(fct: DataFrame, calendar: DataFrame, as_of, approx: bool = Fa
         F.count_if(provider() == "square").alias("square_transactions"),
     ], _reach(), approx)
     days = calendar.filter(
-        (F.col("date_key") >= F.lit("2024-01-01").cast("date"))
+        (F.col("date_key") >= F.lit(start).cast("date"))
         & (F.col("date_key") <= F.to_date(F.lit(as_of)))
     ).select("date_key", *CALENDAR)
     counts = [c for c in daily.columns if c != "date_key"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from saldo.plans import analytics as A
 from saldo.plans import features as X
 from saldo.plans import intermediate as I
 from saldo.plans import marts as K
-from saldo.plans.staging import stg_payment_events
+from saldo.plans.staging import arrival_order, newest_events, stg_payment_events
 from saldo.schemas import BRONZE
-from saldo.session import materialize
+from saldo.session import exists, materialize, workspace
+from saldo.sources.bronze import ingest
 
 # Tables that grow with the events are cut by day.
 INTERVALS = {
@@ -34,11 +36,18 @@ MODELS = [
     "analytics_payment_trends", "analytics_customer_segments",
 ]
 
+# First day and end (exclusive) of the calendar; first day of the trends.
+CALENDAR = ("2020-01-01", "2030-12-31")
+TRENDS_FROM = "2024-01-01"
+# How late a writer may commit a row behind the newest ingestion time.
+OVERLAP = timedelta(hours=1)
+
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
-def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = None) -> dict[str, DataFrame]:
-    """All models in dependency order.
+def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = None,
+          calendar: tuple[str, str] = CALENDAR, trends_from: str = TRENDS_FROM) -> dict[str, DataFrame]:
+    """All models in dependency order. Of events ingested more than once the last row counts.
 
     `keep(name, df)` stores a finished model and returns the stored table, which is what later models
     read: nothing upstream is computed twice.
@@ -51,13 +60,13 @@ def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = Non
         t[name] = keep(name, df)
         return t[name]
 
-    stg = add("stg_payment_events", stg_payment_events(bronze))
+    stg = add("stg_payment_events", newest_events(stg_payment_events(bronze)))
     customers = add("int_payment_customer_metrics", I.int_customer_metrics(stg))
     merchants = add("int_payment_merchant_metrics", I.int_merchant_metrics(stg))
     daily = add("int_payment_daily_summary", I.int_daily_summary(stg))
     dim_customer = add("dim_customer", K.dim_customer(customers, as_of))
     add("dim_merchant", K.dim_merchant(merchants, as_of))
-    dates = add("dim_date", K.dim_date(spark))
+    dates = add("dim_date", K.dim_date(spark, *calendar))
     facts = add("fct_payments", K.fct_payments(stg, as_of))
     add("fct_daily_payments", K.fct_daily_payments(daily, as_of))
     add("feat_customer_features", X.feat_customer(customers, as_of))
@@ -66,7 +75,7 @@ def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = Non
     add("analytics_payment_summary", A.payment_summary(stg))
     add("analytics_provider_comparison", A.provider_comparison(stg))
     add("analytics_risk_overview", A.risk_overview(stg))
-    add("analytics_payment_trends", A.payment_trends(facts, dates, as_of))
+    add("analytics_payment_trends", A.payment_trends(facts, dates, as_of, start=trends_from))
     add("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
     return t
 
@@ -103,14 +112,30 @@ def _commit(spark: SparkSession, out: str, mark) -> None:
     row.write.mode("overwrite").parquet(f"{out}/{STATE}")
 
 
-def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of) -> dict[str, DataFrame]:
+def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of, **settings) -> dict[str, DataFrame]:
     """Builds every model from the bronze table and writes each under `out`; returns the written tables."""
     bronze = spark.read.schema(BRONZE).parquet(bronze_path)
-    tables = build(spark, bronze, as_of, lambda name, df: _store(spark, out, name, df))
+    tables = build(spark, bronze, as_of, lambda name, df: _store(spark, out, name, df), **settings)
     _commit(spark, out, high_water(tables["stg_payment_events"], "ingested_at"))
     return tables
 
 
+def run_pipeline(spark: SparkSession, store: DataFrame, bronze_path: str, ledger_path: str, out: str, as_of) -> dict[str, DataFrame]:
+    """The scheduled job: new rows of the row store into bronze, then the models, whole the first time.
+
+    The models are brought up to date from the oldest of the loaded rows on, however old it is, before those rows
+    count as loaded.
+    """
+    def models(oldest) -> None:
+        if exists(spark, f"{out}/{STATE}"):
+            run_incremental(spark, bronze_path, out, as_of, since=oldest)
+        else:
+            run_batch(spark, bronze_path, out, as_of)
+
+    ingest(store, bronze_path, ledger_path, then=models)
+    return {name: spark.read.parquet(f"{out}/{name}") for name in MODELS}
+
+
 # --- incremental build ----------------------------------------------------------------------------
 
 def on_days(df: DataFrame, days: list) -> DataFrame:
@@ -120,61 +145,93 @@ def on_days(df: DataFrame, days: list) -> DataFrame:
     return df.filter(keep | F.col(DAY).isNull() if None in days else keep)
 
 
-def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of) -> dict[str, DataFrame]:
+def bronze_since(spark: SparkSession, path: str, since) -> DataFrame:
+    """Bronze rows ingested from a time on; folders of earlier days are not read."""
+    bronze = spark.read.schema(BRONZE).parquet(path)
+    if "ingested_date" in bronze.columns:
+        bronze = bronze.filter(F.col("ingested_date") >= F.lit(since.date()))
+    return bronze
+
+
+def arrivals(candidates: DataFrame, staged: DataFrame) -> DataFrame:
+    """Candidates that staging lacks or holds an older row of."""
+    known = staged.select(F.col("event_id").alias("_id"), arrival_order().alias("_order"))
+    fresh = newest_events(candidates)
+    seen = (F.col("event_id") == F.col("_id")) & (F.col("_order") >= arrival_order())
+    return fresh.join(known, seen, "left_anti")
+
+
+def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, overlap: timedelta = OVERLAP,
+                    history: bool = False, trends_from: str = TRENDS_FROM, since=None) -> dict[str, DataFrame]:
     """Brings the tables under `out` up to date with new bronze rows; equals a full rebuild.
 
-    Tables cut by day rewrite only the days the new rows touch (an event keeps its day, as its
-    provider time never changes). Daily and per-entity tables recompute what was touched over its
-    whole history, intervals restart 30 minutes before the last finished bucket.
+    Bronze is read from `overlap` before the mark, or from `since` if that is older, so rows that tie with the mark or were committed late are found;
+    rows already staged are recognised. Tables cut by day rewrite only the days the new rows touch (an event keeps
+    its day, as its provider time never changes). Daily and per-entity tables recompute what was touched over its
+    whole history; dimension rows of other entities stay as they are. With `history` a changed dimension row is
+    closed and a new one opened. Intervals restart 30 minutes before the last finished bucket, or at the oldest
+    bucket that gained or lost a row. What is written aside is deleted after the commit.
     """
     table = lambda name: spark.read.parquet(f"{out}/{name}")
     mark = table(STATE).first()[0]
-    bronze = spark.read.schema(BRONZE).parquet(bronze_path)
-    arrived = materialize(with_day(stg_payment_events(bronze, mark)), "arrived")
-    newest = high_water(arrived, "ingested_at")
-    if newest is None:
-        return {name: table(name) for name in MODELS}
-    days = [r[0] for r in arrived.select(DAY).distinct().collect()]  # one value per calendar day
-
-    def replace(name: str, df: DataFrame) -> DataFrame:
-        """Whole small table; written aside first, since it may be computed from its old self."""
-        kept = materialize(df, name)
-        kept.write.mode("overwrite").parquet(f"{out}/{name}")
-        return table(name)
-
-    def merge_days(name: str, updates: DataFrame, keys: list[str]) -> DataFrame:
-        merged = U.upsert(on_days(table(name), days), updates, keys)
-        write_by_day(materialize(merged, name), f"{out}/{name}", "dynamic")
-        return table(name)
-
-    def refreshed(name: str, key: str, metrics: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        touched = arrived.select(key).filter(F.col(key).isNotNull()).distinct()
-        fresh = metrics(stg.join(touched, key, "left_semi"))
-        return replace(name, table(name).join(touched, key, "left_anti").unionByName(fresh))
-
-    # Interval tables are read before staging changes, so that their edge is the last build's.
-    edges = {name: reread_from(table(name)) for name in INTERVALS}
-    edge = min(edges.values())
-    stg = merge_days("stg_payment_events", arrived, ["event_id"])
-    customers = refreshed("int_payment_customer_metrics", "customer_id", I.int_customer_metrics)
-    merchants = refreshed("int_payment_merchant_metrics", "merchant_id", I.int_merchant_metrics)
-    touched_days = I.int_daily_summary(on_days(stg, days))
-    untouched = table("int_payment_daily_summary").filter(
-        ~F.coalesce(F.col(DAY).isin([d for d in days if d is not None]), F.lit(None in days)))
-    daily = replace("int_payment_daily_summary", untouched.unionByName(touched_days))
-    dim_customer = replace("dim_customer", K.dim_customer(customers, as_of))
-    replace("dim_merchant", K.dim_merchant(merchants, as_of))
-    facts = merge_days("fct_payments", K.fct_payments(arrived, as_of), ["payment_key"])
-    replace("fct_daily_payments", K.fct_daily_payments(daily, as_of))
-    replace("feat_customer_features", X.feat_customer(customers, as_of))
-    replace("feat_merchant_features", X.feat_merchant(merchants, as_of))
-    for name, model in INTERVALS.items():
-        # The edge's day is rewritten whole: its buckets before the edge come from the table.
-        first_day = F.lit(edge.date())
-        kept = table(name).filter((F.col(DAY) >= first_day) & (F.col("interval_start") < F.lit(edge)))
-        fresh = materialize(kept.unionByName(model(stg, edge).select(*kept.columns)), name)
-        write_by_day(fresh, f"{out}/{name}", "dynamic")
-    replace("analytics_payment_trends", A.payment_trends(facts, table("dim_date"), as_of))
-    replace("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
-    _commit(spark, out, newest)
+    with workspace(spark, "increment") as keep:
+        since = min(mark - overlap, since or mark)
+        candidates = keep("candidates", with_day(stg_payment_events(bronze_since(spark, bronze_path, since), since)))
+        days = [r[0] for r in candidates.select(DAY).distinct().collect()]  # one value per calendar day
+        arrived = keep("arrived", arrivals(candidates, on_days(table("stg_payment_events"), days)))
+        days = [r[0] for r in arrived.select(DAY).distinct().collect()]
+        if not days:
+            return {name: table(name) for name in MODELS}
+        # Rows of staging that new ones replace: their entities and buckets change too.
+        replaced = keep("replaced", on_days(table("stg_payment_events"), days).join(arrived.select("event_id"), "event_id", "left_semi"))
+        both = arrived.unionByName(replaced.select(*arrived.columns))
+
+        def replace(name: str, df: DataFrame) -> DataFrame:
+            """Whole small table; written aside first, since it may be computed from its old self."""
+            keep(name, df).write.mode("overwrite").parquet(f"{out}/{name}")
+            return table(name)
+
+        def merge_days(name: str, updates: DataFrame, keys: list[str]) -> DataFrame:
+            merged = U.upsert(on_days(table(name), days), updates, keys)
+            write_by_day(keep(name, merged), f"{out}/{name}", "dynamic")
+            return table(name)
+
+        def touched(key: str) -> DataFrame:
+            return both.select(key).filter(F.col(key).isNotNull()).distinct()
+
+        def refreshed(name: str, key: str, metrics: Callable[[DataFrame], DataFrame]) -> DataFrame:
+            fresh = metrics(stg.join(touched(key), key, "left_semi"))
+            return replace(name, table(name).join(touched(key), key, "left_anti").unionByName(fresh))
+
+        def dimension(name: str, key: str, metrics: DataFrame, model: Callable[..., DataFrame]) -> DataFrame:
+            fresh = model(metrics.join(touched(key), key, "left_semi"), as_of)
+            if history:
+                return replace(name, U.scd2_merge(table(name), fresh, key, [c for c in metrics.columns if c != key], as_of))
+            return replace(name, table(name).join(touched(key), key, "left_anti").unionByName(fresh))
+
+        # Interval tables are read before staging changes, so that their edge is the last build's.
+        oldest = both.agg(F.min("ingested_at")).first()[0]
+        oldest = oldest.replace(minute=oldest.minute // 15 * 15, second=0, microsecond=0)
+        edge = min([oldest, *(reread_from(table(name)) for name in INTERVALS)])
+        stg = merge_days("stg_payment_events", arrived, ["event_id"])
+        customers = refreshed("int_payment_customer_metrics", "customer_id", I.int_customer_metrics)
+        merchants = refreshed("int_payment_merchant_metrics", "merchant_id", I.int_merchant_metrics)
+        touched_days = I.int_daily_summary(on_days(stg, days))
+        untouched = table("int_payment_daily_summary").filter(
+            ~F.coalesce(F.col(DAY).isin([d for d in days if d is not None]), F.lit(None in days)))
+        daily = replace("int_payment_daily_summary", untouched.unionByName(touched_days))
+        dim_customer = dimension("dim_customer", "customer_id", customers, K.dim_customer)
+        dimension("dim_merchant", "merchant_id", merchants, K.dim_merchant)
+        facts = merge_days("fct_payments", K.fct_payments(arrived, as_of), ["payment_key"])
+        replace("fct_daily_payments", K.fct_daily_payments(daily, as_of))
+        replace("feat_customer_features", X.feat_customer(customers, as_of))
+        replace("feat_merchant_features", X.feat_merchant(merchants, as_of))
+        for name, model in INTERVALS.items():
+            # The edge's day is rewritten whole: its buckets before the edge come from the table.
+            kept = table(name).filter((F.col(DAY) >= F.lit(edge.date())) & (F.col("interval_start") < F.lit(edge)))
+            fresh = keep(name, kept.unionByName(model(stg, edge).select(*kept.columns)))
+            write_by_day(fresh, f"{out}/{name}", "dynamic")
+        replace("analytics_payment_trends", A.payment_trends(facts, table("dim_date"), as_of, start=trends_from))
+        replace("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
+        _commit(spark, out, max(mark, high_water(arrived, "ingested_at")))
     return {name: table(name) for name in MODELS}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -41,6 +42,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below a path; none if it does not exist."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -55,6 +61,22 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextlib.contextmanager
+def workspace(spark: SparkSession, label: str):
+    """A `keep(name, df)` that writes below one scratch folder, which is deleted at the end."""
+    root = scratch(spark, label)
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        delete(spark, root)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once, read back: cuts lineage durably and lets several consumers share one computation."""
     spark = df.sparkSession

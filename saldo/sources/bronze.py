@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from collections.abc import Callable
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saldo.schemas import BRONZE, QUARANTINE
+from saldo.session import exists, workspace
 
 
 def read_row_store(spark, url: str, table: str, column: str, lower, upper, partitions: int,
@@ -97,6 +99,35 @@ def append_bronze(df: DataFrame, path: str) -> None:
     by_day.write.mode("append").partitionBy("ingested_date").parquet(path)
 
 
+def ingest(store: DataFrame, bronze_path: str, ledger_path: str, limit: int | None = None,
+           then: Callable[[datetime], object] | None = None) -> int:
+    """Loads the row store's unloaded events into bronze, then files their ids in the ledger; returns how many.
+
+    May be repeated at any time: ids of the ledger are left out, and a run that failed between the two writes finds
+    its events in bronze, on the ingestion days it looks at, and only files them. `then` runs between the writes with
+    the oldest ingestion time of these events, so what it does is repeated as well until it succeeds.
+    """
+    spark = store.sparkSession
+    if exists(spark, ledger_path):
+        store = not_in_ledger(store, spark.read.schema("event_id string").parquet(ledger_path))
+    with workspace(spark, "ingest") as keep:
+        events = keep("events", ingest_events(store, limit).withColumn("ingested_date", F.to_date("ingested_at")))
+        days = [r[0] for r in events.select("ingested_date").distinct().collect()]  # one value per calendar day
+        new = events
+        if exists(spark, bronze_path):
+            on_days = F.col("ingested_date").isin([d for d in days if d is not None])
+            if None in days:
+                on_days |= F.col("ingested_date").isNull()
+            stored = spark.read.schema(BRONZE).parquet(bronze_path).filter(on_days)
+            new = events.join(stored.select("event_id"), "event_id", "left_anti")
+        append_bronze(new.select(*BRONZE.names), bronze_path)
+        oldest = events.agg(F.min("ingested_at")).first()[0]
+        if then is not None and oldest is not None:
+            then(oldest)
+        events.select("event_id").write.mode("append").parquet(ledger_path)
+        return events.count()
+
+
 def ingest_profile(events: DataFrame) -> DataFrame:
     """Value counts of event type and provider and the ingestion range, as (metric, value, n)."""
     counts = events.groupingSets(

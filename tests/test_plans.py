@@ -10,6 +10,8 @@ from saldo.plans import batch as B
 from saldo.plans import intermediate as I
 from saldo.plans import marts as K
 from saldo.plans.staging import stg_payment_events
+from saldo.session import shared_dir
+from saldo.sources import bronze as S
 from workload import adapters as W
 
 AUDIT = {"dw_created_at", "dw_updated_at", "valid_from", "valid_to", "feature_timestamp"}
@@ -41,6 +43,65 @@ def test_incremental_build_equals_a_full_one(spark, sf, tmp_path):
         assert got == sorted(map(str, want.select(cols).collect())), name
 
 
+def test_increment_finds_ties_and_late_rows_and_rewrites_only_what_they_touch(spark, sf, tmp_path):
+    import datetime as dt
+
+    bronze, source, out = W.bronze(spark, sf), str(tmp_path / "bronze"), str(tmp_path / "out")
+    S.append_bronze(bronze.unionByName(bronze.filter("amount_cents % 3 = 0")), source)
+    first = B.run_batch(spark, source, out, W.AS_OF)
+    total = bronze.select("event_id").distinct().count()
+    assert first["stg_payment_events"].count() == first["fct_payments"].count() == total
+    mark = bronze.agg(F.max("ingested_at")).first()[0]
+    someone = bronze.filter("customer_id IS NOT NULL").orderBy("event_id").limit(1)
+    name = someone.first()["customer_id"]
+    for k, late in enumerate((0, 0, 50)):
+        new = someone.withColumn("event_id", F.lit(f"late-{k}")).withColumn("ingested_at", F.lit(mark - dt.timedelta(minutes=late)))
+        S.append_bronze(new, source)
+        shared = Path(shared_dir(spark))
+        left = set(shared.iterdir())
+        step = B.run_incremental(spark, source, out, f"2024-07-0{k + 1} 00:00:00")
+        assert step["stg_payment_events"].count() == step["fct_payments"].count() == total + k + 1
+        changed = step["dim_customer"].filter(F.col("valid_from") != F.lit(W.AS_OF).cast("timestamp")).collect()
+        assert [r["customer_id"] for r in changed] == [name]
+        assert set(shared.iterdir()) == left, "what was written aside is deleted"
+    full = B.run_batch(spark, source, str(tmp_path / "full"), "2024-07-03 00:00:00")
+    for model, want in full.items():
+        cols = [c for c in want.columns if c not in AUDIT]
+        assert sorted(map(str, step[model].select(cols).collect())) == sorted(map(str, want.select(cols).collect())), model
+
+
+def test_increment_keeps_history_when_asked(spark, sf, tmp_path):
+    bronze, source, out = W.bronze(spark, sf), str(tmp_path / "bronze"), str(tmp_path / "out")
+    cut = F.lit("2024-01-25 00:00:00").cast("timestamp")
+    S.append_bronze(bronze.filter(F.col("ingested_at") < cut), source)
+    before = {r["customer_id"]: r["total_transactions"] for r in B.run_batch(spark, source, out, W.AS_OF)["dim_customer"].collect()}
+    S.append_bronze(bronze.filter(F.col("ingested_at") >= cut), source)
+    dim = B.run_incremental(spark, source, out, "2024-07-01 00:00:00", history=True)["dim_customer"].collect()
+    closed = {r["customer_id"]: r["total_transactions"] for r in dim if not r["is_current"]}
+    assert closed and all(before[k] == n for k, n in closed.items())
+    current = {r["customer_id"]: r["total_transactions"] for r in dim if r["is_current"]}
+    assert sum(current.values()) == bronze.filter("customer_id IS NOT NULL").count()
+
+
+def test_increment_reads_only_recent_days_of_bronze(spark, sf, tmp_path):
+    import datetime as dt
+
+    source = str(tmp_path / "bronze")
+    S.append_bronze(W.bronze(spark, sf), source)
+    rows = stg_payment_events(B.bronze_since(spark, source, dt.datetime(2024, 1, 20)), dt.datetime(2024, 1, 20))
+    assert "ingested_date" in re.search(r"PartitionFilters: \[(.*?)\]", plan_of(rows)).group(1)
+
+
+def test_scheduled_job_runs_from_the_row_store(spark, sf, tmp_path):
+    store, paths = W.row_store(spark, sf), [str(tmp_path / n) for n in ("bronze", "ledger", "out")]
+    wanted = store.filter("NOT loaded_to_iceberg")
+    parts = wanted.filter("id % 2 = 0"), wanted
+    for part in parts:
+        for _ in range(2):
+            got = B.run_pipeline(spark, part, *paths, W.AS_OF)
+            assert got["fct_payments"].count() == part.count()
+
+
 def test_facts_are_cut_by_day_and_prune(spark, sf, tmp_path):
     path = str(tmp_path / "facts")
     B.write_by_day(K.fct_payments(stg_payment_events(W.bronze(spark, sf)), W.AS_OF), path)

@@ -148,3 +148,23 @@ def test_partition_upsert_touches_only_its_days(spark, tmp_path):
     for _ in range(2):
         U.upsert_partitions(spark, path, batch, ["k"], "d")
     assert sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 3), ("c", 4), ("n", 5)]
+
+
+def test_partition_upsert_refuses_a_fine_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(str(i), str(i), T0) for i in range(5)], "k string, d string, ingested_at timestamp")
+    rows.write.partitionBy("d").parquet(path)
+    with pytest.raises(ValueError):
+        U.upsert_partitions(spark, path, rows, ["k"], "d", most=4)
+
+
+def test_ingest_is_repeatable(spark, tmp_path):
+    bronze, ledger = str(tmp_path / "b"), str(tmp_path / "l")
+    rows = [(i, f"e{i}", minutes(600 * i), False) for i in range(8)]
+    schema = "id int, event_id string, ingested_at timestamp, loaded_to_iceberg boolean"
+    store = spark.createDataFrame(rows, schema)
+    assert S.ingest(store.limit(3), bronze, ledger) == 3
+    assert S.ingest(store, bronze, str(tmp_path / "lost")) == 8  # as after a failure between the two writes
+    assert S.ingest(store, bronze, ledger) == 5
+    assert S.ingest(store, bronze, ledger) == 0
+    assert sorted(r["event_id"] for r in spark.read.parquet(bronze).collect()) == [f"e{i}" for i in range(8)]

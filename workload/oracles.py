@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from saldo import constants as C
 from workload import adapters as W
+from workload.content import CONTENT, LATER
 
 ORACLES: dict[str, str] = {}
 
@@ -190,7 +191,8 @@ ORACLES["m09_fct_daily_incremental"] = f"""WITH {DS} SELECT {day('event_date')}
 ORACLES["m05_dim_customer"] = f"""WITH {CM} SELECT {KEY('customer_id')} AS customer_key, customer_id, customer_tier, total_revenue_cents,
   {ts(AS_OF)} AS valid_from, CAST(NULL AS VARCHAR) AS valid_to, true AS is_current FROM cm"""
 ORACLES["m05_dim_customer_incremental"] = f"""WITH {CM} SELECT {KEY('customer_id')} AS customer_key, customer_id,
-  total_transactions, total_revenue_cents, customer_tier FROM cm"""
+  total_transactions, total_revenue_cents, customer_tier, CASE WHEN customer_id IN (SELECT customer_id FROM stg WHERE ingested_at >= TIMESTAMP '2024-01-20')
+  THEN {ts(AS_OF)} ELSE {ts("TIMESTAMP '2024-01-20'")} END AS valid_from FROM cm"""
 ORACLES["m06_dim_merchant"] = f"""WITH {MM} SELECT {KEY('merchant_id')} AS merchant_key, merchant_id, health_category, health_score,
   {ts(AS_OF)} AS valid_from, CAST(NULL AS VARCHAR) AS valid_to, true AS is_current FROM mm"""
 
@@ -227,7 +229,7 @@ SELECT customer_id, t0 AS customer_tier, p0 AS payment_risk_profile, {ts("TIMEST
   CASE WHEN changed THEN {ts(AS_OF)} END AS valid_to, NOT changed AS is_current FROM j WHERE known
 UNION ALL SELECT customer_id, t1, p1, {ts(AS_OF)}, NULL, true FROM j WHERE changed"""
 ORACLES["m11_incremental_filter"] = f"""WITH {STG} SELECT event_id, {ts('ingested_at')} AS ingested_at, event_category FROM stg
-WHERE ingested_at > (SELECT max(ingested_at) FROM stg WHERE ingested_at < TIMESTAMP '2024-01-20')"""
+WHERE ingested_at >= (SELECT max(ingested_at) FROM stg WHERE ingested_at < TIMESTAMP '2024-01-20')"""
 
 # --- intervals ---------------------------------------------------------------------------------------
 
@@ -1010,19 +1012,15 @@ _SUITE = (
 )
 ORACLES["q05_quality_suite"] = f"""WITH {_ALL}, report AS ({' UNION ALL '.join(_SUITE)})
 SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM report"""
-_COUNTS = {
-    "stg_payment_events": "stg", "int_payment_customer_metrics": "cm", "int_payment_merchant_metrics": "mm", "int_payment_daily_summary": "ds",
-    "dim_customer": "cm", "dim_merchant": "mm", "dim_date": "dd", "fct_payments": "stg", "fct_daily_payments": "ds",
-    "feat_customer_features": "fc", "feat_merchant_features": "fm", "analytics_payment_intervals": _INTERVALS,
-    "analytics_payment_summary": _INTERVALS, "analytics_risk_overview": _INTERVALS,
-    "analytics_provider_comparison": "(SELECT DISTINCT b, provider FROM bk)",
-    "analytics_payment_trends": f"(SELECT * FROM dd WHERE date_key BETWEEN DATE '2024-01-01' AND CAST({AS_OF} AS DATE))",
-    "analytics_customer_segments": """(SELECT DISTINCT customer_tier FROM cm UNION ALL SELECT DISTINCT fraud_risk_category || '2' FROM cm
-      UNION ALL SELECT DISTINCT churn_risk_category || '3' FROM cm UNION ALL SELECT DISTINCT preferred_payment_method FROM cm WHERE preferred_payment_method IS NOT NULL)""",
-}
-ORACLES["m12_batch_build"] = f"WITH {_ALL} " + " UNION ALL ".join(
-    f"SELECT '{name}' AS model, count(*) AS row_count FROM {source}" for name, source in _COUNTS.items())
-ORACLES["m12_incremental_build"] = ORACLES["m12_batch_build"]
+ORACLES["m12_ingest_twice"] = ORACLES["s06_ingest_events"]
+
+
+_NEWER = "SELECT {0} FROM stg WHERE ingested_at >= TIMESTAMP '2024-01-20 10:07:00'"
+_WRITTEN = "CASE WHEN {0} IN (" + _NEWER + f") THEN {ts('TIMESTAMP ' + repr(LATER))} ELSE {ts(AS_OF)} END"
+ORACLES["m12_incremental_dimensions"] = f"WITH {_ALL} " + " UNION ALL ".join(
+    f"SELECT '{dim}' AS dimension, {key} AS entity, {_WRITTEN.format(key)} AS valid_from, {_WRITTEN.format(key)} AS dw_created_at, "
+    f"{_WRITTEN.format(key)} AS dw_updated_at, true AS is_current FROM {source}"
+    for dim, key, source in (("dim_customer", "customer_id", "cm"), ("dim_merchant", "merchant_id", "mm")))
 
 # --- training ----------------------------------------------------------------------------------------------------------
 
@@ -1060,3 +1058,15 @@ ORACLES["l05_stratified_split"] = f"""WITH {LABELLED}, d AS (SELECT customer_id,
 c AS (SELECT label, quantile_disc(u, 0.2) AS cut, count(*) AS n FROM d GROUP BY 1)
 SELECT customer_id, label, CASE WHEN u <= CASE WHEN (SELECT min(n) FROM c) >= 2 THEN cut ELSE 0.2e0 END THEN 'test' ELSE 'train' END AS part
 FROM d JOIN c USING (label)"""
+
+# --- the whole build ---------------------------------------------------------------------------------------------
+
+
+def _build_content() -> str:
+    """Every row of every model as its key and a measure, from the SQL of the models' own queries."""
+    return " UNION ALL ".join(
+        f"SELECT '{model}' AS model, concat_ws('|', {', '.join(keys)}) AS key, CAST({measure} AS DOUBLE) AS measure FROM ({ORACLES[name]})"
+        for model, (name, keys, measure) in CONTENT.items())
+
+
+ORACLES["m12_batch_build"] = ORACLES["m12_incremental_build"] = _build_content()

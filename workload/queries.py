@@ -36,6 +36,7 @@ from saldo.sources import streams as J
 from saldo.streaming import jobs as D
 from workload import adapters as W
 from workload import streams as WS
+from workload.content import CONTENT, LATER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -870,7 +871,7 @@ def _(spark, sf):
     dim = K.dim_customer(I.int_customer_metrics(old), "2024-01-20 00:00:00")
     fresh = K.dim_customer(I.int_customer_metrics(K.touched_entities(stg, "customer_id", cut)), W.AS_OF)
     return U.upsert(dim, fresh, ["customer_key"], "dw_updated_at").select(
-        "customer_key", "customer_id", "total_transactions", "total_revenue_cents", "customer_tier")
+        "customer_key", "customer_id", "total_transactions", "total_revenue_cents", "customer_tier", "valid_from")
 
 
 @query("m06_dim_merchant")
@@ -902,7 +903,7 @@ def _(spark, sf):
     stg = staged(spark, sf)
     old, _new = halves(stg, cut="2024-01-20 12:00:00")
     table = I.int_daily_summary(old)
-    fresh = I.int_daily_summary(K.touched_days(stg, dt.datetime(2024, 1, 20, 12) - dt.timedelta(microseconds=1)))
+    fresh = I.int_daily_summary(K.touched_days(stg, dt.datetime(2024, 1, 20, 12)))
     merged = U.upsert(table, fresh, ["event_date"], "event_date")
     return merged.select("event_date", "total_transactions", "total_revenue_cents", "unique_customers")
 
@@ -939,31 +940,66 @@ def _(spark, sf):
         "interval_start", "transaction_count", "revenue_cents", "unique_customers", "success_rate_pct")
 
 
+def _content(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every row of every model, as its key and a measure."""
+    result = None
+    for name, (_, keys, measure) in CONTENT.items():
+        part = plain(tables[name].select(*keys, measure))
+        part = part.select(F.lit(name).alias("model"), F.concat_ws("|", *keys).alias("key"), F.col(measure).cast("double").alias("measure"))
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+def twice_ingested(spark, sf) -> DataFrame:
+    """Bronze in which a third of the events are there in an older state as well, and some in the same state again."""
+    rows = W.bronze(spark, sf)
+    draw = F.pmod(F.crc32("event_id"), F.lit(6))
+    older = rows.filter(draw < 2).withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 20 MINUTES")) \
+        .withColumn("amount_cents", F.lit(1).cast("bigint")).withColumn("status", F.lit("stale"))
+    return rows.unionByName(older).unionByName(rows.filter(draw == 3))
+
+
 @query("m12_batch_build")
 def _(spark, sf):
-    """The whole build, written and counted."""
+    """The whole build over bronze with repeated ids, every row of every model."""
     source, out = scratch(spark, "bronze"), scratch(spark, "models")
-    W.bronze(spark, sf).write.parquet(source)
-    return _row_counts(B.run_batch(spark, source, out, W.AS_OF))
+    S.append_bronze(twice_ingested(spark, sf), source)
+    return _content(B.run_batch(spark, source, out, W.AS_OF))
 
 
-def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    result = None
-    for name, df in tables.items():
-        part = df.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("row_count"))
-        result = part if result is None else result.unionByName(part)
-    return result
+def grown_build(spark, sf) -> dict[str, DataFrame]:
+    """The build over the first half of the same bronze, then brought up to date in place."""
+    rows = twice_ingested(spark, sf)
+    old, new = halves(rows, cut="2024-01-20 10:07:00")
+    source, out = scratch(spark, "bronze"), scratch(spark, "models")
+    S.append_bronze(old, source)
+    B.run_batch(spark, source, out, W.AS_OF)
+    S.append_bronze(new, source)
+    return B.run_incremental(spark, source, out, LATER)
 
 
 @query("m12_incremental_build")
 def _(spark, sf):
-    """The build over the first half of the events, then brought up to date in place."""
-    old, _new = halves(W.bronze(spark, sf), cut="2024-01-20 10:07:00")
-    first, whole, out = (scratch(spark, name) for name in ("bronze", "bronze", "models"))
-    old.write.parquet(first)
-    W.bronze(spark, sf).write.parquet(whole)
-    B.run_batch(spark, first, out, W.AS_OF)
-    return _row_counts(B.run_incremental(spark, whole, out, W.AS_OF))
+    tables = grown_build(spark, sf)
+    return _content(tables | {"analytics_payment_trends": tables["analytics_payment_trends"].filter(F.col("date_key") <= F.to_date(at()))})
+
+
+@query("m12_incremental_dimensions")
+def _(spark, sf):
+    """Audit columns of the dimensions after an increment: only entities with newer rows are written anew."""
+    tables = grown_build(spark, sf)
+    part = lambda name, key: tables[name].select(
+        F.lit(name).alias("dimension"), F.col(key).alias("entity"), "valid_from", "dw_created_at", "dw_updated_at", "is_current")
+    return part("dim_customer", "customer_id").unionByName(part("dim_merchant", "merchant_id"))
+
+
+@query("m12_ingest_twice")
+def _(spark, sf):
+    """Bronze after the row store was ingested, ingested again, and ingested once more with the ledger lost."""
+    source, ledger = scratch(spark, "bronze"), scratch(spark, "ledger")
+    for path in (ledger, ledger, f"{ledger}-new"):
+        S.ingest(W.row_store(spark, sf), source, path)
+    return spark.read.parquet(source).select(*Z.BRONZE.names)
 
 
 # --- analytics ----------------------------------------------------------------------------------------------
