@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml import Pipeline
@@ -63,30 +64,62 @@ def synthetic_labels(df: DataFrame, kind: str, seed: int = 42, key: str = "custo
     return df.withColumn("label", (draw < label_probability(kind)).cast("int"))
 
 
-def ensure_two_classes(df: DataFrame, seed: int = 42, key: str = "customer_id") -> DataFrame | None:
-    """None below 20 rows; with a single class the fifth of the rows with the lowest draws is flipped."""
+DRAWS = 2**32
+BINS = 2**16
+
+
+def exact_cuts(df: DataFrame, draw: Column, share: float) -> dict:
+    """By label, the number of rows and the least draw that at least `share` of the rows do not exceed; exact.
+
+    Draws are whole multiples of 2^-32. Counts of 65,536 bins name the bin that holds the cut, counts within
+    that bin name the cut: two small aggregates, whatever the number of rows.
+    """
+    rows = df.select("label", (draw * DRAWS).cast("bigint").alias("u"))
+    split = rows.select("label", F.expr(f"u div {BINS}").alias("bin"), F.expr(f"u % {BINS}").alias("rest"))
+
+    def nth(counts: list, wanted: int) -> tuple[int, int]:
+        """The value that holds the wanted row, and how many rows lie before it."""
+        before = 0
+        for value, n in sorted(counts):
+            if before + n >= wanted:
+                return value, before
+            before += n
+        raise ValueError("fewer rows than wanted")
+
+    by_bin: dict = {}
+    for r in split.groupBy("label", "bin").count().collect():  # at most 65,536 per label
+        by_bin.setdefault(r["label"], []).append((r["bin"], r["count"]))
+    totals = {label: sum(n for _, n in counts) for label, counts in by_bin.items()}
+    wanted = {label: max(1, math.ceil(share * n)) for label, n in totals.items()}
+    found = {label: nth(counts, wanted[label]) for label, counts in by_bin.items()}
+    if not found:
+        return {}
+    inside = reduce(lambda c, x: c | x, [(F.col("label") == k) & (F.col("bin") == b) for k, (b, _) in found.items()])
+    by_rest: dict = {}
+    for r in split.filter(inside).groupBy("label", "rest").count().collect():
+        by_rest.setdefault(r["label"], []).append((r["rest"], r["count"]))
+    cut = {k: b * BINS + nth(by_rest[k], wanted[k] - before)[0] for k, (b, before) in found.items()}
+    return {k: (totals[k], cut[k] / DRAWS) for k in cut}
+
+
+def ensure_two_classes(df: DataFrame, seed: int = 42, key: str = "customer_id", min_rows: int = MIN_ROWS) -> DataFrame | None:
+    """None below `min_rows`, as in the source system; with a single class the fifth of the rows with the lowest draws is flipped."""
     n, low, high = df.agg(F.count(F.lit(1)), F.min("label"), F.max("label")).first()
-    if n < MIN_ROWS:
+    if n < min_rows:
         return None
     if low != high:
         return df
     draw = keyed_uniform(F.col(key), seed, "flip")
-    # The cut is the draw below which a fifth of the keys fall.
-    cut = df.agg(F.percentile_approx(draw, 0.2, 100_000)).first()[0]
+    cut = exact_cuts(df, draw, 0.2)[low][1]
     return df.withColumn("label", F.when(draw <= cut, 1 - F.col("label")).otherwise(F.col("label")))
 
 
 def stratified_split(df: DataFrame, test: float = 0.2, seed: int = 42, key: str = "customer_id"):
-    """(train, test) by a keyed draw; with two rows or more in every class, the same share of each.
-
-    Each class is cut at its own quantile of the draw, found by one aggregation.
-    """
+    """(train, test) by a keyed draw; with two rows or more in every class, exactly the same share of each."""
     draw = keyed_uniform(F.col(key), seed, "split")
-    per_class = df.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx(draw, test, 100_000).alias("cut"))
-    rows = per_class.collect()  # one row per class
-    if min(r["n"] for r in rows) >= 2:
-        cut = reduce(lambda c, r: c.when(F.col("label") == r["label"], F.lit(r["cut"])), rows, F)
+    cuts = exact_cuts(df, draw, test)
+    if cuts and min(n for n, _ in cuts.values()) >= 2:
+        cut = reduce(lambda c, x: c.when(F.col("label") == x[0], F.lit(x[1][1])), cuts.items(), F)
     else:
         cut = F.lit(test)
     marked = df.withColumn("_test", draw <= cut)

@@ -385,6 +385,5 @@ def captured(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
         digest.isNotNull(),
         F.concat(F.expr("substring(_b, 1, length(_b) - 2)"), F.lit(',"hmacSignature":"'), digest, F.lit('"}}'))
     ).otherwise(F.col("_b"))
-    # Only readable objects can carry a signature.
-    whole = rows.filter((n % 101 != 0) & (n % 127 != 0)).withColumn("_b", body)
+    whole = rows.withColumn("_b", body)
     return whole.select("offset", signed.cast("binary").alias("value"))

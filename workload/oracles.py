@@ -411,6 +411,8 @@ ORACLES["a09_dispute_patterns"] = f"""WITH {judged_stream('disputes')} SELECT pr
   CAST(sum(amount) AS DOUBLE) AS total_disputed FROM s WHERE reason_code IS NULL GROUP BY ALL"""
 ORACLES["a10_recent"] = f"""WITH {judged_stream('charges')} SELECT event_id, {ts('created_at')} AS created_at, CAST(amount AS DOUBLE) AS amount
   FROM (SELECT * FROM s WHERE reason_code IS NULL ORDER BY created_at DESC, event_id LIMIT 10)"""
+ORACLES["a10_recent_quarantine"] = f"""WITH {judged_stream('charges')} SELECT event_id, {ts('created_at')} AS created_at, reason_code AS rejection_reason
+  FROM (SELECT * FROM s WHERE reason_code IS NOT NULL ORDER BY created_at DESC, event_id LIMIT 10)"""
 ORACLES["a16_rejection_counts"] = f"""WITH {judged_stream('charges')} SELECT reason_code AS rejection_reason, count(*) AS rejected
   FROM s WHERE reason_code IS NOT NULL GROUP BY 1"""
 
@@ -736,8 +738,9 @@ _IDS = " ".join(f"WHEN '{p}' THEN {UNIFIED[p]['event_id']}" for p in UNIFIED)
 _AMTS = f"CASE WHEN provider = 'braintree' THEN {BT_AMOUNT} ELSE amount END"
 ORACLES["n26_normalize"] = f"""WITH {JUDGED}, {DLQ} SELECT CASE provider {_IDS} END AS event_id, 'valid' AS outcome, event_type, {_AMTS} AS amount_cents FROM j WHERE ok
 UNION ALL SELECT event_id, 'dlq', first_code, NULL FROM dlq"""
-ORACLES["n27_explode_adyen_batch"] = f"""WITH {WH}, r AS (SELECT *, unnest([0, 1]) AS item_no FROM w WHERE provider = 'adyen' AND form = 'object'),
-c AS (SELECT *, CASE WHEN item_no = 0 THEN raw_type ELSE 'REFUND' END AS code FROM r)
+ORACLES["n27_explode_adyen_batch"] = f"""WITH {WH}, r AS (SELECT *, unnest([0, 1]) AS item_no FROM w WHERE provider = 'adyen' AND form <> 'cut'),
+-- A list in place of an item is an item without fields; a request that is cut off has no items.
+c AS (SELECT * REPLACE (CASE WHEN form = 'object' THEN amount END AS amount), CASE WHEN form = 'object' THEN CASE WHEN item_no = 0 THEN raw_type ELSE 'REFUND' END END AS code FROM r)
 SELECT n AS "offset", item_no, 'psp_' || id || '_' || code AS key, CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END AS live, code AS event_code,
   CAST(amount AS VARCHAR) AS amount FROM c"""
 ORACLES["n28_route_topic"] = f"""WITH {WH} SELECT n, 'webhooks.' || provider || '.' || CASE provider
@@ -765,11 +768,11 @@ _STRUCT = {
 _STRUCT_ARMS = " ".join(f"WHEN '{p}' THEN {e}" for p, e in _STRUCT.items())
 ORACLES["n29_check_structure"] = f"""WITH {WH} SELECT provider, n AS "offset", array_to_string(list_filter(
   CASE WHEN form <> 'object' THEN ['json_invalid'] ELSE CASE provider {_STRUCT_ARMS} END END, lambda e: e IS NOT NULL), ',') AS codes FROM w"""
-ORACLES["n30_audit_signatures"] = f"""WITH {WH}, v AS (SELECT provider, n, CASE WHEN n % 11 = 0 THEN CASE provider WHEN 'adyen' THEN 'missing hmacSignature' ELSE 'missing signature header' END
+ORACLES["n30_audit_signatures"] = f"""WITH {WH}, v AS (SELECT provider, n, CASE WHEN provider = 'adyen' AND form <> 'object' THEN 'missing hmacSignature' WHEN n % 11 = 0 THEN CASE provider WHEN 'adyen' THEN 'missing hmacSignature' ELSE 'missing signature header' END
   WHEN provider = 'stripe' AND n % 17 = 0 THEN 'invalid signature header format' WHEN provider = 'stripe' AND n % 19 = 0 THEN 'invalid timestamp format'
   WHEN provider = 'stripe' AND n % 13 = 0 THEN 'timestamp outside tolerance window' WHEN provider = 'stripe' AND n % 23 = 0 THEN 'no v1 signature'
   -- The fixture signs an amount of 0 as "0"; the audited rule signs it as empty text, so it does not match.
-  WHEN n % 7 = 0 OR (provider = 'adyen' AND amount = 0) THEN 'signature mismatch' END AS reason FROM w WHERE provider <> 'braintree' AND (provider <> 'adyen' OR form = 'object'))
+  WHEN n % 7 = 0 OR (provider = 'adyen' AND amount = 0) THEN 'signature mismatch' END AS reason FROM w WHERE provider <> 'braintree')
 SELECT provider, n AS "offset", CASE WHEN reason IS NULL THEN 'valid' WHEN reason LIKE 'timestamp outside%' THEN 'expired' ELSE 'invalid' END AS verdict, reason FROM v"""
 ORACLES["n31_decode_braintree"] = f"""WITH {WH} SELECT n, CASE WHEN n % 13 = 0 THEN 'unknown' WHEN n % 5 = 0 THEN raw_type WHEN n % 11 = 0 OR n % 7 = 0 THEN 'unknown' ELSE raw_type END AS kind,
   CASE WHEN n % 13 = 0 THEN NULL WHEN n % 5 = 0 OR n % 11 <> 0 THEN {ISO} END AS timestamp,
@@ -793,7 +796,7 @@ ORACLES["v11_dedupe"] = f"""WITH {PE} SELECT event_id, n * 10 + 1 AS "offset", a
 ORACLES["v12_dedupe_dlq"] = f"""WITH {JUDGED}, {DLQ} SELECT {DLQ_KEY} AS dlq_key, event_id, topic AS source_topic, n % 3 AS kafka_partition, n AS kafka_offset
 FROM dlq QUALIFY row_number() OVER (PARTITION BY {DLQ_KEY} ORDER BY n % 3, n) = 1"""
 ORACLES["v13_stream_interval_metrics"] = f"""WITH {BK} SELECT {ts('b')} AS interval_start, {ts("b + INTERVAL '15 minutes'")} AS interval_end, count(*) AS transaction_count,
-  {n(OK)} AS successful_count, {n(BAD)} AS failed_count, {REVENUE} AS revenue_cents, {n(HIGH)} AS high_risk_count FROM bk GROUP BY b"""
+  {n(OK)} AS successful_count, {n(BAD)} AS failed_count, {REVENUE} AS revenue_cents, {n(HIGH)} AS high_risk_count, true AS customers_close, true AS merchants_close FROM bk GROUP BY b"""
 _NORM = f"{JUDGED}, u AS (SELECT *, CASE provider {_IDS} END AS event_id, {_AMTS} AS cents FROM j WHERE ok)"
 
 
@@ -945,8 +948,11 @@ ORACLES["q02_check_not_null"] = f"WITH {PE} " + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS failures FROM pe"
     for c in ("event_id", "customer_id", "merchant_id", "fraud_score", "failure_code"))
 ORACLES["q03_check_accepted"] = f"WITH {PE} SELECT currency AS value, count(*) AS failures FROM pe WHERE currency NOT IN ('USD', 'EUR', 'GBP') GROUP BY 1"
-ORACLES["q04_check_freshness"] = """SELECT * FROM (VALUES (10, 10, 'pass'), (45, 45, 'warn'), (90, 90, 'error')) v(late, age_minutes, status)
-WHERE EXISTS (SELECT 1 FROM events)"""
+ORACLES["q04_check_freshness"] = f"""WITH {STG}, m AS (SELECT max(ingested_at) AS top FROM stg),
+p AS (SELECT provider, max(ingested_at) AS newest FROM stg GROUP BY 1), g AS (SELECT unnest([10, 45, 90]) AS late),
+a AS (SELECT provider, late, newest, top + late * INTERVAL 1 MINUTE AS now FROM p, g, m)
+SELECT provider, late, CAST(floor((epoch_us(now) - epoch_us(newest)) / 60000000) AS BIGINT) AS age_minutes,
+  CASE WHEN newest < now - INTERVAL 60 MINUTE THEN 'error' WHEN newest < now - INTERVAL 30 MINUTE THEN 'warn' ELSE 'pass' END AS status FROM a"""
 ORACLES["q11_check_relationship"] = f"""WITH {STG}, old AS (SELECT DISTINCT customer_id FROM stg WHERE ingested_at < TIMESTAMP '2024-01-02' AND customer_id IS NOT NULL)
 SELECT {n('customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM old)')} AS orphan_rows,
   count(DISTINCT customer_id) FILTER (WHERE customer_id NOT IN (SELECT customer_id FROM old)) AS orphan_keys, {n('customer_id IS NULL')} AS null_key_rows FROM stg"""
@@ -962,7 +968,10 @@ ORACLES["q13_apply_review"] = f"""WITH {_KEPT} SELECT n AS kafka_offset, first_c
   CASE WHEN {_DECIDED} THEN 'lead' WHEN n % 5 = 0 THEN 'ops' END AS reviewed_by,
   CASE first_code WHEN 'INVALID_CURRENCY' THEN 'discarded' WHEN 'MISSING_EVENT_ID' THEN 'reprocessed' ELSE CASE WHEN n % 5 = 0 THEN 'discarded' END END AS resolution,
   CASE WHEN {_DECIDED} THEN {ts("TIMESTAMP '2024-06-02'")} WHEN n % 5 = 0 THEN {ts(AS_OF)} END AS reviewed_at FROM kept"""
-ORACLES["q13_reprocess"] = f"WITH {_KEPT} SELECT n AS kafka_offset, first_code AS failure_reason FROM kept WHERE first_code = 'MISSING_EVENT_ID'"
+ORACLES["q13_reprocess"] = f"""WITH {_KEPT}, r AS (SELECT *, provider = 'stripe' AND n % 2 = 0 AS fixed,
+  ltrim(replace(codes, 'MISSING_EVENT_ID', ''), ',') AS rest FROM kept WHERE first_code = 'MISSING_EVENT_ID')
+SELECT CASE WHEN fixed AND rest = '' THEN 'stripe:fixed_' || n ELSE CAST(n AS VARCHAR) END AS ref,
+  CASE WHEN NOT fixed THEN first_code WHEN rest = '' THEN 'valid' ELSE split_part(rest, ',', 1) END AS failure_reason FROM r"""
 
 # The declared tests over every model, counted directly.
 _ALL = f"{STG}, {customer_metrics()}, {merchant_metrics()}, {daily_summary()}, bk AS (SELECT *, {BUCKET} AS b FROM stg), {DATES}, {FC}, {FM}"
@@ -1059,6 +1068,22 @@ c AS (SELECT label, quantile_disc(u, 0.2) AS cut, count(*) AS n FROM d GROUP BY
 SELECT customer_id, label, CASE WHEN u <= CASE WHEN (SELECT min(n) FROM c) >= 2 THEN cut ELSE 0.2e0 END THEN 'test' ELSE 'train' END AS part
 FROM d JOIN c USING (label)"""
 
+_PARTS = """d AS (SELECT customer_id, label, {draw} AS u FROM {labels}), c AS (SELECT label, quantile_disc(u, 0.2) AS cut, count(*) AS n FROM d GROUP BY 1),
+t AS (SELECT d.* FROM d JOIN c USING (label) WHERE u <= CASE WHEN (SELECT min(n) FROM c) >= 2 THEN cut ELSE 0.2e0 END)
+SELECT CASE WHEN (SELECT count(*) FROM d) < 20 THEN 0 ELSE (SELECT count(*) FROM t) END AS test_rows,
+  CASE WHEN (SELECT count(*) FROM d) < 20 THEN 0 ELSE (SELECT CAST(coalesce(sum(label), 0) AS BIGINT) FROM t) END AS positives,
+  true AS scores_valid, true AS metrics_valid"""
+ORACLES["l07_train_churn"] = f"WITH {LABELLED}, " + _PARTS.format(draw=draw("split"), labels="lab")
+_FRAUD_P = """least(greatest(CAST(fraud_score_avg AS DOUBLE) * 0.5e0 + a.f * 0.3e0 + a.h * 0.2e0, 0e0), 1e0)"""
+ORACLES["l06_train_fraud"] = f"""WITH {BOTH}, a AS (SELECT avg(CAST(fraud_rate_30d AS DOUBLE)) AS f, avg(CAST(high_risk_transaction_pct AS DOUBLE)) AS h FROM fm),
+lab AS (SELECT customer_id, CASE WHEN {draw('fraud-label')} < {_FRAUD_P} THEN 1 ELSE 0 END AS label FROM fc, a), """ + _PARTS.format(draw=draw("split"), labels="lab")
+_FEATURES = ("fraud_score_avg", "failure_rate_30d", "total_payments_30d", "high_risk_payment_count", "merchant_fraud_rate", "high_risk_transaction_pct", "merchant_health_score")
+ORACLES["l09_feature_importance"] = f"""WITH {CM} SELECT unnest([{', '.join(repr(f) for f in _FEATURES)}]) AS feature, true AS is_share, 1e0 AS total
+WHERE (SELECT count(*) FROM cm) >= 20"""
+_KNOWN = "(customer_id IN (SELECT customer_id FROM cm) AND (SELECT count(*) FROM cm) >= 20)"
+ORACLES["e15_score_with_model"] = f"""WITH {CM}, un AS ({W.UNIFIED_SQL}) SELECT event_id, CASE WHEN {_KNOWN} THEN 'model' ELSE 'rules' END AS churn_score_source,
+  CASE WHEN customer_id IS NOT NULL AND NOT {_KNOWN} THEN {churn_score('0', '5')} END AS rule_score, true AS in_range FROM un"""
+
 # --- the whole build ---------------------------------------------------------------------------------------------
 
 
