@@ -95,24 +95,35 @@ class Anchors:
 
 
 def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """hash, text key, and place, bytes to the left, bytes the last window leaves out, packed in one number.
+    """A row per text and string: hash, text key, whether the text may hold the string more than once, and each
+    place with its bytes to the left and the bytes the last window leaves out, packed in one number.
 
-    A text is told once per task. A text longer than a block is cut into blocks that share 199 bytes.
+    A text is told once per task. A text longer than a block is cut into blocks that share 199 bytes; as these
+    cannot see each other, its strings all count as possibly repeated.
     """
     finder, seen = Anchors(), set()
 
-    def told(parts: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    def told(parts: list[tuple[int, int, bytes, bool]]) -> pa.RecordBatch:
         lengths = np.array([len(p[2]) for p in parts])
         ends = np.cumsum(lengths)
         hashes, place, first, last = finder.find(np.frombuffer(b"".join(p[2] for p in parts), np.uint8), ends)
         part = np.searchsorted(ends, first, "right")
         shift = np.array([p[1] for p in parts])[part] - (ends - lengths)[part]
         packed = ((place + shift) << 16) | ((place - first) << 8) | (place - last)
-        keys = np.array([p[0] for p in parts], np.int64)[part]
-        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(keys), pa.array(packed)], ["hash", "d", "at"])
+        by = np.lexsort((hashes, part))
+        part, hashes, packed = part[by], hashes[by], packed[by]
+        heads = np.flatnonzero(np.diff(part, prepend=-1) | (np.diff(hashes, prepend=np.uint64(0)) != 0))
+        offsets = np.append(heads, len(part))
+        many = (np.diff(offsets) > 1) | np.array([p[3] for p in parts])[part[heads]]
+        keys = np.array([p[0] for p in parts], np.int64)[part[heads]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes[heads].view(np.int64)), pa.array(keys), pa.array(many),
+             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(packed))],
+            ["hash", "d", "many", "ats"],
+        )
 
     for batch in batches:
-        parts: list[tuple[int, int, bytes]] = []
+        parts: list[tuple[int, int, bytes, bool]] = []
         size = 0
         for key, text in zip(batch.column("d").to_pylist(), batch.column("text").to_pylist(), strict=True):
             if len(text) < LENGTH or key in seen:
@@ -123,7 +134,7 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if size + len(part) > BLOCK and parts:
                     yield told(parts)
                     parts, size = [], 0
-                parts.append((key, at, part))
+                parts.append((key, at, part, len(text) > BLOCK))
                 size += len(part)
         if parts:
             yield told(parts)
@@ -229,11 +240,14 @@ def text_classes(rows: DataFrame, hot: int) -> DataFrame:
     """d, e, n_bytes, copies, least id and marks: the anchors whose string occurs elsewhere, and if it is hot."""
     rank = F.struct(F.col("id").isNull().alias("none"), "id")
     classes = rows.groupBy("d", "e", "n_bytes").agg(F.count(F.lit(1)).alias("copies"), F.min(rank).alias("least"))
-    anchors = rows.select("d", "text").mapInArrow(anchor_rows, "hash bigint, d bigint, at bigint").repartition("hash")
-    where = F.struct("d", "at")
-    many = anchors.groupBy("hash").agg(F.min(where).alias("low"), F.max(where).alias("high"), F.count(F.lit(1)).alias("n"))
-    many = many.filter("low != high").select("hash", (F.col("n") > hot).alias("hot"))
-    marks = anchors.join(many, "hash").groupBy("d").agg(F.collect_set(F.struct("at", "hot")).alias("marks"))
+    anchors = rows.select("d", "text").mapInArrow(anchor_rows, "hash bigint, d bigint, many boolean, ats array<bigint>")
+    # Counted with map-side combining, then joined, where adaptive execution splits a hot string.
+    found = anchors.groupBy("hash").agg(
+        F.min("d").alias("low"), F.max("d").alias("high"), F.max("many").alias("many"), F.sum(F.size("ats")).alias("n")
+    )
+    found = found.filter("low != high OR many").select("hash", (F.col("n") > hot).alias("hot"))
+    places = anchors.join(found, "hash").select("d", "hot", F.explode("ats").alias("at"))
+    marks = places.groupBy("d").agg(F.collect_set(F.struct("at", "hot")).alias("marks"))
     return classes.join(marks, "d", "left")
 
 
