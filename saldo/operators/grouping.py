@@ -14,10 +14,8 @@ def distinct_counts(rows: DataFrame, keys: list[str], distinct: dict[str, Column
     The values are stacked as (keys, which, value) and reduced to distinct rows first, on the map side
     too, so the shuffle carries narrow rows spread over all values: a hot key is many small groups.
     """
-    narrow = rows.select(*keys, *[c.cast("string").alias(name) for name, c in distinct.items()])
-    stacked = narrow.unpivot(keys, list(distinct), "_which", "_value").filter(F.col("_value").isNotNull())
-    return stacked.distinct().groupBy(*keys).agg(
-        *[F.count_if(F.col("_which") == name).alias(name) for name in distinct])
+    return distinct_values(rows, keys, distinct).groupBy(*keys).agg(
+        *[F.count_if(F.col("which") == name).alias(name) for name in distinct])
 
 
 def aggregate(
@@ -48,3 +46,22 @@ def aggregate(
         joined = totals.join(counts, keys, "left")
     return joined.select(
         *totals.columns, *[F.coalesce(name, F.lit(0)).alias(name) for name in distinct])
+
+
+def distinct_values(rows: DataFrame, keys: list[str], distinct: dict[str, Column]) -> DataFrame:
+    """Distinct rows (keys, which, value): what distinct counts are taken of."""
+    narrow = rows.select(*keys, *[c.cast("string").alias(name) for name, c in distinct.items()])
+    return narrow.unpivot(keys, list(distinct), "which", "value").filter(F.col("value").isNotNull()).distinct()
+
+
+def merged(parts: DataFrame, values: DataFrame, key: str, measures: dict[str, str], distinct: list[str]) -> DataFrame:
+    """One row per key from partial measures and distinct values of its days.
+
+    `measures` names how each partial measure is merged: sum, min or max.
+    """
+    types = {f.name: f.dataType for f in parts.schema.fields}
+    totals = parts.groupBy(key).agg(*[getattr(F, how)(name).cast(types[name]).alias(name) for name, how in measures.items()])
+    counts = values.select(key, "which", "value").distinct().groupBy(key).agg(
+        *[F.count_if(F.col("which") == name).alias(name) for name in distinct])
+    return totals.join(counts, key, "left").select(
+        *totals.columns, *[F.coalesce(name, F.lit(0)).alias(name) for name in distinct])

@@ -245,14 +245,10 @@ CALENDAR = [
 ]
 
 
-def payment_trends(fct: DataFrame, calendar: DataFrame, as_of, approx: bool = False, start: str = "2024-01-01") -> DataFrame:
-    """Zero-filled daily series from `start` to `as_of`, with running revenue and 7-row moving averages.
-
-    The ordered windows have no partition key, so they see one task: their input is one row per
-    calendar day (at most a few thousand), because the events are aggregated before the join.
-    """
+def trend_days(fct: DataFrame, approx: bool = False) -> DataFrame:
+    """One row per day of facts: what the trends need of it."""
     paid, refunded = F.col("is_successful") == 1, F.col("is_refund") == 1
-    daily = aggregate(fct.drop("date_key").withColumnRenamed("event_date", "date_key"), ["date_key"], [
+    return aggregate(fct.drop("date_key").withColumnRenamed("event_date", "date_key"), ["date_key"], [
         F.count(F.lit(1)).alias("transaction_count"),
         F.sum("is_successful").alias("successful_count"),
         F.sum("is_failed").alias("failed_count"),
@@ -268,6 +264,18 @@ def payment_trends(fct: DataFrame, calendar: DataFrame, as_of, approx: bool = Fa
         F.count_if(provider() == "stripe").alias("stripe_transactions"),
         F.count_if(provider() == "square").alias("square_transactions"),
     ], _reach(), approx)
+
+
+def payment_trends(fct: DataFrame, calendar: DataFrame, as_of, approx: bool = False, start: str = "2024-01-01") -> DataFrame:
+    return trends_of(trend_days(fct, approx), calendar, as_of, start)
+
+
+def trends_of(daily: DataFrame, calendar: DataFrame, as_of, start: str = "2024-01-01") -> DataFrame:
+    """Zero-filled daily series from `start` to `as_of`, with running revenue and 7-row moving averages.
+
+    The ordered windows have no partition key, so they see one task: their input is one row per
+    calendar day (at most a few thousand), because the events are aggregated before the join.
+    """
     days = calendar.filter(
         (F.col("date_key") >= F.lit(start).cast("date"))
         & (F.col("date_key") <= F.to_date(F.lit(as_of)))

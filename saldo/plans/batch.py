@@ -27,7 +27,13 @@ INTERVALS = {
     "analytics_risk_overview": A.risk_overview,
 }
 DAY = "event_date"
-BY_DAY = {"stg_payment_events", "fct_payments", *INTERVALS}
+# What increments are computed from: partial aggregates of each day.
+ENTITIES = {"customer": I.CUSTOMER, "merchant": I.MERCHANT}
+TREND_DAYS = "state_trend_days"
+BY_DAY = {
+    "stg_payment_events", "fct_payments", *INTERVALS,
+    *(f"state_{name}_{part}" for name in ENTITIES for part in ("days", "values")),
+}
 STATE = "load_state"
 MODELS = [
     "stg_payment_events", "int_payment_customer_metrics", "int_payment_merchant_metrics",
@@ -116,6 +122,10 @@ def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of, **settings
     """Builds every model from the bronze table and writes each under `out`; returns the written tables."""
     bronze = spark.read.schema(BRONZE).parquet(bronze_path)
     tables = build(spark, bronze, as_of, lambda name, df: _store(spark, out, name, df), **settings)
+    for name, entity in ENTITIES.items():
+        _store(spark, out, f"state_{name}_days", entity.days(tables["stg_payment_events"]))
+        _store(spark, out, f"state_{name}_values", entity.values(tables["stg_payment_events"]))
+    _store(spark, out, TREND_DAYS, A.trend_days(tables["fct_payments"]))
     _commit(spark, out, high_water(tables["stg_payment_events"], "ingested_at"))
     return tables
 
@@ -167,8 +177,9 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
 
     Bronze is read from `overlap` before the mark, or from `since` if that is older, so rows that tie with the mark or were committed late are found;
     rows already staged are recognised. Tables cut by day rewrite only the days the new rows touch (an event keeps
-    its day, as its provider time never changes). Daily and per-entity tables recompute what was touched over its
-    whole history; dimension rows of other entities stay as they are. With `history` a changed dimension row is
+    its day, as its provider time never changes). Daily tables and the partial aggregates of entities and trends are computed
+    again for these days; entity tables merge the partial aggregates of the touched entities, so no event of another
+    day is read. Dimension rows of other entities stay as they are. With `history` a changed dimension row is
     closed and a new one opened. Intervals restart 30 minutes before the last finished bucket, or at the oldest
     bucket that gained or lost a row. What is written aside is deleted after the commit.
     """
@@ -199,9 +210,21 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
         def touched(key: str) -> DataFrame:
             return both.select(key).filter(F.col(key).isNotNull()).distinct()
 
-        def refreshed(name: str, key: str, metrics: Callable[[DataFrame], DataFrame]) -> DataFrame:
-            fresh = metrics(stg.join(touched(key), key, "left_semi"))
-            return replace(name, table(name).join(touched(key), key, "left_anti").unionByName(fresh))
+        def state(name: str, df: DataFrame) -> DataFrame:
+            """Partial aggregates of the touched days in place of the old ones; a day left without rows is emptied."""
+            stale = on_days(table(name), days).select(DAY).distinct().join(df.select(DAY).distinct(), DAY, "left_anti")
+            if not stale.isEmpty():
+                whole = on_days(table(name), [r[0] for r in table(name).select(DAY).distinct().collect() if r[0] not in days])
+                write_by_day(keep(name, whole.unionByName(df)), f"{out}/{name}")
+            else:
+                write_by_day(keep(name, df), f"{out}/{name}", "dynamic")
+            return table(name)
+
+        def refreshed(name: str, entity: I.Entity, label: str) -> DataFrame:
+            now = on_days(stg, days)
+            partial = state(f"state_{label}_days", entity.days(now)), state(f"state_{label}_values", entity.values(now))
+            fresh = entity.from_days(*(p.join(touched(entity.key), entity.key, "left_semi") for p in partial))
+            return replace(name, table(name).join(touched(entity.key), entity.key, "left_anti").unionByName(fresh))
 
         def dimension(name: str, key: str, metrics: DataFrame, model: Callable[..., DataFrame]) -> DataFrame:
             fresh = model(metrics.join(touched(key), key, "left_semi"), as_of)
@@ -214,12 +237,14 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
         oldest = oldest.replace(minute=oldest.minute // 15 * 15, second=0, microsecond=0)
         edge = min([oldest, *(reread_from(table(name)) for name in INTERVALS)])
         stg = merge_days("stg_payment_events", arrived, ["event_id"])
-        customers = refreshed("int_payment_customer_metrics", "customer_id", I.int_customer_metrics)
-        merchants = refreshed("int_payment_merchant_metrics", "merchant_id", I.int_merchant_metrics)
+        customers = refreshed("int_payment_customer_metrics", I.CUSTOMER, "customer")
+        merchants = refreshed("int_payment_merchant_metrics", I.MERCHANT, "merchant")
         touched_days = I.int_daily_summary(on_days(stg, days))
-        untouched = table("int_payment_daily_summary").filter(
-            ~F.coalesce(F.col(DAY).isin([d for d in days if d is not None]), F.lit(None in days)))
-        daily = replace("int_payment_daily_summary", untouched.unionByName(touched_days))
+
+        def other_days(name: str, column: str) -> DataFrame:
+            return table(name).filter(~F.coalesce(F.col(column).isin([d for d in days if d is not None]), F.lit(None in days)))
+
+        daily = replace("int_payment_daily_summary", other_days("int_payment_daily_summary", DAY).unionByName(touched_days))
         dim_customer = dimension("dim_customer", "customer_id", customers, K.dim_customer)
         dimension("dim_merchant", "merchant_id", merchants, K.dim_merchant)
         facts = merge_days("fct_payments", K.fct_payments(arrived, as_of), ["payment_key"])
@@ -231,7 +256,8 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
             kept = table(name).filter((F.col(DAY) >= F.lit(edge.date())) & (F.col("interval_start") < F.lit(edge)))
             fresh = keep(name, kept.unionByName(model(stg, edge).select(*kept.columns)))
             write_by_day(fresh, f"{out}/{name}", "dynamic")
-        replace("analytics_payment_trends", A.payment_trends(facts, table("dim_date"), as_of, start=trends_from))
+        trends = replace(TREND_DAYS, other_days(TREND_DAYS, "date_key").unionByName(A.trend_days(on_days(facts, days))))
+        replace("analytics_payment_trends", A.trends_of(trends, table("dim_date"), as_of, trends_from))
         replace("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
         _commit(spark, out, max(mark, high_water(arrived, "ingested_at")))
     return {name: table(name) for name in MODELS}

@@ -6,11 +6,15 @@ task, and exact distinct counts are taken over narrow rows spread by value.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.functions import macros as M
-from saldo.operators.grouping import aggregate
+from saldo.operators.grouping import aggregate, distinct_values, merged
+
 
 def ok() -> Column:
     return F.col("status") == "succeeded"
@@ -50,9 +54,43 @@ def _mean(prefix: str) -> Column:
     return M.mean_score(F.col(f"_{prefix}_sum"), F.col(f"_{prefix}_n"))
 
 
-def int_customer_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
-    """One row per customer with volumes, revenue, scores, tiers and tenure."""
-    g = aggregate(stg.filter(F.col("customer_id").isNotNull()), ["customer_id"], [
+@dataclass(frozen=True)
+class Entity:
+    """An entity's aggregate: its additive measures, distinct values, and the columns derived from them.
+
+    Measures are merged over days by summing, but for those named in `extremes`.
+    """
+    key: str
+    measures: Callable[[], list[Column]]
+    distinct: Callable[[], dict[str, Column]]
+    extremes: dict[str, str]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def rows(self, stg: DataFrame) -> DataFrame:
+        return stg.filter(F.col(self.key).isNotNull())
+
+    def metrics(self, stg: DataFrame, approx: bool = False) -> DataFrame:
+        return self.finish(aggregate(self.rows(stg), [self.key], self.measures(), self.distinct(), approx))
+
+    def days(self, stg: DataFrame) -> DataFrame:
+        """Partial measures of each entity and day."""
+        dated = self.rows(stg).withColumn("event_date", F.to_date("provider_created_at"))
+        return dated.groupBy("event_date", self.key).agg(*self.measures())
+
+    def values(self, stg: DataFrame) -> DataFrame:
+        """Distinct values of each entity and day."""
+        dated = self.rows(stg).withColumn("event_date", F.to_date("provider_created_at"))
+        return distinct_values(dated, ["event_date", self.key], self.distinct())
+
+    def from_days(self, days: DataFrame, values: DataFrame) -> DataFrame:
+        """The metrics of entities from all their days; the events themselves are not read."""
+        names = [c for c in days.columns if c not in ("event_date", self.key)]
+        how = {n: self.extremes.get(n, "sum") for n in names}
+        return self.finish(merged(days, values, self.key, how, list(self.distinct())))
+
+
+def _customer_measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(ok()).alias("successful_transactions"),
         F.count_if(bad()).alias("failed_transactions"),
@@ -71,11 +109,18 @@ def int_customer_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
         F.min("currency").alias("preferred_currency"),
         F.min("provider_created_at").alias("first_transaction_at"),
         F.max("provider_created_at").alias("last_transaction_at"),
-    ], {
+    ]
+
+
+def _customer_distinct() -> dict[str, Column]:
+    return {
         "active_days": F.to_date("provider_created_at"),
         "provider_count": F.col("provider"),
         "merchant_count": F.col("merchant_id"),
-    }, approx)
+    }
+
+
+def _customer_columns(g: DataFrame) -> DataFrame:
     d = (
         g.withColumn("avg_transaction_cents", mean_cents("total_revenue_cents", "_paid"))
         .withColumn("failure_rate", M.safe_divide(F.col("failed_transactions"), F.col("total_transactions")))
@@ -105,9 +150,20 @@ def int_customer_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-def int_merchant_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
-    """One row per merchant with rates, health, risk and reach."""
-    g = aggregate(stg.filter(F.col("merchant_id").isNotNull()), ["merchant_id"], [
+CUSTOMER = Entity("customer_id", _customer_measures, _customer_distinct, {
+    "_max": "max", "_min": "min", "max_fraud_score": "max", "max_churn_score": "max", "min_days_to_churn": "min",
+    "preferred_payment_method": "min", "preferred_card_brand": "min", "preferred_currency": "min",
+    "first_transaction_at": "min", "last_transaction_at": "max",
+}, _customer_columns)
+
+
+def int_customer_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
+    """One row per customer with volumes, revenue, scores, tiers and tenure."""
+    return CUSTOMER.metrics(stg, approx)
+
+
+def _merchant_measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(ok()).alias("successful_transactions"),
         F.count_if(bad()).alias("failed_transactions"),
@@ -122,12 +178,19 @@ def int_merchant_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
         F.min("currency").alias("primary_currency"),
         F.min("provider_created_at").alias("first_transaction_at"),
         F.max("provider_created_at").alias("last_transaction_at"),
-    ], {
+    ]
+
+
+def _merchant_distinct() -> dict[str, Column]:
+    return {
         "unique_customers": F.col("customer_id"),
         "provider_count": F.col("provider"),
         "currency_count": F.col("currency"),
         "active_days": F.to_date("provider_created_at"),
-    }, approx)
+    }
+
+
+def _merchant_columns(g: DataFrame) -> DataFrame:
     total, paid = F.col("total_transactions"), F.col("successful_transactions")
     d = (
         g.withColumn("avg_transaction_cents", mean_cents("total_revenue_cents", "_paid"))
@@ -163,6 +226,16 @@ def int_merchant_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
+MERCHANT = Entity("merchant_id", _merchant_measures, _merchant_distinct, {
+    "primary_provider": "min", "primary_currency": "min", "first_transaction_at": "min", "last_transaction_at": "max",
+}, _merchant_columns)
+
+
+def int_merchant_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
+    """One row per merchant with rates, health, risk and reach."""
+    return MERCHANT.metrics(stg, approx)
+
+
 def int_daily_summary(stg: DataFrame, approx: bool = False) -> DataFrame:
     """One row per provider-created day. NULL providers and methods fall in no pivot column."""
     provider, method, currency = F.col("provider"), F.col("payment_method_type"), F.col("currency")
