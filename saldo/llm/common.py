@@ -77,11 +77,18 @@ def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str], bin
     )
 
 
+def row_key(id_: Column, text_hash: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("none")), text_hash.cast("string"))
+
+
 def keep_rows(docs: DataFrame, keepers: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of `docs` that `keepers` (id, text_hash) names; of repeats of such a row, one."""
-    wanted = keepers.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+    """The rows of `docs` that `keepers` (id, text_hash) names; of repeats of such a row, one.
+
+    Join and window share one key of id and text, so the texts are shuffled once.
+    """
+    wanted = keepers.select(row_key(F.col("id"), F.col("text_hash")).alias("key"))
     rows = packed(docs)
-    rows = rows.withColumns({"id": F.col("doc").getField(id_col), "hash": F.xxhash64(F.col("doc").getField(text_col))})
-    found = rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_semi")
-    first = F.row_number().over(Window.partitionBy("id", "hash").orderBy(F.lit(1)))
+    rows = rows.withColumn("key", row_key(F.col("doc").getField(id_col), F.xxhash64(F.col("doc").getField(text_col))))
+    found = rows.join(wanted, "key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(1)))
     return unpacked(found.withColumn("n", first).filter("n = 1"))
