@@ -211,12 +211,8 @@ RECOVERY_CUSTOMER_CODES = [
 ]
 RETRY_MAX_ATTEMPTS = 5
 
-# Churn inputs used when no customer history is supplied.
-DEFAULT_CHURN_SIGNALS = {
-    "total_payments": 10, "successful_payments": 8, "failed_payments": 2,
-    "recovered_payments": 1, "days_since_last_payment": 5, "days_since_last_failure": 30,
-    "consecutive_failures": 0, "subscription_age_days": 180, "payment_method_age_days": 90,
-}
+# Churn inputs used when no customer history is supplied.
+DEFAULT_CHURN_SIGNALS = {"days_since_last_payment": 5, "days_since_last_failure": 30, "consecutive_failures": 0}
 
 # --- fixed values: categories checked by the quality suite ----------------------------------------
 PROVIDERS = ["stripe", "square", "paypal", "adyen", "braintree"]

@@ -516,15 +516,21 @@ class Normalized:
     dlq: DataFrame
 
 
-def normalize(raw: DataFrame, now: Column | None = None, path: str | None = None) -> Normalized:
+def normalize(raw: DataFrame, now: Column | None = None, path: str | None = None, cut_by_topic: bool = True) -> Normalized:
     """Accepted unified events and dead-letter rows of a batch.
 
+    Raw data not stored by topic (`cut_by_topic=False`) is written so first: else each of the four providers
+    would read all of it.
+
     The judged rows are written once, split into two folders, and each result reads its own. Filtering
     the unwritten rows twice would parse every payload twice, and the optimizer would copy the parsing
     into both filters.
     """
     spark = raw.sparkSession
     path = path or scratch(spark, "normalized")
+    if not cut_by_topic:
+        raw.write.partitionBy("topic").parquet(landing := scratch(spark, "by-topic"))
+        raw = spark.read.schema(raw.schema).parquet(landing)
     judged = judge(raw, now).withColumn("accepted", F.size("errors") == 0)
     judged.write.partitionBy("accepted").parquet(path)
     kept = spark.read.schema(judged.schema).parquet(path)

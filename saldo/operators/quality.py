@@ -161,7 +161,7 @@ def quarantine_summary(quarantines: dict[str, DataFrame], as_of, assumed_total:
     """Recent rejections per table plus a total row with the quality score and alert.
 
     The score divides by an assumed volume; when the full tables are given, `true_score` uses their
-    real row counts of the same period.
+    real row counts of the same period, and decides on the alert.
     """
     tagged = None
     for name, df in quarantines.items():
@@ -190,12 +190,13 @@ def quarantine_summary(quarantines: dict[str, DataFrame], as_of, assumed_total:
         F.sum("total").alias("total_rows"))
     is_total = F.col("source").isNull()
     score = pct2(F.lit(assumed_total) - F.col("quarantined"), F.lit(assumed_total))
+    true_score = pct2(F.col("total_rows") - F.col("quarantined"), F.col("total_rows"))
     return g.select(
         F.coalesce("source", F.lit("all")).alias("source"), "quarantined",
         F.when(~is_total, F.col("unique_reasons")).alias("unique_reasons"),
         F.when(is_total, score).alias("quality_score"),
-        F.when(is_total, score < 99.0).alias("alert"),
-        F.when(is_total, pct2(F.col("total_rows") - F.col("quarantined"), F.col("total_rows"))).alias("true_score"))
+        F.when(is_total, F.coalesce(true_score, score) < 99.0).alias("alert"),
+        F.when(is_total, true_score).alias("true_score"))
 
 
 def flag_monitor(charges: DataFrame, as_of, threshold_pct: float = 5.0, hours: int = 1) -> DataFrame:

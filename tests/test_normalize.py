@@ -178,3 +178,12 @@ def test_braintree_decoding(spark):
     rows = spark.createDataFrame([(i, p) for i, p in enumerate(payloads)], "i int, bt_payload string")
     got = [r["kind"] for r in G.decode_braintree(rows).orderBy("i").collect()]
     assert got == ["check", "dispute_won", "unknown", "unknown", "unknown", "unknown"]
+
+
+def test_raw_data_that_is_not_cut_by_topic(spark, sf):
+    from workload import adapters as W
+
+    raw, now = W.raw_messages(spark, sf), F.lit(W.AS_OF).cast("timestamp")
+    want, got = N.normalize(raw, now), N.normalize(raw.repartition(2), now, cut_by_topic=False)
+    for name in ("valid", "dlq"):
+        assert sorted(map(str, getattr(got, name).collect())) == sorted(map(str, getattr(want, name).collect()))

@@ -73,7 +73,9 @@ def test_intake_counts_duplicates(spark, tmp_path):
     spark.createDataFrame(rows, Z.RAW_MESSAGE).write.parquet(raw)
     stream = spark.readStream.schema(Z.RAW_MESSAGE).parquet(raw)
     out = str(tmp_path / "out")
-    D.run_intake(stream, out, str(tmp_path / "cp"), now(), availableNow=True).awaitTermination()
+    job = D.run_intake(stream, out, str(tmp_path / "cp"), now(), availableNow=True)
+    job.awaitTermination()
+    assert sum(p["numInputRows"] for p in job.recentProgress) == len(rows), "the source is read once"
     counters = spark.read.parquet(f"{out}/counters").first().asDict()
     assert {k: counters[k] for k in ("messages_consumed", "workflows_started", "duplicates_skipped", "errors", "dlq_workflows")} == {
         "messages_consumed": 4, "workflows_started": 1, "duplicates_skipped": 2, "errors": 0, "dlq_workflows": 1}

@@ -426,7 +426,7 @@ _Q7U = " UNION ALL ".join(f"""SELECT '{k}' AS source, {n('reason_code IS NOT NUL
 ORACLES["q07_quarantine_summary"] = f"""WITH {_Q7}, t AS ({_Q7U}) SELECT source, quarantined, unique_reasons, CAST(NULL AS DOUBLE) AS quality_score,
   CAST(NULL AS BOOLEAN) AS alert, CAST(NULL AS DOUBLE) AS true_score FROM t
 UNION ALL SELECT 'all', CAST(sum(quarantined) AS BIGINT), NULL, round((10000 - CAST(sum(quarantined) AS BIGINT)) * 1e4 / 10000) / 100,
-  round((10000 - CAST(sum(quarantined) AS BIGINT)) * 1e4 / 10000) / 100 < 99, {pct('CAST(sum(total) - sum(quarantined) AS BIGINT)', 'CAST(sum(total) AS BIGINT)')} FROM t"""
+  {pct('CAST(sum(total) - sum(quarantined) AS BIGINT)', 'CAST(sum(total) AS BIGINT)')} < 99, {pct('CAST(sum(total) - sum(quarantined) AS BIGINT)', 'CAST(sum(total) AS BIGINT)')} FROM t"""
 ORACLES["q08_flag_monitor"] = f"""WITH {judged_stream('charges')}, v AS (SELECT count(*) AS total_records, {n('flag')} AS flagged_records
   FROM s WHERE reason_code IS NULL AND {RECENT}) SELECT *, coalesce(flagged_records * 1e2 / nullif(total_records, 0), 0e0) AS flagged_percentage,
   coalesce(flagged_records * 1e2 / nullif(total_records, 0), 0e0) > 5 AS alert FROM v"""
