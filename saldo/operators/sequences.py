@@ -19,7 +19,11 @@ def time_slice(ts: Column, seconds: float) -> Column:
 def next_value(
     df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, slice_seconds: int = 3600
 ) -> DataFrame:
-    """Adds the value of the key's next row by (ts, tie)."""
+    """Adds the value of the key's next row by (ts, tie).
+
+    A key's rows are ordered slice by slice, and one row per slice over all slices: choose slices so narrow that the
+    rows a key has in one fit in a task.
+    """
     rows = df.withColumn("_slice", time_slice(F.col(ts), slice_seconds))
     first = rows.groupBy(key, "_slice").agg(
         F.min(F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"), F.col(value).alias("v"))).alias("_first")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldo.functions import macros as M
-from saldo.operators.sequences import next_value, point_in_time_join, trailing_count
+from saldo.operators.grouping import distinct_counts
+from saldo.operators.sequences import next_value, point_in_time_join, time_slice
 from saldo.plans.intermediate import amount, bad, ok
 
 CUSTOMER_TYPES = {
@@ -87,41 +88,72 @@ def feat_merchant(metrics: DataFrame, as_of) -> DataFrame:
     )
 
 
-def feat_customer_windowed(stg: DataFrame, as_of) -> DataFrame:
-    """The declared meaning of the customer features: true windows ending at as_of.
+def _by_slice(stg: DataFrame, now: Column, slice_seconds: int) -> DataFrame:
+    """Partial aggregates of each customer and hour (or another slice), from one scan and one shuffle.
 
-    A failure counts as recovered when the customer's next event succeeded; the streak counts the
-    failures after the customer's last event that did not fail.
+    Rows of an hour are ordered once, newest first. What depends on the hour's neighbours is left open: whether its
+    last row, a failure, is followed by a success, and whether its failures after its last other row are the last ones.
     """
-    now = F.lit(as_of).cast("timestamp")
-    at = F.col("provider_created_at")
-    seen = stg.filter(F.col("customer_id").isNotNull() & (at <= now)).select(
-        "customer_id", "event_id", "status", "amount_cents", "payment_method_type",
-        "provider_created_at", "fraud_score", "risk_level",
-    )
-    followed = next_value(seen, "customer_id", "provider_created_at", "event_id", "status", "_next_status")
-    last30 = at > now - F.expr("INTERVAL 30 DAYS")
-    last90 = at > now - F.expr("INTERVAL 90 DAYS")
-    recent_bad = F.when(last30 & bad(), 1)
-    g = followed.groupBy("customer_id").agg(
-        F.count_if(last30 & bad() & (F.col("_next_status") == "succeeded")).alias("recovered_payments_30d"),
+    at, failed = F.col("provider_created_at"), F.coalesce(bad(), F.lit(False))
+    last30, last90 = (at > now - F.expr(f"INTERVAL {days} DAYS") for days in (30, 90))
+    newest_first = Window.partitionBy("customer_id", "_slice").orderBy(at.desc(), F.col("event_id").desc())
+    rows = stg.withColumn("_slice", time_slice(at, slice_seconds)).withColumns({
+        "_next": F.lag(F.struct(F.col("status").alias("v"))).over(newest_first),
+        "_later_others": F.count_if(~failed).over(newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    })
+    no_next = F.col("_next").isNull()
+    paid = F.when(last30 & ok(), amount())
+    return rows.groupBy("customer_id", "_slice").agg(
+        F.count_if(last30 & bad() & (F.col("_next.v") == "succeeded")).alias("_recovered"),
+        F.count_if(last30 & bad() & no_next).alias("_open"),
+        F.min_by(F.struct(F.col("status").alias("v")), F.struct(at, F.col("event_id"))).alias("_first_status"),
+        F.count_if(~failed).alias("_others"),
+        F.count_if(failed & (F.col("_later_others") == 0)).alias("_tail"),
         F.count_if(last30).alias("total_payments_30d"),
         F.count_if(last90).alias("total_payments_90d"),
-        F.coalesce(F.sum(F.when(last30 & ok(), amount())), F.lit(0).cast("bigint")).alias("total_amount_cents_30d"),
-        F.count(F.when(last30 & ok(), amount())).alias("_paid"),
-        F.count(recent_bad).alias("failed_payments_30d"),
+        F.coalesce(F.sum(paid), F.lit(0).cast("bigint")).alias("total_amount_cents_30d"),
+        F.count(paid).alias("_paid"),
+        F.count_if(last30 & bad()).alias("failed_payments_30d"),
         F.min(at).alias("_first"), F.max(at).alias("_last"), F.max(F.when(bad(), at)).alias("_last_bad"),
-        F.count_distinct(F.when(last90, F.col("payment_method_type"))).alias("payment_method_count"),
         F.sum(F.when(last30, M.scaled(F.col("fraud_score")))).alias("_fraud_sum"),
         F.count(F.when(last30, F.col("fraud_score"))).alias("_fraud_n"),
         F.count_if(last30 & (F.col("risk_level") == "high")).alias("high_risk_payment_count"),
     )
-    order = F.struct(at, F.col("event_id"))
-    streak = trailing_count(seen, "customer_id", order, F.coalesce(bad(), F.lit(False)), "consecutive_failures")
+
+
+def feat_customer_windowed(stg: DataFrame, as_of, slice_seconds: int = 3600) -> DataFrame:
+    """The declared meaning of the customer features: true windows ending at as_of.
+
+    A failure counts as recovered when the customer's next event succeeded; the streak counts the
+    failures after the customer's last event that did not fail. A customer's rows are reduced to one
+    per slice before any customer is ordered as a whole; choose slices so narrow that the rows a customer
+    has in one fit in a task.
+    """
+    now = F.lit(as_of).cast("timestamp")
+    at = F.col("provider_created_at")
+    seen = stg.filter(F.col("customer_id").isNotNull() & (at <= now))
+    slices = _by_slice(seen, now, slice_seconds)
+    newest_first = Window.partitionBy("customer_id").orderBy(F.col("_slice").desc())
+    slices = slices.withColumns({
+        "_after": F.lag("_first_status").over(newest_first),
+        "_later": F.coalesce(F.sum("_others").over(newest_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    })
+    added = ["total_payments_30d", "total_payments_90d", "total_amount_cents_30d", "_paid", "failed_payments_30d",
+             "_fraud_sum", "_fraud_n", "high_risk_payment_count"]
+    types = {f.name: f.dataType for f in slices.schema.fields}
+    g = slices.groupBy("customer_id").agg(
+        F.sum(F.col("_recovered") + F.when(F.col("_after.v") == "succeeded", F.col("_open")).otherwise(0)).alias("recovered_payments_30d"),
+        F.coalesce(F.sum(F.when(F.col("_later") == 0, F.col("_tail"))), F.lit(0)).alias("consecutive_failures"),
+        *[F.sum(c).cast(types[c]).alias(c) for c in added],
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.max("_last_bad").alias("_last_bad"),
+    )
+    methods = distinct_counts(
+        seen.filter(at > now - F.expr("INTERVAL 90 DAYS")), ["customer_id"], {"payment_method_count": F.col("payment_method_type")})
+    g = g.join(methods, "customer_id", "left").withColumn("payment_method_count", F.coalesce("payment_method_count", F.lit(0)))
     recovered = F.col("recovered_payments_30d")
     days = lambda since: M.whole_days(F.col(since), now)
     values = {
-        **{n: F.col(n) for n in CUSTOMER_TYPES if n in g.columns or n == "consecutive_failures"},
+        **{n: F.col(n) for n in CUSTOMER_TYPES if n in g.columns},
         "avg_amount_cents": M.safe_divide(F.col("total_amount_cents_30d"), F.col("_paid")),
         "failure_rate_30d": M.safe_divide(F.col("failed_payments_30d"), F.col("total_payments_30d")),
         "recovery_rate_30d": M.safe_divide(recovered, F.col("failed_payments_30d")),
@@ -131,7 +163,7 @@ def feat_customer_windowed(stg: DataFrame, as_of) -> DataFrame:
         "has_backup_payment_method": F.when(F.col("payment_method_count") > 1, 1).otherwise(0),
         "fraud_score_avg": F.coalesce(M.mean_score(F.col("_fraud_sum"), F.col("_fraud_n")), F.lit(0.0)),
     }
-    return g.join(streak, "customer_id").select(
+    return g.select(
         "customer_id", now.alias("feature_timestamp"),
         *[values[n].cast(t).alias(n) for n, t in CUSTOMER_TYPES.items()],
     )

@@ -130,6 +130,17 @@ def test_measures_do_not_travel_with_distinct_values(spark, sf):
     assert widest, "distinct values are shuffled by value"
 
 
+def test_windowed_features_shuffle_events_once(spark, sf):
+    from saldo.plans import features as X
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(X.feat_customer_windowed(stg_payment_events(W.bronze(spark, sf)), "2024-01-25 00:00:00"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") <= 5
+
+
 def test_projections_do_not_shuffle(spark, sf):
     from saldo.operators import enrich as E
     from saldo.operators import split as P
