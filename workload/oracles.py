@@ -400,8 +400,8 @@ ORACLES["v06_clean_currency"] = f"""WITH {judged_stream('charges')} SELECT event
   CASE WHEN upper(currency) NOT IN ('NULL', '') THEN upper(currency) END AS currency FROM s"""
 ORACLES["v07_suspicious_flag"] = union_kinds(lambda k, s: f"SELECT '{k}' AS kind, event_id, flag FROM {s}")
 ORACLES["v08_rejection_reason"] = union_kinds(lambda k, s: f"SELECT '{k}' AS kind, event_id, reason_code AS reason FROM {s}")
-ORACLES["v09_run_split_streams"] = union_kinds(lambda k, s: f"""SELECT '{k}' AS kind,
-  coalesce(reason_code, CASE WHEN flag THEN 'flagged' ELSE 'valid' END) AS outcome, count(*) AS n FROM {s} GROUP BY ALL""")
+ORACLES["v09_run_split_streams"] = union_kinds(lambda k, s: f"""SELECT '{k}' AS kind, event_id,
+  coalesce(reason_code, CASE WHEN flag THEN 'flagged' ELSE 'valid' END) AS outcome FROM {s}""")
 ORACLES["a07_provider_performance"] = f"""WITH {judged_stream('charges')} SELECT provider, status, count(*) AS transaction_count,
   CAST(CAST(CAST(sum(amount) AS DOUBLE) / count(amount) AS DECIMAL(20,6)) AS DOUBLE) AS avg_amount, CAST(sum(amount) AS DOUBLE) AS total_amount
   FROM s WHERE reason_code IS NULL GROUP BY ALL"""
@@ -568,9 +568,9 @@ UNION ALL SELECT 'max_ingested_at', rtrim(strftime(max(ingested_at), '%Y-%m-%d %
 ORACLES["s15_upsert"] = f"""WITH {PE}, p AS (SELECT *, ingested_at < TIMESTAMP '2024-01-20' AND amount_cents % 10 = 0 AS changed FROM pe)
 SELECT event_id, CASE WHEN changed THEN 'revised' ELSE status END AS status, amount_cents,
   {ts("CASE WHEN changed THEN ingested_at + INTERVAL 100 DAY ELSE ingested_at END")} AS ingested_at FROM p"""
-ORACLES["s15_upsert_partitions"] = f"""WITH {PE}, p AS (SELECT CAST(provider_created_at AS DATE) AS d,
+ORACLES["s15_upsert_partitions"] = f"""WITH {PE}, p AS (SELECT event_id, CAST(provider_created_at AS DATE) AS d,
   CASE WHEN provider_created_at >= TIMESTAMP '2024-01-19' THEN 'revised' ELSE status END AS status FROM pe)
-SELECT {day('d')} AS event_date, status, count(*) AS n FROM p GROUP BY ALL"""
+SELECT event_id, {day('d')} AS event_date, status FROM p"""
 ORACLES["s16_upsert_enrichment"] = f"""WITH {PE}, p AS (SELECT *, ingested_at < TIMESTAMP '2024-01-20' AND amount_cents % 4 = 0 AS again FROM pe)
 SELECT event_id, amount_cents, status, CASE WHEN again THEN 0.5e0 ELSE fraud_score END AS fraud_score,
   CASE WHEN NOT again THEN risk_level END AS risk_level, CASE WHEN again THEN {ts(AS_OF)} ELSE {ts('ingested_at')} END AS ingested_at FROM p"""
@@ -704,8 +704,8 @@ ORACLES["n14_square_to_unified"] = unified("square")
 ORACLES["n17_adyen_to_unified"] = unified("adyen")
 ORACLES["n21_braintree_to_unified"] = unified("braintree")
 _SQ = UNIFIED["square"]
-ORACLES["n15_square_payments_and_refunds"] = f"""WITH {JUDGED} SELECT {IS_REFUND} AS is_refund, {_SQ['status']} AS status, count(*) AS n,
-  CAST(sum(amount) AS BIGINT) AS cents, count({_SQ['customer_id']}) AS with_customer FROM j WHERE ok AND provider = 'square' GROUP BY ALL"""
+ORACLES["n15_square_payments_and_refunds"] = f"""WITH {JUDGED} SELECT {_SQ['event_id']} AS event_id, {IS_REFUND} AS is_refund, {_SQ['status']} AS status,
+  amount AS amount_cents, {_SQ['customer_id']} AS customer_id FROM j WHERE ok AND provider = 'square'"""
 ORACLES["n01_parse_payload"] = f"WITH {WH} SELECT n AS \"offset\", form = 'object' AS readable FROM w WHERE provider = 'stripe'"
 ORACLES["n02_null_spellings"] = f"WITH {WH} SELECT n, {denull('merchant')} AS merchant, {denull('customer')} AS customer FROM w"
 ORACLES["n03_null_columns"] = f"""WITH {WH} SELECT n, k, {denull('merchant')} AS merchant, {denull('customer')} AS customer,
@@ -1061,8 +1061,8 @@ ORACLES["l10_promote_if_better"] = f"""WITH {LABELLED}, m AS ({_CUTS}), s AS (SE
 w AS (SELECT *, f1 > coalesce(max(f1) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS won FROM s)
 SELECT 'churn-prediction' AS name, version, f1, CASE WHEN NOT won THEN 'None' WHEN version = (SELECT max(version) FROM w WHERE won) THEN 'Production' ELSE 'Archived' END AS stage, path FROM w"""
 _FLIP = draw("flip")
-ORACLES["l04_ensure_two_classes"] = f"""WITH {CM}, {FC}, d AS (SELECT {_FLIP} AS u FROM fc), c AS (SELECT quantile_disc(u, 0.2) AS cut FROM d)
-SELECT CASE WHEN (SELECT count(*) FROM d) >= 20 AND u <= cut THEN 1 ELSE 0 END AS label, count(*) AS n FROM d, c GROUP BY 1"""
+ORACLES["l04_ensure_two_classes"] = f"""WITH {CM}, {FC}, d AS (SELECT customer_id, {_FLIP} AS u FROM fc), c AS (SELECT quantile_disc(u, 0.2) AS cut FROM d)
+SELECT customer_id, CASE WHEN (SELECT count(*) FROM d) >= 20 AND u <= cut THEN 1 ELSE 0 END AS label FROM d, c"""
 ORACLES["l05_stratified_split"] = f"""WITH {LABELLED}, d AS (SELECT customer_id, label, {draw('split')} AS u FROM lab),
 c AS (SELECT label, quantile_disc(u, 0.2) AS cut, count(*) AS n FROM d GROUP BY 1)
 SELECT customer_id, label, CASE WHEN u <= CASE WHEN (SELECT min(n) FROM c) >= 2 THEN cut ELSE 0.2e0 END THEN 'test' ELSE 'train' END AS part

@@ -264,7 +264,7 @@ def _(spark, sf):
     change = facts.filter(F.col("provider_created_at") >= F.lit("2024-01-19").cast("timestamp")) \
         .withColumn("status", F.lit("revised"))
     U.upsert_partitions(spark, path, change, ["event_id"], "event_date")
-    return spark.read.parquet(path).groupBy("event_date", "status").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(path).select("event_id", "event_date", "status")
 
 
 @query("s16_upsert_enrichment")
@@ -405,9 +405,8 @@ for _name, _p, _cols in (
 @query("n15_square_payments_and_refunds")
 def _(spark, sf):
     """Payments and refunds told apart by what only refunds fix."""
-    rows = valid_of(spark, sf, "square")
-    return rows.groupBy((F.col("payment_method_type") == "refund").alias("is_refund"), "status").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("cents"), F.count("customer_id").alias("with_customer"))
+    return valid_of(spark, sf, "square").select(
+        "event_id", (F.col("payment_method_type") == "refund").alias("is_refund"), "status", "amount_cents", "customer_id")
 
 
 @query("n16_square_lookups")
@@ -594,7 +593,7 @@ def _(spark, sf):
 
 @query("v09_run_split_streams")
 def _(spark, sf):
-    """All eight tables written by streaming jobs, counted."""
+    """All eight tables, written by four streaming jobs that run side by side."""
     path = scratch(spark, "splits")
     jobs = [
         D.run_split_stream(WS.typed_table_stream(spark, sf, kind), kind, path, scratch(spark, "checkpoint"), at(), **WS.ONCE)
@@ -605,10 +604,10 @@ def _(spark, sf):
 
     def one(kind):
         ok = O.read_batches(spark, f"{path}/{kind}/valid", Z.valid_schema(kind)).select(
-            F.when(F.col("validation_flag"), "flagged").otherwise("valid").alias("outcome"))
+            "event_id", F.when(F.col("validation_flag"), "flagged").otherwise("valid").alias("outcome"))
         bad = O.read_batches(spark, f"{path}/{kind}/quarantine", Z.quarantine_schema(kind)).select(
-            F.col("rejection_reason").alias("outcome"))
-        return ok.unionByName(bad).groupBy(F.lit(kind).alias("kind"), "outcome").agg(F.count(F.lit(1)).alias("n"))
+            "event_id", F.col("rejection_reason").alias("outcome"))
+        return ok.unionByName(bad).select(F.lit(kind).alias("kind"), "event_id", "outcome")
     return _over_kinds(one)
 
 
@@ -1394,7 +1393,7 @@ def _(spark, sf):
     """A one-class set with a fifth of its rows flipped."""
     one_class = materialize(churn_set(spark, sf).withColumn("label", F.lit(0)), "one-class")
     kept = L.ensure_two_classes(one_class)
-    return (one_class if kept is None else kept).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return (one_class if kept is None else kept).select("customer_id", "label")
 
 
 @query("l05_stratified_split")
