@@ -2,7 +2,7 @@
 
 Texts are equal when identical after every run of white space became one space. A null text counts as
 empty. Of equal texts the row with the smallest id stays (null ids come last; of rows that repeat the same
-id and text, one stays). An empty table gives an empty result. Other columns are carried along untouched.
+id, one stays). An empty table gives an empty result. Other columns are carried along untouched.
 
 Misra-Gries counters, kept per slice of the digest space, find the digests that hold many rows; they can
 name digests in error, so each is counted exactly before it counts as a winner. At most
@@ -87,5 +87,6 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.join(F.broadcast(winners), "digest", "left").filter(
         F.col("win").isNull() | F.col("id").eqNullSafe(F.col("win.id"))
     )
-    first = F.row_number().over(Window.partitionBy("digest").orderBy(*row_order(F.col("id"))))
+    order = row_order(F.col("id"), F.xxhash64(F.col("doc").getField(text_col)))
+    first = F.row_number().over(Window.partitionBy("digest").orderBy(*order))
     return unpacked(rows.select("digest", "id", "doc").withColumn("n", first).filter("n = 1"))
