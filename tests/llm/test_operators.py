@@ -13,8 +13,8 @@ from saldo.llm import (
     components, exact_dedup, language_id, mixing, oph, packing, queries, secret_scan, sharding, simhash, suffix_dedup, token_counts,
 )
 from saldo.llm.common import rank_in_group, running
-from tests.llm import brute
-from tests.llm.conftest import prose
+from . import brute
+from .conftest import prose
 
 LONG = prose(99, 20_000)
 ROWS = [

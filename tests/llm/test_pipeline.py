@@ -5,7 +5,7 @@ from collections import Counter
 import __spark_entry__
 import corpus_pipeline
 from saldo.llm import language_id, queries
-from tests.llm import brute
+from . import brute
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
