@@ -58,22 +58,35 @@ def running(df: DataFrame, order: Sequence[str], sums: Sequence[str], label: str
     )
 
 
-def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str], bins: int = 1024) -> DataFrame:
+def bin_offsets(bins: DataFrame, group: Sequence[str], coarse: str, fine: str, n: str, out: str) -> DataFrame:
+    """Adds `out`: the sum of `n` over the group's bins before this one, in the order (coarse, fine).
+
+    Summed in two levels, so that no window holds more rows than a group has coarse or a coarse bin fine ones.
+    """
+    whole = bins.groupBy(*group, coarse).agg(F.sum(n).alias("_all"))
+    earlier = Window.partitionBy(*group).orderBy(coarse).rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.select(*group, coarse, F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*group, coarse).orderBy(fine).rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("_in", F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    return bins.join(whole, [*group, coarse]).withColumn(out, F.col("_before") + F.col("_in")).drop("_before", "_in")
+
+
+def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str], bins: int = 64) -> DataFrame:
     """Adds `rank`: 0, 1, ... within each group, without ever holding a group in one task.
 
-    Rows of a group are spread over bins by a hash of their order columns; the bins' counts give each bin
-    its first rank. The order of ranks is that of the bins, then of the order columns.
+    Rows of a group are spread over bins * bins bins by a hash of their order columns; the bins' counts give
+    each bin its first rank. The order of ranks is that of the bins, then of the order columns.
     """
-    spread = df.withColumn("_bin", F.pmod(F.xxhash64(*order), F.lit(bins)))
-    counts = spread.groupBy(*group, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select(*group, "_bin", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = Window.partitionBy(*group, "_bin").orderBy(*order)
+    at = F.xxhash64(*order)
+    spread = df.withColumns({"_coarse": F.pmod(at, F.lit(bins)), "_fine": F.pmod(F.shiftright(at, 32), F.lit(bins))})
+    counts = spread.groupBy(*group, "_coarse", "_fine").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = bin_offsets(counts, group, "_coarse", "_fine", "_n", "_first").drop("_n")
+    within = Window.partitionBy(*group, "_coarse", "_fine").orderBy(*order)
     return (
         spread.withColumn("_at", F.row_number().over(within) - 1)
-        .join(firsts, [*group, "_bin"])
+        .join(firsts, [*group, "_coarse", "_fine"])
         .withColumn("rank", F.col("_first") + F.col("_at"))
-        .drop("_bin", "_at", "_first")
+        .drop("_coarse", "_fine", "_at", "_first")
     )
 
 

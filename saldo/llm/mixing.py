@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saldo.llm.common import keep_rows
+from saldo.llm.common import bin_offsets, keep_rows
 from saldo.session import materialize
 
 
@@ -96,12 +96,13 @@ def mix(
         "rest", F.col("budget") - F.col("whole") * F.col("supply")
     )
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    rows = rows.join(budgets, names, "left").withColumn("key", key).withColumn("bin", F.substring("key", 1, 3))
-    bins = rows.groupBy(*names, "bin").agg(F.sum("tokens").alias("bin_tokens"))
-    before = Window.partitionBy(*names).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.select(*names, "bin", F.coalesce(F.sum("bin_tokens").over(before), F.lit(0)).alias("before"))
-    upto = Window.partitionBy(*names, "bin").orderBy("key", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("cum", F.sum("tokens").over(upto)).join(bins, [*names, "bin"])
+    rows = rows.join(budgets, names, "left").withColumn("key", key)
+    rows = rows.withColumns({"coarse": F.substring("key", 1, 1), "fine": F.substring("key", 2, 2)})
+    bins = rows.groupBy(*names, "coarse", "fine").agg(F.sum("tokens").alias("bin_tokens"))
+    bins = bin_offsets(bins, names, "coarse", "fine", "bin_tokens", "before").drop("bin_tokens")
+    bin_ = [*names, "coarse", "fine"]
+    upto = Window.partitionBy(*bin_).orderBy("key", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("cum", F.sum("tokens").over(upto)).join(bins, bin_)
     partly = (F.col("rest") > 0) & (F.col("before") + F.col("cum") <= F.col("rest"))
     return rows.select(
         F.col("id").alias(id_col),
