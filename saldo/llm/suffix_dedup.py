@@ -241,7 +241,8 @@ def text_classes(rows: DataFrame, hot: int) -> DataFrame:
     """d, e, n_bytes, copies, least id and marks: the anchors whose string occurs elsewhere, and if it is hot."""
     rank = F.struct(F.col("id").isNull().alias("none"), "id")
     classes = rows.groupBy("d", "e", "n_bytes").agg(F.count(F.lit(1)).alias("copies"), F.min(rank).alias("least"))
-    anchors = rows.select("d", "text").mapInArrow(anchor_rows, "hash bigint, d bigint, many boolean, ats array<bigint>")
+    found = rows.select("d", "text").mapInArrow(anchor_rows, "hash bigint, d bigint, many boolean, ats array<bigint>")
+    anchors = materialize(found, "anchors")
     # Counted with map-side combining, then joined, where adaptive execution splits a hot string.
     found = anchors.groupBy("hash").agg(
         F.min("d").alias("low"), F.max("d").alias("high"), F.max("many").alias("many"), F.sum(F.size("ats")).alias("n")
