@@ -12,6 +12,10 @@ not with the rows, which bounds its broadcast.
 Documents: the ids of the whole text, then the end id. A document longer than the capacity is cut so that all
 its pieces but the first are full. A null text counts as empty and is one end id. Repeated rows are packed each
 by itself. An empty table gives an empty result.
+
+The ids are those of the tokenizers library with byte_bpe_50k.json. tiktoken, which is faster, computes them from
+the same vocabulary's ranks; a text on which its pattern engine gives up (white space of a million characters in
+a row) is encoded by tokenizers itself. A vocabulary needs both files for that.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterator, Mapping
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -28,6 +33,7 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from saldo.llm.common import rank_in_group
 from saldo.session import materialize
@@ -47,8 +53,17 @@ def encoder(vocabulary: str = VOCABULARY) -> tiktoken.Encoding:
     return tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
+@cache
+def tokenizer(vocabulary: str) -> Tokenizer:
+    """The library's own encoder of a rank file's vocabulary."""
+    return Tokenizer.from_file(public_tokenizers.path(vocabulary.removesuffix(".tiktoken") + ".json"))
+
+
 def token_ids(text: str | None, encoding: tiktoken.Encoding) -> np.ndarray:
-    ids = encoding.encode_to_numpy(text, allowed_special="all") if text else []
+    try:
+        ids = encoding.encode_to_numpy(text, allowed_special="all") if text else []
+    except ValueError:  # the stack of tiktoken's pattern engine is limited
+        ids = tokenizer(encoding.name).encode_batch_fast([text], add_special_tokens=False)[0].ids
     return np.append(np.asarray(ids, "<u4"), np.uint32(END_ID)).astype("<u4")
 
 

@@ -318,6 +318,21 @@ def test_packing(table, capacity):
     assert len(sequences) == brute.best_fit([w[3] for w in want], capacity)
 
 
+@pytest.mark.parametrize("white", [" ", "\n", "\t "])
+def test_ids_of_long_white_space(white):
+    text = "a" + white * 1_100_000 + "b<|endoftext|>"
+    encoding = packing.encoder()
+    with pytest.raises(ValueError):
+        encoding.encode_to_numpy(text, allowed_special="all")
+    assert packing.token_ids(text, encoding).tolist() == [*brute.token_ids([text])[0], 0]
+
+
+def test_packing_of_long_white_space(table):
+    got = packing.pack(table([(1, " " * 1_100_000), (2, "a b")])).collect()
+    assert sum(r.length for r in got if r.doc_id == 1) == len(brute.token_ids([" " * 1_100_000])[0]) + 1
+    assert {r.doc_id for r in got} == {1, 2}
+
+
 def test_best_fit_places_every_rank():
     r = random.Random(12)
     for _ in range(30):
