@@ -16,6 +16,8 @@ No leaf is ever in one task: its rows are spread over 4,096 bins by the first di
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,9 +55,13 @@ def share(nodes: DataFrame, parent: Sequence[str], level: str, weights: Mapping[
 def leaf_budgets(
     leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapping[str, float]], share_of_supply: float, epochs: int
 ) -> DataFrame:
-    """`leaves` (levels, supply) with `budget`, whole tokens. It has one row per leaf of the tree."""
-    leaves = leaves.withColumn("room", F.col("supply") * epochs)
+    """`leaves` (levels, supply) with `budget`, whole tokens. It has one row per leaf that no weight of 0 shuts.
+
+    The root's budget is a share of all leaves; a shut leaf gives no room to any node above it.
+    """
     given = leaves.agg(F.floor(F.sum("supply") * share_of_supply).cast("double").alias("budget"))
+    leaves = leaves.filter(reduce(and_, (weight_of(level, weights.get(level, {})) > 0 for level in levels)))
+    leaves = leaves.withColumn("room", F.col("supply") * epochs)
     for k, level in enumerate(levels, 1):
         path, parent = list(levels[:k]), list(levels[: k - 1])
         nodes = leaves.groupBy(*path).agg(F.sum("room").alias("room"))

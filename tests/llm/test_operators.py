@@ -241,6 +241,15 @@ def test_mixing(table, share, epochs):
     assert {x.doc_id: x.copies for x in got} == copies
 
 
+def test_mixing_hands_on_what_a_shut_leaf_cannot_use(table):
+    # Domain 1 holds 100 tokens in `de`, which is shut, and 20 in `en`; domain 2 holds 200 in `en`.
+    rows = [(i, "abcd" * 10, lang, source) for i, (lang, source) in enumerate([("de", "src1")] * 10 + [("en", "src1")] * 2 + [("en", "src2")] * 20)]
+    got = mixing.mix(table(rows), queries.mix_levels(), {"lang": {"de": 0.0}}, 0.5, 1).collect()
+    # 160 tokens are asked for: 20 from domain 1, 140 from domain 2.
+    assert {(x.domain, x.lang): x.leaf_budget for x in got} == {("domain1", "de"): 0, ("domain1", "en"): 20, ("domain2", "en"): 140}
+    assert sum(x.tokens * x.copies for x in got) == 160
+
+
 def test_mixing_edge_rows(table):
     docs = table(ROWS)
     mixed = mixing.mix(docs, queries.mix_levels(), {}, 1.0, 1)
