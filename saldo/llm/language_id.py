@@ -1,8 +1,9 @@
 """Language ID by compression: the language whose dictionary makes a text smallest.
 
 The model is one zstandard raw-content dictionary per language: slices of at most `SLICE_CHARS` characters
-from the middle of at most `SAMPLE_ROWS` labelled rows per language, for the `LANGUAGES` most frequent
-languages. These bounds are parameters; rows are chosen by a hash of their id.
+from the middle of at most `SAMPLE_ROWS` labelled rows per language, for every language found. Of more than
+`LANGUAGES` languages each has fewer rows, one at least. These bounds are parameters; rows are chosen by a
+hash of id and text, and repeated rows teach once.
 
 A text is lower-cased, its ASCII characters other than letters become white space, runs of which become one
 blank; so it is compressed whole, in blocks of 4 kB that each lean on the dictionary alone, so that a long text
@@ -14,6 +15,7 @@ teach nothing. Each row is judged by itself: repeated rows give repeated results
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -42,23 +44,25 @@ def fit(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     rows_per_language: int = SAMPLE_ROWS, slice_chars: int = SLICE_CHARS, languages: int = LANGUAGES,
 ) -> dict[str, bytes]:
-    """Dictionary by language, the most frequent first: at most languages * rows_per_language * slice_chars characters."""
+    """Dictionary by language, the most frequent first: of `languages` or fewer, `rows_per_language` slices each; of more, as many in all."""
     rows = labelled.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    rows = rows.withColumn("hash", F.xxhash64("id", "text"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.approx_count_distinct("hash").alias("n_distinct"))
+    counts = counts.orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return {}
-    # A hash below this bound leaves about four times the rows wanted of a language.
-    bound = F.lit(0.0)
-    for r in counts:
-        bound = F.when(F.col("lang") == r.lang, min(1.0, 4 * rows_per_language / r["count"])).otherwise(bound)
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    wanted = min(rows_per_language, max(1, rows_per_language * languages // len(counts)))
+    # A hash below this bound leaves about four times the rows wanted of a language, and some of a language of few.
+    bounds = {r.lang: int(min(1.0, max(4 * wanted, 64) / max(1, r.n_distinct)) * (1 << 30)) for r in counts}
+    bound = F.element_at(F.from_json(F.lit(json.dumps(bounds)), "map<string,bigint>"), F.col("lang"))
     middle = F.greatest(F.lit(1), F.expr(f"cast((length(text) - {slice_chars}) / 2 as int) + 1"))
-    picked = rows.withColumn("draw", draw).filter(F.col("draw") < bound * (1 << 30))
+    picked = rows.withColumn("draw", F.pmod("hash", F.lit(1 << 30))).filter(F.col("draw") < bound)
     picked = picked.select("lang", "draw", "id", F.col("text").substr(middle, F.lit(slice_chars)).alias("slice"))
+    picked = picked.filter(F.col("slice").rlike("[A-Za-z[^\\x00-\\x7F]]")).distinct()
     order = Window.partitionBy("lang").orderBy("draw", "id", "slice")
-    sample = picked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows_per_language).collect()
+    sample = picked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= wanted).collect()
     out: dict[str, list[bytes]] = {r.lang: [] for r in counts}
     for r in sorted(sample, key=lambda r: -r.n):
         out[r.lang].append(plain(r.slice))

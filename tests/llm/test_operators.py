@@ -286,6 +286,23 @@ def test_language_id_without_labels(table):
     assert [x.lang_pred for x in got] == ["und", "und"]
 
 
+def test_every_language_is_learned(table):
+    rows = [(i, f"{lang}a {lang}b {lang}c word{i}", lang) for i, lang in enumerate([f"l{k}" for k in range(12)] * 3)]
+    model = language_id.fit(table(rows), rows_per_language=2, languages=3)
+    assert set(model) == {f"l{k}" for k in range(12)}
+    assert all(len(d.splitlines()) == 1 for d in model.values())
+    assert all(len(d.splitlines()) == 2 for d in language_id.fit(table(rows), rows_per_language=2, languages=12).values())
+
+
+def test_rows_without_id_are_drawn_one_by_one(table):
+    rows = [(None, f"none {chr(97 + i % 26)}{chr(97 + i // 26)}", "en") for i in range(600)] + [(i, f"some {chr(97 + i % 26)}{chr(97 + i // 26)}", "en") for i in range(600)]
+    slices = language_id.fit(table(rows), rows_per_language=100)["en"].splitlines()
+    assert len(slices) == 100 and 20 < sum(s.startswith(b"none") for s in slices) < 80
+    copies = [(None, "same text", "en")] * 3000 + [(i, f"other {chr(97 + i % 26)}", "en") for i in range(20)]
+    slices = language_id.fit(table(copies), rows_per_language=4)["en"].splitlines()
+    assert len(slices) == 4 and sum(s == b"same text" for s in slices) <= 1
+
+
 # --- 9 secret scan ----------------------------------------------------------------------------------
 
 def test_secret_scan(table):
