@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from saldo import schemas as Z
+from saldo.session import scratch
 from saldo.sources import sinks as O
 from saldo.sources import streams as J
 from saldo.streaming import jobs as D
@@ -133,6 +134,17 @@ def test_intake_over_restarts_and_replays(spark, tmp_path):
     assert tuple(counts) == (10, 4, 4, 0, 2)
 
 
+def test_intake_query_lands_raw_messages_in_their_own_partitions(spark, sf, monkeypatch):
+    from workload import queries as Q
+
+    raw, paths = W.raw_messages(spark, sf).repartition(5), {}
+    monkeypatch.setattr(W, "raw_messages", lambda *_: raw)
+    monkeypatch.setattr(Q, "scratch", lambda s, name: paths.setdefault(name, scratch(s, name)))
+    totals = Q.intake_totals(spark, Q.intake(spark, sf, 1)).first()
+    assert len(spark.read.parquet(paths["landing"]).inputFiles()) == 5
+    assert totals.messages_consumed == raw.count()
+
+
 def test_a_replayed_batch_does_not_see_its_own_keys(spark, tmp_path):
     from saldo.streaming.ledger import file_keys, unseen
 

@@ -677,8 +677,8 @@ def intake(spark, sf, times: int) -> str:
     """The intake job over the raw messages, delivered `times` over; each delivery is a run of its own of one checkpoint."""
     path, checkpoint, landing = (scratch(spark, name) for name in ("intake", "checkpoint", "landing"))
     for _ in range(times):
-        W.raw_messages(spark, sf).coalesce(2).write.mode("append").parquet(landing)
-        stream = spark.readStream.schema(W.RAW_SCHEMA).option("maxFilesPerTrigger", 2).parquet(landing)
+        W.raw_messages(spark, sf).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(W.RAW_SCHEMA).parquet(landing)
         WS.finish(D.run_intake(stream.select("value", "topic", "partition", "offset"), path, checkpoint, at(), **WS.ONCE))
     return path
 
