@@ -4,20 +4,20 @@ Texts are bytes (UTF-8, a null text counts as empty); matches never cross docume
 and all are judged on the input. Texts below 200 bytes keep everything. Repeated rows are copies of each other.
 An empty table gives an empty result.
 
-Only the order of suffixes up to 200 bytes matters, and only where a suffix may have an equal. The induction:
+Only the order of suffixes up to 200 bytes matters, and only where a suffix may have an equal. This replaces
+recursive external induced sorting by one level of sampling, without a recursion or a priority queue of tuples:
 
 1. Sample suffixes. Every window of 200 bytes names the least of its 64-byte strings by hash (leftmost of equal
    ones) as its anchor; equal windows name the same string at the same place. Each anchor owns the run of
    windows that name it. Anchors whose string occurs once in the corpus are dropped: their windows are single.
 2. The sample is sorted. The suffix tuples of the remaining anchors (string, bytes to the right) are shuffled by
-   string and sorted by Spark's external sorter, whose spill files and merge heap are the disk-backed priority
-   queue: a partition may be far larger than memory. A task reads the sorted tuples as a stream, a few strings'
+   string and sorted by Spark's external sorter: a partition may be far larger than memory. A task reads the sorted tuples as a stream, a few strings'
    tuples at a time, and derives the common-prefix length of neighbours.
 3. All other suffixes are induced. A window that begins k bytes before its anchor equals another one if both
    have the same k bytes to the left and the same 200 - k bytes to the right. Both classes follow from
    common-prefix lengths, of the right order and of the left order; no window is compared byte by byte.
-4. A string with more than `HOT` occurrences is recursed on before that: each of its windows becomes a row of
-   its digest, counted with map-side combining, so that no hot string has to fit in a task.
+4. A string with more than `HOT` occurrences is not sorted: each of its windows becomes a row of its SHA-256
+   digest, counted with map-side combining, so that no hot string has to fit in a task.
 
 Copies of whole texts are found beforehand by hash and length; one of them takes part.
 """
