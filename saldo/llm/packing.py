@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences, in supersteps by size.
 
 Sizes are whole numbers up to the capacity, so range-sorting documents and gaps leaves at most `capacity`
-classes of each, whatever the number of rows: a class is one interval of ranks. A superstep takes the
+classes of each, whatever the number of rows: a class is one interval of ranks. So the driver collects the counts
+of the classes and runs all supersteps itself, in a Python loop; no sweep is distributed. A superstep takes the
 largest class of documents not yet placed. Its successor sweep finds the smallest class of gaps that fits;
 documents and gaps of the two classes are matched by rank, the gaps are updated, and the sweep goes on until
 the class is placed, opening new sequences when no gap is left. This gives what placing single documents by
