@@ -1,12 +1,12 @@
-"""Token counts by a compiled finite-state tokenizer.
+"""Token counts by a compiled finite-state splitter and a memo of words.
 
-Two deterministic transducers, composed:
+Two steps, composed:
 
 * The splitter reads character classes and marks where words begin, one or two characters late where the
-  split depends on what follows (`TRANSITIONS`). It has 13 states.
-* The lexicon reads one word per transition and emits that transition's annotation, the number of tokens the
-  word becomes. Transitions are compiled when a word is first seen, from the vocabulary's own merges, and
-  kept for the following texts (at most `LEXICON` of them at a time; this bounds memory, not results).
+  split depends on what follows (`transitions`). It is a deterministic transducer of 12 states.
+* The lexicon is a table from whole words to the number of tokens they become. The model of the tokenizers
+  library merges a word when it is first seen; the number is kept for the following texts (of about
+  `LEXICON` words at a time; this bounds memory, not results).
 
 The texts of a batch are laid end to end, an end symbol after each, and cut into chunks of equal length. For
 every chunk the splitter's state map (start state to end state) is computed for all chunks side by side; the
@@ -135,7 +135,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class Lexicon(dict):
-    """Tokens of a word; a missing transition is compiled when it is first taken."""
+    """Tokens of a word; tokenizers' model merges a missing word when it is first seen."""
 
     def __init__(self, vocabulary: str) -> None:
         tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
