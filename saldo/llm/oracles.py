@@ -64,3 +64,25 @@ SELECT doc_id, domain, lang, source, tokens, leaf_budget,
   (whole + CASE WHEN rest > 0 AND cum <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
 FROM ordered
 """
+
+_TERMS = (
+    r"unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"
+)
+
+ORACLES["op13_ranked_search"] = f"""
+WITH d AS (SELECT doc_id, {_TERMS} FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY ALL),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, totals GROUP BY term),
+q AS (SELECT item_id, {_TERMS} FROM benchmark),
+asked AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL),
+parts AS (
+  SELECT item_id, doc_id, times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // terms)))) AS part
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals),
+scores AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM parts GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

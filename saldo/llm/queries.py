@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import exact_dedup, language_id, mixing, oph, packing, secret_scan, sharding, simhash, suffix_dedup, token_counts
+from saldo.llm import (
+    byte_pairs, exact_dedup, language_id, mixing, oph, packing, periodic_runs, ranked_search, secret_scan, sharding, simhash,
+    suffix_dedup, token_counts,
+)
+from saldo.llm.common import SPACE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+#: The queries that read the documents only, as functions of them.
+ON_DOCUMENTS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 #: Tree and target weights of the mix. Values that are not named weigh 1.
 MIX_LEVELS = ("domain", "lang", "source")
@@ -23,6 +29,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def query(name: str):
     def register(fn):
+        ON_DOCUMENTS[name] = fn
         QUERIES[name] = lambda spark, sf_dir: fn(documents(spark, sf_dir))
         return fn
     return register
@@ -99,3 +106,46 @@ def _(docs):
 @query("op10_packing")
 def _(docs):
     return packing.pack(docs, packing.CAPACITY)
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """id and text; in documents whose hashed id ends in 0, the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.filter(F.split("text", SPACE), lambda w: w != ""))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).cast("bigint").alias("g"), words.alias("words"))
+    rows = rows.withColumn("n", F.size("words").cast("bigint"))
+    edited = F.col("n") > 0  # neither other documents nor those without words
+    rows = rows.withColumn("a", F.when(edited, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.when(edited, 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))))
+
+    def original(w, i):
+        return F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))
+
+    return rows.select("doc_id", F.when(edited, F.concat_ws(" ", F.transform("words", original))).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def _(docs):
+    found = periodic_runs.find_runs(planted_runs(docs)).withColumn("best", periodic_runs.most_repeated(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_byte_pairs")
+def _(docs):
+    encoded = byte_pairs.encode(docs).withColumn("decoded", byte_pairs.decode(F.col("ids")))
+    return encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES["op13_ranked_search"] = op13
