@@ -141,12 +141,16 @@ def test_ids_are_those_of_the_library(library, monkeypatch):
     points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     texts = ["".join(chr(c) + ("x" if c % 2 else " 1 ") for c in points[k : k + 4000]) for k in range(0, len(points), 4000)]
     texts += [*samples(1, 500), LONG, "a" * 5000, "ab" * 5000, " " * 3000 + "x", "é" * 3000, "=" * 9000]
-    assert all(encoder.encode(t).tolist() == library.encode_ordinary(t) for t in texts)
-    monkeypatch.setattr(byte_pairs, "LONG", 10)  # matches one by one
-    monkeypatch.setattr(byte_pairs, "LEXICON", 5)  # hardly any word is kept
-    monkeypatch.setattr(byte_pairs, "ROW", 4)  # trees as arrays
-    encoder.clear()
-    assert all(encoder.encode(t).tolist() == library.encode_ordinary(t) for t in samples(2, 300))
+    assert [ids.tolist() for ids in encoder.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+    texts = [*samples(2, 300), LONG[:9000], "a" * 200, "é" * 70]
+    want = [library.encode_ordinary(t) for t in texts]
+    for change in ({"BLOCK": 50, "MATCHES": 4}, {"LEXICON": 5}, {"SHORT": 0, "ROW": 4}, {"SHORT": 500, "LANES": 3}):
+        encoder.clear()
+        with monkeypatch.context() as m:
+            for name, value in change.items():
+                m.setattr(byte_pairs, name, value)
+            assert [ids.tolist() for ids in encoder.encode(texts)] == want
+    assert list(encoder.encode([])) == []
 
 
 @pytest.mark.parametrize("kind", [list, lambda v: array("q", v)])
