@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,9 @@ from saldo.plans import intermediate as I
 from saldo.plans import marts as K
 from saldo.plans.staging import arrival_order, newest_events, stg_payment_events
 from saldo.schemas import BRONZE
-from saldo.session import exists, materialize, workspace
+from saldo.session import materialize, workspace
 from saldo.sources.bronze import ingest
+from saldo.sources.published import NULL, Version, versions
 
 # Tables that grow with the events are cut by day.
 INTERVALS = {
@@ -34,7 +35,6 @@ BY_DAY = {
     "stg_payment_events", "fct_payments", *INTERVALS,
     *(f"state_{name}_{part}" for name in ENTITIES for part in ("days", "values")),
 }
-STATE = "load_state"
 MODELS = [
     "stg_payment_events", "int_payment_customer_metrics", "int_payment_merchant_metrics",
     "int_payment_daily_summary", "dim_customer", "dim_merchant", "dim_date", "fct_payments",
@@ -49,6 +49,7 @@ TRENDS_FROM = "2024-01-01"
 OVERLAP = timedelta(hours=1)
 
 Keep = Callable[[str, DataFrame], DataFrame]
+Step = Callable[[str], object]
 
 
 def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = None,
@@ -90,71 +91,60 @@ def with_day(df: DataFrame) -> DataFrame:
     return df if DAY in df.columns else df.withColumn(DAY, F.to_date("provider_created_at"))
 
 
-def write_by_day(df: DataFrame, path: str, mode: str = "static") -> None:
-    """One folder per day; in dynamic mode only the days present in `df` are replaced.
+def day_part(day: date | None) -> str:
+    """Folder name of a day."""
+    return f"{DAY}={NULL if day is None else day.isoformat()}"
+
+
+def put(models: Version, name: str, df: DataFrame) -> DataFrame:
+    return models.put(name, with_day(df), DAY) if name in BY_DAY else models.put(name, df)
 
-    The rebalance keeps files few without gathering a hot day in one task: adaptive execution merges
-    small days and splits large ones.
-    """
-    (
-        with_day(df).hint("rebalance", DAY).write.mode("overwrite")
-        .option("partitionOverwriteMode", mode).partitionBy(DAY).parquet(path)
-    )
 
+def publish(models: Version, mark: datetime | None) -> None:
+    models.publish(loaded_until=None if mark is None else mark.isoformat())
 
-def _store(spark: SparkSession, out: str, name: str, df: DataFrame) -> DataFrame:
-    path = f"{out}/{name}"
-    if name in BY_DAY:
-        write_by_day(df, path)
-    else:
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
 
+def published(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """All models of the published version."""
+    models = Version(spark, out)
+    return {name: models.read(name) for name in MODELS}
 
-def _commit(spark: SparkSession, out: str, mark) -> None:
-    """Records up to which ingestion time the models are built. Written last, so a run that failed
-    half-way is repeated from the same mark; every step of it can be repeated."""
-    row = spark.range(1).select(F.lit(mark).cast("timestamp").alias("loaded_until"))
-    row.write.mode("overwrite").parquet(f"{out}/{STATE}")
 
+def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of, step: Step | None = None, **settings) -> dict[str, DataFrame]:
+    """Builds every model from the bronze table and publishes them together under `out`; returns them.
 
-def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of, **settings) -> dict[str, DataFrame]:
-    """Builds every model from the bronze table and writes each under `out`; returns the written tables."""
-    bronze = spark.read.schema(BRONZE).parquet(bronze_path)
-    tables = build(spark, bronze, as_of, lambda name, df: _store(spark, out, name, df), **settings)
+    A version that is already published there stays readable until the new one is complete. `step(name)` is called
+    after each table.
+    """
+    models = Version(spark, out, step)
+    tables = build(spark, spark.read.schema(BRONZE).parquet(bronze_path), as_of, lambda name, df: put(models, name, df), **settings)
     for name, entity in ENTITIES.items():
-        _store(spark, out, f"state_{name}_days", entity.days(tables["stg_payment_events"]))
-        _store(spark, out, f"state_{name}_values", entity.values(tables["stg_payment_events"]))
-    _store(spark, out, TREND_DAYS, A.trend_days(tables["fct_payments"]))
-    _commit(spark, out, high_water(tables["stg_payment_events"], "ingested_at"))
+        put(models, f"state_{name}_days", entity.days(tables["stg_payment_events"]))
+        put(models, f"state_{name}_values", entity.values(tables["stg_payment_events"]))
+    put(models, TREND_DAYS, A.trend_days(tables["fct_payments"]))
+    publish(models, high_water(tables["stg_payment_events"], "ingested_at"))
     return tables
 
 
-def run_pipeline(spark: SparkSession, store: DataFrame, bronze_path: str, ledger_path: str, out: str, as_of) -> dict[str, DataFrame]:
+def run_pipeline(spark: SparkSession, store: DataFrame, bronze_path: str, ledger_path: str, out: str, as_of,
+                 step: Step | None = None) -> dict[str, DataFrame]:
     """The scheduled job: new rows of the row store into bronze, then the models, whole the first time.
 
     The models are brought up to date from the oldest of the loaded rows on, however old it is, before those rows
-    count as loaded.
+    count as loaded. A run that failed anywhere is simply repeated.
     """
-    def models(oldest) -> None:
-        if exists(spark, f"{out}/{STATE}"):
-            run_incremental(spark, bronze_path, out, as_of, since=oldest)
+    def update(oldest) -> None:
+        if versions(spark, out):
+            run_incremental(spark, bronze_path, out, as_of, since=oldest, step=step)
         else:
-            run_batch(spark, bronze_path, out, as_of)
+            run_batch(spark, bronze_path, out, as_of, step)
 
-    ingest(store, bronze_path, ledger_path, then=models)
-    return {name: spark.read.parquet(f"{out}/{name}") for name in MODELS}
+    ingest(store, bronze_path, ledger_path, then=update)
+    return published(spark, out)
 
 
 # --- incremental build ----------------------------------------------------------------------------
 
-def on_days(df: DataFrame, days: list) -> DataFrame:
-    """Rows of the listed days, by partition pruning."""
-    known = [d for d in days if d is not None]
-    keep = F.col(DAY).isin(known)
-    return df.filter(keep | F.col(DAY).isNull() if None in days else keep)
-
-
 def bronze_since(spark: SparkSession, path: str, since) -> DataFrame:
     """Bronze rows ingested from a time on; folders of earlier days are not read."""
     bronze = spark.read.schema(BRONZE).parquet(path)
@@ -172,92 +162,93 @@ def arrivals(candidates: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, overlap: timedelta = OVERLAP,
-                    history: bool = False, trends_from: str = TRENDS_FROM, since=None) -> dict[str, DataFrame]:
+                    history: bool = False, trends_from: str = TRENDS_FROM, since=None, step: Step | None = None) -> dict[str, DataFrame]:
     """Brings the tables under `out` up to date with new bronze rows; equals a full rebuild.
 
     Bronze is read from `overlap` before the mark, or from `since` if that is older, so rows that tie with the mark or were committed late are found;
-    rows already staged are recognised. Tables cut by day rewrite only the days the new rows touch (an event keeps
+    rows already staged are recognised. Tables cut by day write only the days the new rows touch (an event keeps
     its day, as its provider time never changes). Daily tables and the partial aggregates of entities and trends are computed
     again for these days; entity tables merge the partial aggregates of the touched entities, so no event of another
     day is read. Dimension rows of other entities stay as they are. With `history` a changed dimension row is
     closed and a new one opened. Intervals restart 30 minutes before the last finished bucket, or at the oldest
-    bucket that gained or lost a row. What is written aside is deleted after the commit.
+    bucket that gained or lost a row.
+
+    Everything is computed from the published version and written beside it; the pointer, which carries the mark as
+    well, moves when the last table is complete. So a run that failed at any point has changed nothing, and its repetition
+    finds the same new rows. `step(name)` is called after each table. What is written aside is deleted.
     """
-    table = lambda name: spark.read.parquet(f"{out}/{name}")
-    mark = table(STATE).first()[0]
+    models = Version(spark, out, step)
+    if models.notes["loaded_until"] is None:  # built from no rows
+        return run_batch(spark, bronze_path, out, as_of, step, trends_from=trends_from)
+    mark = datetime.fromisoformat(models.notes["loaded_until"])
+    table = models.read
     with workspace(spark, "increment") as keep:
         since = min(mark - overlap, since or mark)
         candidates = keep("candidates", with_day(stg_payment_events(bronze_since(spark, bronze_path, since), since)))
-        days = [r[0] for r in candidates.select(DAY).distinct().collect()]  # one value per calendar day
-        arrived = keep("arrived", arrivals(candidates, on_days(table("stg_payment_events"), days)))
-        days = [r[0] for r in arrived.select(DAY).distinct().collect()]
+        touched_parts = lambda df: [day_part(r[0]) for r in df.select(DAY).distinct().collect()]  # noqa: E731  one per calendar day
+        arrived = keep("arrived", arrivals(candidates, table("stg_payment_events", touched_parts(candidates))))
+        days = touched_parts(arrived)
         if not days:
             return {name: table(name) for name in MODELS}
         # Rows of staging that new ones replace: their entities and buckets change too.
-        replaced = keep("replaced", on_days(table("stg_payment_events"), days).join(arrived.select("event_id"), "event_id", "left_semi"))
+        replaced = keep("replaced", table("stg_payment_events", days).join(arrived.select("event_id"), "event_id", "left_semi"))
         both = arrived.unionByName(replaced.select(*arrived.columns))
 
-        def replace(name: str, df: DataFrame) -> DataFrame:
-            """Whole small table; written aside first, since it may be computed from its old self."""
-            keep(name, df).write.mode("overwrite").parquet(f"{out}/{name}")
-            return table(name)
+        def put_days(name: str, df: DataFrame) -> DataFrame:
+            """The touched days of a table; one that is left without rows goes."""
+            return models.put(name, with_day(df).select(*models.columns(name)), DAY, instead_of=days)
 
         def merge_days(name: str, updates: DataFrame, keys: list[str]) -> DataFrame:
-            merged = U.upsert(on_days(table(name), days), updates, keys)
-            write_by_day(keep(name, merged), f"{out}/{name}", "dynamic")
-            return table(name)
+            return put_days(name, U.upsert(table(name, days), updates, keys))
 
         def touched(key: str) -> DataFrame:
             return both.select(key).filter(F.col(key).isNotNull()).distinct()
 
-        def state(name: str, df: DataFrame) -> DataFrame:
-            """Partial aggregates of the touched days in place of the old ones; a day left without rows is emptied."""
-            stale = on_days(table(name), days).select(DAY).distinct().join(df.select(DAY).distinct(), DAY, "left_anti")
-            if not stale.isEmpty():
-                whole = on_days(table(name), [r[0] for r in table(name).select(DAY).distinct().collect() if r[0] not in days])
-                write_by_day(keep(name, whole.unionByName(df)), f"{out}/{name}")
-            else:
-                write_by_day(keep(name, df), f"{out}/{name}", "dynamic")
-            return table(name)
-
         def refreshed(name: str, entity: I.Entity, label: str) -> DataFrame:
-            now = on_days(stg, days)
-            partial = state(f"state_{label}_days", entity.days(now)), state(f"state_{label}_values", entity.values(now))
+            now = table("stg_payment_events", days)
+            partial = put_days(f"state_{label}_days", entity.days(now)), put_days(f"state_{label}_values", entity.values(now))
             fresh = entity.from_days(*(p.join(touched(entity.key), entity.key, "left_semi") for p in partial))
-            return replace(name, table(name).join(touched(entity.key), entity.key, "left_anti").unionByName(fresh))
+            return replace(name, entity.key, fresh)
+
+        def replace(name: str, key: str, fresh: DataFrame) -> DataFrame:
+            """Rows of touched entities in place of their old ones."""
+            others = table(name).join(touched(key), key, "left_anti")
+            return models.put(name, others.unionByName(fresh).select(*models.columns(name)))
 
         def dimension(name: str, key: str, metrics: DataFrame, model: Callable[..., DataFrame]) -> DataFrame:
             fresh = model(metrics.join(touched(key), key, "left_semi"), as_of)
             if history:
-                return replace(name, U.scd2_merge(table(name), fresh, key, [c for c in metrics.columns if c != key], as_of))
-            return replace(name, table(name).join(touched(key), key, "left_anti").unionByName(fresh))
+                return models.put(name, U.scd2_merge(table(name), fresh, key, [c for c in metrics.columns if c != key], as_of))
+            return replace(name, key, fresh)
 
         # Interval tables are read before staging changes, so that their edge is the last build's.
         oldest = both.agg(F.min("ingested_at")).first()[0]
         oldest = oldest.replace(minute=oldest.minute // 15 * 15, second=0, microsecond=0)
-        edge = min([oldest, *(reread_from(table(name)) for name in INTERVALS)])
+        ends = [reread_from(table(name)) for name in INTERVALS]
+        edge = min([oldest, *(e for e in ends if e is not None)])
         stg = merge_days("stg_payment_events", arrived, ["event_id"])
         customers = refreshed("int_payment_customer_metrics", I.CUSTOMER, "customer")
         merchants = refreshed("int_payment_merchant_metrics", I.MERCHANT, "merchant")
-        touched_days = I.int_daily_summary(on_days(stg, days))
+        touched_days = I.int_daily_summary(table("stg_payment_events", days))
 
         def other_days(name: str, column: str) -> DataFrame:
-            return table(name).filter(~F.coalesce(F.col(column).isin([d for d in days if d is not None]), F.lit(None in days)))
+            known = [p.removeprefix(f"{DAY}=") for p in days if p != day_part(None)]
+            return table(name).filter(~F.coalesce(F.col(column).cast("string").isin(known), F.lit(day_part(None) in days)))
 
-        daily = replace("int_payment_daily_summary", other_days("int_payment_daily_summary", DAY).unionByName(touched_days))
+        daily = models.put("int_payment_daily_summary", other_days("int_payment_daily_summary", DAY).unionByName(touched_days))
         dim_customer = dimension("dim_customer", "customer_id", customers, K.dim_customer)
         dimension("dim_merchant", "merchant_id", merchants, K.dim_merchant)
-        facts = merge_days("fct_payments", K.fct_payments(arrived, as_of), ["payment_key"])
-        replace("fct_daily_payments", K.fct_daily_payments(daily, as_of))
-        replace("feat_customer_features", X.feat_customer(customers, as_of))
-        replace("feat_merchant_features", X.feat_merchant(merchants, as_of))
+        merge_days("fct_payments", K.fct_payments(arrived, as_of), ["payment_key"])
+        models.put("fct_daily_payments", K.fct_daily_payments(daily, as_of))
+        models.put("feat_customer_features", X.feat_customer(customers, as_of))
+        models.put("feat_merchant_features", X.feat_merchant(merchants, as_of))
         for name, model in INTERVALS.items():
-            # The edge's day is rewritten whole: its buckets before the edge come from the table.
-            kept = table(name).filter((F.col(DAY) >= F.lit(edge.date())) & (F.col("interval_start") < F.lit(edge)))
-            fresh = keep(name, kept.unionByName(model(stg, edge).select(*kept.columns)))
-            write_by_day(fresh, f"{out}/{name}", "dynamic")
-        trends = replace(TREND_DAYS, other_days(TREND_DAYS, "date_key").unionByName(A.trend_days(on_days(facts, days))))
-        replace("analytics_payment_trends", A.trends_of(trends, table("dim_date"), as_of, trends_from))
-        replace("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
-        _commit(spark, out, max(mark, high_water(arrived, "ingested_at")))
+            # The edge's day is written whole: its buckets before the edge come from the table.
+            redone = [p for p in models.parts(name) if p >= day_part(edge.date()) and p != day_part(None)]
+            kept = table(name, redone).filter(F.col("interval_start") < F.lit(edge))
+            models.put(name, kept.unionByName(model(stg, edge).select(*kept.columns)), DAY, instead_of=redone)
+        trends = models.put(TREND_DAYS, other_days(TREND_DAYS, "date_key").unionByName(A.trend_days(table("fct_payments", days))))
+        models.put("analytics_payment_trends", A.trends_of(trends, table("dim_date"), as_of, trends_from))
+        models.put("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
+        publish(models, max(mark, high_water(arrived, "ingested_at")))
     return {name: table(name) for name in MODELS}

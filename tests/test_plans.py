@@ -14,6 +14,7 @@ from saldo.plans import marts as K
 from saldo.plans.staging import stg_payment_events
 from saldo.session import shared_dir
 from saldo.sources import bronze as S
+from saldo.sources.published import Version
 from workload import adapters as W
 
 AUDIT = {"dw_created_at", "dw_updated_at", "valid_from", "valid_to", "feature_timestamp"}
@@ -106,8 +107,8 @@ def test_scheduled_job_runs_from_the_row_store(spark, sf, tmp_path):
 
 def test_facts_are_cut_by_day_and_prune(spark, sf, tmp_path):
     path = str(tmp_path / "facts")
-    B.write_by_day(K.fct_payments(stg_payment_events(W.bronze(spark, sf)), W.AS_OF), path)
-    one = spark.read.parquet(path).filter("event_date = DATE '2024-01-05'").select("amount_cents")
+    facts = Version(spark, path).put("facts", B.with_day(K.fct_payments(stg_payment_events(W.bronze(spark, sf)), W.AS_OF)), B.DAY)
+    one = facts.filter("event_date = DATE '2024-01-05'").select("amount_cents")
     plan = plan_of(one)
     assert "event_date" in re.search(r"PartitionFilters: \[(.*?)\]", plan).group(1)
     assert "ReadSchema: struct<amount_cents:bigint>" in plan

@@ -1094,4 +1094,4 @@ def _build_content() -> str:
         for model, (name, keys, measure) in CONTENT.items())
 
 
-ORACLES["m12_batch_build"] = ORACLES["m12_incremental_build"] = _build_content()
+ORACLES["m12_batch_build"] = ORACLES["m12_incremental_build"] = ORACLES["m12_interrupted_build"] = _build_content()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import os
 from collections.abc import Callable
@@ -992,6 +993,29 @@ def _(spark, sf):
     return _content(tables | {"analytics_payment_trends": tables["analytics_payment_trends"].filter(F.col("date_key") <= F.to_date(at()))})
 
 
+class Killed(Exception):
+    """A run that ends half-way."""
+
+
+@query("m12_interrupted_build")
+def _(spark, sf):
+    """An increment that is killed after staging and again after the facts, then repeated: every row of every model."""
+    old, new = halves(twice_ingested(spark, sf), cut="2024-01-20 10:07:00")
+    source, out = scratch(spark, "bronze"), scratch(spark, "models")
+    S.append_bronze(old, source)
+    B.run_batch(spark, source, out, W.AS_OF)
+    S.append_bronze(new, source)
+    for last in ("stg_payment_events", "fct_payments"):
+        def step(name, last=last):
+            if name == last:
+                raise Killed(name)
+
+        with contextlib.suppress(Killed):
+            B.run_incremental(spark, source, out, W.AS_OF, step=step)
+    B.run_incremental(spark, source, out, W.AS_OF)
+    return _content(B.published(spark, out))
+
+
 @query("m12_incremental_dimensions")
 def _(spark, sf):
     """Audit columns of the dimensions after an increment: only entities with newer rows are written anew."""
