@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words that are kept, and up to how many bytes words are kept and merged side by side.
-LEXICON, SHORT = 1 << 18, 32
+LEXICON, SHORT = 1 << 19, 32
 #: Words whose trees are rows of one matrix.
 LANES = 1 << 13
 #: Characters of texts that are encoded together.
@@ -242,18 +242,32 @@ def read_ranks(vocabulary: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file) if token}
 
 
+@cache
+def read_tokens(vocabulary: str) -> dict[int, bytes]:
+    """Token of every rank."""
+    return {rank: token for token, rank in read_ranks(vocabulary).items()}
+
+
+def encoded(texts: pa.Array, encoder: Encoder) -> pa.ListArray:
+    ids, ends = array("i"), [0]
+    for found in encoder.encode([text.as_py() or "" for text in texts]):
+        ids.extend(found)
+        ends.append(len(ids))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
+
+
+def decoded(rows: pa.ListArray, tokens: dict[int, bytes]) -> pa.Array:
+    lists = (row.values.to_numpy().tolist() if row.is_valid else () for row in rows)
+    return pa.array([b"".join(map(tokens.__getitem__, ids)) for ids in lists], pa.binary())
+
+
 def encoding(vocabulary: str = VOCABULARY):
     """A column function text -> ids."""
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = encoder_of(vocabulary)
         for batch in batches:
-            ids, ends = array("i"), [0]
-            for found in encoder.encode([text.as_py() or "" for text in batch]):
-                ids.extend(found)
-                ends.append(len(ids))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
+            yield encoded(batch, encoder_of(vocabulary))
 
     return encode.asNondeterministic()  # else each use of its result would run it again
 
@@ -263,14 +277,24 @@ def decoding(vocabulary: str = VOCABULARY):
 
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = {rank: token for token, rank in read_ranks(vocabulary).items()}
         for batch in batches:
-            rows = (row.values.to_numpy().tolist() if row.is_valid else () for row in batch)
-            yield pa.array([b"".join(map(tokens.__getitem__, ids)) for ids in rows], pa.binary())
+            yield decoded(batch, read_tokens(vocabulary))
 
     return decode.asNondeterministic()
 
 
+def both_ways(vocabulary: str = VOCABULARY):
+    """A column function text -> (ids, decoded): what the two others give, in one Python worker."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ids = encoded(batch, encoder_of(vocabulary))
+            yield pa.StructArray.from_arrays([ids, decoded(ids, read_tokens(vocabulary))], ["ids", "decoded"])
+
+    return there_and_back.asNondeterministic()
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """id and `ids`, the token ids of every row's text."""
     return docs.select(F.col(f"`{id_col}`").alias(id_col), encoding(vocabulary)(F.col(f"`{text_col}`")).alias("ids"))
@@ -279,3 +303,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
 def decode(ids: Column, vocabulary: str = VOCABULARY) -> Column:
     """The bytes that the ids stand for."""
     return decoding(vocabulary)(ids)
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """id, `ids` and `decoded`, the bytes that these ids stand for."""
+    found = both_ways(vocabulary)(F.col(f"`{text_col}`")).alias("found")
+    return docs.select(F.col(f"`{id_col}`").alias(id_col), found).select(f"`{id_col}`", "found.*")

@@ -137,8 +137,7 @@ def _(docs):
 
 @query("op12_byte_pairs")
 def _(docs):
-    encoded = byte_pairs.encode(docs).withColumn("decoded", byte_pairs.decode(F.col("ids")))
-    return encoded.select(
+    return byte_pairs.round_trip(docs).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
