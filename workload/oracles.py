@@ -964,6 +964,45 @@ ORACLES["q10_validate_merchant_features"] = f"""WITH {MM}, {FM} SELECT count(*)
   round(avg(CAST(merchant_health_score AS DOUBLE)), 6) AS avg_merchant_health_score, 0e0 AS null_rate_sum FROM fm"""
 _DECIDED = "first_code IN ('MISSING_EVENT_ID', 'INVALID_CURRENCY')"
 _KEPT = f"""{JUDGED}, {DLQ}, kept AS (SELECT * FROM dlq QUALIFY row_number() OVER (PARTITION BY {DLQ_KEY} ORDER BY n % 3, n) = 1)"""
+
+
+def _drift(ctes: str, table: str, key: str, features: list[str]) -> str:
+    """PSI and KS of odd against even entities, bin by bin."""
+    shares = "[" + ", ".join(f"{k}/16.0::DOUBLE" for k in range(1, 16)) + "]"
+    long = " UNION ALL ".join(f"SELECT '{f}' AS feature, k, {f}::DOUBLE AS x FROM e" for f in features)
+    return f"""WITH {ctes}, e AS (SELECT *, regexp_extract({key}, '([0-9]+)$', 1)::BIGINT AS k FROM {table}), v AS ({long}),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_disc(x, {shares}))) AS edges FROM v WHERE k % 2 = 0 GROUP BY feature),
+sides AS (
+  SELECT variant, feature, side, x FROM (SELECT unnest(['unshifted', 'shifted']) AS variant), (SELECT feature, 'a' AS side, x FROM v WHERE k % 2 = 0)
+  UNION ALL SELECT 'unshifted', feature, 'b', x FROM v WHERE k % 2 = 1
+  UNION ALL SELECT 'shifted', feature, 'b', CASE WHEN k % 4 = 1 THEN x * 2 + 1 ELSE x END FROM v WHERE k % 2 = 1),
+binned AS (SELECT variant, feature, side, CASE WHEN x IS NULL THEN -1 ELSE len(list_filter(edges, lambda c: c < x)) END AS bin FROM sides JOIN edges USING (feature)),
+grid AS (SELECT variant, feature, unnest(range(-1, len(edges) + 1)) AS bin FROM edges, (SELECT unnest(['unshifted', 'shifted']) AS variant)),
+cells AS (
+  SELECT g.variant, g.feature, g.bin, count(*) FILTER (WHERE side = 'a') AS a, count(*) FILTER (WHERE side = 'b') AS b
+  FROM grid g LEFT JOIN binned d ON g.variant = d.variant AND g.feature = d.feature AND g.bin = d.bin GROUP BY ALL),
+shares AS (
+  SELECT *, (a + 0.5) / (sum(a) OVER w + 0.5 * count(*) OVER w) AS p, (b + 0.5) / (sum(b) OVER w + 0.5 * count(*) OVER w) AS q,
+    abs(sum(CASE WHEN bin >= 0 THEN a ELSE 0 END) OVER o / (sum(CASE WHEN bin >= 0 THEN a ELSE 0 END) OVER w)::DOUBLE
+      - sum(CASE WHEN bin >= 0 THEN b ELSE 0 END) OVER o / (sum(CASE WHEN bin >= 0 THEN b ELSE 0 END) OVER w)::DOUBLE) AS gap
+  FROM cells WINDOW w AS (PARTITION BY variant, feature), o AS (PARTITION BY variant, feature ORDER BY bin)),
+r AS (
+  SELECT variant, feature, sum(a)::BIGINT AS reference_rows, sum(b)::BIGINT AS current_rows, sum((q - p) * ln(q / p)) AS psi, max(gap) AS ks,
+    sum(CASE WHEN bin >= 0 THEN a END)::DOUBLE AS va, sum(CASE WHEN bin >= 0 THEN b END)::DOUBLE AS vb, (count(*) - 1)::DOUBLE AS free
+  FROM shares GROUP BY ALL),
+limits AS (
+  SELECT *, free * pow(1 - 2 / (9 * free) + 1.645::DOUBLE * sqrt(2 / (9 * free)), 3) * (1.0::DOUBLE / reference_rows + 1.0::DOUBLE / current_rows) AS psi_limit
+  FROM r)
+SELECT variant, feature, reference_rows, current_rows, round(psi, 6) AS psi, round(psi_limit, 6) AS psi_limit, round(ks, 6) AS ks, round(1.36::DOUBLE * sqrt((va + vb) / (va * vb)), 6) AS ks_limit,
+  CASE WHEN psi <= psi_limit OR psi < 0.1 THEN 'stable' WHEN psi >= 0.25 THEN 'major' ELSE 'moderate' END AS level,
+  (psi > psi_limit AND psi >= 0.1) OR ks > 1.36::DOUBLE * sqrt((va + vb) / (va * vb)) AS drifted FROM limits"""
+
+
+ORACLES["q09_customer_drift"] = _drift(f"{CM}, {FC}", "fc", "customer_id", [
+    "total_payments_30d", "total_amount_cents_30d", "failure_rate_30d", "fraud_score_avg", "days_since_first_payment"])
+ORACLES["q10_merchant_drift"] = _drift(f"{MM}, {FM}", "fm", "merchant_id", [
+    "total_transactions_30d", "total_volume_cents_30d", "unique_customers_30d", "merchant_health_score"])
+
 ORACLES["q13_apply_review"] = f"""WITH {_KEPT} SELECT n AS kafka_offset, first_code AS failure_reason, {_DECIDED} OR n % 5 = 0 AS reviewed,
   CASE WHEN {_DECIDED} THEN 'lead' WHEN n % 5 = 0 THEN 'ops' END AS reviewed_by,
   CASE first_code WHEN 'INVALID_CURRENCY' THEN 'discarded' WHEN 'MISSING_EVENT_ID' THEN 'reprocessed' ELSE CASE WHEN n % 5 = 0 THEN 'discarded' END END AS resolution,

@@ -16,6 +16,7 @@ from saldo import schemas as Z
 from saldo.functions import macros as M
 from saldo.functions import scoring as R
 from saldo.functions import validators as V
+from saldo.operators import drift as DR
 from saldo.operators import enrich as E
 from saldo.operators import gateway as G
 from saldo.operators import incremental as H
@@ -1322,6 +1323,40 @@ def _(spark, sf):
     return Q.flag_monitor(accepted(spark, sf, "charges"), "1997-06-15 00:30:00", hours=4800)
 
 
+DRIFT_FEATURES = {
+    "customer_id": ["total_payments_30d", "total_amount_cents_30d", "failure_rate_30d", "fraud_score_avg", "days_since_first_payment"],
+    "merchant_id": ["total_transactions_30d", "total_volume_cents_30d", "unique_customers_30d", "merchant_health_score"],
+}
+
+
+def drift_reports(features: DataFrame, key: str) -> DataFrame:
+    """Entities with an odd number against those with an even one: as they are, and with every second value moved up."""
+    names = DRIFT_FEATURES[key]
+    number = F.regexp_extract(key, "([0-9]+)$", 1).cast("bigint")
+    even, odd = features.filter(number % 2 == 0), features.filter(number % 2 == 1)
+    moved = odd.select(*[F.when(number % 4 == 1, F.col(c).cast("double") * 2 + 1).otherwise(F.col(c).cast("double")).alias(c) for c in names])
+    edges = DR.quantile_edges(even, names)
+    reference, result = DR.profile(even, edges), None
+    # The shifted profile is merged from two halves.
+    merged = DR.merge_profiles(*[DR.profile(moved.filter(f"{names[0]} % 2 {op} 0"), edges) for op in ("=", "<>")])
+    for variant, current in (("unshifted", DR.profile(odd, edges)), ("shifted", merged)):
+        part = DR.drift_report(reference, current).select(
+            F.lit(variant).alias("variant"), "feature", "reference_rows", "current_rows", F.round("psi", 6).alias("psi"),
+            F.round("psi_limit", 6).alias("psi_limit"), F.round("ks", 6).alias("ks"), F.round("ks_limit", 6).alias("ks_limit"), "level", "drifted")
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+@query("q09_customer_drift")
+def _(spark, sf):
+    return drift_reports(X.feat_customer(customers(spark, sf), W.AS_OF), "customer_id")
+
+
+@query("q10_merchant_drift")
+def _(spark, sf):
+    return drift_reports(X.feat_merchant(merchants(spark, sf), W.AS_OF), "merchant_id")
+
+
 @query("q09_validate_customer_features")
 def _(spark, sf):
     report = Q.validate_customer_features(X.feat_customer(customers(spark, sf), W.AS_OF))
