@@ -17,9 +17,14 @@ recursive external induced sorting by one level of sampling, without a recursion
    have the same k bytes to the left and the same 200 - k bytes to the right. Both classes follow from
    common-prefix lengths, of the right order and of the left order; no window is compared byte by byte.
 4. A string with more than `HOT` occurrences is not sorted: each of its windows becomes a row of its SHA-256
-   digest, counted with map-side combining, so that no hot string has to fit in a task.
+   digest, counted with map-side combining, so that no hot string has to fit in a task. Digests with more than one
+   window in `SHARE` are fewer than `SHARE`: they are broadcast, and their windows stay where they are.
 
-Copies of whole texts are found beforehand by hash and length; one of them takes part.
+No row holds what grows with a text, but the text itself and the spans removed from it, which are at least 200
+bytes long: anchors meet their text in pieces of `PIECE` bytes, and the windows of a piece are merged into maximal
+spans before the spans of a text are gathered. A text of one repeated character is thus no special case.
+
+Copies of whole texts are found beforehand by two hashes and the length; one of them takes part.
 """
 
 from __future__ import annotations
@@ -29,11 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldo.llm.common import text_or_empty
-from saldo.session import materialize
+from saldo.session import materialize, workspace
 
 LENGTH = 200
 GRAM = 64
@@ -45,7 +50,9 @@ LOW = np.uint64((1 << 21) - 1)
 #: Tuples a task holds at a time; a string's tuples are never divided, and a string has at most HOT of them.
 HELD = 1 << 14
 HOT = 50_000
-PARTS = 16
+#: Bytes of a text that meet their anchors in one row.
+PIECE = 1 << 15
+SHARE = 1024
 
 BASE = 0x9E3779B97F4A7C15
 
@@ -96,7 +103,7 @@ class Anchors:
 
 
 def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per text and string: hash, text key, whether the text may hold the string more than once, and each
+    """A row per text and string: hash, the text's two hashes, whether the text may hold the string more than once, and each
     place with its bytes to the left and the bytes the last window leaves out, packed in one number.
 
     A text is told once per task. A text longer than a block is cut into blocks that share 199 bytes; as these
@@ -104,7 +111,7 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     finder, seen = Anchors(), set()
 
-    def told(parts: list[tuple[int, int, bytes, bool]]) -> pa.RecordBatch:
+    def told(parts: list[tuple[tuple[int, int], int, bytes, bool]]) -> pa.RecordBatch:
         lengths = np.array([len(p[2]) for p in parts])
         ends = np.cumsum(lengths)
         hashes, place, first, last = finder.find(np.frombuffer(b"".join(p[2] for p in parts), np.uint8), ends)
@@ -116,17 +123,18 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads = np.flatnonzero(np.diff(part, prepend=-1) | (np.diff(hashes, prepend=np.uint64(0)) != 0))
         offsets = np.append(heads, len(part))
         many = (np.diff(offsets) > 1) | np.array([p[3] for p in parts])[part[heads]]
-        keys = np.array([p[0] for p in parts], np.int64)[part[heads]]
+        keys = np.array([p[0] for p in parts], np.int64).reshape(-1, 2)[part[heads]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(hashes[heads].view(np.int64)), pa.array(keys), pa.array(many),
+            [pa.array(hashes[heads].view(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(many),
              pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(packed))],
-            ["hash", "d", "many", "ats"],
+            ["hash", "d", "e", "many", "ats"],
         )
 
     for batch in batches:
-        parts: list[tuple[int, int, bytes, bool]] = []
+        parts: list[tuple[tuple[int, int], int, bytes, bool]] = []
         size = 0
-        for key, text in zip(batch.column("d").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for d, e, text in zip(*(batch.column(c).to_pylist() for c in ("d", "e", "text")), strict=True):
+            key = (d, e)
             if len(text) < LENGTH or key in seen:
                 continue
             seen.add(key)
@@ -205,24 +213,20 @@ def repeat_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cutter():
-    """A column function (text, sorted spans) -> maximal spans and what remains."""
+    """A column function (text, starts and ends of spans by start) -> maximal spans and what remains."""
 
     @F.pandas_udf("spans array<struct<start:bigint,end:bigint>>, kept binary")
-    def cut(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
         out = []
-        for text, spans in zip(texts, lists, strict=True):
+        for text, first, last in zip(texts, starts, ends, strict=True):
             if text is None:
                 out.append((None, None))
                 continue
-            merged: list[list[int]] = []
-            for s in spans:
-                if merged and s["start"] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], s["end"])
-                else:
-                    merged.append([s["start"], s["end"]])
-            edges = [0, *(x for m in merged for x in m), len(text)]
-            kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            out.append(([{"start": a, "end": b} for a, b in merged], kept))
+            last = np.maximum.accumulate(last)
+            opens = np.append(True, first[1:] > last[:-1])
+            first, last = first[opens].tolist(), last[np.append(opens[1:], True)].tolist()
+            kept = b"".join(text[a:b] for a, b in zip([0, *last], [*first, len(text)], strict=True))
+            out.append(([{"start": a, "end": b} for a, b in zip(first, last, strict=True)], kept))
         return pd.DataFrame(out, columns=["spans", "kept"])
 
     return cut
@@ -237,71 +241,125 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def text_classes(rows: DataFrame, hot: int) -> DataFrame:
-    """d, e, n_bytes, copies, least id and marks: the anchors whose string occurs elsewhere, and if it is hot."""
+def text_classes(rows: DataFrame) -> DataFrame:
+    """d, e, n_bytes, copies and the least id of every text."""
     rank = F.struct(F.col("id").isNull().alias("none"), "id")
-    classes = rows.groupBy("d", "e", "n_bytes").agg(F.count(F.lit(1)).alias("copies"), F.min(rank).alias("least"))
-    found = rows.select("d", "text").mapInArrow(anchor_rows, "hash bigint, d bigint, many boolean, ats array<bigint>")
-    anchors = materialize(found, "anchors")
+    return rows.groupBy("d", "e", "n_bytes").agg(F.count(F.lit(1)).alias("copies"), F.min(rank).alias("least"))
+
+
+def piece(place: Column) -> Column:
+    return F.floor(place / F.lit(PIECE)).cast("int")
+
+
+def mark_rows(anchors: DataFrame, known: DataFrame, hot: int) -> DataFrame:
+    """d, e, piece, lead and marks: the anchors of a piece whose string occurs elsewhere, with a last bit if it is hot.
+
+    `lead` is the id of the text's row that takes part.
+    """
     # Counted with map-side combining, then joined, where adaptive execution splits a hot string.
     found = anchors.groupBy("hash").agg(
-        F.min("d").alias("low"), F.max("d").alias("high"), F.max("many").alias("many"), F.sum(F.size("ats")).alias("n")
-    )
-    found = found.filter("low != high OR many").select("hash", (F.col("n") > hot).alias("hot"))
-    places = anchors.join(found, "hash").select("d", "hot", F.explode("ats").alias("at"))
-    marks = places.groupBy("d").agg(F.collect_set(F.struct("at", "hot")).alias("marks"))
-    return classes.join(marks, "d", "left")
+        *(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("d", "e")),
+        F.max("many").alias("many"), F.sum(F.size("ats")).alias("n"),
+    ).filter("min_d != max_d OR min_e != max_e OR many")
+    places = anchors.join(found.select("hash", (F.col("n") > hot).cast("int").alias("hot")), "hash").select(
+        "d", "e", "hot", F.explode("ats").alias("at"))
+    marks = places.groupBy("d", "e", piece(F.shiftright("at", 16)).alias("piece")).agg(
+        F.collect_set(F.shiftleft("at", 1).bitwiseOR(F.col("hot"))).alias("marks"))
+    return marks.join(known.select("d", "e", F.col("least.id").alias("lead")), ["d", "e"])
+
+
+def piece_rows(rows: DataFrame) -> DataFrame:
+    """d, e, id, piece, base and text: the bytes from `base` on that windows anchored in the piece may cover."""
+    long = rows.filter(F.col("n_bytes") >= LENGTH)
+    cut = long.withColumn("piece", F.explode(F.sequence(F.lit(0), piece(F.col("n_bytes") - 1))))
+    cut = cut.withColumn("base", F.greatest(F.lit(0), F.col("piece") * F.lit(PIECE) - (PLACES - 1)))
+    return cut.select("d", "e", "id", "piece", "base", substring("base", f"{PIECE + PLACES - 1 + LENGTH}").alias("text"))
 
 
 def substring(start: str, length: str):
     return F.expr(f"substring(text, cast({start} as int) + 1, cast({length} as int))")
 
 
-def span_rows(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """d, e, start, end of repeated windows, of one copy of each text."""
-    leads = known.filter("marks IS NOT NULL").select("d", "e", "least.id", "marks").withColumnRenamed("id", "lead")
-    marked = rows.join(leads, ["d", "e"]).filter(F.col("id").eqNullSafe(F.col("lead")))
-    marked = marked.select("d", "e", "text", F.explode("marks").alias("m")).select(
-        "d", "e", "text", "m.at", "m.hot",
-        F.shiftright("m.at", 16).alias("place"),
-        F.shiftright("m.at", 8).bitwiseAND(F.lit(255)).alias("before"),
-        F.col("m.at").bitwiseAND(F.lit(255)).alias("beyond"),
+def span_rows(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """d, e, piece, start, end of repeated windows, of one copy of each text."""
+    marked = piece_rows(rows).join(marks, ["d", "e", "piece"]).filter(F.col("id").eqNullSafe(F.col("lead")))
+    marked = marked.select("d", "e", "piece", "base", "text", F.explode("marks").alias("m")).select(
+        "d", "e", "piece", "base", "text",
+        (F.col("m") % 2 == 1).alias("hot"),
+        F.shiftright("m", 1).alias("at"),
+        F.shiftright("m", 17).alias("place"),
+        F.shiftright("m", 9).bitwiseAND(F.lit(255)).alias("before"),
+        F.shiftright("m", 1).bitwiseAND(F.lit(255)).alias("beyond"),
     )
     tuples = marked.filter("not hot").select(
         "d", "e", "at",
-        F.xxhash64(substring("place", str(GRAM))).alias("gram"),
-        substring("place - before", "before").alias("left"),
-        substring("place", f"{LENGTH} - beyond").alias("right"),
+        F.xxhash64(substring("place - base", str(GRAM))).alias("gram"),
+        substring("place - base - before", "before").alias("left"),
+        substring("place - base", f"{LENGTH} - beyond").alias("right"),
     )
     out = tuples.repartition("gram").sortWithinPartitions("gram", "right").mapInArrow(
         repeat_rows, "d bigint, e bigint, start bigint, end bigint"
-    )
-    if not known.filter(F.exists("marks", lambda m: m.hot)).isEmpty():
-        windows = marked.filter("hot").select("d", "e", "text", F.explode(F.expr("sequence(place - before, place - beyond)")).alias("start"))
-        windows = windows.select("d", "e", "start", F.unhex(F.sha2(substring("start", str(LENGTH)), 256)).alias("digest"))
-        where = F.struct("d", "e", "start")
-        twice = windows.groupBy("digest").agg(F.min(where).alias("low"), F.max(where).alias("high")).filter("low != high")
-        # A digest may have very many windows: they are dealt by digest and part of their place.
-        parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
-        windows = windows.withColumn("part", F.pmod(F.xxhash64("d", "start"), F.lit(PARTS)).cast("int"))
-        found = windows.join(twice.select("digest", parts), ["digest", "part"])
-        out = out.unionByName(found.select("d", "e", "start", (F.col("start") + LENGTH).alias("end")))
+    ).select("d", "e", piece(F.col("start")).alias("piece"), "start", "end")
+    if not marks.filter(F.exists("marks", lambda m: m % 2 == 1)).isEmpty():
+        windows = marked.filter("hot").select("d", "e", "base", "text", F.explode(F.expr("sequence(place - before, place - beyond)")).alias("start"))
+        windows = windows.select("d", "e", "start", F.unhex(F.sha2(substring("start - base", str(LENGTH)), 256)).alias("digest"))
+        out = out.unionByName(repeated_digests(windows).select(
+            "d", "e", piece(F.col("start")).alias("piece"), "start", (F.col("start") + LENGTH).alias("end")))
     return out
 
 
+def repeated_digests(windows: DataFrame) -> DataFrame:
+    """The windows whose digest another window has. Rows repeated in the table are one window."""
+    where = ("d", "e", "start")
+    edges = windows.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in where))
+    differ = " OR ".join(f"min_{c} != max_{c}" for c in where)
+    twice = materialize(edges.filter(differ).select("digest", "n"), "digests")
+    total = twice.agg(F.sum("n")).first()[0] or 0
+    frequent = F.col("n") * SHARE > total
+    # Less than SHARE digests have more than that share of all windows. Their windows are known at once; the salt
+    # spreads them over all tasks of the join, in which they need no partner.
+    known = windows.join(F.broadcast(twice.filter(frequent).select("digest", F.lit(True).alias("known"))), "digest", "left")
+    salt = F.when(F.col("known"), F.lit(1) + F.pmod(F.xxhash64(*where), F.lit(1 << 30))).otherwise(F.lit(0))
+    rare = twice.filter(~frequent).select("digest", F.lit(0).cast("bigint").alias("salt"), F.lit(True).alias("rare"))
+    found = known.withColumn("salt", salt.cast("bigint")).join(rare, ["digest", "salt"], "left")
+    return found.filter("known OR rare").select(*where)
+
+
+def maximal(spans: DataFrame) -> DataFrame:
+    """d, e and, in order, starts and ends of each text's spans, touching ones of a piece merged.
+
+    A window's piece bounds the rows that are ordered together; a text then has at most two spans for 200 bytes.
+    """
+    by = Window.partitionBy("d", "e", "piece").orderBy("start", "end")
+    past = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("start") <= past, 0).otherwise(1)
+    island = F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    islands = spans.withColumn("opens", opens).withColumn("island", island).groupBy("d", "e", "piece", "island").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"))
+    lists = islands.groupBy("d", "e").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    return lists.select("d", "e", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """id, n_bytes, spans (removed, maximal) and kept (remaining bytes) of every row."""
     rows = text_rows(docs, id_col, text_col)
-    known = materialize(text_classes(rows, hot), "classes")
+    known = materialize(text_classes(rows), "classes")
+    with workspace(docs.sparkSession, "suffixes") as keep:
+        found = rows.select("d", "e", "text").mapInArrow(
+            anchor_rows, "hash bigint, d bigint, e bigint, many boolean, ats array<bigint>")
+        marks = materialize(mark_rows(keep("anchors", found), known, hot), "marks")
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
-    spans = span_rows(rows, known).groupBy("d", "e").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    everything = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("end")))
-    spans = known.select("d", "e", F.when(copied, everything).alias("everything")).join(spans, ["d", "e"], "left")
-    spans = materialize(spans.select("d", "e", F.coalesce("everything", "spans").alias("spans")).filter("spans IS NOT NULL"), "spans")
+    spans = known.select(
+        "d", "e", F.when(copied, F.array(F.lit(0).cast("bigint"))).alias("from"), F.when(copied, F.array("n_bytes")).alias("to")
+    ).join(maximal(span_rows(rows, marks)), ["d", "e"], "left")
+    spans = spans.select("d", "e", F.coalesce("from", "starts").alias("starts"), F.coalesce("to", "ends").alias("ends"))
+    spans = materialize(spans.filter("starts IS NOT NULL"), "spans")
     found = rows.join(spans, ["d", "e"], "left")
-    changed = F.col("spans").isNotNull()
+    changed = F.col("starts").isNotNull()
     found = found.select(
-        "id", "n_bytes", F.when(~changed, F.col("text")).alias("text"), cutter()(F.when(changed, F.col("text")), F.col("spans")).alias("cut")
+        "id", "n_bytes", F.when(~changed, F.col("text")).alias("text"),
+        cutter()(F.when(changed, F.col("text")), F.col("starts"), F.col("ends")).alias("cut"),
     )
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     return found.select(

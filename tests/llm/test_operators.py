@@ -217,6 +217,28 @@ def test_suffix_dedup(table, monkeypatch, hot, held):
     assert sorted((str(r.doc_id), r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in got) == sorted(want)
 
 
+@pytest.mark.parametrize("unit", ["a", "ab", "y" * 62 + "x", "u" * 63 + "v", "q" * 198 + "r"])
+def test_suffix_dedup_of_a_long_text_that_repeats_itself(table, unit):
+    # The tail's first character breaks the period, so that every window that reaches it occurs once.
+    tail = "#" + prose(3, 60)
+    text = unit * (1_500_000 // len(unit))
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(table([(1, text + tail), (2, prose(4, 60)), (3, "b")])).collect()}
+    assert [tuple(s) for s in got[1].spans] == [(0, len(text))] and bytes(got[1].kept) == tail.encode()
+    assert got[2].spans == [] and bytes(got[3].kept) == b"b"
+
+
+def test_suffix_dedup_across_pieces(table, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE", 512)
+    rows = repeats_table()
+    got = {str(i): [] for i, _ in rows}
+    for r in suffix_dedup.remove_repeats(table(rows), hot=20).collect():
+        got[str(r.doc_id)].append([tuple(s) for s in r.spans])
+    want = {str(i): [] for i, _ in rows}
+    for (i, _), covered in zip(rows, brute.repeated_bytes([t for _, t in rows]), strict=True):
+        want[str(i)].append(brute.runs(covered))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
 def test_anchors_do_not_depend_on_blocks(table, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 1000)
     rows = [(1, prose(1, 2000)), (2, prose(2, 10) + prose(1, 2000)[3000:7000] + prose(3, 40)), (3, prose(4, 500))]
