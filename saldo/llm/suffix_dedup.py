@@ -257,10 +257,11 @@ def mark_rows(anchors: DataFrame, known: DataFrame, hot: int) -> DataFrame:
     `lead` is the id of the text's row that takes part.
     """
     # Counted with map-side combining, then joined, where adaptive execution splits a hot string.
+    # One number stands for a text among those that hold a string, another one for each string.
+    text = F.xxhash64("hash", "d", "e")
     found = anchors.groupBy("hash").agg(
-        *(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("d", "e")),
-        F.max("many").alias("many"), F.sum(F.size("ats")).alias("n"),
-    ).filter("min_d != max_d OR min_e != max_e OR many")
+        F.min(text).alias("low"), F.max(text).alias("high"), F.max("many").alias("many"), F.sum(F.size("ats")).alias("n")
+    ).filter("low != high OR many")
     places = anchors.join(found.select("hash", (F.col("n") > hot).cast("int").alias("hot")), "hash").select(
         "d", "e", "hot", F.explode("ats").alias("at"))
     marks = places.groupBy("d", "e", piece(F.shiftright("at", 16)).alias("piece")).agg(
@@ -302,28 +303,28 @@ def span_rows(rows: DataFrame, marks: DataFrame) -> DataFrame:
     ).select("d", "e", piece(F.col("start")).alias("piece"), "start", "end")
     if not marks.filter(F.exists("marks", lambda m: m % 2 == 1)).isEmpty():
         windows = marked.filter("hot").select("d", "e", "base", "text", F.explode(F.expr("sequence(place - before, place - beyond)")).alias("start"))
-        windows = windows.select("d", "e", "start", F.unhex(F.sha2(substring("start - base", str(LENGTH)), 256)).alias("digest"))
+        windows = windows.select("d", "e", "start", digest(substring("start - base", str(LENGTH))).alias("digest"))
         out = out.unionByName(repeated_digests(windows).select(
             "d", "e", piece(F.col("start")).alias("piece"), "start", (F.col("start") + LENGTH).alias("end")))
     return out
 
 
+def digest(value: Column) -> Column:
+    """The first 16 bytes of the SHA-256."""
+    return F.unhex(F.substring(F.sha2(value, 256), 1, 32))
+
+
 def repeated_digests(windows: DataFrame) -> DataFrame:
     """The windows whose digest another window has. Rows repeated in the table are one window."""
-    where = ("d", "e", "start")
-    edges = windows.groupBy("digest").agg(
-        F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in where))
-    differ = " OR ".join(f"min_{c} != max_{c}" for c in where)
-    twice = materialize(edges.filter(differ).select("digest", "n"), "digests")
+    where = F.xxhash64("d", "e", "start", "digest")
+    edges = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("low"), F.max(where).alias("high"))
+    twice = materialize(edges.filter("low != high").select("digest", "n"), "digests")
     total = twice.agg(F.sum("n")).first()[0] or 0
+    # Less than SHARE digests have more than that share of all windows: their windows are known without a shuffle.
     frequent = F.col("n") * SHARE > total
-    # Less than SHARE digests have more than that share of all windows. Their windows are known at once; the salt
-    # spreads them over all tasks of the join, in which they need no partner.
-    known = windows.join(F.broadcast(twice.filter(frequent).select("digest", F.lit(True).alias("known"))), "digest", "left")
-    salt = F.when(F.col("known"), F.lit(1) + F.pmod(F.xxhash64(*where), F.lit(1 << 30))).otherwise(F.lit(0))
-    rare = twice.filter(~frequent).select("digest", F.lit(0).cast("bigint").alias("salt"), F.lit(True).alias("rare"))
-    found = known.withColumn("salt", salt.cast("bigint")).join(rare, ["digest", "salt"], "left")
-    return found.filter("known OR rare").select(*where)
+    few = F.broadcast(twice.filter(frequent).select("digest"))
+    rare = windows.join(few, "digest", "left_anti").join(twice.filter(~frequent).select("digest"), "digest", "left_semi")
+    return windows.join(few, "digest", "left_semi").unionByName(rare)
 
 
 def maximal(spans: DataFrame) -> DataFrame:
@@ -331,6 +332,11 @@ def maximal(spans: DataFrame) -> DataFrame:
 
     A window's piece bounds the rows that are ordered together; a text then has at most two spans for 200 bytes.
     """
+    # Start and length in one number; those of a task and piece are listed before the shuffle.
+    code = F.shiftleft("start", 9).bitwiseOR(F.col("end") - F.col("start"))
+    spans = spans.groupBy("d", "e", "piece").agg(F.collect_list(code).alias("codes")).select("d", "e", "piece", F.explode("codes").alias("code"))
+    spans = spans.select("d", "e", "piece", F.shiftright("code", 9).alias("start"), F.col("code").bitwiseAND(F.lit(511)).alias("length"))
+    spans = spans.select("d", "e", "piece", "start", (F.col("start") + F.col("length")).alias("end"))
     by = Window.partitionBy("d", "e", "piece").orderBy("start", "end")
     past = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(F.col("start") <= past, 0).otherwise(1)
