@@ -315,13 +315,16 @@ def digest(value: Column) -> Column:
 
 
 def repeated_digests(windows: DataFrame) -> DataFrame:
-    """The windows whose digest another window has. Rows repeated in the table are one window."""
+    """The windows whose digest another window has. Rows repeated in the table are one window.
+
+    One job with its caller's: the texts that the windows are cut from are shuffled once for all uses.
+    """
     where = F.xxhash64("d", "e", "start", "digest")
     edges = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("low"), F.max(where).alias("high"))
-    twice = materialize(edges.filter("low != high").select("digest", "n"), "digests")
-    total = twice.agg(F.sum("n")).first()[0] or 0
+    twice = edges.filter("low != high").select("digest", "n")
+    twice = twice.join(F.broadcast(twice.agg(F.sum("n").alias("total"))))  # one row
     # Less than SHARE digests have more than that share of all windows: their windows are known without a shuffle.
-    frequent = F.col("n") * SHARE > total
+    frequent = F.col("n") * SHARE > F.col("total")
     few = F.broadcast(twice.filter(frequent).select("digest"))
     rare = windows.join(few, "digest", "left_anti").join(twice.filter(~frequent).select("digest"), "digest", "left_semi")
     return windows.join(few, "digest", "left_semi").unionByName(rare)
