@@ -1,8 +1,8 @@
 """Per-key ordered lookups that stay safe when one key holds a large share of the rows.
 
-A plain `Window.partitionBy(key).orderBy(ts)` puts every row of a key into one task. Here the
-window runs per (key, time slice); what has to cross a slice boundary is first reduced to one row per
-(key, slice), and only those few summary rows are ordered per key.
+A plain `Window.partitionBy(key).orderBy(ts)` puts every row of a key into one task. Here all rows are cut into ranges
+of (key, time, tie) by sampled quantiles, so a hot key, even within one second, spans several ranges. A window scans each
+range by itself; one carried row per range connects the ranges.
 """
 
 from __future__ import annotations
@@ -10,33 +10,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from saldo.session import materialize
+
 
 def time_slice(ts: Column, seconds: float) -> Column:
     """Number of the fixed-width time slice a timestamp falls in."""
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(int(seconds * 1_000_000))).cast("bigint")
 
 
-def next_value(
-    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, slice_seconds: int = 3600
-) -> DataFrame:
-    """Adds the value of the key's next row by (ts, tie).
+def ranges(df: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
+    """The rows in ranges of about equal size by the given order, numbered by `_part`, one range to a partition.
 
-    A key's rows are ordered slice by slice, and one row per slice over all slices: choose slices so narrow that the
-    rows a key has in one fit in a task.
+    Written once: the sampled bounds hold for all readers and for tasks that are run again. Rows that tie in all
+    columns of the order share a range. `parts` is the number of shuffle partitions unless given.
     """
-    rows = df.withColumn("_slice", time_slice(F.col(ts), slice_seconds))
-    first = rows.groupBy(key, "_slice").agg(
-        F.min(F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"), F.col(value).alias("v"))).alias("_first")
-    )
-    across = Window.partitionBy(key).orderBy("_slice")
-    following = first.select(key, "_slice", F.lead("_first.v").over(across).alias("_after"))
-    within = Window.partitionBy(key, "_slice").orderBy(ts, tie)
-    boxed = F.struct(F.col(value).alias("v"))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+    return materialize(cut, "ranges").repartitionById(parts, F.col("_part"))
+
+
+def next_value(
+    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, parts: int | None = None
+) -> DataFrame:
+    """Adds the value of the key's next row by (ts, tie); rows with a null key count as one key's."""
+    order = [key, ts, tie]
+    rows = ranges(df, order, parts)
+    row = F.struct(F.col(key).alias("k"), F.col(ts).alias("t"), F.col(tie).alias("i"), F.col(value).alias("v"))
+    # One row per range, bounded by the number of ranges.
+    heads = rows.groupBy("_part").agg(F.min(row).alias("_head"))
+    following = heads.select("_part", F.lead("_head").over(Window.orderBy("_part")).alias("_after"))
+    within = Window.partitionBy("_part").orderBy(*order)
+    after = F.coalesce("_next", "_after")
     return (
-        rows.withColumn("_next", F.lead(boxed).over(within))
-        .join(following, [key, "_slice"], "left")
-        .withColumn(out, F.when(F.col("_next").isNotNull(), F.col("_next.v")).otherwise(F.col("_after")))
-        .drop("_slice", "_next", "_after")
+        rows.withColumn("_next", F.lead(row).over(within))
+        .join(F.broadcast(following), "_part")
+        .withColumn(out, F.when(after["k"].eqNullSafe(F.col(key)), after["v"]))
+        .drop("_part", "_next", "_after")
     )
 
 
@@ -62,43 +71,39 @@ def point_in_time_join(
     feature_ts: str,
     fields: list[str],
     ttl_seconds: int,
-    slices: int = 24,
+    parts: int | None = None,
 ) -> DataFrame:
     """Adds to each label the newest feature row of its entity that is not later and not past its TTL.
 
-    Labels and features meet in (entity, slice) windows with the slice no wider than the TTL. A value
-    from an earlier slice arrives as a carried row: the newest feature per (entity, slice).
+    Labels and features are scanned together in order of (entity, time); the newest feature of earlier ranges is
+    carried into each range. Of features with one entity and time, the one with the greatest hash of its values counts.
+    A label without an entity or a time gets no feature.
     """
-    width = ttl_seconds / slices
-    feat = F.struct(F.col(feature_ts).cast("timestamp").alias("_fts"), *[F.col(c) for c in fields])
-    f = features.select(
-        F.col(entity), F.col(feature_ts).cast("timestamp").alias("_ts"), feat.alias("_feat"),
-    ).withColumn("_slice", time_slice(F.col("_ts"), width))
     names = labels.columns
-    lab = labels.withColumn("_ts", F.col(label_ts).cast("timestamp")).select(
-        F.col(entity), "_ts", F.struct(*names).alias("_label"),
-    ).withColumn("_slice", time_slice(F.col("_ts"), width))
-
-    newest = f.groupBy(entity, "_slice").agg(F.max_by("_feat", "_ts").alias("_tail"))
-    asked = lab.select(entity, "_slice").distinct()
-    earlier = Window.partitionBy(entity).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        asked.join(newest, [entity, "_slice"], "full")
-        .withColumn("_carried", F.last("_tail", ignorenulls=True).over(earlier))
-        .select(entity, "_slice", "_carried")
+    feat = F.struct(
+        F.col(entity).alias("_of"), F.col(feature_ts).cast("timestamp").alias("_fts"), *[F.col(c) for c in fields])
+    f = features.filter(F.col(entity).isNotNull() & F.col(feature_ts).isNotNull()).select(
+        F.col(entity).alias("_entity"), F.col(feature_ts).cast("timestamp").alias("_ts"), F.lit(0).alias("_asks"),
+        F.xxhash64(*fields).alias("_tie"), feat.alias("_feat"),
     )
-    both = lab.unionByName(f, allowMissingColumns=True)
-    up_to = (
-        Window.partitionBy(entity, "_slice").orderBy("_ts", F.col("_label").isNotNull())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lab = labels.select(
+        F.col(entity).alias("_entity"), F.col(label_ts).cast("timestamp").alias("_ts"), F.lit(1).alias("_asks"),
+        F.xxhash64(*names).alias("_tie"), F.struct(*names).alias("_label"),
     )
+    order = ["_entity", "_ts", "_asks", "_tie"]
+    rows = ranges(lab.unionByName(f, allowMissingColumns=True), order, parts)
+    # One row per range, bounded by the number of ranges. The last feature may be another entity's: then there is none.
+    tails = rows.groupBy("_part").agg(F.max_by("_feat", F.when(F.col("_asks") == 0, F.struct(*order))).alias("_tail"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select("_part", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"))
+    up_to = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     matched = (
-        both.withColumn("_within", F.last("_feat", ignorenulls=True).over(up_to))
-        .filter(F.col("_label").isNotNull())
-        .join(carried, [entity, "_slice"], "left")
+        rows.withColumn("_within", F.last("_feat", ignorenulls=True).over(up_to))
+        .filter(F.col("_asks") == 1)
+        .join(F.broadcast(carried), "_part")
     )
     hit = F.coalesce("_within", "_carried")
-    fresh = F.unix_micros(hit["_fts"]) > F.unix_micros("_ts") - ttl_seconds * 1_000_000
+    fresh = (hit["_of"] == F.col("_entity")) & (F.unix_micros(hit["_fts"]) > F.unix_micros("_ts") - ttl_seconds * 1_000_000)
     return matched.select(
         *[F.col("_label")[c].alias(c) for c in names],
         *[F.when(fresh, hit[c]).alias(c) for c in fields],

@@ -58,11 +58,11 @@ events = st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 300), st.sampl
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(events, st.sampled_from([60, 600, 86_400]))
-def test_next_value_and_streak_match_brute_force(spark, rows, width):
+@given(events, st.sampled_from([1, 3, 8]))
+def test_next_value_and_streak_match_brute_force(spark, rows, parts):
     data = [(i, k, minutes(m), s) for i, (k, m, s) in enumerate(rows)]
     df = spark.createDataFrame(data, "id int, k string, ts timestamp, s string")
-    got = {r["id"]: r["nxt"] for r in Q.next_value(df, "k", "ts", "id", "s", "nxt", width).collect()}
+    got = {r["id"]: r["nxt"] for r in Q.next_value(df, "k", "ts", "id", "s", "nxt", parts).collect()}
     ordered = sorted(data, key=lambda r: (r[1], r[2], r[0]))
     want = {a[0]: (b[3] if b is not None and b[1] == a[1] else None) for a, b in zip(ordered, [*ordered[1:], None])}
     assert got == want
@@ -77,9 +77,9 @@ def test_next_value_and_streak_match_brute_force(spark, rows, width):
         assert streaks[key] == run
 
 
-@pytest.mark.parametrize("ttl,slices", [(3600, 1), (3600, 24), (86_400, 7)])
-def test_point_in_time_join_matches_merge_asof(spark, ttl, slices):
-    rng = random.Random(ttl + slices)
+@pytest.mark.parametrize("ttl,parts", [(3600, 1), (3600, 24), (86_400, 7)])
+def test_point_in_time_join_matches_merge_asof(spark, ttl, parts):
+    rng = random.Random(ttl + parts)
     when = lambda: T0 + dt.timedelta(seconds=rng.randrange(0, 200_000))
     # A third of all rows belong to one entity.
     who = lambda: rng.choice(["hot", *"abcd", "hot"])
@@ -88,7 +88,7 @@ def test_point_in_time_join_matches_merge_asof(spark, ttl, slices):
     feats = [(k, t, n) for n, (k, t) in enumerate(feats)]
     got = Q.point_in_time_join(
         spark.createDataFrame(labels, "id int, k string, lt timestamp"),
-        spark.createDataFrame(feats, "k string, ft timestamp, v int"), "k", "lt", "ft", ["v"], ttl, slices)
+        spark.createDataFrame(feats, "k string, ft timestamp, v int"), "k", "lt", "ft", ["v"], ttl, parts)
     mine = {r["id"]: r["v"] for r in got.collect()}
     left = pd.DataFrame(labels, columns=["id", "k", "lt"]).sort_values("lt")
     right = pd.DataFrame(feats, columns=["k", "ft", "v"]).sort_values("ft")
@@ -98,6 +98,39 @@ def test_point_in_time_join_matches_merge_asof(spark, ttl, slices):
     assert mine == expected
 
 
+def hot_second(spark, n=200_000):
+    """One customer has all but a few rows, all of them in one second."""
+    hot = spark.range(n).select("id", F.lit("hot").alias("k"), F.lit(T0).alias("ts"))
+    return hot.unionByName(spark.createDataFrame([(n, "a", T0), (n + 1, "z", T0)], hot.schema))
+
+
+def test_a_hot_second_of_one_customer_is_cut_into_even_ranges(spark):
+    n = 200_000
+    rows = hot_second(spark, n)
+    cut = Q.ranges(rows, ["k", "ts", "id"], 16)
+    tasks = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == n + 2 and max(tasks) <= 2 * sorted(tasks)[len(tasks) // 2]
+    got = Q.next_value(rows, "k", "ts", "id", "id", "nxt", 16)
+    wrong = got.filter(~F.col("nxt").eqNullSafe(F.when(F.col("id") < n - 1, F.col("id") + 1)))
+    assert got.count() == n + 2 and wrong.isEmpty()
+
+
+def test_a_feature_is_carried_over_ranges_without_one(spark):
+    n = 50_000
+    labels = hot_second(spark, n).unionByName(
+        spark.createDataFrame([(-1, None, T0), (-2, "hot", None)], "id long, k string, ts timestamp"))
+    feats = spark.createDataFrame(
+        [("hot", T0 - dt.timedelta(seconds=9), 1), ("hot", T0, 2), ("hot", T0 + dt.timedelta(seconds=1), 3),
+         ("a", T0 - dt.timedelta(days=2), 4), (None, T0, 5), ("hot", None, 6)], "k string, ft timestamp, v int")
+    got = Q.point_in_time_join(labels, feats, "k", "ts", "ft", ["v"], 3600, 16)
+    counts = {(r["k"], r["v"]): r["count"] for r in got.groupBy("k", "v").count().collect()}
+    assert counts == {("hot", 2): n, ("hot", None): 1, ("a", None): 1, ("z", None): 1, (None, None): 1}
+    none = labels.limit(0)
+    assert Q.point_in_time_join(none, feats, "k", "ts", "ft", ["v"], 3600, 4).isEmpty()
+    assert Q.next_value(none, "k", "ts", "id", "id", "nxt", 4).isEmpty()
+    assert Q.point_in_time_join(labels, feats.limit(0), "k", "ts", "ft", ["v"], 3600, 4).filter("v IS NOT NULL").isEmpty()
+
+
 def test_distinct_counts_with_null_keys_and_a_hot_key(spark):
     rows = [("hot" if i % 3 else ("k%d" % (i % 5) if i % 2 else None), i % 7, "x" if i % 4 else None) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, a int, b string")
