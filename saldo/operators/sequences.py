@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 from saldo.session import materialize
 
 
-def time_slice(ts: Column, seconds: float) -> Column:
-    """Number of the fixed-width time slice a timestamp falls in."""
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(int(seconds * 1_000_000))).cast("bigint")
-
-
 def ranges(df: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
     """The rows in ranges of about equal size by the given order, numbered by `_part`, one range to a partition.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from saldo.functions import macros as M
 from saldo.operators.grouping import distinct_counts
-from saldo.operators.sequences import next_value, point_in_time_join, time_slice
+from saldo.operators.sequences import next_value, point_in_time_join, ranges
 from saldo.plans.intermediate import amount, bad, ok
 
 CUSTOMER_TYPES = {
@@ -88,22 +88,23 @@ def feat_merchant(metrics: DataFrame, as_of) -> DataFrame:
     )
 
 
-def _by_slice(stg: DataFrame, now: Column, slice_seconds: int) -> DataFrame:
-    """Partial aggregates of each customer and hour (or another slice), from one scan and one shuffle.
+def _by_range(stg: DataFrame, now: Column, parts: int | None) -> DataFrame:
+    """Partial aggregates of each customer and range of rows, from one scan and without a shuffle after the ranges'.
 
-    Rows of an hour are ordered once, newest first. What depends on the hour's neighbours is left open: whether its
-    last row, a failure, is followed by a success, and whether its failures after its last other row are the last ones.
+    Rows of a range are ordered once, newest first. What depends on the customer's rows in other ranges is left open: whether
+    its last row, a failure, is followed by a success, and whether its failures after its last other row are the last ones.
     """
     at, failed = F.col("provider_created_at"), F.coalesce(bad(), F.lit(False))
     last30, last90 = (at > now - F.expr(f"INTERVAL {days} DAYS") for days in (30, 90))
-    newest_first = Window.partitionBy("customer_id", "_slice").orderBy(at.desc(), F.col("event_id").desc())
-    rows = stg.withColumn("_slice", time_slice(at, slice_seconds)).withColumns({
+    newest_first = Window.partitionBy("_part", "customer_id").orderBy(at.desc(), F.col("event_id").desc())
+    used = stg.select("customer_id", at, "event_id", "status", "amount_cents", "fraud_score", "risk_level")
+    rows = ranges(used, ["customer_id", "provider_created_at", "event_id"], parts).withColumns({
         "_next": F.lag(F.struct(F.col("status").alias("v"))).over(newest_first),
         "_later_others": F.count_if(~failed).over(newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     })
     no_next = F.col("_next").isNull()
     paid = F.when(last30 & ok(), amount())
-    return rows.groupBy("customer_id", "_slice").agg(
+    return rows.groupBy("_part", "customer_id").agg(
         F.count_if(last30 & bad() & (F.col("_next.v") == "succeeded")).alias("_recovered"),
         F.count_if(last30 & bad() & no_next).alias("_open"),
         F.min_by(F.struct(F.col("status").alias("v")), F.struct(at, F.col("event_id"))).alias("_first_status"),
@@ -121,27 +122,26 @@ def _by_slice(stg: DataFrame, now: Column, slice_seconds: int) -> DataFrame:
     )
 
 
-def feat_customer_windowed(stg: DataFrame, as_of, slice_seconds: int = 3600) -> DataFrame:
+def feat_customer_windowed(stg: DataFrame, as_of, parts: int | None = None) -> DataFrame:
     """The declared meaning of the customer features: true windows ending at as_of.
 
     A failure counts as recovered when the customer's next event succeeded; the streak counts the
-    failures after the customer's last event that did not fail. A customer's rows are reduced to one
-    per slice before any customer is ordered as a whole; choose slices so narrow that the rows a customer
-    has in one fit in a task.
+    failures after the customer's last event that did not fail. Rows are cut into even ranges of (customer, time,
+    event), and a customer's rows are reduced to one per range before they are put in order.
     """
     now = F.lit(as_of).cast("timestamp")
     at = F.col("provider_created_at")
     seen = stg.filter(F.col("customer_id").isNotNull() & (at <= now))
-    slices = _by_slice(seen, now, slice_seconds)
-    newest_first = Window.partitionBy("customer_id").orderBy(F.col("_slice").desc())
-    slices = slices.withColumns({
+    cut = _by_range(seen, now, parts)
+    newest_first = Window.partitionBy("customer_id").orderBy(F.col("_part").desc())
+    cut = cut.withColumns({
         "_after": F.lag("_first_status").over(newest_first),
         "_later": F.coalesce(F.sum("_others").over(newest_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     })
     added = ["total_payments_30d", "total_payments_90d", "total_amount_cents_30d", "_paid", "failed_payments_30d",
              "_fraud_sum", "_fraud_n", "high_risk_payment_count"]
-    types = {f.name: f.dataType for f in slices.schema.fields}
-    g = slices.groupBy("customer_id").agg(
+    types = {f.name: f.dataType for f in cut.schema.fields}
+    g = cut.groupBy("customer_id").agg(
         F.sum(F.col("_recovered") + F.when(F.col("_after.v") == "succeeded", F.col("_open")).otherwise(0)).alias("recovered_payments_30d"),
         F.coalesce(F.sum(F.when(F.col("_later") == 0, F.col("_tail"))), F.lit(0)).alias("consecutive_failures"),
         *[F.sum(c).cast(types[c]).alias(c) for c in added],

@@ -142,6 +142,14 @@ def test_windowed_features_shuffle_events_once(spark, sf):
     assert plan.count("FileScan") == 2 and plan.count("Exchange") <= 5
 
 
+def test_windowed_features_of_a_customer_cut_into_ranges(spark, sf):
+    from saldo.plans import features as X
+
+    stg = stg_payment_events(W.bronze(spark, sf)).withColumn("customer_id", F.lit("hot"))
+    one, many = (X.feat_customer_windowed(stg, "2024-01-25 00:00:00", parts).collect() for parts in (1, 13))
+    assert one == many and len(one) == 1 and one[0]["recovered_payments_30d"] > 0
+
+
 def test_projections_do_not_shuffle(spark, sf):
     from saldo.operators import enrich as E
     from saldo.operators import split as P
