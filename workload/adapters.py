@@ -148,6 +148,15 @@ def _spark_sql(spark: SparkSession, text: str, sf_dir: str) -> DataFrame:
 _LANDED: dict[tuple, str] = {}
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows read by fewer tasks than there are cores, dealt evenly; others as they are read, without a shuffle.
+
+    Spark reads at least 4 MB in a task while there are fewer tasks than cores, so what is dealt is a small table.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def landed(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     """A derived table, written once per session and read back as a stored table.
 
@@ -156,7 +165,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = scratch(spark, name)
-        make().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        spread(make()).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
@@ -341,7 +350,7 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> str:
     if key not in _LANDED:
         path = scratch(spark, "raw")
         rows = messages_of(webhook_parameters(spark, sf_dir))
-        rows.repartition(spark.sparkContext.defaultParallelism).write.partitionBy("topic").parquet(path)
+        spread(rows).write.partitionBy("topic").parquet(path)
         _LANDED[key] = path
     return _LANDED[key]
 

@@ -12,6 +12,8 @@ from saldo.sources.bronze import conform
 from workload import adapters as W
 
 ONCE = {"availableNow": True}
+#: Compressed text is read by one task a file, so files are many rather than large.
+ROWS_PER_FILE = 500_000
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,9 +43,9 @@ def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    """A typed stream's rows as JSON files with ISO-8601 timestamps."""
+    """A typed stream's rows as compressed JSON files with ISO-8601 timestamps."""
     path = scratch(spark, f"json-{kind}")
-    W.stream_table(spark, sf_dir, kind).write.json(path)
+    W.stream_table(spark, sf_dir, kind).write.option("maxRecordsPerFile", ROWS_PER_FILE).json(path, compression="gzip")
     return path
 
 
