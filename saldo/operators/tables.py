@@ -14,11 +14,13 @@ def newest_per_key(df: DataFrame, keys: list[str], *order: Column, oldest: bool
     """One row per key, the newest (or oldest) by `order`.
 
     An aggregate rather than a ranking window: copies of one key are combined on the map side, so a
-    heavily duplicated key never gathers in one task.
+    heavily duplicated key never gathers in one task. The keys stay the aggregate's own, so a join on
+    them finds its rows where they are.
     """
     whole = F.struct(*df.columns)
     pick = (F.min_by if oldest else F.max_by)(whole, F.struct(*order))
-    return df.groupBy(*keys).agg(pick.alias("_row")).select("_row.*")
+    best = df.groupBy(*keys).agg(pick.alias("_row"))
+    return best.select(*[F.col(f"`{c}`") if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], newest: str = "ingested_at") -> DataFrame:

@@ -63,12 +63,12 @@ def delete(spark: SparkSession, path: str) -> None:
 
 @contextlib.contextmanager
 def workspace(spark: SparkSession, label: str):
-    """A `keep(name, df)` that writes below one scratch folder, which is deleted at the end."""
+    """A `keep(name, df)` that writes below one scratch folder, cut by columns if named; the folder is deleted at the end."""
     root = scratch(spark, label)
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
+    def keep(name: str, df: DataFrame, *cut: str) -> DataFrame:
         path = f"{root}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        df.write.partitionBy(*cut).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     try:

@@ -10,22 +10,26 @@ from pyspark.sql import functions as F
 from saldo.functions.macros import interval_15m
 from saldo.functions.validators import present
 from saldo.operators.enrich import enrich, to_bronze
-from saldo.operators.normalize import dlq_records, judge, valid_events
+from saldo.operators.normalize import SOURCE_COLUMNS, dlq_records, judge, valid_events
 from saldo.operators.split import judged, quarantine_rows, valid_rows
 from saldo.operators.tables import newest_per_key
+from saldo.session import workspace
 from saldo.sources.sinks import write_batch, write_dlq, write_normalized
 from saldo.streaming.ledger import file_keys, unseen
 
 TEN_SECONDS = {"processingTime": "10 seconds"}
 
 
-def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, **trigger):
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, persist: bool = True, **trigger):
     """One query whose every micro-batch is persisted once and handed to `handle(batch, id)`.
 
-    The persisted copy lives on the executors; a lost part of it is read again from the source.
+    The persisted copy lives on the executors; a lost part of it is read again from the source. A handler that reads
+    its batch once needs no copy.
     """
 
     def once(batch: DataFrame, batch_id: int) -> None:
+        if not persist:
+            return handle(batch, batch_id)
         kept = batch.persist()
         try:
             handle(kept, batch_id)
@@ -135,7 +139,9 @@ def run_intake(raw_stream: DataFrame, path: str, checkpoint: str, now: Column |
     Writes payments.normalized, payments.validation.dlq, quarantine, bronze and counters, one folder per batch. The
     two topics carry every message; bronze and quarantine carry each event id and dead-letter key once, over all
     batches of the checkpoint, which the ledgers ensure. An event keeps its provider day, so only the days of a
-    batch are looked up; events whose payload has no time are filed without a day. The raw batch is read once.
+    batch are looked up; events whose payload has no time are filed without a day. The raw batch is read once. What
+    several sinks read is written aside rather than held on executors, where a task would read whole payloads of many
+    rows; it is deleted with the batch.
     """
     clock = F.current_timestamp() if now is None else now
     event_day = F.when(F.col("provider_created_at") != F.col("processed_at"), F.to_date("provider_created_at"))
@@ -143,13 +149,17 @@ def run_intake(raw_stream: DataFrame, path: str, checkpoint: str, now: Column |
 
     def handle(raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
-        batch = judge(raw, clock).persist()
-        try:
+        with workspace(spark, "intake") as keep:
+            # Stored by topic, each provider reads its own messages. Payloads are kept of rejected messages only.
+            checked = judge(keep("raw", raw.select(*SOURCE_COLUMNS), "topic"), clock)
+            payload = F.when(F.size("errors") > 0, F.col("value"))
+            batch = keep("judged", checked.withColumn("value", payload))
             valid, dead = valid_events(batch), dlq_records(batch)
             write_normalized(valid, path, batch_id)
             write_dlq(dead, path, batch_id)
-            first = dedupe_stream(batch.filter(F.size("errors") == 0)).select(*valid.columns)
-            new = unseen(first, "event_id", event_day, f"{path}/ledger/events", batch_id).persist()
+            named = batch.filter(F.size("errors") == 0).select(*valid.columns, "partition", "offset")
+            first = dedupe_stream(named).select(*valid.columns)
+            new = keep("new", unseen(first, "event_id", event_day, f"{path}/ledger/events", batch_id))
             write_batch(to_bronze(enrich(new), clock), f"{path}/bronze", batch_id)
             file_keys(new, "event_id", event_day, f"{path}/ledger/events", batch_id)
             rejected = unseen(dedupe_dlq(dead), "dlq_key", no_day, f"{path}/ledger/dead", batch_id)
@@ -157,8 +167,5 @@ def run_intake(raw_stream: DataFrame, path: str, checkpoint: str, now: Column |
             kept = spark.read.schema(rejected.schema).parquet(f"{path}/quarantine/batch={batch_id}")
             file_keys(kept, "dlq_key", no_day, f"{path}/ledger/dead", batch_id)
             write_batch(intake_counters(batch, new, kept), f"{path}/counters", batch_id)
-            new.unpersist()
-        finally:
-            batch.unpersist()
 
-    return run_batches(raw_stream, handle, checkpoint, **trigger)
+    return run_batches(raw_stream, handle, checkpoint, persist=False, **trigger)

@@ -3,6 +3,12 @@
 import glob
 import gzip
 
+from pyspark.sql import functions as F
+
+from saldo.llm import suffix_dedup
+from saldo.operators import tables as U
+from saldo.sources import sinks as O
+from saldo.streaming import jobs as D
 from workload import adapters as W
 from workload import streams as WS
 
@@ -23,3 +29,39 @@ def test_json_input_is_compressed_and_cut_by_rows(spark, sf, monkeypatch):
     assert sum(len(gzip.open(f).readlines()) for f in files) == rows.count()
     assert max(len(gzip.open(f).readlines()) for f in files) <= 100
     assert sorted(map(str, spark.read.schema(rows.schema).json(path).collect())) == sorted(map(str, rows.collect()))
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_newest_rows_are_joined_where_they_are(spark):
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 3, 1), (None, 4, 1), (None, 5, 2)], "k string, v int, t int").repartition(2)
+    known = spark.createDataFrame([("b",)], "k string").hint("merge")
+    found = U.newest_per_key(rows, ["k"], F.col("t")).join(known, "k", "left_anti")
+    assert plan(found).count("Exchange hashpartitioning") == 2  # the rows once, the known keys once
+    assert sorted(map(tuple, found.collect()), key=str) == [("a", 2, 2), (None, 5, 2)]
+
+
+def test_the_intake_holds_no_rows_on_executors(spark, sf, tmp_path, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("persisted")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", refuse)
+    path = str(tmp_path / "out")
+    WS.finish(D.run_intake(WS.raw_stream(spark, sf), path, str(tmp_path / "cp"), F.lit(W.AS_OF).cast("timestamp"), **WS.ONCE))
+    consumed = O.read_batches(spark, f"{path}/counters", "messages_consumed bigint").first()[0]
+    assert consumed == W.raw_messages(spark, sf).count()
+    payloads = O.read_batches(spark, f"{path}/quarantine", "original_payload string")
+    assert payloads.count() == payloads.dropna().count() > 0
+
+
+def test_spans_are_merged_without_a_row_for_each(spark):
+    """Overlapping, touching, contained and repeated spans, and a run of one for every byte."""
+    some = [(1, 0, 0, 200), (1, 0, 0, 260), (1, 0, 100, 300), (1, 0, 300, 500), (1, 0, 501, 701), (1, 0, 501, 701), (1, 1, 32_800, 33_000)]
+    dense = [(2, 0, at, at + 200) for at in range(3000)]
+    df = spark.createDataFrame([(d, d, p, a, b) for d, p, a, b in some + dense], "d bigint, e bigint, piece int, start bigint, end bigint")
+    found = suffix_dedup.maximal(df)
+    got = {r.d: list(zip(r.starts, r.ends, strict=True)) for r in found.collect()}
+    assert got == {1: [(0, 500), (501, 701), (32_800, 33_000)], 2: [(0, 3199)]}
+    assert "Generate" not in plan(found) and "Window" not in plan(found)
