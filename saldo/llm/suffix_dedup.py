@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.llm.common import text_or_empty
@@ -330,23 +330,32 @@ def repeated_digests(windows: DataFrame) -> DataFrame:
     return windows.join(few, "digest", "left_semi").unionByName(rare)
 
 
+SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def merged_span(done: Column, code: Column) -> Column:
+    """Disjoint spans in order, latest first, with one that starts no earlier than the latest."""
+    start = F.shiftright(code, 9)
+    end = start + code.bitwiseAND(F.lit(511))
+    latest = F.get(done, F.lit(0))
+    span = lambda a, b: F.array(F.struct(a.alias("start"), b.alias("end")))
+    # Within one span, the usual case, nothing but the latest is built anew.
+    return (
+        F.when(end <= latest["end"], done)
+        .when(start <= latest["end"], F.concat(span(latest["start"], end), F.slice(done, 2, F.size(done))))
+        .otherwise(F.concat(span(start, end), done)))
+
+
 def maximal(spans: DataFrame) -> DataFrame:
     """d, e and, in order, starts and ends of each text's spans, touching ones of a piece merged.
 
     A window's piece bounds the rows that are ordered together; a text then has at most two spans for 200 bytes.
     """
-    # Start and length in one number; those of a task and piece are listed before the shuffle.
+    # Start and length in one number. A piece has a bounded number of them, whatever the size of a text or a group.
     code = F.shiftleft("start", 9).bitwiseOR(F.col("end") - F.col("start"))
-    spans = spans.groupBy("d", "e", "piece").agg(F.collect_list(code).alias("codes")).select("d", "e", "piece", F.explode("codes").alias("code"))
-    spans = spans.select("d", "e", "piece", F.shiftright("code", 9).alias("start"), F.col("code").bitwiseAND(F.lit(511)).alias("length"))
-    spans = spans.select("d", "e", "piece", "start", (F.col("start") + F.col("length")).alias("end"))
-    by = Window.partitionBy("d", "e", "piece").orderBy("start", "end")
-    past = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.col("start") <= past, 0).otherwise(1)
-    island = F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    islands = spans.withColumn("opens", opens).withColumn("island", island).groupBy("d", "e", "piece", "island").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"))
-    lists = islands.groupBy("d", "e").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    pieces = spans.groupBy("d", "e", "piece").agg(F.collect_set(code).alias("codes"))
+    islands = pieces.select("d", "e", F.aggregate(F.sort_array("codes"), F.array().cast(SPANS), merged_span).alias("spans"))
+    lists = islands.groupBy("d", "e").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
     return lists.select("d", "e", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
 
 
@@ -370,7 +379,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "id", "n_bytes", F.when(~changed, F.col("text")).alias("text"),
         cutter()(F.when(changed, F.col("text")), F.col("starts"), F.col("ends")).alias("cut"),
     )
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    none = F.array().cast(SPANS)
     return found.select(
         F.col("id").alias(id_col), "n_bytes",
         F.when(F.col("text").isNull(), F.col("cut.spans")).otherwise(none).alias("spans"),
