@@ -65,3 +65,8 @@ def test_spans_are_merged_without_a_row_for_each(spark):
     got = {r.d: list(zip(r.starts, r.ends, strict=True)) for r in found.collect()}
     assert got == {1: [(0, 500), (501, 701), (32_800, 33_000)], 2: [(0, 3199)]}
     assert "Generate" not in plan(found) and "Window" not in plan(found)
+
+
+def test_payloads_to_sign_are_read_once(spark, sf):
+    found = plan(W.captured(spark, sf, "adyen"))
+    assert "json_tuple" in found and "get_json_object(cast(value" not in found

@@ -385,14 +385,16 @@ def captured(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
         message = F.concat(F.encode(F.lit(SQUARE_URL), "utf-8"), F.col("value"))
         return rows.select(
             "offset", "value", F.when(n % 11 == 0, F.lit(None)).otherwise(flip(sign(message))).alias("signature"))
-    parts = [F.coalesce(F.get_json_object(F.col("value").cast("string"), f"$.{p}"), F.lit("")) for p in (
-        "pspReference", "originalReference", "merchantAccountCode", "merchantReference",
-        "amount.value", "amount.currency", "eventCode", "success")]
+    # One pass over the payload for all its parts, and a signature that is computed before its two uses.
+    top = ["pspReference", "originalReference", "merchantAccountCode", "merchantReference", "amount", "eventCode", "success"]
+    told = rows.select("*", F.json_tuple(F.col("value").cast("string"), *top).alias(*[f"_{p}" for p in top]))
+    cash = [F.get_json_object("_amount", f"$.{p}") for p in ("value", "currency")]
+    parts = [F.coalesce(c, F.lit("")) for c in (*[F.col(f"_{p}") for p in top[:4]], *cash, F.col("_eventCode"), F.col("_success"))]
     digest = F.when(n % 11 == 0, F.lit(None)).otherwise(flip(sign(F.encode(F.concat_ws(":", *parts), "utf-8"))))
     body = F.col("value").cast("string")
     signed = F.when(
-        digest.isNotNull(),
-        F.concat(F.expr("substring(_b, 1, length(_b) - 2)"), F.lit(',"hmacSignature":"'), digest, F.lit('"}}'))
+        F.col("_d").isNotNull(),
+        F.concat(F.expr("substring(_b, 1, length(_b) - 2)"), F.lit(',"hmacSignature":"'), F.col("_d"), F.lit('"}}'))
     ).otherwise(F.col("_b"))
-    whole = rows.withColumn("_b", body)
+    whole = told.withColumn("_d", digest).withColumn("_b", body)
     return whole.select("offset", signed.cast("binary").alias("value"))

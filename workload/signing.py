@@ -1,7 +1,6 @@
 """Signatures as the senders compute them, with Python's hmac: independent of the audited expression."""
 
 import base64
-import hashlib
 import hmac
 
 import pandas as pd
@@ -21,7 +20,7 @@ def signer(provider: str):
 
     @F.pandas_udf("string")
     def sign(message: pd.Series) -> pd.Series:
-        digests = [hmac.new(key, bytes(m), hashlib.sha256) for m in message]
-        return pd.Series([d.hexdigest() if as_hex else base64.b64encode(d.digest()).decode() for d in digests])
+        digests = [hmac.digest(key, m, "sha256") for m in message]
+        return pd.Series([d.hex() if as_hex else base64.b64encode(d).decode() for d in digests])
 
     return sign
