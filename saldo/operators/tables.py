@@ -15,18 +15,23 @@ def newest_per_key(df: DataFrame, keys: list[str], *order: Column, oldest: bool
 
     An aggregate rather than a ranking window: copies of one key are combined on the map side, so a
     heavily duplicated key never gathers in one task. The keys stay the aggregate's own, so a join on
-    them finds its rows where they are.
+    them finds its rows where they are; the rows travel without them.
     """
-    whole = F.struct(*df.columns)
+    whole = F.struct(*([c for c in df.columns if c not in keys] or keys))
     pick = (F.min_by if oldest else F.max_by)(whole, F.struct(*order))
     best = df.groupBy(*keys).agg(pick.alias("_row"))
     return best.select(*[F.col(f"`{c}`") if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: list[str], newest: str = "ingested_at") -> DataFrame:
-    """Matched keys are replaced, others inserted; repeated keys in the batch keep their newest row."""
-    batch = newest_per_key(updates, keys, F.col(newest)).select(*target.columns)
-    return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+def upsert(target: DataFrame, updates: DataFrame, keys: list[str], newest: str = "ingested_at", cut: str | None = None) -> DataFrame:
+    """Matched keys are replaced, others inserted; repeated keys in the batch keep their newest row.
+
+    With `cut` the batch is stored by that column and holds each key once: its rows stay where they are, only
+    the target's are dealt by the column, and the result can be written by it without a further shuffle.
+    """
+    batch = (updates if cut else newest_per_key(updates, keys, F.col(newest))).select(*target.columns)
+    others = target.join(batch.select(*keys), keys, "left_anti")
+    return (others.hint("rebalance", cut) if cut else others).unionByName(batch)
 
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -35,6 +36,8 @@ BY_DAY = {
     "stg_payment_events", "fct_payments", *INTERVALS,
     *(f"state_{name}_{part}" for name in ENTITIES for part in ("days", "values")),
 }
+# Projections of staging, whose files are cut by day already.
+LAID = {"fct_payments"}
 MODELS = [
     "stg_payment_events", "int_payment_customer_metrics", "int_payment_merchant_metrics",
     "int_payment_daily_summary", "dim_customer", "dim_merchant", "dim_date", "fct_payments",
@@ -57,7 +60,8 @@ def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = Non
     """All models in dependency order. Of events ingested more than once the last row counts.
 
     `keep(name, df)` stores a finished model and returns the stored table, which is what later models
-    read: nothing upstream is computed twice.
+    read: nothing upstream is computed twice. The partial aggregates that increments start from are kept as well, and
+    the metrics of entities and the trends are merged from them.
     """
     if keep is None:
         keep = lambda name, df: materialize(df, name)
@@ -68,8 +72,12 @@ def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = Non
         return t[name]
 
     stg = add("stg_payment_events", newest_events(stg_payment_events(bronze)))
-    customers = add("int_payment_customer_metrics", I.int_customer_metrics(stg))
-    merchants = add("int_payment_merchant_metrics", I.int_merchant_metrics(stg))
+    parts = {
+        name: (keep(f"state_{name}_days", entity.days(stg)), keep(f"state_{name}_values", entity.values(stg)))
+        for name, entity in ENTITIES.items()
+    }
+    customers = add("int_payment_customer_metrics", I.int_customer_metrics(stg, parts=parts["customer"]))
+    merchants = add("int_payment_merchant_metrics", I.int_merchant_metrics(stg, parts=parts["merchant"]))
     daily = add("int_payment_daily_summary", I.int_daily_summary(stg))
     dim_customer = add("dim_customer", K.dim_customer(customers, as_of))
     add("dim_merchant", K.dim_merchant(merchants, as_of))
@@ -82,7 +90,8 @@ def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = Non
     add("analytics_payment_summary", A.payment_summary(stg))
     add("analytics_provider_comparison", A.provider_comparison(stg))
     add("analytics_risk_overview", A.risk_overview(stg))
-    add("analytics_payment_trends", A.payment_trends(facts, dates, as_of, start=trends_from))
+    trends = keep(TREND_DAYS, A.trend_days(facts))
+    add("analytics_payment_trends", A.trends_of(trends, dates, as_of, trends_from))
     add("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
     return t
 
@@ -97,7 +106,7 @@ def day_part(day: date | None) -> str:
 
 
 def put(models: Version, name: str, df: DataFrame) -> DataFrame:
-    return models.put(name, with_day(df), DAY) if name in BY_DAY else models.put(name, df)
+    return models.put(name, with_day(df), DAY, laid=name in LAID) if name in BY_DAY else models.put(name, df)
 
 
 def publish(models: Version, mark: datetime | None) -> None:
@@ -118,10 +127,6 @@ def run_batch(spark: SparkSession, bronze_path: str, out: str, as_of, step: Step
     """
     models = Version(spark, out, step)
     tables = build(spark, spark.read.schema(BRONZE).parquet(bronze_path), as_of, lambda name, df: put(models, name, df), **settings)
-    for name, entity in ENTITIES.items():
-        put(models, f"state_{name}_days", entity.days(tables["stg_payment_events"]))
-        put(models, f"state_{name}_values", entity.values(tables["stg_payment_events"]))
-    put(models, TREND_DAYS, A.trend_days(tables["fct_payments"]))
     publish(models, high_water(tables["stg_payment_events"], "ingested_at"))
     return tables
 
@@ -184,9 +189,10 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
     table = models.read
     with workspace(spark, "increment") as keep:
         since = min(mark - overlap, since or mark)
-        candidates = keep("candidates", with_day(stg_payment_events(bronze_since(spark, bronze_path, since), since)))
+        candidates = with_day(stg_payment_events(bronze_since(spark, bronze_path, since), since))  # its files are listed once
         touched_parts = lambda df: [day_part(r[0]) for r in df.select(DAY).distinct().collect()]  # noqa: E731  one per calendar day
-        arrived = keep("arrived", arrivals(candidates, table("stg_payment_events", touched_parts(candidates))))
+        # One row per event, cut by day as the tables are: staging and facts take these rows without dealing them again.
+        arrived = keep("arrived", arrivals(candidates, table("stg_payment_events", touched_parts(candidates))).hint("rebalance", DAY), DAY)
         days = touched_parts(arrived)
         if not days:
             return {name: table(name) for name in MODELS}
@@ -194,15 +200,16 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
         replaced = keep("replaced", table("stg_payment_events", days).join(arrived.select("event_id"), "event_id", "left_semi"))
         both = arrived.unionByName(replaced.select(*arrived.columns))
 
-        def put_days(name: str, df: DataFrame) -> DataFrame:
+        def put_days(name: str, df: DataFrame, laid: bool = False) -> DataFrame:
             """The touched days of a table; one that is left without rows goes."""
-            return models.put(name, with_day(df).select(*models.columns(name)), DAY, instead_of=days)
+            return models.put(name, with_day(df).select(*models.columns(name)), DAY, instead_of=days, laid=laid)
 
         def merge_days(name: str, updates: DataFrame, keys: list[str]) -> DataFrame:
-            return put_days(name, U.upsert(table(name, days), updates, keys))
+            return put_days(name, U.upsert(table(name, days), updates, keys, cut=DAY), laid=True)
 
+        @functools.cache
         def touched(key: str) -> DataFrame:
-            return both.select(key).filter(F.col(key).isNotNull()).distinct()
+            return keep(f"touched_{key}", both.select(key).filter(F.col(key).isNotNull()).distinct())
 
         def refreshed(name: str, entity: I.Entity, label: str) -> DataFrame:
             now = table("stg_payment_events", days)

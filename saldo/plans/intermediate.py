@@ -69,7 +69,10 @@ class Entity:
     def rows(self, stg: DataFrame) -> DataFrame:
         return stg.filter(F.col(self.key).isNotNull())
 
-    def metrics(self, stg: DataFrame, approx: bool = False) -> DataFrame:
+    def metrics(self, stg: DataFrame, approx: bool = False, parts: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+        """The metrics from the events, or from their partial measures and distinct values where these are stored."""
+        if parts is not None:
+            return self.from_days(*parts)
         return self.finish(aggregate(self.rows(stg), [self.key], self.measures(), self.distinct(), approx))
 
     def days(self, stg: DataFrame) -> DataFrame:
@@ -157,9 +160,9 @@ CUSTOMER = Entity("customer_id", _customer_measures, _customer_distinct, {
 }, _customer_columns)
 
 
-def int_customer_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
+def int_customer_metrics(stg: DataFrame, approx: bool = False, parts: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row per customer with volumes, revenue, scores, tiers and tenure."""
-    return CUSTOMER.metrics(stg, approx)
+    return CUSTOMER.metrics(stg, approx, parts)
 
 
 def _merchant_measures() -> list[Column]:
@@ -231,9 +234,9 @@ MERCHANT = Entity("merchant_id", _merchant_measures, _merchant_distinct, {
 }, _merchant_columns)
 
 
-def int_merchant_metrics(stg: DataFrame, approx: bool = False) -> DataFrame:
+def int_merchant_metrics(stg: DataFrame, approx: bool = False, parts: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row per merchant with rates, health, risk and reach."""
-    return MERCHANT.metrics(stg, approx)
+    return MERCHANT.metrics(stg, approx, parts)
 
 
 def int_daily_summary(stg: DataFrame, approx: bool = False) -> DataFrame:

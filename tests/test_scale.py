@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from saldo.llm import suffix_dedup
 from saldo.operators import tables as U
+from saldo.plans import batch as B
+from saldo.sources import bronze as S
+from saldo.sources import published as V
 from saldo.sources import sinks as O
 from saldo.streaming import jobs as D
 from workload import adapters as W
@@ -70,3 +73,45 @@ def test_spans_are_merged_without_a_row_for_each(spark):
 def test_payloads_to_sign_are_read_once(spark, sf):
     found = plan(W.captured(spark, sf, "adyen"))
     assert "json_tuple" in found and "get_json_object(cast(value" not in found
+
+
+def test_a_batch_stored_by_day_is_merged_where_it_lies(spark):
+    target = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x"), (None, 3, "y")], "k string, v int, d string")
+    batch = spark.createDataFrame([("d" * 9, "b", 4), ("z", "c", 5)], "d string, k string, v int")
+    merged = U.upsert(target, batch, ["k"], cut="d")
+    assert "max_by" not in plan(merged) and plan(merged).count("REBALANCE") == 1
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted([("a", 1, "x"), (None, 3, "y"), ("b", 4, "d" * 9), ("c", 5, "z")], key=str)
+
+
+def test_the_newest_rows_travel_without_a_second_key(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, t int")
+    assert sorted(map(tuple, U.newest_per_key(rows, ["k"], F.col("t")).collect()), key=str) == [("a", 2), (None, 3)]
+    assert "struct(t" in plan(U.newest_per_key(rows, ["k"], F.col("t"))) and "struct(k" not in plan(U.newest_per_key(rows, ["k"], F.col("t")))
+    only = rows.select("k")
+    assert sorted(map(tuple, U.newest_per_key(only, ["k"], F.lit(1)).collect()), key=str) == [("a",), (None,)]
+
+
+def test_facts_are_not_dealt_again_and_entities_are_merged_from_their_days(spark, sf, tmp_path, monkeypatch):
+    """Which tables deal their rows by day while they are written, and what the entities' tables are read from."""
+    dealt, read, put, hint = set(), {}, V.Version.put, type(spark.range(1)).hint
+
+    def watched(self, name, df, *more, **named):
+        read.setdefault(name, set(df.inputFiles()))
+        with monkeypatch.context() as m:
+            m.setattr(type(df), "hint", lambda df, *a: (dealt.add((self.run, name)), hint(df, *a))[1])
+            return put(self, name, df, *more, **named)
+
+    monkeypatch.setattr(V.Version, "put", watched)
+    source, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    rows, new = W.bronze(spark, sf), F.col("ingested_at") >= F.lit("2024-01-20 10:07:00").cast("timestamp")
+    S.append_bronze(rows.filter(~new), source)
+    B.run_batch(spark, source, out, W.AS_OF)
+    S.append_bronze(rows.filter(new), source)
+    done = B.run_incremental(spark, source, out, W.AS_OF)
+    assert {(1, "stg_payment_events"), (2, "state_customer_days")} <= dealt
+    assert not {(1, "fct_payments"), (2, "fct_payments"), (2, "stg_payment_events")} & dealt
+    for name in ("customer", "merchant"):
+        assert all(f"/state_{name}_" in f for f in read[f"int_payment_{name}_metrics"])
+    assert done["fct_payments"].select("event_id").distinct().count() == done["fct_payments"].count() == rows.count()
+    days = done["fct_payments"].select("event_date").distinct().count()
+    assert len(done["fct_payments"].inputFiles()) <= 2 * days + 2 * spark.sparkContext.defaultParallelism
