@@ -17,7 +17,7 @@ from saldo.plans import intermediate as I
 from saldo.plans import marts as K
 from saldo.plans.staging import arrival_order, newest_events, stg_payment_events
 from saldo.schemas import BRONZE
-from saldo.session import materialize, workspace
+from saldo.session import materialize, settings, side_by_side, workspace
 from saldo.sources.bronze import ingest
 from saldo.sources.published import NULL, Version, versions
 
@@ -51,13 +51,17 @@ TRENDS_FROM = "2024-01-01"
 # How late a writer may commit a row behind the newest ingestion time.
 OVERLAP = timedelta(hours=1)
 
+# While tables are written: a task keeps a few days' files open, so that only rows of further days are sorted; and wide
+# projections are not compiled into methods that the JVM leaves uncompiled for their length (8,000 bytes).
+WRITING = {"spark__sql__maxConcurrentOutputFileWriters": 4, "spark__sql__codegen__hugeMethodLimit": 8000}
+
 Keep = Callable[[str, DataFrame], DataFrame]
 Step = Callable[[str], object]
 
 
 def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = None,
           calendar: tuple[str, str] = CALENDAR, trends_from: str = TRENDS_FROM) -> dict[str, DataFrame]:
-    """All models in dependency order. Of events ingested more than once the last row counts.
+    """All models; after staging, those that do not need each other are built side by side. Of events ingested more than once the last row counts.
 
     `keep(name, df)` stores a finished model and returns the stored table, which is what later models
     read: nothing upstream is computed twice. The partial aggregates that increments start from are kept as well, and
@@ -71,29 +75,36 @@ def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = Non
         t[name] = keep(name, df)
         return t[name]
 
-    stg = add("stg_payment_events", newest_events(stg_payment_events(bronze)))
-    parts = {
-        name: (keep(f"state_{name}_days", entity.days(stg)), keep(f"state_{name}_values", entity.values(stg)))
-        for name, entity in ENTITIES.items()
-    }
-    customers = add("int_payment_customer_metrics", I.int_customer_metrics(stg, parts=parts["customer"]))
-    merchants = add("int_payment_merchant_metrics", I.int_merchant_metrics(stg, parts=parts["merchant"]))
-    daily = add("int_payment_daily_summary", I.int_daily_summary(stg))
-    dim_customer = add("dim_customer", K.dim_customer(customers, as_of))
-    add("dim_merchant", K.dim_merchant(merchants, as_of))
-    dates = add("dim_date", K.dim_date(spark, *calendar))
-    facts = add("fct_payments", K.fct_payments(stg, as_of))
-    add("fct_daily_payments", K.fct_daily_payments(daily, as_of))
-    add("feat_customer_features", X.feat_customer(customers, as_of))
-    add("feat_merchant_features", X.feat_merchant(merchants, as_of))
-    add("analytics_payment_intervals", A.payment_intervals(stg))
-    add("analytics_payment_summary", A.payment_summary(stg))
-    add("analytics_provider_comparison", A.provider_comparison(stg))
-    add("analytics_risk_overview", A.risk_overview(stg))
-    trends = keep(TREND_DAYS, A.trend_days(facts))
-    add("analytics_payment_trends", A.trends_of(trends, dates, as_of, trends_from))
-    add("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
-    return t
+    def parts(label: str) -> tuple[DataFrame, DataFrame]:
+        entity = ENTITIES[label]
+        return keep(f"state_{label}_days", entity.days(stg)), keep(f"state_{label}_values", entity.values(stg))
+
+    def of_customers() -> None:
+        customers = add("int_payment_customer_metrics", I.int_customer_metrics(stg, parts=parts("customer")))
+        dim_customer = add("dim_customer", K.dim_customer(customers, as_of))
+        add("feat_customer_features", X.feat_customer(customers, as_of))
+        add("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
+
+    def of_merchants() -> None:
+        merchants = add("int_payment_merchant_metrics", I.int_merchant_metrics(stg, parts=parts("merchant")))
+        add("dim_merchant", K.dim_merchant(merchants, as_of))
+        add("feat_merchant_features", X.feat_merchant(merchants, as_of))
+
+    def of_days() -> None:
+        daily = add("int_payment_daily_summary", I.int_daily_summary(stg))
+        add("fct_daily_payments", K.fct_daily_payments(daily, as_of))
+
+    def of_facts() -> None:
+        facts = add("fct_payments", K.fct_payments(stg, as_of))
+        dates = add("dim_date", K.dim_date(spark, *calendar))
+        trends = keep(TREND_DAYS, A.trend_days(facts))
+        add("analytics_payment_trends", A.trends_of(trends, dates, as_of, trends_from))
+
+    with settings(spark, **WRITING):
+        stg = add("stg_payment_events", newest_events(stg_payment_events(bronze)))
+        side_by_side(spark, of_customers, of_facts, of_merchants, of_days,
+                     *[functools.partial(lambda name, model: add(name, model(stg)), *item) for item in INTERVALS.items()])
+    return {name: t[name] for name in MODELS}
 
 
 def with_day(df: DataFrame) -> DataFrame:
@@ -180,14 +191,15 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
 
     Everything is computed from the published version and written beside it; the pointer, which carries the mark as
     well, moves when the last table is complete. So a run that failed at any point has changed nothing, and its repetition
-    finds the same new rows. `step(name)` is called after each table. What is written aside is deleted.
+    finds the same new rows. `step(name)` is called after each table; after staging, tables that do not need each other are
+    written side by side. What is written aside is deleted.
     """
     models = Version(spark, out, step)
     if models.notes["loaded_until"] is None:  # built from no rows
         return run_batch(spark, bronze_path, out, as_of, step, trends_from=trends_from)
     mark = datetime.fromisoformat(models.notes["loaded_until"])
     table = models.read
-    with workspace(spark, "increment") as keep:
+    with settings(spark, **WRITING), workspace(spark, "increment") as keep:
         since = min(mark - overlap, since or mark)
         candidates = with_day(stg_payment_events(bronze_since(spark, bronze_path, since), since))  # its files are listed once
         touched_parts = lambda df: [day_part(r[0]) for r in df.select(DAY).distinct().collect()]  # noqa: E731  one per calendar day
@@ -228,34 +240,48 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
                 return models.put(name, U.scd2_merge(table(name), fresh, key, [c for c in metrics.columns if c != key], as_of))
             return replace(name, key, fresh)
 
-        # Interval tables are read before staging changes, so that their edge is the last build's.
-        oldest = both.agg(F.min("ingested_at")).first()[0]
-        oldest = oldest.replace(minute=oldest.minute // 15 * 15, second=0, microsecond=0)
-        ends = [reread_from(table(name)) for name in INTERVALS]
-        edge = min([oldest, *(e for e in ends if e is not None)])
-        stg = merge_days("stg_payment_events", arrived, ["event_id"])
-        customers = refreshed("int_payment_customer_metrics", I.CUSTOMER, "customer")
-        merchants = refreshed("int_payment_merchant_metrics", I.MERCHANT, "merchant")
-        touched_days = I.int_daily_summary(table("stg_payment_events", days))
+        def first_bucket() -> datetime:
+            """Where interval tables restart. They are written after this, so their edge is the last build's."""
+            oldest = both.agg(F.min("ingested_at")).first()[0]
+            oldest = oldest.replace(minute=oldest.minute // 15 * 15, second=0, microsecond=0)
+            ends = [reread_from(table(name)) for name in INTERVALS]
+            return min([oldest, *(e for e in ends if e is not None)])
+
+        stg, edge, _, _ = side_by_side(
+            spark, lambda: merge_days("stg_payment_events", arrived, ["event_id"]), first_bucket,
+            lambda: touched("customer_id"), lambda: touched("merchant_id"))
 
         def other_days(name: str, column: str) -> DataFrame:
             known = [p.removeprefix(f"{DAY}=") for p in days if p != day_part(None)]
             return table(name).filter(~F.coalesce(F.col(column).cast("string").isin(known), F.lit(day_part(None) in days)))
 
-        daily = models.put("int_payment_daily_summary", other_days("int_payment_daily_summary", DAY).unionByName(touched_days))
-        dim_customer = dimension("dim_customer", "customer_id", customers, K.dim_customer)
-        dimension("dim_merchant", "merchant_id", merchants, K.dim_merchant)
-        merge_days("fct_payments", K.fct_payments(arrived, as_of), ["payment_key"])
-        models.put("fct_daily_payments", K.fct_daily_payments(daily, as_of))
-        models.put("feat_customer_features", X.feat_customer(customers, as_of))
-        models.put("feat_merchant_features", X.feat_merchant(merchants, as_of))
-        for name, model in INTERVALS.items():
+        def of_customers() -> None:
+            customers = refreshed("int_payment_customer_metrics", I.CUSTOMER, "customer")
+            dim_customer = dimension("dim_customer", "customer_id", customers, K.dim_customer)
+            models.put("feat_customer_features", X.feat_customer(customers, as_of))
+            models.put("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
+
+        def of_merchants() -> None:
+            merchants = refreshed("int_payment_merchant_metrics", I.MERCHANT, "merchant")
+            dimension("dim_merchant", "merchant_id", merchants, K.dim_merchant)
+            models.put("feat_merchant_features", X.feat_merchant(merchants, as_of))
+
+        def of_days() -> None:
+            touched_days = I.int_daily_summary(table("stg_payment_events", days))
+            daily = models.put("int_payment_daily_summary", other_days("int_payment_daily_summary", DAY).unionByName(touched_days))
+            models.put("fct_daily_payments", K.fct_daily_payments(daily, as_of))
+
+        def of_facts() -> None:
+            merge_days("fct_payments", K.fct_payments(arrived, as_of), ["payment_key"])
+            trends = models.put(TREND_DAYS, other_days(TREND_DAYS, "date_key").unionByName(A.trend_days(table("fct_payments", days))))
+            models.put("analytics_payment_trends", A.trends_of(trends, table("dim_date"), as_of, trends_from))
+
+        def intervals(name: str, model: Callable[..., DataFrame]) -> None:
             # The edge's day is written whole: its buckets before the edge come from the table.
             redone = [p for p in models.parts(name) if p >= day_part(edge.date()) and p != day_part(None)]
             kept = table(name, redone).filter(F.col("interval_start") < F.lit(edge))
             models.put(name, kept.unionByName(model(stg, edge).select(*kept.columns)), DAY, instead_of=redone)
-        trends = models.put(TREND_DAYS, other_days(TREND_DAYS, "date_key").unionByName(A.trend_days(table("fct_payments", days))))
-        models.put("analytics_payment_trends", A.trends_of(trends, table("dim_date"), as_of, trends_from))
-        models.put("analytics_customer_segments", A.customer_segments(dim_customer.filter("is_current")))
+
+        side_by_side(spark, of_customers, of_facts, of_merchants, of_days, *[functools.partial(intervals, *item) for item in INTERVALS.items()])
         publish(models, max(mark, high_water(arrived, "ingested_at")))
     return {name: table(name) for name in MODELS}

@@ -5,7 +5,10 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -25,6 +28,36 @@ def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
     )
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: object):
+    """Session settings for a block, named with `__` for each dot; what was set before returns at its end."""
+    names = {name.replace("__", "."): str(value) for name, value in values.items()}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def side_by_side(spark: SparkSession, *parts: Callable[[], object], most: int = 4) -> list:
+    """Runs parts that do not need each other's results, up to so many at once, and returns their results: one's jobs use cores another leaves idle.
+
+    An error is raised once all running parts have ended; parts that have not begun are left out.
+    """
+    with ThreadPoolExecutor(most) as pool:
+        runs = [pool.submit(inheritable_thread_target(spark)(part)) for part in parts]  # with the caller's job group
+        wait(runs, return_when=FIRST_EXCEPTION)
+        for run in runs:
+            run.cancel()
+    for run in runs:
+        if not run.cancelled() and run.exception() is not None:
+            raise run.exception()
+    return [run.result() for run in runs]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach. Only a local session may fall back to a temp folder."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)

@@ -12,7 +12,6 @@ write below a root. Versions older than the last `KEEP` are deleted, with folder
 
 from __future__ import annotations
 
-import contextlib
 import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -27,8 +26,6 @@ POINTER = "_published"
 KEEP = 2
 #: The folder name of a null value.
 NULL = "__HIVE_DEFAULT_PARTITION__"
-#: Values a task writes at once without sorting its rows, where they are stored by value already.
-OPEN_FILES = 4
 
 
 @dataclass
@@ -55,18 +52,6 @@ def read_pointer(spark: SparkSession, root: str, run: int) -> tuple[dict[str, Ta
     return {name: Table(**t) for name, t in stored["tables"].items()}, stored["notes"]
 
 
-@contextlib.contextmanager
-def open_files(spark: SparkSession, most: int):
-    """A task keeps up to so many files open; only rows of further values are sorted before they are written."""
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(most))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 class Version:
     """What is published below a root, and a run's writes on top of it."""
 
@@ -112,11 +97,10 @@ class Version:
             df.write.mode("overwrite").parquet(path)
             table.parts = {"": self.run}
         else:
-            with open_files(self.spark, OPEN_FILES) if laid else contextlib.nullcontext():
-                (
-                    (df if laid else df.hint("rebalance", cut)).write.mode("overwrite")
-                    .option("partitionOverwriteMode", "static").partitionBy(cut).parquet(path)
-                )
+            (
+                (df if laid else df.hint("rebalance", cut)).write.mode("overwrite")
+                .option("partitionOverwriteMode", "static").partitionBy(cut).parquet(path)
+            )
             gone = set(instead_of) if instead_of is not None else set(self.tables[name].parts if name in self.tables else ())
             kept = {p: run for p, run in self.tables[name].parts.items() if p not in gone} if name in self.tables else {}
             written = [f for f in subfolders(self.spark, path) if f.startswith(f"{cut}=")]

@@ -1,5 +1,7 @@
 """Versions of published tables: what a run that fails leaves behind, for readers and for its repetition."""
 
+import threading
+import time
 from pathlib import Path
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from saldo.plans import batch as B
-from saldo.session import delete, exists
+from saldo.session import delete, exists, side_by_side
 from saldo.sources import bronze as S
 from saldo.sources import published as V
 from workload import adapters as W
@@ -146,3 +148,53 @@ def test_scheduled_job_killed_before_and_after_publishing(spark, sf, tmp_path, m
         assert got["analytics_payment_intervals"].agg(F.sum("transaction_count")).first()[0] == part.count()
     loaded = spark.read.schema("event_id string").parquet(paths[1])
     assert loaded.count() == wanted.count() and B.run_pipeline(spark, wanted, *paths, W.AS_OF)["fct_payments"].count() == wanted.count()
+
+
+def test_tables_that_do_not_need_each_other_are_written_at_once(spark, sf):
+    """Facts, days, customers and merchants wait for each other: one after the other they would wait in vain."""
+    meet = threading.Barrier(4)
+
+    def keep(name, df):
+        if name in ("fct_payments", "int_payment_daily_summary", "state_customer_days", "state_merchant_days"):
+            meet.wait(60)
+        return df
+
+    names = [n.replace("__", ".") for n in B.WRITING]
+    before = [spark.conf.get(n) for n in names]
+    assert list(B.build(spark, W.bronze(spark, sf), W.AS_OF, keep)) == B.MODELS
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_increment_writes_tables_at_once(spark, sf, tmp_path, monkeypatch):
+    source, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    bronze, late = W.bronze(spark, sf), F.col("ingested_at") >= F.lit("2024-01-29 10:07:00").cast("timestamp")
+    S.append_bronze(bronze.filter(~late), source)
+    B.run_batch(spark, source, out, W.AS_OF)
+    S.append_bronze(bronze.filter(late), source)
+    meet, plain = threading.Barrier(2), V.Version.put
+
+    def put(self, name, *more, **named):
+        if name in ("fct_payments", "int_payment_daily_summary"):
+            meet.wait(120)
+        return plain(self, name, *more, **named)
+
+    monkeypatch.setattr(V.Version, "put", put)
+    assert B.run_incremental(spark, source, out, W.AS_OF)["fct_payments"].count() == bronze.count()
+
+
+def test_side_by_side_ends_running_parts_before_an_error(spark):
+    begun, ended = threading.Event(), []
+
+    def slow():
+        begun.set()
+        time.sleep(0.5)
+        ended.append("slow")
+
+    def fails():
+        begun.wait(10)
+        raise Killed
+
+    with pytest.raises(Killed):
+        side_by_side(spark, slow, fails, *[lambda: time.sleep(0.5)] * 2, lambda: ended.append("never"), most=2)
+    assert ended[:1] == ["slow"] and "never" not in ended
+    assert side_by_side(spark, lambda: 1, lambda: 2) == [1, 2]

@@ -180,7 +180,7 @@ def payment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landed(spark, sf_dir, "bronze", lambda: conform(payment_rows(spark, sf_dir), BRONZE))
+    return landed(spark, sf_dir, "bronze", lambda: conform(_spark_sql(spark, BRONZE_SQL, sf_dir), BRONZE))
 
 
 def row_store(spark: SparkSession, sf_dir: str) -> DataFrame:
