@@ -102,7 +102,7 @@ def build(spark: SparkSession, bronze: DataFrame, as_of, keep: Keep | None = Non
 
     with settings(spark, **WRITING):
         stg = add("stg_payment_events", newest_events(stg_payment_events(bronze)))
-        side_by_side(spark, of_customers, of_facts, of_merchants, of_days,
+        side_by_side(spark, of_facts, of_customers, of_merchants, of_days,  # the largest table first
                      *[functools.partial(lambda name, model: add(name, model(stg)), *item) for item in INTERVALS.items()])
     return {name: t[name] for name in MODELS}
 
@@ -192,7 +192,7 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
     Everything is computed from the published version and written beside it; the pointer, which carries the mark as
     well, moves when the last table is complete. So a run that failed at any point has changed nothing, and its repetition
     finds the same new rows. `step(name)` is called after each table; after staging, tables that do not need each other are
-    written side by side. What is written aside is deleted.
+    written side by side, and one that fails ends the others. What is written aside is deleted.
     """
     models = Version(spark, out, step)
     if models.notes["loaded_until"] is None:  # built from no rows
@@ -282,6 +282,6 @@ def run_incremental(spark: SparkSession, bronze_path: str, out: str, as_of, over
             kept = table(name, redone).filter(F.col("interval_start") < F.lit(edge))
             models.put(name, kept.unionByName(model(stg, edge).select(*kept.columns)), DAY, instead_of=redone)
 
-        side_by_side(spark, of_customers, of_facts, of_merchants, of_days, *[functools.partial(intervals, *item) for item in INTERVALS.items()])
+        side_by_side(spark, of_facts, of_customers, of_merchants, of_days, *[functools.partial(intervals, *item) for item in INTERVALS.items()])
         publish(models, max(mark, high_water(arrived, "ingested_at")))
     return {name: table(name) for name in MODELS}

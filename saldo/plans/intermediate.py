@@ -16,6 +16,10 @@ from saldo.functions import macros as M
 from saldo.operators.grouping import aggregate, distinct_values, merged
 
 
+# The distinct value that partial measures of each day count by themselves.
+ACTIVE_DAYS = "active_days"
+
+
 def ok() -> Column:
     return F.col("status") == "succeeded"
 
@@ -81,15 +85,16 @@ class Entity:
         return dated.groupBy("event_date", self.key).agg(*self.measures())
 
     def values(self, stg: DataFrame) -> DataFrame:
-        """Distinct values of each entity and day."""
+        """Distinct values of each entity and day, but for the days themselves."""
         dated = self.rows(stg).withColumn("event_date", F.to_date("provider_created_at"))
-        return distinct_values(dated, ["event_date", self.key], self.distinct())
+        return distinct_values(dated, ["event_date", self.key], {n: c for n, c in self.distinct().items() if n != ACTIVE_DAYS})
 
     def from_days(self, days: DataFrame, values: DataFrame) -> DataFrame:
         """The metrics of entities from all their days; the events themselves are not read."""
         names = [c for c in days.columns if c not in ("event_date", self.key)]
-        how = {n: self.extremes.get(n, "sum") for n in names}
-        return self.finish(merged(days, values, self.key, how, list(self.distinct())))
+        how = {n: self.extremes.get(n, "sum") for n in [*names, ACTIVE_DAYS]}
+        counted = days.withColumn(ACTIVE_DAYS, F.col("event_date").isNotNull().cast("bigint"))  # an entity has one row a day
+        return self.finish(merged(counted, values, self.key, how, [n for n in self.distinct() if n != ACTIVE_DAYS]))
 
 
 def _customer_measures() -> list[Column]:
@@ -117,7 +122,7 @@ def _customer_measures() -> list[Column]:
 
 def _customer_distinct() -> dict[str, Column]:
     return {
-        "active_days": F.to_date("provider_created_at"),
+        ACTIVE_DAYS: F.to_date("provider_created_at"),
         "provider_count": F.col("provider"),
         "merchant_count": F.col("merchant_id"),
     }
@@ -189,7 +194,7 @@ def _merchant_distinct() -> dict[str, Column]:
         "unique_customers": F.col("customer_id"),
         "provider_count": F.col("provider"),
         "currency_count": F.col("currency"),
-        "active_days": F.to_date("provider_created_at"),
+        ACTIVE_DAYS: F.to_date("provider_created_at"),
     }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -45,16 +46,25 @@ def settings(spark: SparkSession, **values: object):
 def side_by_side(spark: SparkSession, *parts: Callable[[], object], most: int = 4) -> list:
     """Runs parts that do not need each other's results, up to so many at once, and returns their results: one's jobs use cores another leaves idle.
 
-    An error is raised once all running parts have ended; parts that have not begun are left out.
+    The first error ends the others: their running jobs are cancelled, parts that have not begun are left out, and it
+    is raised once all running parts have ended.
     """
+    context, tag = spark.sparkContext, f"side-by-side-{uuid.uuid4().hex[:12]}"
+
+    def tagged(part: Callable[[], object]) -> object:
+        context.addJobTag(tag)
+        return part()
+
     with ThreadPoolExecutor(most) as pool:
-        runs = [pool.submit(inheritable_thread_target(spark)(part)) for part in parts]  # with the caller's job group
+        runs = [pool.submit(inheritable_thread_target(spark)(functools.partial(tagged, part))) for part in parts]  # with the caller's job group
         wait(runs, return_when=FIRST_EXCEPTION)
+        error = next((e for e in (run.exception() for run in runs if run.done()) if e is not None), None)
         for run in runs:
             run.cancel()
-    for run in runs:
-        if not run.cancelled() and run.exception() is not None:
-            raise run.exception()
+        while wait(runs, timeout=0.2 if error else None).not_done:  # a part between two jobs begins its next one
+            context.cancelJobsWithTag(tag)
+    if error is not None:
+        raise error
     return [run.result() for run in runs]
 
 

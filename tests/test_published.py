@@ -198,3 +198,24 @@ def test_side_by_side_ends_running_parts_before_an_error(spark):
         side_by_side(spark, slow, fails, *[lambda: time.sleep(0.5)] * 2, lambda: ended.append("never"), most=2)
     assert ended[:1] == ["slow"] and "never" not in ended
     assert side_by_side(spark, lambda: 1, lambda: 2) == [1, 2]
+
+
+def test_side_by_side_cancels_the_jobs_beside_an_error(spark):
+    """A part whose job would run for minutes ends with the error, and does not begin its next job."""
+    ended, running = [], spark.sparkContext.statusTracker().getActiveJobsIds
+
+    def slow():
+        spark.range(10**12).filter("id % 7 = 8").count()
+        ended.append("counted")
+
+    def fails():
+        until = time.time() + 30
+        while not running() and time.time() < until:
+            time.sleep(0.05)
+        raise Killed
+
+    begun = time.time()
+    with pytest.raises(Killed):
+        side_by_side(spark, slow, fails)
+    assert not ended and time.time() - begun < 60
+    assert spark.range(3).count() == 3  # later jobs are not cancelled

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from saldo.llm import suffix_dedup
 from saldo.operators import tables as U
 from saldo.plans import batch as B
+from saldo.plans import intermediate as I
+from saldo.plans.staging import stg_payment_events
 from saldo.sources import bronze as S
 from saldo.sources import published as V
 from saldo.sources import sinks as O
 from saldo.streaming import jobs as D
 from workload import adapters as W
 from workload import streams as WS
+from workload.queries import twice_ingested
 
 
 def test_a_landed_table_is_written_by_the_tasks_that_read_it(spark, tmp_path):
@@ -115,3 +118,26 @@ def test_facts_are_not_dealt_again_and_entities_are_merged_from_their_days(spark
     assert done["fct_payments"].select("event_id").distinct().count() == done["fct_payments"].count() == rows.count()
     days = done["fct_payments"].select("event_date").distinct().count()
     assert len(done["fct_payments"].inputFiles()) <= 2 * days + 2 * spark.sparkContext.defaultParallelism
+
+
+def test_days_of_an_entity_are_counted_without_storing_them_as_values(spark, sf):
+    rows = W.bronze(spark, sf).limit(300)
+    undated = rows.limit(5).withColumn("provider_created_at", F.lit(None).cast("timestamp")).withColumn("customer_id", F.lit("undated"))
+    stg = stg_payment_events(rows.unionByName(undated)).cache()
+    for entity in (I.CUSTOMER, I.MERCHANT):
+        values = entity.values(stg)
+        assert "active_days" not in {r[0] for r in values.select("which").distinct().collect()}
+        merged, whole = entity.from_days(entity.days(stg), values), entity.metrics(stg)
+        assert sorted(map(str, merged.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+    assert merged.filter("active_days > 0").count() and I.CUSTOMER.metrics(stg).filter("customer_id = 'undated'").first()["active_days"] == 0
+    stg.unpersist()
+
+
+def test_repeated_events_are_made_in_one_scan(spark, sf):
+    rows, draw = W.bronze(spark, sf), F.pmod(F.crc32("event_id"), F.lit(6))
+    older = rows.filter(draw < 2).withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 20 MINUTES")) \
+        .withColumn("amount_cents", F.lit(1).cast("bigint")).withColumn("status", F.lit("stale"))
+    wanted, got = rows.unionByName(older).unionByName(rows.filter(draw == 3)), twice_ingested(spark, sf)
+    assert got.schema.simpleString() == wanted.schema.simpleString() and got.count() == wanted.count()
+    assert got.exceptAll(wanted).isEmpty()
+    assert plan(got).count("FileScan") == plan(rows).count("FileScan") == 1

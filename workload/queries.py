@@ -962,11 +962,14 @@ def _content(tables: dict[str, DataFrame]) -> DataFrame:
 
 def twice_ingested(spark, sf) -> DataFrame:
     """Bronze in which a third of the events are there in an older state as well, and some in the same state again."""
-    rows = W.bronze(spark, sf)
     draw = F.pmod(F.crc32("event_id"), F.lit(6))
-    older = rows.filter(draw < 2).withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 20 MINUTES")) \
-        .withColumn("amount_cents", F.lit(1).cast("bigint")).withColumn("status", F.lit("stale"))
-    return rows.unionByName(older).unionByName(rows.filter(draw == 3))
+    stale = F.when(draw < 2, F.array(F.lit(False), F.lit(True))).when(draw == 3, F.array(F.lit(False), F.lit(False)))
+    rows = W.bronze(spark, sf).withColumn("_stale", F.explode(F.coalesce(stale, F.array(F.lit(False)))))  # read once
+    return rows.withColumns({
+        "ingested_at": F.when(F.col("_stale"), F.col("ingested_at") - F.expr("INTERVAL 20 MINUTES")).otherwise(F.col("ingested_at")),
+        "amount_cents": F.when(F.col("_stale"), F.lit(1).cast("bigint")).otherwise(F.col("amount_cents")),
+        "status": F.when(F.col("_stale"), F.lit("stale")).otherwise(F.col("status")),
+    }).drop("_stale")
 
 
 @query("m12_batch_build")
