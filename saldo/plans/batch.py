@@ -17,7 +17,7 @@ from saldo.plans import intermediate as I
 from saldo.plans import marts as K
 from saldo.plans.staging import arrival_order, newest_events, stg_payment_events
 from saldo.schemas import BRONZE
-from saldo.session import materialize, settings, side_by_side, workspace
+from saldo.session import TIMES, materialize, settings, side_by_side, workspace
 from saldo.sources.bronze import ingest
 from saldo.sources.published import NULL, Version, versions
 
@@ -53,7 +53,7 @@ OVERLAP = timedelta(hours=1)
 
 # While tables are written: a task keeps a few days' files open, so that only rows of further days are sorted; and wide
 # projections are not compiled into methods that the JVM leaves uncompiled for their length (8,000 bytes).
-WRITING = {"spark__sql__maxConcurrentOutputFileWriters": 4, "spark__sql__codegen__hugeMethodLimit": 8000}
+WRITING = {"spark__sql__maxConcurrentOutputFileWriters": 4, "spark__sql__codegen__hugeMethodLimit": 8000, **TIMES}
 
 Keep = Callable[[str, DataFrame], DataFrame]
 Step = Callable[[str], object]

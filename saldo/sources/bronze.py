@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saldo.schemas import BRONZE, QUARANTINE
-from saldo.session import exists, workspace
+from saldo.session import TIMES, exists, settings, workspace
 
 
 def read_row_store(spark, url: str, table: str, column: str, lower, upper, partitions: int,
@@ -96,7 +96,8 @@ def append_bronze(df: DataFrame, path: str) -> None:
     The rebalance keeps files few; adaptive execution splits a day that holds most of the rows.
     """
     by_day = df.withColumn("ingested_date", F.to_date("ingested_at")).hint("rebalance", "ingested_date")
-    by_day.write.mode("append").partitionBy("ingested_date").parquet(path)
+    with settings(df.sparkSession, **TIMES):
+        by_day.write.mode("append").partitionBy("ingested_date").parquet(path)
 
 
 def ingest(store: DataFrame, bronze_path: str, ledger_path: str, limit: int | None = None,

@@ -1,9 +1,11 @@
 """Versions of published tables: what a run that fails leaves behind, for readers and for its repetition."""
 
+import glob
 import threading
 import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -219,3 +221,19 @@ def test_side_by_side_cancels_the_jobs_beside_an_error(spark):
         side_by_side(spark, slow, fails)
     assert not ended and time.time() - begun < 60
     assert spark.range(3).count() == 3  # later jobs are not cancelled
+
+
+def test_times_are_stored_with_their_range(spark, sf, tmp_path):
+    """Bronze and models hold times as 64-bit numbers with minima and maxima, so that a time filter skips row groups."""
+    source, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    rows = W.bronze(spark, sf).limit(50)
+    before = rows.withColumn("event_id", F.lit("old")).withColumn("ingested_at", F.lit("1850-01-01 00:00:00.000001").cast("timestamp")).limit(1)
+    S.append_bronze(rows.unionByName(before), source)
+    tables = B.run_batch(spark, source, out, W.AS_OF)
+    for path in (source, f"{out}/stg_payment_events", f"{out}/fct_payments", f"{out}/dim_customer"):
+        for file in glob.glob(f"{path}/**/*.parquet", recursive=True):
+            group = pq.ParquetFile(file).metadata.row_group(0)
+            columns = [group.column(i) for i in range(group.num_columns)]
+            assert "INT96" not in {c.physical_type for c in columns}
+            assert all(c.statistics.has_min_max for c in columns if c.path_in_schema == "ingested_at")
+    assert tables["stg_payment_events"].filter("event_id = 'old'").select(F.col("ingested_at").cast("string")).first()[0] == "1850-01-01 00:00:00.000001"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldo.schemas import BRONZE, STREAMS
-from saldo.session import scratch
+from saldo.session import TIMES, scratch, settings
 from saldo.sources.bronze import conform
 from workload.signing import SECRETS, signer  # noqa: F401
 
@@ -165,7 +165,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = scratch(spark, name)
-        spread(make()).write.parquet(path)
+        with settings(spark, **TIMES):
+            spread(make()).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
