@@ -17,6 +17,9 @@ Work. Equal fingerprints are one row. First each file of the index links its mem
 greatest member, as far as they are near; groups of copies fall into components by these stars alone. Then only
 files that still span several components are searched, and only pairs of different components are compared, so
 that a large group of near copies is never expanded into its pairs.
+
+Broadcasts. Spark takes the rows after an explode for as many as before it, though files have 5 and lookups about 37 times
+as many, and would broadcast them. They, and what is summed of them, are joined by sort and merge.
 """
 
 from __future__ import annotations
@@ -81,7 +84,7 @@ def file_key(k: int, first: Column, second: Column) -> Column:
 def files(fps: DataFrame) -> DataFrame:
     """Five rows per fingerprint: where it is filed."""
     keys = F.array(*(file_key(k, segment("fp", k), segment("fp", k + 1)) for k in range(5)))
-    return fps.withColumn("key", F.explode(keys))
+    return fps.withColumn("key", F.explode(keys)).hint("merge")
 
 
 def lookups(fps: DataFrame) -> DataFrame:
@@ -94,7 +97,7 @@ def lookups(fps: DataFrame) -> DataFrame:
         even = F.bit_count(segment("fp", k + 1)) % 2 == 0
         return F.concat(F.array(own), F.when(even, changed).otherwise(F.array().cast("array<bigint>")))
 
-    return fps.withColumn("key", F.explode(F.concat(*(keys(k) for k in range(5)))))
+    return fps.withColumn("key", F.explode(F.concat(*(keys(k) for k in range(5))))).hint("merge")
 
 
 def near(a: str, b: str) -> Column:

@@ -5,7 +5,7 @@ import gzip
 
 from pyspark.sql import functions as F
 
-from saldo.llm import suffix_dedup
+from saldo.llm import simhash, suffix_dedup
 from saldo.operators import tables as U
 from saldo.plans import batch as B
 from saldo.plans import intermediate as I
@@ -141,3 +141,13 @@ def test_repeated_events_are_made_in_one_scan(spark, sf):
     assert got.schema.simpleString() == wanted.schema.simpleString() and got.count() == wanted.count()
     assert got.exceptAll(wanted).isEmpty()
     assert plan(got).count("FileScan") == plan(rows).count("FileScan") == 1
+
+
+def test_rows_after_an_explode_are_not_broadcast(spark, monkeypatch):
+    """Spark takes them for as few as the rows before."""
+    plans, find = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda links: plans.append(plan(links)) or find(links))
+    fps = spark.range(50).select(F.xxhash64("id").alias("fp"))
+    assert simhash.link_fingerprints(fps).count() == 50
+    assert [p.count("SortMergeJoin") for p in plans] == [1, 2]
+    assert not any("Broadcast" in p for p in plans)
