@@ -3,9 +3,10 @@
 import glob
 import gzip
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
-from saldo.llm import simhash, suffix_dedup
+from saldo.llm import components, simhash, suffix_dedup
 from saldo.operators import tables as U
 from saldo.plans import batch as B
 from saldo.plans import intermediate as I
@@ -151,3 +152,27 @@ def test_rows_after_an_explode_are_not_broadcast(spark, monkeypatch):
     assert simhash.link_fingerprints(fps).count() == 50
     assert [p.count("SortMergeJoin") for p in plans] == [1, 2]
     assert not any("Broadcast" in p for p in plans)
+
+
+def broadcasts(text: str) -> list[str]:
+    """The part of a plan below each broadcast."""
+    lines, out = text.splitlines(), []
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    for k, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((i for i in range(k + 1, len(lines)) if depth[i] <= depth[k]), len(lines))
+            out.append("\n".join(lines[k + 1 : end]))
+    return out
+
+
+def test_the_pipeline_finds_near_copies_without_a_broadcast_of_an_explode(spark, monkeypatch):
+    plans, write = [], simhash.materialize
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "materialize", lambda df, label: plans.append(plan(df)) or write(df, label))
+    docs = spark.createDataFrame([(i, f"{i} {i + 1} {i + 2} {i + 3} words of its own") for i in range(40)] + [(99, "0 1 2 3 words of its own")], "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    plans.append(plan(kept))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+    found = [b for p in plans for b in broadcasts(p)]
+    assert found and sum("Generate" in p for p in plans) >= 2
+    assert not any("Generate" in b for b in found)
